@@ -48,7 +48,7 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _key(s: np.ndarray) -> int:
-    x = np.add.reduce(V.mix(s), keepdims=True) ^ V.mix(np.bitwise_xor.reduce(s, keepdims=True))
+    x = np.add.reduce(V.mix(s), keepdims=True) ^ V.mix(np.bitwise_xor.reduce(s, keepdims=True) + np.uint64(len(s)))
     return int(V.mix(x).view(np.int64)[0])
 
 
