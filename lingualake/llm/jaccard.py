@@ -8,8 +8,9 @@ as many bits as the sets have elements outside their intersection; so a bit coun
 pairs which that bound lets pass are compared exactly.
 
 Groups of copies: exact copies have one set and are one class. In each tile every class is first compared with the tile's
-smallest class only; what that links is one component, and pairs within a component need no further comparison. Then all
-pairs of a tile from different components follow, in blocks of bounded size. So no link between components is lost and
+smallest class only; what that links is one component, and pairs within a component need no further comparison. Then each
+class is compared with one partner of another component, and at last all pairs of a tile from different components follow,
+in blocks of bounded size. So no link between components is lost and
 a group of n near copies costs n comparisons, not n squared.
 """
 
@@ -29,8 +30,8 @@ from . import vectext as V
 from .common import cut, small
 from .components import components
 
-#: Words of a signature (64 bits each).
-SIGNATURE = 4
+#: Words (of 64 bits) of a class's signature, and of the same folded for the rows of tiles.
+WIDE, SIGNATURE = 16, 8
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
 #: Classes of a tile compared at once; a larger tile is cut into pairs of such blocks.
@@ -53,26 +54,26 @@ def _key(s: np.ndarray) -> int:
 
 
 def _signature(s: np.ndarray) -> np.ndarray:
-    bits = (s >> np.uint64(40)) % np.uint64(64 * SIGNATURE)
-    odd = np.bincount(bits.astype(np.int64), minlength=64 * SIGNATURE) & 1
+    """Bit i tells whether an odd number of the elements hash to i."""
+    bits = (s >> np.uint64(40)) % np.uint64(64 * WIDE)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * WIDE) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def shingle_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, key, s0..s3): size, class of equal sets (null if empty) and signature of each row's shingle set."""
-    names = [f"s{i}" for i in range(SIGNATURE)]
+    """(doc_id, n, key, sig): size, class of equal sets (null if empty) and signature of each row's shingle set."""
 
     def run(batches):
         for b in batches:
-            n, key, sig = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, SIGNATURE), np.int64)
+            n, key, sig = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, WIDE), np.int64)
             for i, s in _sets(b, k):
                 n[i] = len(s)
                 if len(s):
                     key[i], sig[i] = _key(s), _signature(s)
-            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), *(pa.array(sig[:, i]) for i in range(SIGNATURE))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", *names])
+            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * WIDE), pa.array(sig.ravel()))]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, " + ", ".join(f"{x} long" for x in names))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>")
 
 
 def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
@@ -129,7 +130,12 @@ def _prefixes(docs: DataFrame, k: int, percent: int, level: np.ndarray) -> DataF
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of class keys those that are similar: exact intersection of the sorted sets."""
+    """Of pairs (a, b) of class keys those that are similar: the whole signatures' bound, then exact intersection."""
+    of = classes.select("key", "n", "sig")
+    left, right = of.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), of.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    differ = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    pairs = pairs.join(left, "a").join(right, "b").withColumn("most", F.floor((F.col("n_a") + F.col("n_b") - differ) / 2))
+    pairs = cut(pairs.where(F.lit(100) * F.col("most") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("most"))).select("a", "b"))
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     need = cut(classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id")))
     picked = docs.select("doc_id", "text").join(small(need), "doc_id").select("key", "text").dropDuplicates(["key"])
@@ -149,11 +155,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(percent: int):
+def _block_pairs(percent: int, every: bool):
     """Pairs of different components within a block (or between two) of a tile which size and bit counts let pass.
 
     Rows come sorted by tile, block and size; row i meets row i + 1, then i + 2 and so on, all tiles of a batch at once,
-    until the sizes no longer fit. The last block of a batch waits for the next batch.
+    until the sizes no longer fit. The last block of a batch waits for the next batch. Unless every pair is asked for,
+    each row keeps one partner only, that of the smallest key.
     """
     cols = ["token", "band", "i", "j"]
 
@@ -164,6 +171,7 @@ def _block_pairs(percent: int):
         same = np.zeros(len(key), np.int64)
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
         found = [np.zeros((0, 2), np.int64)]
+        best = np.full(len(key), np.iinfo(np.int64).max)
         x, d = np.arange(len(key)), 0
         while len(x):
             d += 1
@@ -176,7 +184,13 @@ def _block_pairs(percent: int):
             differ = np.bitwise_count(sig[u] ^ sig[v]).sum(axis=1, dtype=np.int64)
             most = (n[u] + n[v] - differ) // 2  # no more elements can be shared
             ok = 100 * most >= percent * (n[u] + n[v] - most)
-            found.append(np.sort(np.stack([key[u[ok]], key[v[ok]]], 1), axis=1))
+            if every:
+                found.append(np.sort(np.stack([key[u[ok]], key[v[ok]]], 1), axis=1))
+            else:
+                np.minimum.at(best, v[ok], key[u[ok]])
+        if not every:
+            has = best != np.iinfo(np.int64).max
+            found.append(np.sort(np.stack([best[has], key[has]], 1), axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -206,10 +220,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     percent * union) reach, itself included. A null, empty or wordless text has size 0, links with nothing and is its own
     component. Rows that repeat a doc_id are documents of their own with that id. Other columns of docs are not read.
     """
-    spark = docs.sparkSession
     names = [f"s{i}" for i in range(SIGNATURE)]
     rows = cut(shingle_classes(docs, k))
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), *(F.first(x).alias(x) for x in names))
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    classes = cut(classes)
+    # parity bits fold: the exclusive or of the parts is the signature of that many bits
+    folded = [F.col("sig")[i].bitwiseXOR(F.col("sig")[i + SIGNATURE]).alias(names[i]) for i in range(SIGNATURE)]
 
     counts = shingle_counts(docs, k)
     level = np.maximum(0, np.log2(np.maximum(counts, 1) / max(1.0, counts.mean())) - 0.5).astype(np.int8)
@@ -224,21 +240,26 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     lead = cut(lead)
     fits = "100 * least(n, lead.n) >= {p} * greatest(n, lead.n)".format(p=percent)
     star = shared.join(lead, ["token", "band"]).where("key > lead.key").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
-    star = cut(_verified(cut(star.select("a", "b")), classes, docs, k, percent))
-    joined = components(star)
-
-    members = shared.join(lead.select("token", "band", "size"), ["token", "band"]).join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
-    members = members.join(mixed, ["token", "band"]).join(classes.select("key", *names), "key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    members = members.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-    members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
-    rest = cut(members.repartition("token", "band", "i", "j").sortWithinPartitions("token", "band", "i", "j", "n", "key").mapInArrow(_block_pairs(percent), "a long, b long").distinct())
-    links = star
-    if rest.limit(1).count():
-        links = cut(star.union(_verified(rest, classes, docs, k, percent)))
-    joined = components(links).withColumnRenamed("node", "key")
+    star = cut(_verified(star.select("a", "b"), classes, docs, k, percent))
+    joined, links, tried = components(star), star, None
+    sized = cut(shared.join(lead.select("token", "band", "size"), ["token", "band"]))
+    for every in (False, True):
+        members = sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        members = cut(members)
+        mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
+        members = members.join(mixed, ["token", "band"]).join(classes.select("key", *folded), "key")
+        members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
+        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+        block = ["token", "band", "i", "j"]
+        rest = members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct()
+        rest = cut(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"))
+        if not rest.limit(1).count():
+            break
+        tried = rest
+        links = cut(links.union(_verified(rest, classes, docs, k, percent)))
+        joined = components(links)
+    joined = joined.withColumnRenamed("node", "key")
 
     named = classes.select("key", "doc_id").join(joined, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
