@@ -6,7 +6,12 @@ from . import queries_text as q
 
 
 def queries() -> dict:
-    return {"op5_ngram_jaccard": q.op5_ngram_jaccard}
+    return {
+        "op3_quality_classifier": q.op3_quality_classifier,
+        "op4_mixing": q.op4_mixing,
+        "op5_ngram_jaccard": q.op5_ngram_jaccard,
+        "op8_packing": q.op8_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
