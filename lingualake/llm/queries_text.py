@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .jaccard import jaccard_components
 from .mixing import mix_sources
 from .packing import pack
+from .pii import detect_pii, pii_digest
 from .quality_model import quality_scores
+from .secrets import find_secrets
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,3 +30,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(detect_pii(table(spark, sf_dir, "documents")))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "n_candidates", F.size("found").cast("long").alias("n_secrets"), spans.alias("spans"))

@@ -7,10 +7,12 @@ from . import queries_text as q
 
 def queries() -> dict:
     return {
+        "op1_pii": q.op1_pii,
         "op3_quality_classifier": q.op3_quality_classifier,
         "op4_mixing": q.op4_mixing,
         "op5_ngram_jaccard": q.op5_ngram_jaccard,
         "op8_packing": q.op8_packing,
+        "op9_secrets": q.op9_secrets,
     }
 
 
