@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .caps import near_vectors
 from .common import table
 from .jaccard import jaccard_components
 from .mixing import mix_sources
 from .packing import pack
 from .pii import detect_pii, pii_digest
+from .pages import extract_pages
 from .quality_model import quality_scores
+from .quality_rules import quality_rules
 from .secrets import find_secrets
 
 
@@ -39,3 +42,15 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "n_candidates", F.size("found").cast("long").alias("n_secrets"), spans.alias("spans"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op10_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -8,11 +8,14 @@ from . import queries_text as q
 def queries() -> dict:
     return {
         "op1_pii": q.op1_pii,
+        "op2_quality_rules": q.op2_quality_rules,
         "op3_quality_classifier": q.op3_quality_classifier,
         "op4_mixing": q.op4_mixing,
         "op5_ngram_jaccard": q.op5_ngram_jaccard,
+        "op6_html": q.op6_html,
         "op8_packing": q.op8_packing,
         "op9_secrets": q.op9_secrets,
+        "op10_caps": q.op10_caps,
     }
 
 
