@@ -266,3 +266,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     named = named.join(least, "comp").select("key", "component_id")
     out = rows.join(named, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """docs without the documents that a smaller doc_id of their group stands for; ids identify documents here."""
+    gone = cut(jaccard_components(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)

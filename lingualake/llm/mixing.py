@@ -12,11 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, word_array, word_count
+from .common import cut, small, word_array, word_count
 
 #: Documents of a block of the flight phase; hot sources have many blocks.
 BLOCK = 2000
@@ -73,7 +72,7 @@ def source_targets(sizes: list[tuple[str | None, int]], weights=(5, 2, 1), share
     return [float(target[i]) for i in range(len(sizes))]
 
 
-def _round(rows: DataFrame, last: bool) -> DataFrame:
+def _round(rows: DataFrame) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["mark", "doc_id", "size"], kind="stable").reset_index(drop=True)
         seed = [int(pdf["block"].iloc[0]) + 1, int(pdf["seed"].iloc[0]) & 0xFFFFFFFF]
@@ -108,7 +107,7 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     while left:
         blocks = F.greatest(F.lit(1), F.ceil(count / F.lit(BLOCK))).cast("int")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("mark", "doc_id", F.lit(k)), blocks).cast("int"))
-        rows = cut(_round(rows, False))
+        rows = cut(_round(rows))
         most = -(-left // BLOCK)
         between = (F.col("prob") > 0) & (F.col("prob") < 1)
         if most <= 1:
@@ -131,7 +130,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     take = mix_sources(docs).groupBy("doc_id").agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"), F.count("*").alias("__rows"))
     share = (F.col("__taken") / F.col("__rows")).cast("long")
     size = (F.col("__size") / F.col("__rows")).cast("long")
-    rows = docs.join(take.select("doc_id", share.alias("__taken"), size.alias("__size")), "doc_id").where("__size > 0 AND __taken > 0")
+    take = cut(take.select(F.col("doc_id").alias("__id"), share.alias("__taken"), size.alias("__size")).where("__size > 0 AND __taken > 0"))
+    rows = docs.join(small(take), F.col("doc_id").eqNullSafe(F.col("__id")))
     times = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
     part = (F.col("__copy") * F.col("__size") - F.col("__taken")).cast("int")

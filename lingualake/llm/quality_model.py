@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vectext as V
 from .common import BROADCAST_ROWS, small
@@ -104,26 +105,32 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> Model:
     return fit([r["text"] or "" for r in rows], np.array([r["quality"] for r in rows], np.int64))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs (doc_id, text) with score: the probability of class 1. A text without features gets the bias alone."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """docs with one more column: the probability of class 1. A text without features gets the bias alone."""
     shared = docs.sparkSession.sparkContext.broadcast((model.margins(), float(model.bias[1] - model.bias[0])))
+    at = docs.columns.index("text")
 
     def run(batches):
         margin, bias = shared.value
         for b in batches:
             out = np.full(b.num_rows, bias)
-            for first, data, offs in V.chunks(b.column(1)):
+            for first, data, offs in V.chunks(b.column(at)):
                 bucket, row = features(data, offs)
                 count = np.bincount(row, minlength=len(offs) - 1)
                 out[first : first + len(offs) - 1] += np.bincount(row, margin[bucket], len(offs) - 1) / np.maximum(count, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(out, -50, 50))))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(out, -50, 50))))], [*b.schema.names, name])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs that score at least the threshold, with the columns of docs."""
+    return score(docs, train(docs, labels), "__score").where(F.col("__score") >= threshold).select(*docs.columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row. Null or empty texts get the prior's score; a null doc_id is
     not held out; rows that repeat score alike; other columns are not read; with no labels every score is 0.5."""
-    out = score(docs, train(docs, labels))
+    out = score(docs.select("doc_id", "text"), train(docs, labels))
     held = F.coalesce(F.expr("crc32(CAST(doc_id AS STRING)) % 5 = 0"), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
