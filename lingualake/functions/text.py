@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .filters import is_blank, js_trim
 
@@ -39,7 +40,7 @@ def decode_entities(c: Column) -> Column:
     return F.when(c.rlike(r"&#(?:\d+|x[0-9a-fA-F]+);"), _numeric(c)).otherwise(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _numeric(s: pd.Series) -> pd.Series:
     def point(m) -> str:
         n = int(m[1]) if m[1] else int(m[2], 16)
@@ -67,7 +68,7 @@ def slugify_latin(c: Column, locale: str = "en", most: int = 120) -> Column:
     return slug_truncate(_hyphens(F.lower(F.translate(c, ACCENTED, BASE)), "a-z0-9"), most)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 

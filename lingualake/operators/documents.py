@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.filters import is_blank, is_translatable_field
 
@@ -81,7 +82,7 @@ def _mapped(s: pd.Series, f) -> pd.Series:
     return s.map(lambda x: None if x is None else json.dumps(f(json.loads(x)), ensure_ascii=False))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def merge_documents(new: pd.Series, old: pd.Series) -> pd.Series:
     """JSON documents: the merged one (the new one where there is no old)."""
     return pd.Series([n if o is None or n is None else json.dumps(merge_values(json.loads(n), json.loads(o)), ensure_ascii=False) for n, o in zip(new, old)])
@@ -103,7 +104,7 @@ def _leaves(node, out: list) -> None:
             _leaves(v, out)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def richtext_strings(s: pd.Series) -> pd.Series:
     """Text leaves of rich-text JSON in depth-first order; null for what is not rich text."""
 
@@ -127,7 +128,7 @@ def _replaced(node, by: dict):
     return [_replaced(v, by) for v in node] if isinstance(node, list) else node
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def apply_richtext(doc: pd.Series, by: pd.Series) -> pd.Series:
     """Rich-text JSON with its leaves replaced by a JSON object's values; structure untouched."""
     return pd.Series([None if d is None else json.dumps(_replaced(json.loads(d), json.loads(b or "{}")), ensure_ascii=False) for d, b in zip(doc, by)])
@@ -157,7 +158,7 @@ def jsonld_texts(node, out: list) -> list:
     return list(dict.fromkeys(out))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def jsonld_strings(s: pd.Series) -> pd.Series:
     """Candidate strings of JSON-LD; the value rules are a filter on the exploded column, inside the JVM."""
     return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x), []))

@@ -2,10 +2,215 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import filters, keys, text, urls
+from ..operators import backfill as B
+from ..operators import documents as D
+from ..operators import seo, strings
+from ..sources.tables import read
+from ..streaming import changes as C
+from . import fixtures as X
+
+LOCALES = ["es", "fr", "de"]
+FIELDS = ["title", "brand", "kind"]
+
+# --- SQL pieces shared by several checks -------------------------------------------------------------------------------
+_CAT = f"cat AS ({X.CATALOG})"
+_TM = f"tm AS ({X.TM})"
+_CH = f"ch AS ({X.CHANGES})"
+_ADM = "adm AS (SELECT * FROM ch WHERE coalesce(is_auto, false) = false AND coalesce(locale, 'en') IN ('', 'en') AND operation IN ('create', 'update'))"
+_SEG = "seg AS (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS src FROM documents)"
+_VAL = f"{_SEG}, val AS (SELECT doc_id AS id, src AS value FROM seg UNION ALL SELECT page_id, url FROM pages)"
+
+
+def _t(c: str) -> str:
+    return rf"regexp_replace({c}, '^{filters.JS_SPACE}+|{filters.JS_SPACE}+\z', '', 'g')"
+
+
+def _list(xs) -> str:
+    return ", ".join("'" + x + "'" for x in xs)
+
+
+def _reason(c: str, custom: str = "") -> str:
+    t = _t(c)
+    links = " OR ".join(f"starts_with({t}, '{p}')" for p in filters.PROTOCOLS)
+    rest = " ".join(f"WHEN regexp_matches({t}, '{p}') THEN '{n}'" for n, p in (("id", filters.ID_VALUE), ("mail", filters.MAIL_VALUE), ("number", filters.NUMBER_VALUE), ("file", filters.FILE_VALUE), ("asset", filters.ASSET_VALUE), ("colour", filters.COLOUR_VALUE)))
+    return f"CASE WHEN {c} IS NULL OR {t} = '' THEN 'blank' WHEN {links} THEN 'link' WHEN lower({t}) IN ({_list(filters.SYSTEM_VALUES)}) THEN 'system' {custom.replace('$t', t)} {rest} END"
+
+
+def _need(f: str) -> str:
+    return f"({_reason('s_' + f)} IS NULL AND (coalesce(t_{f}, '') = '' OR t_{f} = s_{f}))"
+
+
+_BASE = r"regexp_replace({}, '(_[a-z]{{2}}(-[A-Z]{{2}})?)+\z', '')"
+_MATCH = f"""{_CAT}, src AS (SELECT {_BASE.format('id')} AS key, _parent_id AS parent, title AS s_title, brand AS s_brand, kind AS s_kind, unnest(['es', 'fr', 'de']) AS locale FROM cat WHERE _locale = 'en'),
+tgt AS (SELECT {_BASE.format('id')} AS key, _locale AS locale, max(id) AS target_id, arg_max(title, id) AS t_title, arg_max(brand, id) AS t_brand, arg_max(kind, id) AS t_kind FROM cat WHERE _locale <> 'en' GROUP BY 1, 2),
+m AS (SELECT s.*, t.target_id IS NOT NULL AS has_target, t.target_id, t_title, t_brand, t_kind FROM src s LEFT JOIN tgt t USING (key, locale)),
+n AS (SELECT *, {_need('title')} AS n_title, {_need('brand')} AS n_brand, {_need('kind')} AS n_kind FROM m)"""
+_NEEDS = "(n_title OR n_brand OR n_kind)"
+_LONG = "SELECT target_id, locale, unnest(['title', 'brand', 'kind']) AS field, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n WHERE has_target"
+_UPD = f"upd AS (SELECT l.target_id, l.locale, l.field, coalesce(nullif(tgt, ''), l.src) AS value FROM ({_LONG}) l LEFT JOIN tm ON tm.target_locale = l.locale AND tm.src = l.src WHERE need)"
+
+
+def _new(f: str) -> str:
+    return f"CASE WHEN {_reason('s_' + f)} IS NOT NULL THEN s_{f} ELSE coalesce((SELECT max(nullif(tgt, '')) FROM tm WHERE target_locale = locale AND tm.src = s_{f}), s_{f}) END AS {f}"
+
+
+_INS = f"ins AS (SELECT concat(key, '_', locale) AS id, locale AS _locale, locale AS published_locale, parent AS _parent_id, {_new('title')}, {_new('brand')}, {_new('kind')} FROM n WHERE NOT has_target AND locale IN (SELECT locale FROM n WHERE {_NEEDS}))"
+_TITLE = "page AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/]+)', 1) AS site, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)"
+
+
+# --- Spark sides ---------------------------------------------------------------------------------------------------------
+def _catalog(s, d) -> DataFrame:
+    return X.fixture(s, d, X.CATALOG)
+
+
+def _tm(s, d) -> DataFrame:
+    return X.fixture(s, d, X.TM)
+
+
+def _matched(s, d) -> DataFrame:
+    return B.with_needs(B.match_target_rows(_catalog(s, d), LOCALES, FIELDS), FIELDS)
+
+
+def _changes(s, d) -> DataFrame:
+    return X.fixture(s, d, X.CHANGES)
+
+
+def _pages(s, d) -> DataFrame:
+    p = read(s, d, "pages")
+    return p.select("page_id", "url", F.regexp_extract("url", "^(https?://[^/]+)", 1).alias("site"), F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"))
+
+
+def _routes(s, d) -> DataFrame:
+    return seo.localized_routes(X.fixture(s, d, X.SLUG_PARENTS).select(F.col("id").alias("doc_id"), "slug"), "solutions", LOCALES)
+
+
+def _per_page(out: str, f):
+    def run(s: SparkSession, d: str) -> DataFrame:
+        return _pages(s, d).select("page_id", f().alias(out))
+
+    return run
+
+
+def _blocks(s, d) -> DataFrame:
+    """Source and existing documents with one block a turn, as JSON."""
+    c = read(s, d, "conversations")
+    block = F.struct(F.col("turn"), F.concat(F.lit("b"), F.col("turn").cast("string")).alias("id"), F.col("role").alias("blockType"), F.col("text").alias("body"))
+    new = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(block)).alias("b"))
+    old = F.reverse(F.transform("b", lambda x: F.struct(F.concat(x["id"], F.lit("_es")).alias("id"), x["blockType"].alias("blockType"), F.when(x["turn"] % 2 == 0, "").otherwise(F.concat(F.lit("es "), x["body"])).alias("body"))))
+    src = F.transform("b", lambda x: F.struct(x["id"].alias("id"), x["blockType"].alias("blockType"), x["body"].alias("body")))
+    keep = {"ignoreNullFields": "false"}
+    return new.select("conv_id", F.to_json(F.struct(src.alias("sections")), keep).alias("new"), F.to_json(F.struct(old.alias("sections")), keep).alias("old"))
+
+
+def _merged(s, d) -> DataFrame:
+    out = _blocks(s, d).withColumn("doc", F.from_json(D.merge_documents("new", "old"), "sections array<struct<id:string,blockType:string,body:string>>"))
+    return out.select(F.col("conv_id").alias("doc_id"), F.posexplode("doc.sections").alias("pos", "x")).select("doc_id", "pos", "x.id", "x.blockType", "x.body")
+
+
+def _jsonld(s, d) -> DataFrame:
+    p = read(s, d, "part")
+    page = F.struct(F.lit("WebPage").alias("@type"), F.col("p_name").alias("name"), F.concat(F.lit("About "), F.col("p_type")).alias("description"))
+    product = F.struct(F.lit("Product").alias("@type"), F.col("p_name").alias("name"), F.struct(F.lit("Brand").alias("@type"), F.col("p_brand").alias("name")).alias("brand"))
+    return p.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit('{"@context":"https://schema.org","@graph":['), F.to_json(page), F.lit(","), F.to_json(product), F.lit("]}")).alias("schema"))
+
+
+def _jsonld_strings(s, d) -> DataFrame:
+    rows = _jsonld(s, d).select("page_id", F.explode(D.jsonld_strings("schema")).alias("src"))
+    return rows.where(~filters.should_skip_value(F.col("src")))
+
+
+def _translated(s, d) -> DataFrame:
+    return _tm(s, d).select(F.col("target_locale").alias("locale"), F.initcap("src").alias("src"), F.when(F.length("tgt") % 2 == 0, F.initcap("src")).otherwise(F.col("tgt")).alias("tgt"))
+
+
+_TRANSLATED = f"{_TM}, tr AS (SELECT target_locale AS locale, array_to_string(list_transform(string_split(src, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS src, tgt FROM tm), tr2 AS (SELECT locale, src, CASE WHEN length(tgt) % 2 = 0 THEN src ELSE tgt END AS tgt FROM tr)"
+_ECHO = r"(tgt IS NULL OR trim(tgt) = '' OR tgt = src OR (locale = 'ar' AND NOT regexp_matches(tgt, '[\x{0600}-\x{06FF}\x{0750}-\x{077F}]') AND regexp_matches(tgt, '[A-Za-z]{3,}')))"
+_HEAD = r"(length(src) >= 8 AND contains(src, ' ') AND len(list_filter(regexp_split_to_array(src, '\s+'), lambda w: regexp_matches(w, '^[A-Za-z]'))) >= 2 AND len(list_filter(regexp_split_to_array(src, '\s+'), lambda w: regexp_matches(w, '^[A-Z]'))) >= 0.6 * len(list_filter(regexp_split_to_array(src, '\s+'), lambda w: regexp_matches(w, '^[A-Za-z]'))))"
+
+
+def _slug_sql(c: str) -> str:
+    h = rf"regexp_replace(regexp_replace(lower(strip_accents({c})), '[^a-z0-9]+', '-', 'g'), '^-+|-+\z', '', 'g')"
+    cut = f"left({h}, 40)"
+    last = f"(length({cut}) - strpos(reverse({cut}), '-'))"
+    return rf"CASE WHEN length({h}) > 40 THEN regexp_replace(CASE WHEN contains({cut}, '-') AND {last} > 12 THEN left({cut}, {last}) ELSE {cut} END, '-+\z', '') ELSE {h} END"
+
+
+_PATH = "regexp_extract(url, '^https?://[^/]+([^?#]*)', 1)"
+_FRAG = "regexp_extract(url, '(#.*)$', 1)"
+_BARE = f"(CASE WHEN regexp_matches({_PATH}, '^/[A-Za-z]{{2}}(/|$)') THEN substr({_PATH}, 4) ELSE {_PATH} END)"
+
+#: name: (Spark query, checking SQL or None)
+ENTRIES: dict = {
+    "read_localized": (lambda s, d: _catalog(s, d).where("_locale = 'en'").select("id", "_parent_id", "title"), f"WITH {_CAT} SELECT id, _parent_id, title FROM cat WHERE _locale = 'en'"),
+    "should_skip_value": (lambda s, d: X.values(s, d).where(filters.should_skip_value(F.col("value"))).select("id", "value"), f"WITH {_VAL} SELECT id, value FROM val WHERE {_reason('value')} IS NOT NULL"),
+    "skip_reason": (lambda s, d: X.values(s, d).groupBy(F.coalesce(filters.skip_reason(F.col("value")), F.lit("translate")).alias("reason")).agg(F.count("*").alias("n")), f"WITH {_VAL} SELECT coalesce({_reason('value')}, 'translate') AS reason, count(*) AS n FROM val GROUP BY 1"),
+    "custom_value_patterns": (lambda s, d: X.values(s, d).groupBy(F.coalesce(filters.skip_reason(F.col("value"), patterns=[r"^the\b"]), F.lit("translate")).alias("reason")).agg(F.count("*").alias("n")), f"""WITH {_VAL} SELECT coalesce({_reason('value', "WHEN regexp_matches($t, '(?i)^the[^a-zA-Z0-9_]|(?i)^the$') THEN 'custom_pattern'")}, 'translate') AS reason, count(*) AS n FROM val GROUP BY 1"""),
+    "custom_value_exclusions": (lambda s, d: _catalog(s, d).where(filters.should_skip_value(F.col("brand"), exact=["Brand#11", "Brand#23"])).select("id", "brand"), f"WITH {_CAT} SELECT id, brand FROM cat WHERE brand IN ('Brand#11', 'Brand#23')"),
+    "translatable_fields": (lambda s, d: strings.long_form(_catalog(s, d), ["id"], ["_locale", "_parent_id", "title", "brand", "kind"]).where(filters.translatable_field(F.col("field"), excluded=["kind"])).groupBy("field").agg(F.count("*").alias("n")), f"WITH {_CAT} SELECT unnest(['title', 'brand']) AS field, count(*) AS n FROM cat GROUP BY 1"),
+    "admit_changes": (lambda s, d: _changes(s, d).where(C.admitted(drafts=False)).select("job_id", "doc_id"), f"WITH {_CH} SELECT job_id, doc_id FROM ch WHERE NOT is_auto AND coalesce(locale, 'en') = 'en' AND operation IN ('create', 'update') AND coalesce(status, '') <> 'draft'"),
+    "loop_guard": (lambda s, d: _changes(s, d).where(~F.coalesce("is_auto", F.lit(False))).select("job_id"), f"WITH {_CH} SELECT job_id FROM ch WHERE NOT is_auto"),
+    "fan_out_locales": (lambda s, d: B.fan_out_locales(_catalog(s, d).where("_locale = 'en'"), LOCALES).select("id", "locale"), f"WITH {_CAT} SELECT id, unnest(['es', 'fr', 'de']) AS locale FROM cat WHERE _locale = 'en'"),
+    "match_target_rows": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", "has_target", "target_id", "t_title"), f"WITH {_MATCH} SELECT key, locale, has_target, target_id, t_title FROM m"),
+    "parent_key_rewrite": (lambda s, d: _catalog(s, d).select("id", keys.parent_key(F.concat(F.lit("c"), F.col("_parent_id").cast("string"), F.lit("_en")), F.col("_locale"), True, True).alias("_parent_id")), f"WITH {_CAT} SELECT id, concat('c', _parent_id, '_', _locale) AS _parent_id FROM cat"),
+    "missing_rows": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).where("NOT has_target").select("key", "locale"), f"WITH {_MATCH} SELECT key, locale FROM m WHERE NOT has_target"),
+    "tables_with_source": (lambda s, d: B.locale_gate(_matched(s, d)), f"WITH {_MATCH} SELECT DISTINCT locale FROM n WHERE {_NEEDS}"),
+    "locale_gate": (lambda s, d: _matched(s, d).groupBy("locale").agg(F.count_if("needs").alias("n_needs")).where("n_needs > 0"), f"WITH {_MATCH} SELECT locale, count(*) AS n_needs FROM n WHERE {_NEEDS} GROUP BY 1"),
+    "tm_lookup": (lambda s, d: strings.tm_lookup(B.fan_out_locales(_catalog(s, d).where("_locale = 'en'"), LOCALES), _tm(s, d), "title", "locale").select("id", "locale", "translated"), f"WITH {_CAT}, {_TM} SELECT c.id, c.locale, coalesce(nullif(tgt, ''), title) AS translated FROM (SELECT id, title, unnest(['es', 'fr', 'de']) AS locale FROM cat WHERE _locale = 'en') c LEFT JOIN tm ON target_locale = c.locale AND src = title"),
+    "field_needs_translation": (lambda s, d: _matched(s, d).select("key", "locale", "n_title", "n_brand"), f"WITH {_MATCH} SELECT key, locale, n_title, n_brand FROM n"),
+    "needs_translation_rows": (lambda s, d: _matched(s, d).where("needs").select("key", "locale"), f"WITH {_MATCH} SELECT key, locale FROM n WHERE {_NEEDS}"),
+    "collect_missing_strings": (lambda s, d: B.missing_strings(_matched(s, d), FIELDS), f"WITH {_MATCH}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT DISTINCT locale, src FROM l WHERE need"),
+    "build_updates": (lambda s, d: B.build_updates(_matched(s, d), _tm(s, d), FIELDS), f"WITH {_MATCH}, {_TM}, {_UPD} SELECT * FROM upd"),
+    "build_inserts": (lambda s, d: B.build_inserts(_matched(s, d), _tm(s, d), FIELDS), f"WITH {_MATCH}, {_TM}, {_INS} SELECT * FROM ins"),
+    "apply_changes": (lambda s, d: B.apply_changes(_catalog(s, d), B.build_updates(m := _matched(s, d), t := _tm(s, d), FIELDS), B.build_inserts(m, t, FIELDS), FIELDS), f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT c.id, _locale, _parent_id, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'title'), title) AS title, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'brand'), brand) AS brand, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'kind'), kind) AS kind FROM cat c UNION ALL SELECT id, _locale, _parent_id, title, brand, kind FROM ins"),
+    "union_changes": (lambda s, d: B.build_updates(m := _matched(s, d), t := _tm(s, d), FIELDS).select(F.lit("update").alias("op"), F.col("target_id").alias("id"), F.col("locale")).unionByName(B.build_inserts(m, t, FIELDS).select(F.lit("insert").alias("op"), "id", F.col("_locale").alias("locale"))), f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT 'update' AS op, target_id AS id, locale FROM upd UNION ALL SELECT 'insert', id, _locale FROM ins"),
+    "backfill_plan": (lambda s, d: B.dry_run_plan(_matched(s, d)), f"WITH {_MATCH} SELECT locale, CASE WHEN NOT has_target THEN 'insert' WHEN {_NEEDS} THEN 'update' ELSE 'keep' END AS op, count(*) AS n FROM n GROUP BY 1, 2"),
+    "backfill_summary": (lambda s, d: B.summary(_matched(s, d), "catalog"), f"WITH {_MATCH} SELECT table_name, locale, count(*) AS rows_seen, count(*) FILTER (NOT has_target) AS to_insert, count(*) FILTER (has_target AND {_NEEDS}) AS to_update, count(*) FILTER (has_target AND NOT {_NEEDS}) AS skipped FROM (SELECT 'catalog' AS table_name, * FROM n) GROUP BY ROLLUP (table_name, locale)"),
+    "locale_coverage": (lambda s, d: B.coverage(_matched(s, d), FIELDS), f"WITH {_MATCH}, l AS (SELECT locale, unnest(['title', 'brand', 'kind']) AS field, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT locale, field, count(*) AS n, count(*) FILTER (NOT need) AS done FROM l WHERE {_reason('src')} IS NULL GROUP BY 1, 2"),
+    "distinct_strings": (lambda s, d: strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), f"WITH {_SEG} SELECT DISTINCT lang, src FROM seg WHERE {_reason('src')} IS NULL"),
+    "except_translated": (lambda s, d: strings.except_translated(B.missing_strings(_matched(s, d), FIELDS), _tm(s, d)), f"WITH {_MATCH}, {_TM}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT DISTINCT locale, src FROM l WHERE need AND NOT EXISTS (SELECT 1 FROM tm WHERE target_locale = locale AND tm.src = l.src)"),
+    "batch_assign": (lambda s, d: strings.batch_assign(strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), ["lang"]).groupBy("lang", "bucket", "batch").agg(F.count("*").alias("n"), F.sum(F.length("src")).alias("chars")), None),
+    "retry_candidates": (lambda s, d: strings.retry_candidates(_translated(s, d)), f"WITH {_TRANSLATED} SELECT locale, src, upper(src[1]) || lower(src[2:]) AS retry FROM tr2 WHERE {_ECHO} AND {_HEAD}"),
+    "is_echo": (lambda s, d: _translated(s, d).where(text.is_echo(F.col("tgt"), F.col("src"), F.col("locale"))).groupBy("locale").agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT locale, count(*) AS n FROM tr2 WHERE {_ECHO} GROUP BY 1"),
+    "is_title_case": (lambda s, d: _translated(s, d).groupBy(text.is_title_case(F.col("src")).alias("title_case")).agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT {_HEAD} AS title_case, count(*) AS n FROM tr2 GROUP BY 1"),
+    "sentence_case": (lambda s, d: _catalog(s, d).select("id", text.sentence_case(F.col("title")).alias("title")), f"WITH {_CAT} SELECT id, upper(trim(title)[1]) || lower(trim(title)[2:]) AS title FROM cat"),
+    "translate_map": (lambda s, d: strings.tm_lookup(_catalog(s, d).where("_locale = 'en'").select("id", F.explode(F.create_map(F.lit("title"), F.col("title"), F.lit("brand"), F.col("brand"))).alias("k", "src")).withColumn("locale", F.lit("fr")), _tm(s, d), "src", "locale", "value").select("id", "k", "value"), f"WITH {_CAT}, {_TM} SELECT c.id, k, coalesce(nullif(tgt, ''), c.src) AS value FROM (SELECT id, unnest(['title', 'brand']) AS k, unnest([title, brand]) AS src FROM cat WHERE _locale = 'en') c LEFT JOIN tm ON target_locale = 'fr' AND tm.src = c.src"),
+    "decode_entities": (_per_page("title", lambda: text.decode_entities(F.col("title"))), f"""WITH {_TITLE} SELECT page_id, replace(replace(replace(replace(replace(replace(replace(title, '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' ') AS title FROM page"""),
+    "slugify_latin": (_per_page("slug", lambda: text.slugify(F.col("title"), "fr", most=40)), f"WITH {_TITLE} SELECT page_id, {_slug_sql('title')} AS slug FROM page"),
+    "slugify_unicode": (_per_page("slug", lambda: text.slugify(F.col("title"), "ru", latin_only=False, most=500)), rf"WITH {_TITLE} SELECT page_id, regexp_replace(regexp_replace(lower(nfc_normalize(title)), '[^\p{{L}}\p{{N}}]+', '-', 'g'), '^-+|-+\z', '', 'g') AS slug FROM page"),
+    "localized_slug": (lambda s, d: _catalog(s, d).select("id", text.localized_slug(F.lit(""), F.col("kind"), [F.col("title"), F.col("brand")], "es").alias("slug")), rf"WITH {_CAT} SELECT id, regexp_replace(regexp_replace(lower(strip_accents(coalesce(nullif(title, ''), brand))), '[^a-z0-9]+', '-', 'g'), '^-+|-+\z', '', 'g') AS slug FROM cat"),
+    "localize_id": (lambda s, d: _catalog(s, d).select("id", keys.base_id(F.col("id")).alias("base"), keys.localize_id(F.col("id"), F.lit("pt-BR")).alias("new_id")), f"WITH {_CAT} SELECT id, {_BASE.format('id')} AS base, concat({_BASE.format('id')}, '_pt-BR') AS new_id FROM cat"),
+    "id_collisions": (lambda s, d: _catalog(s, d).groupBy(keys.base_id(F.col("id")).alias("base_key")).agg(F.countDistinct("id").alias("n_ids")).where("n_ids > 1"), f"WITH {_CAT} SELECT {_BASE.format('id')} AS base_key, count(DISTINCT id) AS n_ids FROM cat GROUP BY 1 HAVING count(DISTINCT id) > 1"),
+    "last_row_wins": (lambda s, d: _catalog(s, d).groupBy(keys.base_id(F.col("id")).alias("base_key")).agg(F.max_by("title", "id").alias("title")), f"WITH {_CAT} SELECT {_BASE.format('id')} AS base_key, arg_max(title, id) AS title FROM cat GROUP BY 1"),
+    "localize_url": (_per_page("url", lambda: urls.localize_url(F.col("url"), F.lit("es"), F.col("site"))), f"WITH {_TITLE} SELECT page_id, CASE WHEN lower({_FRAG}) IN ('#organization', '#website', '#logo') OR regexp_matches({_PATH}, '(?i)\\.(png|jpe?g|webp|svg|gif|avif|ico|pdf|mp4|mov|webm)$') OR starts_with({_PATH}, '/images/') THEN url WHEN {_BARE} IN ('', '/') THEN concat(site, '/es', {_FRAG}) ELSE concat(site, '/es', {_BARE}, {_FRAG}) END AS url FROM page"),
+    "localize_path": (_per_page("path", lambda: urls.localize_path(F.concat(F.lit("/solutions/"), F.col("page_id").cast("string"), F.lit("/")), F.lit("de"))), "SELECT page_id, concat('/de/loesungen/', page_id) AS path FROM pages"),
+    "dict_join": (lambda s, d: _pages(s, d).select("page_id", urls.section_slug(urls.section_key(F.lit("produits")), F.when(F.col("page_id") % 2 == 0, "de").otherwise("es"), F.lit("")).alias("slug")), "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'produkte' ELSE 'productos' END AS slug FROM pages"),
+    "internal_link": (_per_page("link", lambda: urls.internal_link(F.concat(F.lit("www.example.com/blog/"), F.col("page_id").cast("string")), "example.com", F.lit("fr"))), "SELECT page_id, concat('/fr/blog/', page_id) AS link FROM pages"),
+    "contact_link": (lambda s, d: read(s, d, "customer").select("c_custkey", urls.contact_link(F.concat(F.lit("Tel: +"), F.translate(F.lit("86-177-868-5586"), "-", ""), F.col("c_custkey").cast("string"))).alias("link")), "SELECT c_custkey, concat('tel:+861778685586', c_custkey) AS link FROM customer"),
+    "merge_scalar": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", D.merge_scalar(F.col("t_title"), F.col("s_title")).alias("title")), f"WITH {_MATCH} SELECT key, locale, CASE WHEN t_title IS NULL OR trim(t_title) = '' THEN s_title ELSE t_title END AS title FROM m"),
+    "merge_blocks": (_merged, "SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn) AS id, role AS blockType, CASE WHEN turn % 2 <> 0 THEN concat('es ', text) ELSE text END AS body FROM conversations"),
+    "extract_document_strings": (lambda s, d: read(s, d, "conversations").where(~filters.should_skip_value(F.col("text"))).select(F.col("conv_id").alias("doc_id"), F.col("text").alias("src")).distinct(), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
+    "extract_jsonld_strings": (_jsonld_strings, f"WITH l AS (SELECT p_partkey AS page_id, unnest([p_name, concat('About ', p_type)]) AS src FROM part) SELECT DISTINCT page_id, src FROM l WHERE {_reason('src')} IS NULL"),
+    "latest_per_document": (lambda s, d: C.latest(_changes(s, d)), f"WITH {_CH} SELECT concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts FROM ch GROUP BY 1"),
+    "debounce_changes": (lambda s, d: C.debounce(_changes(s, d).where(C.admitted()), "30 minutes"), f"WITH {_CH}, {_ADM}, g AS (SELECT *, concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key FROM adm), o AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY key ORDER BY ts, job_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM g), i AS (SELECT *, sum(opens) OVER (PARTITION BY key ORDER BY ts, job_id) AS island FROM o) SELECT key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts, count(*) AS n FROM i GROUP BY key, island"),
+    "job_stats": (lambda s, d: C.job_stats(_changes(s, d).select(F.coalesce("status", F.lit("queued")).alias("state"), "ts", "job_id")), f"WITH {_CH} SELECT coalesce(status, 'queued') AS state, count(*) AS n, max(ts) AS last_ts, arg_max(job_id, (ts, job_id)) AS last_job FROM ch GROUP BY 1"),
+    "slug_backfill": (lambda s, d: seo.slug_backfill(X.fixture(s, d, X.SLUG_PARENTS), X.fixture(s, d, X.SLUG_ROWS)), f"WITH p AS ({X.SLUG_PARENTS}), r AS ({X.SLUG_ROWS}) SELECT _parent_id, _locale, coalesce(r.slug, p.slug) AS slug FROM r LEFT JOIN p ON id = _parent_id UNION ALL SELECT id, 'en', slug FROM p WHERE id NOT IN (SELECT _parent_id FROM r WHERE _locale = 'en')"),
+    "slug_uniqueness": (lambda s, d: seo.slug_conflicts(X.fixture(s, d, X.SLUG_ROWS)), f"WITH r AS ({X.SLUG_ROWS}) SELECT _locale, slug, count(*) AS n FROM r WHERE slug IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"),
+    "localized_routes": (_routes, f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS section_slug, slug FROM p) SELECT *, concat('/', lang, '/', section_slug, '/', slug) AS path FROM x"),
+    "route_collisions": (lambda s, d: seo.route_collisions(seo.localized_routes(X.fixture(s, d, X.SLUG_ROWS).where("slug IS NOT NULL").select(F.col("_parent_id").alias("doc_id"), "slug"), "blog", ["de"])), f"WITH r AS ({X.SLUG_ROWS}) SELECT concat('/de/blog/', slug) AS path, count(*) AS n, min(_parent_id) AS first_doc FROM r WHERE slug IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    "redirect_rules": (lambda s, d: seo.redirect_rules(_routes(s, d), "solutions"), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT unnest([concat('/', lang, '/solutions/', slug), concat('/', sec, '/', slug), concat('/', lang, '/', slug)]) AS from_path, concat('/', lang, '/', sec, '/', slug) AS to_path FROM x) SELECT from_path, min(to_path) AS to_path FROM y WHERE from_path <> to_path GROUP BY 1"),
+    "flatten_redirects": (lambda s, d: seo.flatten_redirects(X.fixture(s, d, X.REDIRECTS)), f"WITH RECURSIVE e AS ({X.REDIRECTS}), w AS (SELECT from_path, to_path AS node, [from_path] AS seen FROM e UNION ALL SELECT w.from_path, e.to_path, list_append(seen, e.to_path) FROM w JOIN e ON e.from_path = w.node WHERE NOT list_contains(seen, e.to_path)) SELECT from_path, arg_max(node, len(seen)) AS to_path FROM w GROUP BY 1"),
+    "hreflang_groups": (lambda s, d: seo.alternates(_routes(s, d).select("doc_id", "lang", F.col("path").alias("url"))).select("doc_id", F.explode("alternates").alias("lang", "url")), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p) SELECT doc_id, lang, concat('/', lang, '/', sec, '/', slug) AS url FROM x"),
+    "sitemap": (lambda s, d: seo.sitemap(_routes(s, d).select("doc_id", "lang", F.concat("path", F.lit("/")).alias("url"))), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT doc_id, lang, concat('/', lang, '/', sec, '/', slug) AS url FROM x) SELECT a.url AS loc, b.lang, b.url AS href FROM y a JOIN y b USING (doc_id)"),
+}
+
 
 def queries() -> dict:
-    return {}
+    return {k: v[0] for k, v in ENTRIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v[1] for k, v in ENTRIES.items() if v[1]}

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-CHANGE = T.StructType.fromDDL("job_id long, entity_type string, slug string, doc_id long, locale string, operation string, status string, is_auto boolean, ts timestamp, data string")
+
+CHANGE = "job_id long, entity_type string, slug string, doc_id long, locale string, operation string, status string, is_auto boolean, ts timestamp, data string"
 
 
 def read_changes(spark: SparkSession, path: str, files: int = 100) -> DataFrame:
