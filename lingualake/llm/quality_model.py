@@ -66,7 +66,9 @@ def fit(texts: list[str], labels: np.ndarray, dim: int = 8, epochs: int = 12, ra
     """Stochastic gradient descent on the log loss, one document a step, in a fixed shuffled order."""
     rng = np.random.default_rng(seed)
     m = Model(rng.normal(0, 0.1, (1 << BUCKET_BITS, dim)), rng.normal(0, 0.1, (dim, 2)), np.zeros(2))
-    if len(labels):
+    if not len(labels):
+        m.vectors[:] = 0.0
+    else:
         share = np.clip(np.bincount(labels, minlength=2) / len(labels), 1e-3, None)
         m.bias = np.log(share)
     docs = []

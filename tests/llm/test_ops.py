@@ -1,0 +1,286 @@
+"""Each operator on a small fixture with nulls, empty and long texts, repeats and clashing columns, against brute force."""
+
+import collections
+import functools
+import hashlib
+import itertools
+import math
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lingualake.llm import caps, jaccard, mixing, packing, pages, pii, quality_model, quality_rules, secrets, trees
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key long, n long, score double, prob double, found string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+RNG = np.random.default_rng(3)
+VOCAB = [f"w{i}x" for i in range(400)]
+
+
+def text_of(n):
+    return " ".join(RNG.choice(VOCAB, n))
+
+
+@functools.cache
+def make_rows():
+    base = text_of(120)
+    near = base.replace(base.split()[5], "other", 1)
+    rows = [(1, base), (2, near), (3, base.upper()), (4, None), (5, ""), (6, "one two"), (7, "one two"), (8, "  \n \t"), (9, text_of(4000)), (10, "a b c d e f a b c d e f\nx y\nx y\n#$%"), (None, text_of(20)), (11, text_of(60)), (11, text_of(60)), (12, 'key token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end'), (13, "mail a.b@c.de or 1.2.3.4 or 999.1.1.1 call +1 (743) 555-3824, card 4111 1111 1111 1111 x@y.z@q.rs (415) 555-1234")]
+    rows += [(20 + i, text_of(30 + i)) for i in range(30)]
+    return [(i, t, ["en", "fr", None][k % 3], ["a", "b", None][k % 3], None, 7, 8, 0.5, 0.5, "z") for k, (i, t) in enumerate(rows)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(make_rows(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_jaccard(docs, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    tr = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = []
+    for _, t in rows:
+        w = WORDS.findall((t or "").translate(tr))
+        sets.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set())
+    comp = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            old, new = comp[b], comp[a]
+            comp = [new if c == old else c for c in comp]
+    want = collections.Counter()
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if comp[j] == comp[k] and rows[j][0] is not None]
+        want[i, len(sets[k]), min(ids) if ids else None] += 1
+    assert collections.Counter(tuple(r) for r in jaccard.jaccard_components(docs).collect()) == want
+    assert jaccard.jaccard_components(nothing).count() == 0
+    kept = {r["doc_id"] for r in jaccard.without_near_copies(docs).collect()}
+    assert {1, 4, 5, 6, 8, None} <= kept and not kept & {2, 3, 7}
+
+
+def test_jaccard_blocks_and_near_group(spark, monkeypatch):
+    base = RNG.choice(VOCAB, 150)
+    rows = []
+    for i in range(60):
+        w = base.copy()
+        w[RNG.choice(150, i % 5, replace=False)] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(tuple(r) for r in jaccard.jaccard_components(df).collect())
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    assert sorted(tuple(r) for r in jaccard.jaccard_components(df).collect()) == want
+
+
+def test_pii(docs, nothing):
+    got = {r["doc_id"]: r for r in pii.pii_digest(pii.detect_pii(docs)).collect()}
+    r = got[13]
+    t = dict((i, x) for i, x, *_ in make_rows())[13]
+    spans = [t[int(a):int(b)] for _, a, b in (s.split(":") for s in r["spans"].split(","))]
+    assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (2, 1, 1, 1)
+    assert {"a.b@c.de", "1.2.3.4", "4111 1111 1111 1111", "+1 (743) 555-3824", "x@y.z"} <= set(spans)
+    assert got[4]["base_sha256"] == hashlib.sha256(b"").hexdigest() and got[4]["spans"] == ""
+    assert pii.detect_pii(nothing).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a@b.c@d.e", "a@b.c_d@e.f", "1.1.1.1.1.1.1.1", "1.2.3", "4111-1111 11111111 4111", "+12 (34", "+1 2)3+4567890123", "é😀 a@b.cd", "9" * 3000, "@" * 50 + "a@b.c."])
+def test_pii_positions(spark, text):
+    pats = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    from lingualake.llm.spans import spans
+
+    row = spark.createDataFrame([(text,)], "t string").select(*(spans(F.col("t"), p).alias(k) for k, p in zip(pats, (pii.EMAIL, pii.IP, pii.CARD, pii.PHONE)))).first()
+    for k, p in pats.items():
+        assert [(s["start"], s["end"], s["value"]) for s in row[k]] == [(m.start(), m.end(), m[0]) for m in re.finditer(p, text)]
+
+
+def test_quality_rules(docs, nothing):
+    want = collections.Counter()
+    for i, t, *_ in make_rows():
+        w = WORDS.findall(t or "")
+        c = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        cov = {p for k in range(len(w) - 4) if c[tuple(w[k : k + 5])] > 1 for p in range(k, k + 5)}
+        lines = [x for x in (t or "").split("\n") if WORDS.search(x)]
+        want[i, len(w), sum(map(len, w)), sum(ch in "#*$%&|<>" for ch in t or ""), len(lines) - len(set(lines)), len(cov), len(w) < 10 or 100 * len(cov) > 20 * len(w)] += 1
+    got = quality_rules.quality_rules(docs).collect()
+    assert collections.Counter(tuple(r)[:7] for r in got) == want
+    assert not any(r["kept"] for r in got if r["base_failed"])
+    assert quality_rules.quality_rules(nothing).count() == 0
+
+
+def test_js_distance(spark):
+    a, b = [1.0, 3.0, 0.0], [2.0, 0.0, 2.0]
+    p, q = np.array(a) / 4, np.array(b) / 4
+    m = (p + q) / 2
+    kl = lambda x: sum(v * math.log2(v / w) for v, w in zip(x, m) if v)
+    got = spark.createDataFrame([(a, b)], "a array<double>, b array<double>").select(quality_rules.js_distance(F.col("a"), F.col("b"))).first()[0]
+    assert abs(got - math.sqrt((kl(p) + kl(q)) / 2)) < 1e-12
+
+
+def test_quality_model(spark, docs, nothing):
+    rows = [(i, (" ".join(RNG.choice(VOCAB, 40)) if i % 2 else " ".join(w + "!!" for w in RNG.choice(VOCAB, 40)).upper())) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300)] + [(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r for r in quality_model.quality_scores(df, labels).collect()}
+    assert all(out[i]["predicted"] == i % 2 for i in range(300, 400))
+    import zlib
+
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in out.items())
+    none = labels.limit(0)
+    got = quality_model.quality_scores(docs, none)
+    assert got.count() == docs.count() and {r["score"] for r in got.collect()} == {0.5}
+    assert quality_model.quality_scores(nothing, labels).count() == 0
+
+
+def test_mixing(docs, nothing):
+    rows = mixing.mix_sources(docs).collect()
+    assert len(rows) == docs.count()
+    sizes = collections.Counter()
+    for _, t, _, s, *_ in make_rows():
+        sizes[s] += len(WORDS.findall(t or ""))
+    assert abs(sum({r["source"]: r["target"] for r in rows}.values()) - 1.5 * sum(sizes.values())) < 1e-6
+    for s in sizes:
+        mine = [r for r in rows if r["source"] == s]
+        assert all(r["source_size"] == sizes[s] and r["target"] <= 2 * sizes[s] and 0 <= r["taken"] <= 2 * r["size"] for r in mine)
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 2
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.mix_sources(docs.repartition(5)).collect()))
+    assert mixing.mix_sources(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_mixing_rounds(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 10)
+    df = spark.createDataFrame([(i, " ".join(["w"] * (1 + i % 17)), "s" if i % 3 else "t") for i in range(500)], "doc_id long, text string, source string")
+    for r in mixing.mix_sources(df).groupBy("source").agg(F.sum("taken").alias("k"), F.first("target").alias("t")).collect():
+        assert abs(r["k"] - r["t"]) <= 2
+
+
+def test_targets():
+    assert mixing.source_targets([("a", 10), ("b", 100), (None, 90)]) == [20.0, 186.66666666666666, 93.33333333333333]
+
+
+def test_flight_balances():
+    p, x = np.full(300, 0.3), RNG.integers(1, 50, 300).astype(float)
+    q = mixing.flight(p, x, np.random.default_rng(1))
+    assert ((q > 0) & (q < 1)).sum() <= 2 and abs(q.sum() - 90) < 1e-6 and abs(q @ x - 0.3 * x.sum()) < 1e-6
+
+
+def test_packing(docs, nothing):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    cap = 256
+    rows = packing.pack(docs, path, cap).collect()
+    want = collections.Counter()
+    for i, t, *_ in make_rows():
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        first, k, at = len(ids) % cap or cap, 0, 0
+        while at < len(ids):
+            part = ids[at : first if k == 0 else at + cap]
+            want[i, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+            at, k = at + len(part), k + 1
+    assert collections.Counter(tuple(r)[:5] for r in rows) == want
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for items in by.values():
+        at = 0
+        for off, n in sorted(items):
+            assert off == at
+            at += n
+        assert at <= cap
+    assert len(by) <= math.ceil(sum(r["length"] for r in rows) / cap) + 2
+    assert packing.pack(nothing, path, cap).count() == 0
+
+
+def test_pack_lengths_places_all():
+    counts = {n: int(c) for n, c in zip(range(1, 101), RNG.integers(0, 9, 100))}
+    got = collections.Counter()
+    for items, k in packing.pack_lengths(counts, 100):
+        assert k > 0 and sum(items) <= 100 and sum(3 * n > 100 for n in items) <= 2
+        for n in items:
+            got[n] += k
+    assert got == collections.Counter({n: c for n, c in counts.items() if c})
+
+
+def test_secrets(docs, nothing):
+    got = {r["doc_id"]: r for r in secrets.find_secrets(docs).collect()}
+    t = dict((i, x) for i, x, *_ in make_rows())[12]
+    assert [t[s["start"] : s["end"]] for s in got[12]["found"]] in ([], ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff"])
+    assert got[4]["n_candidates"] == 0 and secrets.find_secrets(nothing).count() == 0
+    out = secrets.redact_secrets(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_secrets_trained(spark):
+    hexes = ["".join(RNG.choice(list("0123456789abcdef"), 40)) for _ in range(60)]
+    rows = [(i, f"some words token = \"{h}\" and more" if i % 2 else f"a verylongwordwithoutdigits{'ab' * (i % 5)} here") for i, h in enumerate(hexes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: len(r["found"]) for r in secrets.find_secrets(df).collect()}
+    assert got == {i: i % 2 for i in range(60)}
+    out = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(df).collect()}
+    assert all(out[i] == ("some words token = \"<SECRET>\" and more" if i % 2 else rows[i][1]) for i in out)
+
+
+def test_trees_expression(spark):
+    x = RNG.integers(0, 4, (50, 3))
+    pos, neg = RNG.integers(0, 9, 50).astype(float), RNG.integers(0, 9, 50).astype(float)
+    for fitted in (trees.boost(x, pos, neg), trees.forest(x, pos, neg)):
+        df = spark.createDataFrame(x.tolist(), "a int, b int, c int").select(trees.expression(fitted, [F.col(c) for c in "abc"]).alias("v"))
+        assert np.allclose([r["v"] for r in df.collect()], sum(trees.value(t, x) for t in fitted))
+
+
+def test_pages(spark):
+    shell = '<html><head><title>t</title></head><body><nav><a>Home</a></nav><div class="ad">Buy</div>{}<footer>&copy; x</footer></body></html>'
+    html = [
+        (1, "https://a.example/1", shell.format("<article><h1>T &amp; U</h1><p><b>one<br><p>two  \n three</p></article>")),
+        (2, "https://a.example/2", shell.format("<article><h1>V</h1><p>four</p><div class='comments'><p>bad</p></div></article>")),
+        (3, "https://b.example/1", shell.format("<div id=main><p>five</p><script>var t='</p>'</script></div>")),
+        (4, None, None),
+        (5, "x", ""),
+        (5, "https://a.example/1", "no tags & &lt;"),
+    ]
+    df = spark.createDataFrame([(*h, "c") for h in html], "page_id long, url string, html string, host string")
+    got = [tuple(r) for r in pages.extract_pages(df).collect()]
+    want = ["T & U\n\none\n\ntwo three", "V\n\nfour", "five", "", "", "no tags & <"]
+    assert sorted(got, key=str) == sorted([(i, u, t, len(t)) for (i, u, _), t in zip(html, want)], key=str)
+    assert pages.extract_pages(df.limit(0)).count() == 0
+
+
+def test_tree_matching():
+    a = pages.tree([(("html", "ul", "li"), False, "x"), (("html", "p"), False, "same")])
+    b = pages.tree([(("html", "div"), False, "y"), (("html", "p"), False, "same")])
+    size, pairs = pages.match(a, b)
+    assert size == 3 and any(x[2] == y[2] == ["same"] for x, y in pairs)
+
+
+def test_caps(spark, monkeypatch):
+    center = RNG.normal(size=(20, 16))
+    vec = [list(map(float, center[i % 20] + 0.1 * RNG.normal(size=16))) for i in range(300)]
+    rows = [(i, v) for i, v in enumerate(vec)] + [(300, vec[0]), (301, None), (302, []), (303, [0.0] * 16), (304, [float("nan")] + [1.0] * 15), (305, [None] + [1.0] * 15), (0, vec[0]), (306, [1.0, 2.0])]
+    df = spark.createDataFrame([(*r, 1, 5) for r in rows], "vec_id long, embedding array<float>, label int, cls long")
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v and all(x is not None and x == x for x in v) and any(v)]
+    n = collections.Counter()
+    for (i, a), (j, b) in itertools.combinations(good, 2):
+        if len(a) == len(b) and a @ b >= 0.9 * np.linalg.norm(a) * np.linalg.norm(b):
+            n[i] += 1
+            n[j] += 1
+    for block in (1024, 5):
+        monkeypatch.setattr(caps, "BLOCK", block)
+        got = caps.near_vectors(df).collect()
+        assert len(got) == len(rows)
+        seen = collections.Counter()
+        for r in got:
+            seen[r["vec_id"]] += r["n_links"]
+        assert all(seen[i] <= n[i] for i in seen) and sum(seen.values()) >= 0.9 * sum(n.values())
+        bad = [r for r in got if 301 <= r["vec_id"] <= 306]
+        assert all(r["n_links"] == 0 and r["component_id"] == r["vec_id"] and r["kept"] for r in bad)
+    assert caps.near_vectors(df.limit(0)).count() == 0
