@@ -30,7 +30,8 @@ from . import vectext as V
 from .common import cut, small
 from .components import components
 
-#: Words (of 64 bits) of a class's signature, and of the same folded for the rows of tiles.
+#: Least words (of 64 bits) of a class's signature, which has a bit or more for each element, and those of the same
+#: folded for the rows of tiles.
 WIDE, SIGNATURE = 16, 8
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
@@ -55,25 +56,37 @@ def _key(s: np.ndarray) -> int:
 
 def _signature(s: np.ndarray) -> np.ndarray:
     """Bit i tells whether an odd number of the elements hash to i."""
-    bits = (s >> np.uint64(40)) % np.uint64(64 * WIDE)
-    odd = np.bincount(bits.astype(np.int64), minlength=64 * WIDE) & 1
+    width = WIDE
+    while 64 * width < len(s):
+        width *= 2
+    bits = (s >> np.uint64(20)) % np.uint64(64 * width)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _fold(sig: np.ndarray, width: int) -> np.ndarray:
+    """The signature of fewer bits: widths are powers of two, and parities add by exclusive or."""
+    return np.bitwise_xor.reduce(sig.reshape(-1, width), axis=0)
+
+
 def shingle_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, key, sig): size, class of equal sets (null if empty) and signature of each row's shingle set."""
+    """(doc_id, n, key, sig, s0..s7): size, class of equal sets (null if empty), signature and folded signature."""
+    names = [f"s{i}" for i in range(SIGNATURE)]
 
     def run(batches):
         for b in batches:
-            n, key, sig = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, WIDE), np.int64)
+            n, key, short = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, SIGNATURE), np.int64)
+            sig = [np.zeros(0, np.int64)] * b.num_rows
             for i, s in _sets(b, k):
                 n[i] = len(s)
                 if len(s):
                     key[i], sig[i] = _key(s), _signature(s)
-            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * WIDE), pa.array(sig.ravel()))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig"])
+                    short[i] = _fold(sig[i], SIGNATURE)
+            at = np.concatenate([[0], np.cumsum([len(x) for x in sig])]).astype(np.int32)
+            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *sig]))), *(pa.array(short[:, i]) for i in range(SIGNATURE))]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig", *names])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>, " + ", ".join(f"{x} long" for x in names))
 
 
 def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
@@ -129,13 +142,27 @@ def _prefixes(docs: DataFrame, k: int, percent: int, level: np.ndarray) -> DataF
     return docs.select("doc_id", "text").mapInArrow(run, "token long, key long, n long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of class keys those that are similar: the whole signatures' bound, then exact intersection."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, one_each: bool = False) -> DataFrame:
+    """Of pairs (a, b) of class keys those that are similar: the whole signatures' bound, then exact intersection.
+
+    With one_each only one of the pairs of each b that the bound lets pass is compared.
+    """
     of = classes.select("key", "n", "sig")
     left, right = of.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), of.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-    differ = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    pairs = pairs.join(left, "a").join(right, "b").withColumn("most", F.floor((F.col("n_a") + F.col("n_b") - differ) / 2))
-    pairs = cut(pairs.where(F.lit(100) * F.col("most") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("most"))).select("a", "b"))
+
+    def bound(batches):
+        for b in batches:
+            n = b.column(2).to_numpy() + b.column(4).to_numpy()
+            differ = np.zeros(b.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(b.column(3), b.column(5))):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                w = min(len(x), len(y))
+                differ[i] = np.bitwise_count((_fold(x, w) ^ _fold(y, w)).view(np.uint64)).sum()
+            most = (n - differ) // 2
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(100 * most >= percent * (n - most)))
+
+    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(bound, "a long, b long")
+    pairs = cut(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if one_each else pairs)
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     need = cut(classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id")))
     picked = docs.select("doc_id", "text").join(small(need), "doc_id").select("key", "text").dropDuplicates(["key"])
@@ -222,10 +249,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     """
     names = [f"s{i}" for i in range(SIGNATURE)]
     rows = cut(shingle_classes(docs, k))
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"), *(F.first(x).alias(x) for x in names))
     classes = cut(classes)
-    # parity bits fold: the exclusive or of the parts is the signature of that many bits
-    folded = [F.col("sig")[i].bitwiseXOR(F.col("sig")[i + SIGNATURE]).alias(names[i]) for i in range(SIGNATURE)]
 
     counts = shingle_counts(docs, k)
     level = np.maximum(0, np.log2(np.maximum(counts, 1) / max(1.0, counts.mean())) - 0.5).astype(np.int8)
@@ -241,23 +266,22 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     fits = "100 * least(n, lead.n) >= {p} * greatest(n, lead.n)".format(p=percent)
     star = shared.join(lead, ["token", "band"]).where("key > lead.key").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
     star = cut(_verified(star.select("a", "b"), classes, docs, k, percent))
-    joined, links, tried = components(star), star, None
+    joined, links = components(star), star
     sized = cut(shared.join(lead.select("token", "band", "size"), ["token", "band"]))
     for every in (False, True):
         members = sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         members = cut(members)
         mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
-        members = members.join(mixed, ["token", "band"]).join(classes.select("key", *folded), "key")
+        members = members.join(mixed, ["token", "band"]).join(classes.select("key", *names), "key")
         members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
         members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
         block = ["token", "band", "i", "j"]
         rest = members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct()
-        rest = cut(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"))
+        rest = cut(rest)
         if not rest.limit(1).count():
             break
-        tried = rest
-        links = cut(links.union(_verified(rest, classes, docs, k, percent)))
+        links = cut(links.union(_verified(rest, classes, docs, k, percent, one_each=not every)))
         joined = components(links)
     joined = joined.withColumnRenamed("node", "key")
 
