@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .caps import near_vectors
 from .common import table
 from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .mixing import mix_sources
 from .packing import pack
 from .pii import detect_pii, pii_digest
@@ -29,6 +30,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    one = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["stop"].cast("string"), x["differences"].cast("string")))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(one, ",").alias("findings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_mixing": q.op4_mixing,
         "op5_ngram_jaccard": q.op5_ngram_jaccard,
         "op6_html": q.op6_html,
+        "op7_licenses": q.op7_licenses,
         "op8_packing": q.op8_packing,
         "op9_secrets": q.op9_secrets,
         "op10_caps": q.op10_caps,
