@@ -37,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*cuts: DataFrame) -> None:
+    """Deletes the files of results of cut() that nothing reads any more."""
+    for df in cuts:
+        spark = df.sparkSession
+        for path in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            if path.rsplit("/", 1)[1].startswith("cut-"):
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df marked for broadcast if it was counted and is small; else as it is, for a shuffled join."""
     rows = df.count() if rows is None else rows

@@ -1,7 +1,8 @@
 """N-gram Jaccard join: size-banded tiles, hashed bitmap signatures, exact sorted-array intersection.
 
 Two sets with Jaccard similarity of at least t have sizes within the factor t, and share at least one of the first
-n - ceil(t n) + 1 elements of each in any one order of all elements. The order here puts the elements that the whole
+n - ceil(t n) + 1 elements of each in any one order of all elements; of the smaller set (or either of two as large) the
+first n - ceil(2 t n / (1 + t)) + 1 are enough (its front). The order here puts the elements that the whole
 corpus holds most often last (by a counter table of fixed size), so that common passages seldom make candidates.
 A tile is such an element together with a band of sizes. Inside a tile the parity bitmaps of two sets differ in at most
 as many bits as the sets have elements outside their intersection; so a bit count bounds the overlap from above. Only
@@ -23,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectext as V
-from .common import cut, small
+from .common import cut, release, small
 from .components import components
 
 #: Least words (of 64 bits) of a class's signature, which has a bit or more for each element, and those of the same
@@ -37,6 +38,8 @@ WIDE, SIGNATURE = 16, 8
 COUNTER_BITS = 18
 #: Classes of a tile compared at once; a larger tile is cut into pairs of such blocks.
 BLOCK = 2048
+#: An element that occurs more often than this (or than four times the mean counter) spreads over several tasks.
+HOT_ROWS = 200_000
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -114,14 +117,22 @@ def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
     return out
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int, level: np.ndarray) -> DataFrame:
-    """(token, key, n): for each row the elements of its set of which any similar set shares one."""
-    shared = docs.sparkSession.sparkContext.broadcast(level)
+def _prefixes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """(token, key, n, front, salt): for each row the elements of its set of which any similar set shares one.
+
+    front marks those of which any similar set that is no smaller shares one.
+    salt is 0 but for an element whose counter is so high that its rows would be too many for one task: those spread by
+    class over as many salts as keep each near the common size.
+    """
+    mean = max(1.0, counts.mean())
+    level = np.maximum(0, np.log2(np.maximum(counts, 1) / mean) - 0.5).astype(np.int8)
+    salts = np.maximum(1, counts // int(max(HOT_ROWS, 4 * mean))).astype(np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast((level, salts))
 
     def run(batches):
-        rank = shared.value
+        rank, spread = shared.value
         for b in batches:
-            tokens, keys, sizes = [], [], []
+            out = []
             seen = set()
             for _, s in _sets(b, k):
                 n = len(s)
@@ -131,15 +142,16 @@ def _prefixes(docs: DataFrame, k: int, percent: int, level: np.ndarray) -> DataF
                     continue
                 seen.add(key)
                 p = n - -(-percent * n // 100) + 1
-                order = np.lexsort((s, rank[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)])) if p < n else slice(None)
-                take = s[order][:p]
-                tokens.append(take)
-                keys.append(np.full(len(take), key))
-                sizes.append(np.full(len(take), n))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], ["token", "key", "n"])
+                at = (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+                order = np.lexsort((s, rank[at])) if p < n else np.arange(n)
+                take = order[:p]
+                wide = spread[at[take]]
+                front = np.arange(p) <= n - -(-2 * percent * n // (100 + percent))
+                out.append((s[take].astype(np.int64), np.full(p, key), np.full(p, n, np.int32), front, np.where(wide > 1, 1 + np.int64(key) % wide.astype(np.int64), 0).astype(np.int32)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["token", "key", "n", "front", "salt"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, key long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, one_each: bool = False) -> DataFrame:
@@ -185,8 +197,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
 def _block_pairs(percent: int, every: bool):
     """Pairs of different components within a block (or between two) of a tile which size and bit counts let pass.
 
-    Rows come sorted by tile, block and size; row i meets row i + 1, then i + 2 and so on, all tiles of a batch at once,
-    until the sizes no longer fit. The last block of a batch waits for the next batch. Unless every pair is asked for,
+    Rows come sorted by tile, block and size; a row with a front element meets the next row, then the one after it and so on,
+    all tiles of a batch at once, until the sizes no longer fit. The last block of a batch waits for the next batch. Unless every pair is asked for,
     each row keeps one partner only, that of the smallest key.
     """
     cols = ["token", "band", "i", "j"]
@@ -199,7 +211,7 @@ def _block_pairs(percent: int, every: bool):
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
         found = [np.zeros((0, 2), np.int64)]
         best = np.full(len(key), np.iinfo(np.int64).max)
-        x, d = np.arange(len(key)), 0
+        x, d = np.flatnonzero(t["front"].to_numpy()), 0
         while len(x):
             d += 1
             x = x[x + d < len(key)]
@@ -253,32 +265,35 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     classes = cut(classes)
 
     counts = shingle_counts(docs, k)
-    level = np.maximum(0, np.log2(np.maximum(counts, 1) / max(1.0, counts.mean())) - 0.5).astype(np.int8)
-    prefix = _prefixes(docs, k, percent, level)
-    tiles = cut(prefix.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high"))
+    prefix = _prefixes(docs, k, percent, counts)
+    # one shuffle finds the elements that two classes share; those that are salted all stay, and the tiles sort them out
+    same = Window.partitionBy("token", "salt")
+    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
+    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"]).select("token", "key", "n", "front")
     width = math.log(100 / percent)
-    band = F.floor(F.log(F.col("n")) / F.lit(width))
+    band = F.floor(F.log(F.col("n")) / F.lit(width)).cast("int")
     # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
-    shared = cut(prefix.join(tiles.select("token"), "token").distinct().withColumn("own", band).withColumn("band", F.explode(F.array("own", F.col("own") + 1))))
+    shared = cut(shared.withColumn("band", band).withColumn("band", F.explode(F.array("band", F.col("band") + 1))))
 
-    lead = shared.groupBy("token", "band").agg(F.min(F.struct("key", "n")).alias("lead"), F.count("*").alias("size"), F.max("key").alias("high")).where("lead.key < high")
+    lead = shared.groupBy("token", "band").agg(F.min(F.struct("key", "n", "front")).alias("lead"), F.count("*").alias("size"), F.max("key").alias("high"), F.max("front").alias("any")).where("lead.key < high AND any").drop("any")
     lead = cut(lead)
     fits = "100 * least(n, lead.n) >= {p} * greatest(n, lead.n)".format(p=percent)
-    star = shared.join(lead, ["token", "band"]).where("key > lead.key").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
+    star = shared.join(lead, ["token", "band"]).where("key > lead.key AND (n <= lead.n AND front OR n >= lead.n AND lead.front)").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
     star = cut(_verified(star.select("a", "b"), classes, docs, k, percent))
     joined, links = components(star), star
     sized = cut(shared.join(lead.select("token", "band", "size"), ["token", "band"]))
+    release(shared, lead)
     for every in (False, True):
         members = sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        members = cut(members)
+        members = written = cut(members)
         mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
         members = members.join(mixed, ["token", "band"]).join(classes.select("key", *names), "key")
         members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
         block = ["token", "band", "i", "j"]
-        rest = members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct()
-        rest = cut(rest)
+        rest = cut(members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct())
+        release(written)
         if not rest.limit(1).count():
             break
         links = cut(links.union(_verified(rest, classes, docs, k, percent, one_each=not every)))
