@@ -31,9 +31,10 @@ from . import vectext as V
 from .common import cut, release, small
 from .components import components
 
-#: Least words (of 64 bits) of a class's signature, which has a bit or more for each element, and those of the same
-#: folded for the rows of tiles.
-WIDE, SIGNATURE = 16, 8
+#: Least words (of 64 bits) of a class's signature, which has a bit or more for each element.
+WIDE = 16
+#: Words of the signature folded for the rows of tiles, and the sizes up to which each is used: too few bits bound nothing.
+TILE_WIDTHS = ((8, 768), (16, 1536), (32, math.inf))
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
 #: Classes of a tile compared at once; a larger tile is cut into pairs of such blocks.
@@ -73,23 +74,25 @@ def _fold(sig: np.ndarray, width: int) -> np.ndarray:
 
 
 def shingle_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, key, sig, s0..s7): size, class of equal sets (null if empty), signature and folded signature."""
-    names = [f"s{i}" for i in range(SIGNATURE)]
+    """(doc_id, n, key, sig, short): size, class of equal sets (null if empty), signature and folded signature."""
+
+    def lists(parts):
+        at = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
 
     def run(batches):
         for b in batches:
-            n, key, short = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, SIGNATURE), np.int64)
-            sig = [np.zeros(0, np.int64)] * b.num_rows
+            n, key = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            sig, short = ([np.zeros(0, np.int64)] * b.num_rows for _ in range(2))
             for i, s in _sets(b, k):
                 n[i] = len(s)
                 if len(s):
                     key[i], sig[i] = _key(s), _signature(s)
-                    short[i] = _fold(sig[i], SIGNATURE)
-            at = np.concatenate([[0], np.cumsum([len(x) for x in sig])]).astype(np.int32)
-            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *sig]))), *(pa.array(short[:, i]) for i in range(SIGNATURE))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig", *names])
+                    short[i] = _fold(sig[i], next(w for w, most in TILE_WIDTHS if len(s) <= most))
+            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), lists(sig), lists(short)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig", "short"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>, " + ", ".join(f"{x} long" for x in names))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>, short array<long>")
 
 
 def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
@@ -206,7 +209,17 @@ def _block_pairs(percent: int, every: bool):
     def passing(t: pa.Table) -> pa.RecordBatch:
         key, n, comp, part = (t[c].to_numpy() for c in ("key", "n", "comp", "part"))
         across = t["i"].to_numpy() != t["j"].to_numpy()
-        sig = np.stack([t[f"s{i}"].to_numpy() for i in range(SIGNATURE)], 1).view(np.uint64)
+        short = t["short"].combine_chunks()
+        short = short.chunk(0) if isinstance(short, pa.ChunkedArray) else short
+        wide, values = short.value_lengths().to_numpy(), short.flatten().to_numpy()
+        ends = np.cumsum(wide)
+        folded = {}
+        for w, _ in TILE_WIDTHS:  # each row's signature in every width that it has, or folds to
+            folded[w] = np.zeros((len(key), w), np.uint64)
+            for own in np.unique(wide[wide >= w]):
+                rows = np.flatnonzero(wide == own)
+                words = values[(ends[rows] - own)[:, None] + np.arange(own)]
+                folded[w][rows] = np.bitwise_xor.reduce(words.reshape(len(rows), -1, w), axis=1).view(np.uint64)
         same = np.zeros(len(key), np.int64)
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
         found = [np.zeros((0, 2), np.int64)]
@@ -220,7 +233,10 @@ def _block_pairs(percent: int, every: bool):
             y = x + d
             keep = (comp[x] != comp[y]) & (~across[x] | (part[x] != part[y]))
             u, v = x[keep], y[keep]
-            differ = np.bitwise_count(sig[u] ^ sig[v]).sum(axis=1, dtype=np.int64)
+            differ, meet = np.zeros(len(u), np.int64), np.minimum(wide[u], wide[v])
+            for w in np.unique(meet):
+                at = meet == w
+                differ[at] = np.bitwise_count(folded[w][u[at]] ^ folded[w][v[at]]).sum(axis=1, dtype=np.int64)
             most = (n[u] + n[v] - differ) // 2  # no more elements can be shared
             ok = 100 * most >= percent * (n[u] + n[v] - most)
             if every:
@@ -259,9 +275,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     percent * union) reach, itself included. A null, empty or wordless text has size 0, links with nothing and is its own
     component. Rows that repeat a doc_id are documents of their own with that id. Other columns of docs are not read.
     """
-    names = [f"s{i}" for i in range(SIGNATURE)]
     rows = cut(shingle_classes(docs, k))
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"), *(F.first(x).alias(x) for x in names))
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("short").alias("short"))
     classes = cut(classes)
 
     counts = shingle_counts(docs, k)
@@ -287,10 +302,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
         members = sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         members = written = cut(members)
         mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
-        members = members.join(mixed, ["token", "band"]).join(classes.select("key", *names), "key")
+        members = members.join(mixed, ["token", "band"]).join(classes.select("key", "short"), "key")
         members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "comp", "part", *names, F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "comp", "part", "short", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
         block = ["token", "band", "i", "j"]
         rest = cut(members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct())
         release(written)
