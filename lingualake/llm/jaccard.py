@@ -9,10 +9,10 @@ as many bits as the sets have elements outside their intersection; so a bit coun
 pairs which that bound lets pass are compared exactly.
 
 Groups of copies: exact copies have one set and are one class. In each tile every class is first compared with the tile's
-smallest class only; what that links is one component, and pairs within a component need no further comparison. Then each
-class is compared with one partner of another component, and at last all pairs of a tile from different components follow,
-in blocks of bounded size. So no link between components is lost and
-a group of n near copies costs n comparisons, not n squared.
+smallest class only; what that links is one component, and pairs within a component need no further comparison. Then, round
+by round while that links most of what it compares, each class is compared with one partner of another component, so that components
+merge as in a minimum spanning forest. At last all pairs of a tile from different components follow, in blocks of bounded
+size. So no link between components is lost and a group of n near copies costs n comparisons a round, not n squared.
 """
 
 from __future__ import annotations
@@ -157,10 +157,11 @@ def _prefixes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> Data
     return docs.select("doc_id", "text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, one_each: bool = False) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, turn: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Of pairs (a, b) of class keys those that are similar: the whole signatures' bound, then exact intersection.
 
-    With one_each only one of the pairs of each b that the bound lets pass is compared.
+    In a turn only one of the pairs of each b that the bound lets pass is compared, another one each turn. The second
+    result holds the pairs compared.
     """
     of = classes.select("key", "n", "sig")
     left, right = of.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), of.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
@@ -177,7 +178,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(100 * most >= percent * (n - most)))
 
     pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(bound, "a long, b long")
-    pairs = cut(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if one_each else pairs)
+    pairs = cut(pairs if turn is None else pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a")).select("a", "b"))
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     need = cut(classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id")))
     picked = docs.select("doc_id", "text").join(small(need), "doc_id").select("key", "text").dropDuplicates(["key"])
@@ -194,15 +195,15 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     left, right = picked.select(F.col("key").alias("a"), "text"), picked.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text", "text_b").mapInArrow(run, "a long, b long"), pairs
 
 
-def _block_pairs(percent: int, every: bool):
+def _block_pairs(percent: int, turn: int | None):
     """Pairs of different components within a block (or between two) of a tile which size and bit counts let pass.
 
     Rows come sorted by tile, block and size; a row with a front element meets the next row, then the one after it and so on,
-    all tiles of a batch at once, until the sizes no longer fit. The last block of a batch waits for the next batch. Unless every pair is asked for,
-    each row keeps one partner only, that of the smallest key.
+    all tiles of a batch at once, until the sizes no longer fit. The last block of a batch waits for the next batch. In a turn
+    each row (b) keeps one partner (a) only, the first in the turn's order of keys; with None all pairs follow.
     """
     cols = ["token", "band", "i", "j"]
 
@@ -223,7 +224,10 @@ def _block_pairs(percent: int, every: bool):
         same = np.zeros(len(key), np.int64)
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
         found = [np.zeros((0, 2), np.int64)]
-        best = np.full(len(key), np.iinfo(np.int64).max)
+        order = np.argsort(V.mix(key.view(np.uint64) + np.uint64(turn or 0)), kind="stable")  # one order for all tiles: partners are shared
+        place = np.empty(len(key), np.int64)
+        place[order] = np.arange(len(key))
+        best = np.full(len(key), len(key))
         x, d = np.flatnonzero(t["front"].to_numpy()), 0
         while len(x):
             d += 1
@@ -239,13 +243,14 @@ def _block_pairs(percent: int, every: bool):
                 differ[at] = np.bitwise_count(folded[w][u[at]] ^ folded[w][v[at]]).sum(axis=1, dtype=np.int64)
             most = (n[u] + n[v] - differ) // 2  # no more elements can be shared
             ok = 100 * most >= percent * (n[u] + n[v] - most)
-            if every:
+            if turn is None:
                 found.append(np.sort(np.stack([key[u[ok]], key[v[ok]]], 1), axis=1))
             else:
-                np.minimum.at(best, v[ok], key[u[ok]])
-        if not every:
-            has = best != np.iinfo(np.int64).max
-            found.append(np.sort(np.stack([best[has], key[has]], 1), axis=1))
+                np.minimum.at(best, v[ok], place[u[ok]])
+                np.minimum.at(best, u[ok], place[v[ok]])
+        if turn is not None:
+            has = best < len(key)
+            found.append(np.stack([key[order[best[has]]], key[has]], 1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -294,25 +299,35 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     lead = cut(lead)
     fits = "100 * least(n, lead.n) >= {p} * greatest(n, lead.n)".format(p=percent)
     star = shared.join(lead, ["token", "band"]).where("key > lead.key AND (n <= lead.n AND front OR n >= lead.n AND lead.front)").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
-    star = cut(_verified(star.select("a", "b"), classes, docs, k, percent))
+    star = cut(_verified(star.select("a", "b"), classes, docs, k, percent)[0])
     joined, links = components(star), star
     sized = cut(shared.join(lead.select("token", "band", "size"), ["token", "band"]))
     release(shared, lead)
-    for every in (False, True):
-        members = sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        members = written = cut(members)
+    turn, every = 0, False
+    while True:
+        members = cut(sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
+        release(sized)
         mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
-        members = members.join(mixed, ["token", "band"]).join(classes.select("key", "short"), "key")
+        tiles = cut(members.join(mixed, ["token", "band"]))  # components only grow: other tiles are done
+        release(members)
+        sized = tiles.drop("comp")
+        members = tiles.join(classes.select("key", "short"), "key")
         members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
         members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "comp", "part", "short", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
         block = ["token", "band", "i", "j"]
-        rest = cut(members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, every), "a long, b long").distinct())
-        release(written)
+        rest = cut(members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, None if every else turn), "a long, b long").distinct())
         if not rest.limit(1).count():
             break
-        links = cut(links.union(_verified(rest, classes, docs, k, percent, one_each=not every)))
-        joined = components(links)
+        new, compared = _verified(rest, classes, docs, k, percent, turn=None if every else turn)
+        new = cut(new)
+        n_new = new.count()
+        if n_new:
+            links = links.union(new)
+            joined = components(links)
+        if every:
+            break
+        turn, every = turn + 1, 2 * n_new < compared.count()  # most of what is left is not similar: nothing to merge first
     joined = joined.withColumnRenamed("node", "key")
 
     named = classes.select("key", "doc_id").join(joined, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
