@@ -284,3 +284,13 @@ def test_caps(spark, monkeypatch):
         bad = [r for r in got if 301 <= r["vec_id"] <= 306]
         assert all(r["n_links"] == 0 and r["component_id"] == r["vec_id"] and r["kept"] for r in bad)
     assert caps.near_vectors(df.limit(0)).count() == 0
+
+
+def test_pages_keep_all_of_the_article():
+    def text(page):
+        return [t for _, aside, t in pages.parse(page) if not aside]
+
+    assert text("<html><head><title>t</title><meta charset=x><body><p>one</p>") == ["one"]
+    assert text("<html><head><title>t<body><p>one <select><option>a<p>two") == ["one", "two"]
+    assert text("<body><form><h1>Head</h1><p>long text</p></form>") == ["Head", "long text"]
+    assert text("<body><p>long text of the page</p><form><p>Search</p></form>") == ["long text of the page"]
