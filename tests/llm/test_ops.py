@@ -294,3 +294,14 @@ def test_pages_keep_all_of_the_article():
     assert text("<html><head><title>t<body><p>one <select><option>a<p>two") == ["one", "two"]
     assert text("<body><form><h1>Head</h1><p>long text</p></form>") == ["Head", "long text"]
     assert text("<body><p>long text of the page</p><form><p>Search</p></form>") == ["long text of the page"]
+    slots = [("html/body/article/h1", 5), ("html/body/article/p", 100), ("html/body/article/div/p", 3000), ("html/body/p", 9)]
+    assert pages.region_of(slots) == "html/body/article"
+
+
+def test_pages_layouts(spark):
+    one = "<html><body><div><p>menu</p></div><div><h1>T{0}</h1><p>intro {0}</p><div><p>body text {0}</p></div></div></body></html>"
+    two = "<html><body><section><table><tr><td>cell {0}</td></tr></table></section><div><p>menu</p></div></body></html>"
+    rows = [(i, f"https://a.example/{i}", (one if i < 30 else two).format(i)) for i in range(50)]
+    got = {r["page_id"]: r["text"] for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all((f"T{i}\n\nintro {i}\n\nbody text {i}" if i < 30 else f"cell {i}") in got[i] for i in range(50))
+    assert len(set(pages.group_layouts(["html(body(article()))", "html(body(article()section()))", "html(body(table(tr(td()))))"]))) == 2
