@@ -305,3 +305,13 @@ def test_pages_layouts(spark):
     got = {r["page_id"]: r["text"] for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all((f"T{i}\n\nintro {i}\n\nbody text {i}" if i < 30 else f"cell {i}") in got[i] for i in range(50))
     assert len(set(pages.group_layouts(["html(body(article()))", "html(body(article()section()))", "html(body(table(tr(td()))))"]))) == 2
+
+
+def test_pages_template_and_layouts(spark):
+    one = "<html><body><div class='c12'>Subscribe to our letter</div><div><h1>T{0}</h1><p>intro {0}</p><div><p>body text {0}</p></div></div></body></html>"
+    two = "<html><body><section><p>Terms apply</p><table><tr><td>cell {0}</td></tr></table></section></body></html>"
+    rows = [(i, f"https://a.example/{i}", one.format(i)) for i in range(30)] + [(i, f"https://a.example/{i}", two.format(i)) for i in range(30, 50)]
+    rows += [(50 + i, f"https://b.example/{i}", "<body><p>the same on every copy</p></body>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: f"T{i}\n\nintro {i}\n\nbody text {i}" for i in range(30)} | {i: f"cell {i}" for i in range(30, 50)}
+    assert got == want | {i: "the same on every copy" for i in range(50, 53)}
