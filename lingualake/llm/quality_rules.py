@@ -23,6 +23,9 @@ COMMON = {
 CLASSES = {"upper": r"[^\p{Lu}]+", "lower": r"[^\p{Ll}]+", "digit": r"[^\p{Nd}]+", "symbol": r"[^\p{S}#%&*@|\\/<>!]+", "other": r"[^\p{P}]+"}
 SYMBOLS = "#*$%&|<>"
 N_WORDS = 12
+#: A text has too few of its language's common words with less than one in LEAST of the language's share of them; which of
+#: them it has is compared from HITS on.
+LEAST, HITS = 4, 20
 
 
 def repeat_words(words: Column) -> Column:
@@ -82,14 +85,31 @@ def js_distance(a: Column, b: Column) -> Column:
     return F.when((total(a) > 0) & (total(b) > 0), of(a, b)).otherwise(0.0)
 
 
+def _fence(bins: list[tuple[int, int]]) -> float:
+    """Third quartile and three quartile ranges of distances counted in hundredths."""
+    bins, total = sorted(bins), sum(c for _, c in bins)
+
+    def quartile(q: int) -> int:
+        seen = 0
+        for b, c in bins:
+            seen += c
+            if 4 * seen >= q * total:
+                return b
+        return 100
+
+    return (quartile(3) + 3 * (quartile(3) - quartile(1))) / 100
+
+
 def quality_rules(docs: DataFrame, min_chars: int = 200, min_words: int = 40, most_chars: float = 0.35, most_words: float = 0.75) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance,
-    word_distance) for every row of docs (doc_id, text, lang).
+    word_distance, char_failed, word_failed) for every row of docs (doc_id, text, lang).
 
     Base rules: base_failed if there are fewer than 10 words, or more than a fifth of them stand in repeated windows. Of the
     others a text of at least min_chars characters is kept if its character classes are within most_chars of its language's,
     and one of at least min_words words if besides its common words (with the other words as one more bin) are within
-    most_words. A null text has no words; a null or unknown language is compared with the other such documents; rows that
+    most_words, their share is no less than a quarter of its language's, and among themselves they are, from HITS on,
+    within the upper fence (third quartile and three quartile ranges) of the distances of all its language's documents.
+    The last two need a known language. A null text has no words; a null or unknown language is compared with the other such documents; rows that
     repeat are each judged; other columns are not read.
     """
     rows = cut(_measures(docs))
@@ -104,6 +124,16 @@ def quality_rules(docs: DataFrame, min_chars: int = 200, min_words: int = 40, mo
         return F.element_at(F.create_map(*(x for r in found for x in (F.lit(r["lang"]), F.array(*(F.lit(float(r[f"{name}{i}"])) for i in range(size)))))), F.col("lang"))
 
     rows = rows.withColumn("char_distance", js_distance(F.col("chars"), reference("c", n))).withColumn("word_distance", js_distance(with_rest, reference("w", N_WORDS + 1)))
+    hits = F.aggregate("common", F.lit(0.0), lambda t, v: t + v)
+    known, enough = F.col("lang").isin(*COMMON), F.col("n_words") >= min_words
+    rows = rows.withColumn("among", F.when(known & enough & (hits >= HITS), js_distance(F.col("common"), reference("w", N_WORDS))))
+    counted = rows.where("among IS NOT NULL").groupBy("lang", F.ceil(F.col("among") * 100).alias("bin")).agg(F.count("*").alias("n")).collect()  # 404 rows at most
+    fence = F.create_map(*(F.lit(x) for k in COMMON for x in (k, _fence([(r["bin"], r["n"]) for r in counted if r["lang"] == k]))))
+    wanted = F.create_map(*(F.lit(x) for r in [*found, {"lang": ""} | {f"w{i}": 0.0 for i in range(N_WORDS + 1)}] for x in (r["lang"], sum(r[f"w{i}"] for i in range(N_WORDS)) / max(1.0, sum(r[f"w{i}"] for i in range(N_WORDS + 1))))))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    bad = ((F.col("n_chars") >= min_chars) & (F.col("char_distance") > most_chars)) | ((F.col("n_words") >= min_words) & (F.col("word_distance") > most_words))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~bad).alias("kept"), "char_distance", "word_distance")
+    few = known & (LEAST * hits < F.element_at(wanted, F.col("lang")) * F.col("n_words"))
+    others = F.coalesce(F.col("among") > F.element_at(fence, F.col("lang")), F.lit(False))
+    rows = rows.withColumn("char_failed", (F.col("n_chars") >= min_chars) & (F.col("char_distance") > most_chars))
+    rows = rows.withColumn("word_failed", enough & ((F.col("word_distance") > most_words) | few | others))
+    kept = ~failed & ~F.col("char_failed") & ~F.col("word_failed")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), kept.alias("kept"), "char_distance", "word_distance", "char_failed", "word_failed")

@@ -315,3 +315,18 @@ def test_pages_template_and_layouts(spark):
     got = {r["page_id"]: r["text"] for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     want = {i: f"T{i}\n\nintro {i}\n\nbody text {i}" for i in range(30)} | {i: f"cell {i}" for i in range(30, 50)}
     assert got == want | {i: "the same on every copy" for i in range(50, 53)}
+
+
+def test_quality_rules_common_words(spark):
+    english = quality_rules.COMMON["en"]
+    spanish = ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del"]
+    rng = np.random.default_rng(8)
+
+    def words(common, n=120):
+        return " ".join(rng.choice(common) if common and rng.random() < 0.22 else rng.choice(VOCAB) for _ in range(n))
+
+    rows = [(i, words(english), "en") for i in range(300)] + [(i, words([]), "en") for i in range(300, 310)] + [(i, words(spanish, 600), "fr") for i in range(310, 315)]
+    rows += [(i, words(quality_rules.COMMON["fr"], 600), "fr") for i in range(320, 420)] + [(420, words([]), None)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(got[i]["kept"] for i in range(300, 315)) and all(got[i]["word_failed"] for i in range(300, 315))
+    assert not any(r["word_failed"] for i, r in got.items() if i < 300 or i >= 320)
