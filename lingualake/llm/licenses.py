@@ -1,8 +1,10 @@
 """License scan by conditional compression, confirmed by exact wording.
 
-Sentences with a licensing word are candidates (a sentence ends with its mark or before a blank line); candidates with at
+Sentences with a licensing word are candidates (a sentence ends with its mark, unless a digit or small
+letter follows, or before a blank line); candidates with at
 most one other sentence between them are one block. A block is compressed alone and with each template as raw zstandard
-dictionary; the templates are ranked by the bytes that they save. The best few are confirmed by word edits: the part of the
+dictionary; the templates are ranked by the bytes that they save. The best few, and where none of them
+holds all the others in turn, are confirmed by word edits: the part of the
 block that lies nearest to the template may differ in at most a fifth of the template's words, and in none of the words
 that name the license. What is left of a block around its findings is searched again.
 """
@@ -47,7 +49,7 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "creative attribution-noncommercial 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-SA-4.0", "creative attribution-sharealike 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 )
-#: Templates of the best savings that are confirmed; one in PART words of a template may differ.
+#: Templates of the best savings that are confirmed at once, the rest one by one; one in PART words of a template may differ.
 WINNERS, PART = 4, 5
 #: A block of more words is examined in windows of so many, which overlap by a third: more than the longest template and its edits.
 WINDOW = 450
@@ -92,10 +94,12 @@ class Scanner:
         ids: dict[str, int] = {}
         coded = np.array([ids.setdefault(w, len(ids)) for w in words])
         found = []
-        for less, i in saved[:WINNERS]:
+        # the ranking is by savings; those without any come last, as edits may leave nothing to save
+        able = [(less, i) for less, i in saved if self.templates[i][1] <= ids.keys()]
+        for k, (less, i) in enumerate(able):
+            if k >= WINNERS and found:
+                break
             name, keys, wording, _ = self.templates[i]
-            if less >= 0 or not keys <= ids.keys():
-                continue
             pattern = np.array([ids.get(w, -1) for w in wording])
             ends = _edits(pattern, coded)
             for stop in np.flatnonzero(ends * PART <= len(wording)):
@@ -129,7 +133,8 @@ class Scanner:
     def scan(self, text: str) -> list[dict]:
         spans = [m.span() for m in _WORD.finditer(text)]
         kept = [(a, b, w) for a, b in spans if (w := _norm(text[a:b]))]
-        ends = [i + 1 for i, (_, b, _) in enumerate(kept) if text[b - 1] in ".!?" or i + 1 == len(kept) or text.count("\n", b, kept[i + 1][0]) > 1]
+        starts = [next((c for c in text[a:b] if c.isalnum()), "") for a, b, _ in kept] + [""]
+        ends = [i + 1 for i, (_, b, _) in enumerate(kept) if text[b - 1] in ".!?" and not (starts[i + 1].isdigit() or starts[i + 1].islower()) or i + 1 == len(kept) or text.count("\n", b, kept[i + 1][0]) > 1]
         sentences = list(zip([0, *ends], ends))
         blocks: list[list[int]] = []
         last = -3

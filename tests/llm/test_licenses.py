@@ -81,3 +81,16 @@ def test_query_finds_every_planted_notice(spark):
         want = {m.span() for m in re.finditer(exact, text)}
         spans = {tuple(map(int, f.split(":")[1:3])) for f in got[i]["findings"].split(",") if f}
         assert {(a, b) for a, b in want} <= spans, i
+
+
+def test_every_template_in_its_own_wording():
+    for name, _, wording in TEMPLATES:
+        found = Scanner().scan("Some words before.\n\n" + wording + "\n\nSome words after it.")
+        assert name in [f["license"] for f in found] and found[0]["differences"] == 0, name
+
+
+def test_other_savings_hide_no_notice():
+    free = [t[2] for t in TEMPLATES if t[0] in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "AGPL-3.0")]
+    rest = " ".join(w.split(" version")[0].split("; either")[0].split(", either")[0] for w in free)
+    found = Scanner().scan(f"{rest} Released under the MIT License.")
+    assert [f["license"] for f in found] == ["MIT"]
