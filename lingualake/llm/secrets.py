@@ -19,10 +19,13 @@ from .trees import expression, forest
 #: A run that could be a credential: not inside a longer run.
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 KEYWORD = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)[\"']?\s{0,3}[:=]?\s{0,3}[\"']?\z"
+_KEY = r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)[\"']?\s{0,3}[:=]\s{0,3}"
+#: What a credential word assigns: a quoted value, or one up to a space, quote, comma or semicolon; of any characters.
+ASSIGNED = rf"(?<=[\"'])(?<={_KEY}[\"'])[^\"'\r\n]{{6,256}}+(?=[\"'])|(?<=[:=\s])(?<={_KEY})[^\s\"',;]{{5,}}[^\s\"',;.:!?)\]}}]"
 PREFIX = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|xox[abprs]-|AIza|eyJ)"
 #: Frequent letter groups of words in the four languages of the tables, for dictionary coverage.
 WORDS = "the|and|ing|tion|ent|ion|her|for|that|with|are|all|ter|est|ers|ment|eau|que|les|des|elle|pour|une|dans|aux|ich|ein|ung|sch|der|die|und|den|keit|lich|heit|ver|ado|ada|aci|los|las|por|con|ar|er|en|on|an|st|re|in|ou|ai|es|se"
-FEATURES = ("length", "turns", "covered", "path", "near", "quoted", "hex")
+FEATURES = ("length", "turns", "covered", "path", "near", "quoted", "hex", "symbols")
 _TYPE = "array<struct<start:int,end:int,label:int," + ",".join(f"{x}_bin:int" for x in FEATURES) + ">>"
 
 
@@ -36,21 +39,23 @@ def candidates(text: Column) -> Column:
         keyed = near.rlike(KEYWORD)
         quoted = near.rlike(r"[\"'=:]\s?\z")
         digits = n - F.length(F.translate(v, "0123456789", ""))
-        true = (keyed | v.rlike(PREFIX)) & (digits > 0) & (n >= 16)
-        false = (digits == 0) | (digits == n) | (~keyed & ~quoted & (turns < 0.1))
+        symbols = v.rlike(r"[^A-Za-z0-9+/_=-]")
+        true = (keyed | v.rlike(PREFIX)) & (digits > 0) & (n >= 16) | keyed & (digits > 0) & (digits < n)
+        false = ((digits == 0) & ~(keyed & symbols)) | (digits == n) | (~keyed & ~quoted & (turns < 0.1))
         bins = {
-            "length": F.when(n < 20, 0).when(n < 32, 1).when(n < 40, 2).when(n < 48, 3).otherwise(4),
+            "length": F.when(n < 16, 5).when(n < 20, 0).when(n < 32, 1).when(n < 40, 2).when(n < 48, 3).otherwise(4),
             "turns": F.when(turns == 0, 0).when(turns < 0.1, 1).when(turns < 0.3, 2).otherwise(3),
             "covered": F.when(covered < 0.2, 0).when(covered < 0.5, 1).when(covered < 0.8, 2).otherwise(3),
             "path": v.contains("/").cast("int"),
             "near": near.rlike(r"(?i)(?:token|secret|passw|key|credential|bearer|auth)").cast("int"),
             "quoted": quoted.cast("int"),
             "hex": v.rlike(r"^[0-9a-f]+\z").cast("int"),
+            "symbols": symbols.cast("int"),
         }
         label = F.when(true, 1).when(false, 0)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), label.cast("int").alias("label"), *(bins[x].cast("int").alias(f"{x}_bin") for x in FEATURES))
 
-    return F.transform(spans(text, TOKEN), one).cast(_TYPE)
+    return F.transform(spans(text, f"{ASSIGNED}|{TOKEN}"), one).cast(_TYPE)
 
 
 def _trained(rows: DataFrame) -> list:

@@ -330,3 +330,13 @@ def test_quality_rules_common_words(spark):
     got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert not any(got[i]["kept"] for i in range(300, 315)) and all(got[i]["word_failed"] for i in range(300, 315))
     assert not any(r["word_failed"] for i, r in got.items() if i < 300 or i >= 320)
+
+
+def test_secrets_short_and_with_symbols(spark):
+    hexes = ["".join(RNG.choice(list("0123456789abcdef"), 40)) for _ in range(60)]
+    rows = [(i, f"some words token = \"{h}\" and more" if i % 2 else "a verylongwordwithoutdigits here, password: required") for i, h in enumerate(hexes)]
+    short = ["hunter2x9", "Tr0ub4dor&3!x", *(f"postgres://me:p4ss{i}@host{i}:5432/db" for i in range(6))]
+    rows += [(100 + i, f"the password = \"{v}\" end") for i, v in enumerate(short)] + [(110, "password=hunter2x9. Next")]
+    out = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[100 + i] == "the password = \"<SECRET>\" end" for i in range(len(short))) and out[110] == "password=<SECRET>. Next"
+    assert all(out[i] == rows[i][1] for i in range(0, 60, 2))
