@@ -27,7 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(text: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows; null texts are empty."""
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
@@ -39,7 +39,7 @@ def chunks(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(text.buffers()[2], np.uint8) if text.buffers()[2] is not None and offs[-1] else np.zeros(0, np.uint8)
     at = 0
     while at < n:
-        end = max(at + 1, int(np.searchsorted(offs, offs[at] + CHUNK, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
         yield at, data[offs[at] : offs[end]], offs[at : end + 1] - offs[at]
         at = end
 
