@@ -5,14 +5,15 @@ n - ceil(t n) + 1 elements of each in any one order of all elements; of the smal
 first n - ceil(2 t n / (1 + t)) + 1 are enough (its front). The order here puts the elements that the whole
 corpus holds most often last (by a counter table of fixed size), so that common passages seldom make candidates.
 A tile is such an element together with a band of sizes. Inside a tile the parity bitmaps of two sets differ in at most
-as many bits as the sets have elements outside their intersection; so a bit count bounds the overlap from above. Only
-pairs which that bound lets pass are compared exactly.
-
-Groups of copies: exact copies have one set and are one class. In each tile every class is first compared with the tile's
-smallest class only; what that links is one component, and pairs within a component need no further comparison. Then, round
-by round while that links most of what it compares, each class is compared with one partner of another component, so that components
-merge as in a minimum spanning forest. At last all pairs of a tile from different components follow, in blocks of bounded
-size. So no link between components is lost and a group of n near copies costs n comparisons a round, not n squared.
+as many bits as the sets have elements outside their intersection; so a bit count bounds the overlap from above. Pairs
+which that bound lets pass are candidates.
+
+No list of pairs is ever written. Exact copies have one set and are one class. A tile puts out a spanning forest of its
+candidates, at most one row for each member; the forests of all tiles make families, and every candidate pair lies within
+one family. A family's sets come together once, in blocks of bounded size; there pairs are compared exactly, those that
+links join already are passed over, and again a spanning forest of the links is all that leaves the block. A family of more
+than one block also has its least class in each of them; what remains unjoined between its blocks follows in a second round, for the classes
+that still have candidates in other components. So n near copies cost n rows, no link between components is lost.
 """
 
 from __future__ import annotations
@@ -31,25 +32,20 @@ from . import vectext as V
 from .common import cut, release, small
 from .components import components
 
-#: Least words (of 64 bits) of a class's signature, which has a bit or more for each element.
-WIDE = 16
-#: Words of the signature folded for the rows of tiles, and the sizes up to which each is used: too few bits bound nothing.
+#: Words (of 64 bits) of the bitmaps in tiles, and the sizes up to which each is used: too few bits bound nothing.
 TILE_WIDTHS = ((8, 768), (16, 1536), (32, math.inf))
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
-#: Classes of a tile compared at once; a larger tile is cut into pairs of such blocks.
-BLOCK = 2048
+PARTS = 32
+#: Classes of a tile or family compared at once, and elements of their sets; a larger one is cut into pairs of such blocks.
+BLOCK, ELEMENTS = 2048, 4_000_000
 #: An element that occurs more often than this (or than four times the mean counter) spreads over several tasks.
 HOT_ROWS = 200_000
 
 
-def _lower(data: np.ndarray) -> np.ndarray:
-    return V.LOWER[data]
-
-
-def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    for first, data, offs in V.chunks(batch.column(batch.schema.names.index("text"))):
-        for i, s in enumerate(V.shingles(_lower(data), offs, k)):
+def _sets(text: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
+    for first, data, offs in V.chunks(text):
+        for i, s in enumerate(V.shingles(V.LOWER[data], offs, k)):
             yield first + i, s
 
 
@@ -58,176 +54,163 @@ def _key(s: np.ndarray) -> int:
     return int(V.mix(x).view(np.int64)[0])
 
 
-def _signature(s: np.ndarray) -> np.ndarray:
+def _bitmap(s: np.ndarray, width: int | None = None) -> np.ndarray:
     """Bit i tells whether an odd number of the elements hash to i."""
-    width = WIDE
-    while 64 * width < len(s):
-        width *= 2
+    width = width or next(w for w, most in TILE_WIDTHS if len(s) <= most)
     bits = (s >> np.uint64(20)) % np.uint64(64 * width)
     odd = np.bincount(bits.astype(np.int64), minlength=64 * width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _fold(sig: np.ndarray, width: int) -> np.ndarray:
-    """The signature of fewer bits: widths are powers of two, and parities add by exclusive or."""
-    return np.bitwise_xor.reduce(sig.reshape(-1, width), axis=0)
+def _lists(parts: list[np.ndarray], kind=np.int64) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, kind), *parts])))
 
 
-def shingle_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, key, sig, short): size, class of equal sets (null if empty), signature and folded signature."""
-
-    def lists(parts):
-        at = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+def shingle_rows(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
+    """(rid, doc_id, text, n, key, short) for every row of docs (rid, doc_id, text): size, class of equal sets (null if empty)
+    and bitmap; and how often each hash bucket of shingles occurs in all documents, counted in the same pass.
+    """
+    size = 1 << COUNTER_BITS
 
     def run(batches):
+        total = np.zeros(size, np.int64)
         for b in batches:
             n, key = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-            sig, short = ([np.zeros(0, np.int64)] * b.num_rows for _ in range(2))
-            for i, s in _sets(b, k):
+            short, at = [np.zeros(0, np.int64)] * b.num_rows, [np.zeros(0, np.int64)]
+            for i, s in _sets(b.column(2), k):
                 n[i] = len(s)
                 if len(s):
-                    key[i], sig[i] = _key(s), _signature(s)
-                    short[i] = _fold(sig[i], next(w for w, most in TILE_WIDTHS if len(s) <= most))
-            cols = [b.column(0).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), lists(sig), lists(short)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "key", "sig", "short"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, sig array<long>, short array<long>")
-
-
-def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """How often each hash bucket of shingles occurs in all documents: one fixed table, summed in parts on the executors."""
-    size, parts = 1 << COUNTER_BITS, 32
-
-    def run(batches):
-        total = np.zeros(size, np.int64)
-        for b in batches:
-            for _, s in _sets(b, k):
-                np.add.at(total, (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
-        if total.any():
-            packed = [zlib.compress(x.tobytes(), 1) for x in np.split(total, parts)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(packed, pa.binary())], ["part", "counts"])
+                    key[i], short[i] = _key(s), _bitmap(s)
+                    at.append((s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
+            total += np.bincount(np.concatenate(at), minlength=size)
+            none = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), b.column(2).cast(pa.string()), pa.array(n), pa.array(key, mask=n == 0), _lists(short), *none], names)
+        if total.any():  # the task's counters, in parts, as rows of their own
+            packed = [zlib.compress(x.tobytes(), 1) for x in np.split(total, PARTS)]
+            empty = [pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(range(PARTS), pa.int32()), pa.array(packed, pa.binary())], names)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in pdf["counts"])
         return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "part int, counts binary")
-    rows = rows.groupBy("part").applyInPandas(add, "part int, counts binary").collect()  # 32 rows, 2 MB at most before packing
+    names = ["rid", "doc_id", "text", "n", "key", "short", "part", "counts"]
+    rows = cut(docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, text string, n long, key long, short array<long>, part int, counts binary"))
+    found = rows.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInPandas(add, "part int, counts binary").collect()  # 32 rows, 2 MB at most before packing
     out = np.zeros(size, np.int64)
-    for r in rows:
-        out[r["part"] * (size // parts) : (r["part"] + 1) * (size // parts)] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
-    return out
+    for r in found:
+        out[r["part"] * (size // PARTS) : (r["part"] + 1) * (size // PARTS)] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
+    return rows.where("part IS NULL").drop("part", "counts"), out
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+def _prefixes(rows: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
     """(token, key, n, front, salt): for each row the elements of its set of which any similar set shares one.
 
     front marks those of which any similar set that is no smaller shares one.
     salt is 0 but for an element whose counter is so high that its rows would be too many for one task: those spread by
-    class over as many salts as keep each near the common size.
+    class over as many salts as keep each near the common size. A task gives a class's elements once, however many copies it reads.
     """
     mean = max(1.0, counts.mean())
     level = np.maximum(0, np.log2(np.maximum(counts, 1) / mean) - 0.5).astype(np.int8)
     salts = np.maximum(1, counts // int(max(HOT_ROWS, 4 * mean))).astype(np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast((level, salts))
+    shared = rows.sparkSession.sparkContext.broadcast((level, salts))
 
     def run(batches):
         rank, spread = shared.value
+        seen = set()
         for b in batches:
-            out = []
-            seen = set()
-            for _, s in _sets(b, k):
+            fresh = []
+            for i, key in enumerate(b.column(0).to_pylist()):
+                if key not in seen:
+                    seen.add(key)
+                    fresh.append(i)
+            b = b.take(pa.array(fresh, pa.int64()))
+            keys, out = b.column(0).to_numpy(), []
+            for i, s in _sets(b.column(1), k):
                 n = len(s)
                 if 100 * n < percent * (n + 1):
                     continue  # so small that only equal sets are similar
-                if (key := _key(s)) in seen:
-                    continue
-                seen.add(key)
                 p = n - -(-percent * n // 100) + 1
                 at = (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
                 order = np.lexsort((s, rank[at])) if p < n else np.arange(n)
                 take = order[:p]
                 wide = spread[at[take]]
                 front = np.arange(p) <= n - -(-2 * percent * n // (100 + percent))
-                out.append((s[take].astype(np.int64), np.full(p, key), np.full(p, n, np.int32), front, np.where(wide > 1, 1 + np.int64(key) % wide.astype(np.int64), 0).astype(np.int32)))
+                out.append((s[take].astype(np.int64), np.full(p, keys[i]), np.full(p, n, np.int32), front, np.where(wide > 1, 1 + keys[i] % wide.astype(np.int64), 0).astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["token", "key", "n", "front", "salt"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
+    return rows.where("key IS NOT NULL").select("key", "text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, turn: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Of pairs (a, b) of class keys those that are similar: the whole signatures' bound, then exact intersection.
+def _compressed(parent: np.ndarray) -> np.ndarray:
+    while True:
+        up = parent[parent]
+        if np.array_equal(up, parent):
+            return parent
+        parent = up
 
-    In a turn only one of the pairs of each b that the bound lets pass is compared, another one each turn. The second
-    result holds the pairs compared.
-    """
-    of = classes.select("key", "n", "sig")
-    left, right = of.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), of.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
 
-    def bound(batches):
-        for b in batches:
-            n = b.column(2).to_numpy() + b.column(4).to_numpy()
-            differ = np.zeros(b.num_rows, np.int64)
-            for i, (x, y) in enumerate(zip(b.column(3), b.column(5))):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                w = min(len(x), len(y))
-                differ[i] = np.bitwise_count((_fold(x, w) ^ _fold(y, w)).view(np.uint64)).sum()
-            most = (n - differ) // 2
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(100 * most >= percent * (n - most)))
-
-    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "sig_a", "n_b", "sig_b").mapInArrow(bound, "a long, b long")
-    pairs = cut(pairs if turn is None else pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a")).select("a", "b"))
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    need = cut(classes.join(keys, "key").groupBy("key").agg(F.min("doc_id").alias("doc_id")))
-    picked = docs.select("doc_id", "text").join(small(need), "doc_id").select("key", "text").dropDuplicates(["key"])
-    picked = cut(picked)
+def _hook(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Roots (the least of each group) after the edges (u, v)."""
+    while len(u):
+        a, b = parent[u], parent[v]
+        u, v, a, b = (x[a != b] for x in (u, v, a, b))
+        if len(u):
+            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+            parent = _compressed(parent)
+    return parent
+
+
+def _by_block(cols: list[str], passing):
+    """passing(table) over whole blocks of rows that come sorted by cols; the last block of a batch waits for the next batch."""
 
     def run(batches):
+        held = None
         for b in batches:
-            a = [s for _, s in _sets(b.select(["a", "b", "text"]), k)]
-            other = pa.RecordBatch.from_arrays([b.column(3)], ["text"])
-            ok = []
-            for x, (_, y) in zip(a, _sets(other, k)):
-                both = np.intersect1d(x, y, assume_unique=True).size
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            last = np.ones(t.num_rows, bool)
+            for c in cols:
+                v = t[c].to_numpy()
+                last &= v == v[-1]
+            held = t.filter(pa.array(last))
+            if not last.all():
+                yield from passing(t.filter(pa.array(~last)))
+        if held is not None:
+            yield from passing(held)
 
-    left, right = picked.select(F.col("key").alias("a"), "text"), picked.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text", "text_b").mapInArrow(run, "a long, b long"), pairs
+    return run
 
 
-def _block_pairs(percent: int, turn: int | None):
-    """Pairs of different components within a block (or between two) of a tile which size and bit counts let pass.
+def _forest(percent: int):
+    """A spanning forest (a, b) of the candidates of different components within each block (or between two) of a tile.
 
     Rows come sorted by tile, block and size; a row with a front element meets the next row, then the one after it and so on,
-    all tiles of a batch at once, until the sizes no longer fit. The last block of a batch waits for the next batch. In a turn
-    each row (b) keeps one partner (a) only, the first in the turn's order of keys; with None all pairs follow.
+    all tiles of a batch at once, until the sizes no longer fit. Rows that candidates join already are passed over.
     """
     cols = ["token", "band", "i", "j"]
 
-    def passing(t: pa.Table) -> pa.RecordBatch:
-        key, n, comp, part = (t[c].to_numpy() for c in ("key", "n", "comp", "part"))
+    def passing(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, n, comp, part, own = (t[c].to_numpy() for c in ("key", "n", "comp", "part", "own"))
         across = t["i"].to_numpy() != t["j"].to_numpy()
         short = t["short"].combine_chunks()
         short = short.chunk(0) if isinstance(short, pa.ChunkedArray) else short
         wide, values = short.value_lengths().to_numpy(), short.flatten().to_numpy()
         ends = np.cumsum(wide)
         folded = {}
-        for w, _ in TILE_WIDTHS:  # each row's signature in every width that it has, or folds to
+        for w, _ in TILE_WIDTHS:  # each row's bitmap in every width that it has, or folds to: widths are powers of two, parities add by xor
             folded[w] = np.zeros((len(key), w), np.uint64)
-            for own in np.unique(wide[wide >= w]):
-                rows = np.flatnonzero(wide == own)
-                words = values[(ends[rows] - own)[:, None] + np.arange(own)]
+            for has in np.unique(wide[wide >= w]):
+                rows = np.flatnonzero(wide == has)
+                words = values[(ends[rows] - has)[:, None] + np.arange(has)]
                 folded[w][rows] = np.bitwise_xor.reduce(words.reshape(len(rows), -1, w), axis=1).view(np.uint64)
         same = np.zeros(len(key), np.int64)
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
-        found = [np.zeros((0, 2), np.int64)]
-        order = np.argsort(V.mix(key.view(np.uint64) + np.uint64(turn or 0)), kind="stable")  # one order for all tiles: partners are shared
-        place = np.empty(len(key), np.int64)
-        place[order] = np.arange(len(key))
-        best = np.full(len(key), len(key))
+        parent = np.arange(len(key))
         x, d = np.flatnonzero(t["front"].to_numpy()), 0
         while len(x):
             d += 1
@@ -235,7 +218,7 @@ def _block_pairs(percent: int, turn: int | None):
             y = x + d
             x = x[(same[x] == same[y]) & (percent * n[y] <= 100 * n[x])]
             y = x + d
-            keep = (comp[x] != comp[y]) & (~across[x] | (part[x] != part[y]))
+            keep = (comp[x] != comp[y]) & (parent[x] != parent[y]) & (own[x] | own[y]) & (~across[x] | (part[x] != part[y]))
             u, v = x[keep], y[keep]
             differ, meet = np.zeros(len(u), np.int64), np.minimum(wide[u], wide[v])
             for w in np.unique(meet):
@@ -243,33 +226,147 @@ def _block_pairs(percent: int, turn: int | None):
                 differ[at] = np.bitwise_count(folded[w][u[at]] ^ folded[w][v[at]]).sum(axis=1, dtype=np.int64)
             most = (n[u] + n[v] - differ) // 2  # no more elements can be shared
             ok = 100 * most >= percent * (n[u] + n[v] - most)
-            if turn is None:
-                found.append(np.sort(np.stack([key[u[ok]], key[v[ok]]], 1), axis=1))
-            else:
-                np.minimum.at(best, v[ok], place[u[ok]])
-                np.minimum.at(best, u[ok], place[v[ok]])
-        if turn is not None:
-            has = best < len(key)
-            found.append(np.stack([key[order[best[has]]], key[has]], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    def run(batches):
-        held = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
-            last = np.ones(t.num_rows, bool)
-            for c in cols:
-                v = t[c].to_numpy()
-                last &= v == v[-1]
-            held = t.filter(pa.array(last))
-            if not last.all():
-                yield passing(t.filter(pa.array(~last)))
-        if held is not None:
-            yield passing(held)
+            parent = _hook(parent, u[ok], v[ok])
+        child = np.flatnonzero(parent != np.arange(len(key)))
+        pairs = np.unique(np.sort(np.stack([key[parent[child]], key[child]], 1), axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return _by_block(cols, passing)
+
+
+def _links(sets: list[np.ndarray], comp: np.ndarray, part: np.ndarray, across: bool, percent: int) -> np.ndarray:
+    """A spanning forest of the similar pairs of a block, as (row, row): bit counts, then exact intersections.
+
+    comp is what earlier links join, as numbers below the number of rows."""
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sets, comp, part = [sets[i] for i in order], comp[order].copy(), part[order]
+    n = np.array([len(s) for s in sets])
+    ends = np.cumsum(n)
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    maps = np.stack([_bitmap(s, TILE_WIDTHS[1][0]) for s in sets]).view(np.uint64)
+    mark = np.zeros(ids.max() + 1, np.int32)
+    found = []
+    for x in range(len(sets) - 1):
+        y = np.arange(x + 1, np.searchsorted(n, 100 * n[x] // percent, "right"))
+        y = y[comp[y] != comp[x]]
+        if across:
+            y = y[part[y] != part[x]]
+        if not len(y):
+            continue
+        most = (n[x] + n[y] - np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)) // 2
+        y = y[100 * most >= percent * (n[x] + n[y] - most)]
+        if not len(y):
+            continue
+        mine = ids[ends[x] - n[x] : ends[x]]
+        mark[mine] = 1
+        at = np.cumsum(n[y]) - n[y]
+        flat = np.arange(n[y].sum()) - np.repeat(at, n[y]) + np.repeat(ends[y] - n[y], n[y])
+        both = np.add.reduceat(mark[ids[flat]], at)
+        mark[mine] = 0
+        y = y[100 * both >= percent * (n[x] + n[y] - both)]
+        new, first = np.unique(comp[y], return_index=True)
+        if len(new):
+            found += [(x, v) for v in y[first]]
+            comp[np.isin(comp, new)] = comp[x]
+    return order[np.array(found, np.int64).reshape(-1, 2)]
+
+
+def _compared(k: int, percent: int):
+    """Links (a, b) within each block of a family; rows (family, i, j, key, comp, part, text) come sorted by block."""
+    cols = ["family", "i", "j"]
+
+    def passing(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        edge = np.flatnonzero(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0)) + 1
+        key, comp, part = (t[c].to_numpy() for c in ("key", "comp", "part"))
+        out = [np.zeros((0, 2), np.int64)]
+        for a, e in zip([0, *edge], [*edge, t.num_rows]):
+            if e - a > 1:
+                sets = [s for _, s in _sets(t["text"].slice(a, e - a), k)]
+                joined = np.unique(comp[a:e], return_inverse=True)[1]
+                out.append(key[a:e][_links(sets, joined, part[a:e], t["i"][int(a)].as_py() != t["j"][int(a)].as_py(), percent)])
+        pairs = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return _by_block(cols, passing)
+
+
+def _tiles(shared: DataFrame, classes: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Rows of tiles with their bitmaps, in blocks (i, j) of bounded size, ready for _forest."""
+    big = cut(shared.groupBy("token", "band").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK))
+    rows = shared.join(small(big), ["token", "band"], "left").join(classes.select("key", "short"), "key")
+    if joined is None:
+        rows = rows.withColumn("comp", F.col("key"))
+    else:
+        rows = rows.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    rows = rows.withColumn("blocks", F.coalesce(F.ceil(F.col("size") / F.lit(BLOCK)), F.lit(1)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
+    rows = rows.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "own", "comp", "part", "short", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+    block = ["token", "band", "i", "j"]
+    return rows.repartition(*block).sortWithinPartitions(*block, "n", "key")
+
+
+def _families(forest: DataFrame, classes: DataFrame) -> DataFrame:
+    """(family, key, rep, n, blocks, part, lead): the classes that candidates join, and the block of each."""
+    member = components(forest).select(F.col("comp").alias("family"), F.col("node").alias("key")).join(classes.select("key", "rep", "n"), "key")
+    member = cut(member)
+    size = member.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("elements"), F.min("key").alias("lead"))
+    size = size.withColumn("blocks", F.greatest(F.ceil(F.col("m") / F.lit(BLOCK)), F.ceil(F.col("elements") / F.lit(ELEMENTS))).cast("int")).where("blocks > 1")
+    member = member.join(small(cut(size)), "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return member.select("family", "key", "rep", "n", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("part"), (F.col("key") == F.col("lead")).alias("lead"))
+
+
+def _verified(member: DataFrame, rows: DataFrame, pair, k: int, percent: int) -> DataFrame:
+    """Links of families whose rows stand in the blocks (i, j) of `pair`; member has their component in `comp`."""
+    one = rows.select(F.col("rid").alias("rep"), "text").join(small(member), "rep")  # one text a class
+    one = one.withColumn("pair", F.explode(pair)).select("family", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "key", "comp", "part", "text")
+    block = ["family", "i", "j"]
+    return cut(one.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compared(k, percent), "a long, b long"))
+
+
+def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For docs (rid, doc_id, text), rid unique: rows (rid, doc_id, n, key) and (key, doc_id, copies, comp) of the classes."""
+    rows, counts = shingle_rows(docs, k)
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("short").alias("short"))
+    classes = cut(classes)
 
-    return run
+    prefix = _prefixes(rows, k, percent, counts)
+    # one shuffle finds the elements that two classes share; those that are salted all stay, and the tiles sort them out
+    same = Window.partitionBy("token", "salt")
+    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
+    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"]).select("token", "key", "n", "front")
+    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
+    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
+    side = F.explode(F.array(*(F.struct((band + x).alias("band"), F.lit(x == 0).alias("own")) for x in (0, 1))))
+    shared = cut(shared.withColumn("side", side).select("token", "key", "n", "front", "side.band", "side.own"))
+
+    forest = cut(_tiles(shared, classes, None).mapInArrow(_forest(percent), "a long, b long").distinct())
+    member = cut(_families(forest, classes).withColumn("comp", F.col("key")))
+    diagonal = F.when(F.col("lead"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(x.alias("i"), x.alias("j"))))
+    diagonal = F.coalesce(diagonal, F.array(F.struct(F.col("part").alias("i"), F.col("part").alias("j"))))
+    links = _verified(member, rows, diagonal, k, percent)
+    joined = components(links)
+    if member.where("blocks > 1").limit(1).count():
+        # of the families in several blocks, what still has candidates in other components, each pair of blocks
+        wide = cut(member.where("blocks > 1").select("key"))
+        again = cut(_tiles(shared.join(small(wide), "key", "left_semi"), classes, joined).mapInArrow(_forest(percent), "a long, b long").distinct())
+        rest = _families(again, classes).join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
+        more = _verified(cut(rest), rows, every, k, percent)
+        joined = components(links.union(more))
+        release(wide, again, more)
+    release(shared, forest, member, links)
+    named = classes.select("key", "doc_id", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    return rows.select("rid", "doc_id", "n", "key"), cut(named)
+
+
+def _by_class(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """rows with the columns of named by key; the rows of classes with very many copies meet theirs by broadcast."""
+    hot = named.where(F.col("copies") > HOT_ROWS)
+    if not hot.limit(1).count():
+        return rows.join(named, "key", "left")
+    hot = small(cut(hot))
+    cold = rows.join(hot.select("key"), "key", "left_anti").join(named.where(F.col("copies") <= HOT_ROWS), "key", "left")
+    return cold.unionByName(rows.join(hot, "key"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
@@ -278,66 +375,25 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     n_shingles is the size of the set of distinct k-word shingles of the text with A-Z lower-cased; with fewer
     words all of them are one shingle. component_id is the smallest doc_id that links (100 * intersection >=
     percent * union) reach, itself included. A null, empty or wordless text has size 0, links with nothing and is its own
-    component. Rows that repeat a doc_id are documents of their own with that id. Other columns of docs are not read.
+    component. Rows that repeat a doc_id, or have none, are documents of their own. Other columns of docs are not read.
     """
-    rows = cut(shingle_classes(docs, k))
-    classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("short").alias("short"))
-    classes = cut(classes)
-
-    counts = shingle_counts(docs, k)
-    prefix = _prefixes(docs, k, percent, counts)
-    # one shuffle finds the elements that two classes share; those that are salted all stay, and the tiles sort them out
-    same = Window.partitionBy("token", "salt")
-    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
-    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"]).select("token", "key", "n", "front")
-    width = math.log(100 / percent)
-    band = F.floor(F.log(F.col("n")) / F.lit(width)).cast("int")
-    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
-    shared = cut(shared.withColumn("band", band).withColumn("band", F.explode(F.array("band", F.col("band") + 1))))
-
-    lead = shared.groupBy("token", "band").agg(F.min(F.struct("key", "n", "front")).alias("lead"), F.count("*").alias("size"), F.max("key").alias("high"), F.max("front").alias("any")).where("lead.key < high AND any").drop("any")
-    lead = cut(lead)
-    fits = "100 * least(n, lead.n) >= {p} * greatest(n, lead.n)".format(p=percent)
-    star = shared.join(lead, ["token", "band"]).where("key > lead.key AND (n <= lead.n AND front OR n >= lead.n AND lead.front)").where(fits).groupBy(F.col("key").alias("b")).agg(F.min("lead.key").alias("a"))
-    star = cut(_verified(star.select("a", "b"), classes, docs, k, percent)[0])
-    joined, links = components(star), star
-    sized = cut(shared.join(lead.select("token", "band", "size"), ["token", "band"]))
-    release(shared, lead)
-    turn, every = 0, False
-    while True:
-        members = cut(sized.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
-        release(sized)
-        mixed = members.groupBy("token", "band").agg(F.min("comp").alias("least_comp"), F.max("comp").alias("most_comp")).where("least_comp < most_comp").select("token", "band")
-        tiles = cut(members.join(mixed, ["token", "band"]))  # components only grow: other tiles are done
-        release(members)
-        sized = tiles.drop("comp")
-        members = tiles.join(classes.select("key", "short"), "key")
-        members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-        members = members.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "comp", "part", "short", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
-        block = ["token", "band", "i", "j"]
-        rest = cut(members.repartition(*block).sortWithinPartitions(*block, "n", "key").mapInArrow(_block_pairs(percent, None if every else turn), "a long, b long").distinct())
-        if not rest.limit(1).count():
-            break
-        new, compared = _verified(rest, classes, docs, k, percent, turn=None if every else turn)
-        new = cut(new)
-        n_new = new.count()
-        if n_new:
-            links = links.union(new)
-            joined = components(links)
-        if every:
-            break
-        turn, every = turn + 1, 2 * n_new < compared.count()  # most of what is left is not similar: nothing to merge first
-    joined = joined.withColumnRenamed("node", "key")
-
-    named = classes.select("key", "doc_id").join(joined, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    rows, named = _grouped(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), k, percent)
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "comp").select("key", "component_id")
-    out = rows.join(named, "key", "left")
+    named = cut(named.join(least, "comp").select("key", "copies", "component_id"))
+    out = _by_class(rows, named)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def without_near_copies(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """docs without the documents that a smaller doc_id of their group stands for; ids identify documents here."""
-    gone = cut(jaccard_components(docs, k, percent).where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each group of near copies: that of the smallest doc_id (a null one counts last), the first of several.
+
+    Rows are told apart by their place, not by doc_id. Texts without words are copies of nothing and stay.
+    """
+    tagged = cut(docs.withColumn("__rid", F.monotonically_increasing_id()))
+    rows, named = _grouped(tagged.select(F.col("__rid").alias("rid"), "doc_id", "text"), k, percent)
+    at = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
+    # copies combine before the shuffle, first by class, then by component
+    best = rows.where("key IS NOT NULL").groupBy("key").agg(F.min(at).alias("at")).join(named.select("key", "comp"), "key").groupBy("comp").agg(F.min("at").alias("at"))
+    stay = cut(best.select(F.col("at.rid").alias("__rid")))
+    bare = rows.where("key IS NULL").select(F.col("rid").alias("__rid"))
+    return tagged.join(small(cut(stay.union(bare))), "__rid", "left_semi").select(*docs.columns)
