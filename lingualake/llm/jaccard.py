@@ -38,7 +38,7 @@ TILE_WIDTHS = ((8, 768), (16, 1536), (32, math.inf))
 COUNTER_BITS = 18
 PARTS = 32
 #: Classes of a tile or family compared at once, and elements of their sets; a larger one is cut into pairs of such blocks.
-BLOCK, ELEMENTS = 2048, 4_000_000
+BLOCK, ELEMENTS = 2048, 1_000_000
 #: An element that occurs more often than this (or than four times the mean counter) spreads over several tasks.
 HOT_ROWS = 200_000
 
@@ -259,9 +259,11 @@ def _links(sets: list[np.ndarray], comp: np.ndarray, part: np.ndarray, across: b
             continue
         mine = ids[ends[x] - n[x] : ends[x]]
         mark[mine] = 1
-        at = np.cumsum(n[y]) - n[y]
-        flat = np.arange(n[y].sum()) - np.repeat(at, n[y]) + np.repeat(ends[y] - n[y], n[y])
-        both = np.add.reduceat(mark[ids[flat]], at)
+        both = np.zeros(len(y), np.int64)
+        for some in np.split(np.arange(len(y)), np.flatnonzero(np.diff(np.cumsum(n[y]) // (ELEMENTS // 4))) + 1):
+            m = n[y[some]]
+            at = np.cumsum(m) - m
+            both[some] = np.add.reduceat(mark[ids[np.arange(m.sum()) + np.repeat(ends[y[some]] - m - at, m)]], at)
         mark[mine] = 0
         y = y[100 * both >= percent * (n[x] + n[y] - both)]
         new, first = np.unique(comp[y], return_index=True)

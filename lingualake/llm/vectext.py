@@ -15,7 +15,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes hashed at once; one longer document is a chunk of its own.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
