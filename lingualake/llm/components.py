@@ -19,7 +19,6 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(label, both.b == label.node).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = label.join(near, "node", "left").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        step = cut(step)
         jump = step.select(F.col("node").alias("at"), F.col("comp").alias("further"))
         step = cut(step.join(jump, step.comp == jump.at, "left").select("node", "old", F.least("comp", F.coalesce("further", "comp")).alias("comp")))
         changed = step.where("comp < old").limit(1).count()

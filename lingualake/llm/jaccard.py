@@ -32,8 +32,8 @@ from . import vectext as V
 from .common import cut, release, small
 from .components import components
 
-#: Words (of 64 bits) of the bitmaps in tiles, and the sizes up to which each is used: too few bits bound nothing.
-TILE_WIDTHS = ((8, 768), (16, 1536), (32, math.inf))
+#: Words (of 64 bits) of the least bitmap and the elements it serves; larger sets have proportionally more: too few bits bound nothing.
+WORDS, SERVES = 8, 768
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
 PARTS = 32
@@ -54,9 +54,13 @@ def _key(s: np.ndarray) -> int:
     return int(V.mix(x).view(np.int64)[0])
 
 
+def _width(n: int) -> int:
+    return WORDS << max(0, -(-int(n) // SERVES) - 1).bit_length()
+
+
 def _bitmap(s: np.ndarray, width: int | None = None) -> np.ndarray:
     """Bit i tells whether an odd number of the elements hash to i."""
-    width = width or next(w for w, most in TILE_WIDTHS if len(s) <= most)
+    width = width or _width(len(s))
     bits = (s >> np.uint64(20)) % np.uint64(64 * width)
     odd = np.bincount(bits.astype(np.int64), minlength=64 * width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
@@ -202,12 +206,14 @@ def _forest(percent: int):
         wide, values = short.value_lengths().to_numpy(), short.flatten().to_numpy()
         ends = np.cumsum(wide)
         folded = {}
-        for w, _ in TILE_WIDTHS:  # each row's bitmap in every width that it has, or folds to: widths are powers of two, parities add by xor
-            folded[w] = np.zeros((len(key), w), np.uint64)
-            for has in np.unique(wide[wide >= w]):
-                rows = np.flatnonzero(wide == has)
-                words = values[(ends[rows] - has)[:, None] + np.arange(has)]
-                folded[w][rows] = np.bitwise_xor.reduce(words.reshape(len(rows), -1, w), axis=1).view(np.uint64)
+        for w in np.unique(wide):  # the bitmaps of this width and the wider ones folded to it: widths are powers of two, parities add by xor
+            rows = np.flatnonzero(wide >= w)
+            maps = np.zeros((len(rows), w), np.uint64)
+            for has in np.unique(wide[rows]):
+                some = np.flatnonzero(wide[rows] == has)
+                words = values[(ends[rows[some]] - has)[:, None] + np.arange(has)]
+                maps[some] = np.bitwise_xor.reduce(words.reshape(len(some), -1, w), axis=1).view(np.uint64)
+            folded[w] = rows, maps
         same = np.zeros(len(key), np.int64)
         same[1:] = np.cumsum(np.any([np.diff(t[c].to_numpy()) != 0 for c in cols], axis=0))
         parent = np.arange(len(key))
@@ -223,7 +229,8 @@ def _forest(percent: int):
             differ, meet = np.zeros(len(u), np.int64), np.minimum(wide[u], wide[v])
             for w in np.unique(meet):
                 at = meet == w
-                differ[at] = np.bitwise_count(folded[w][u[at]] ^ folded[w][v[at]]).sum(axis=1, dtype=np.int64)
+                rows, maps = folded[w]
+                differ[at] = np.bitwise_count(maps[np.searchsorted(rows, u[at])] ^ maps[np.searchsorted(rows, v[at])]).sum(axis=1, dtype=np.int64)
             most = (n[u] + n[v] - differ) // 2  # no more elements can be shared
             ok = 100 * most >= percent * (n[u] + n[v] - most)
             parent = _hook(parent, u[ok], v[ok])
@@ -243,7 +250,7 @@ def _links(sets: list[np.ndarray], comp: np.ndarray, part: np.ndarray, across: b
     n = np.array([len(s) for s in sets])
     ends = np.cumsum(n)
     ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    maps = np.stack([_bitmap(s, TILE_WIDTHS[1][0]) for s in sets]).view(np.uint64)
+    maps = np.stack([_bitmap(s, 2 * _width(n[-1])) for s in sets]).view(np.uint64)
     mark = np.zeros(ids.max() + 1, np.int32)
     found = []
     for x in range(len(sets) - 1):
@@ -334,12 +341,13 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     prefix = _prefixes(rows, k, percent, counts)
     # one shuffle finds the elements that two classes share; those that are salted all stay, and the tiles sort them out
     same = Window.partitionBy("token", "salt")
-    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
-    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"]).select("token", "key", "n", "front")
-    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
-    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
-    side = F.explode(F.array(*(F.struct((band + x).alias("band"), F.lit(x == 0).alias("own")) for x in (0, 1))))
-    shared = cut(shared.withColumn("side", side).select("token", "key", "n", "front", "side.band", "side.own"))
+    prefix = prefix.withColumn("band", F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int"))
+    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same)).withColumn("bands", F.collect_set("band").over(same))
+    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"])
+    # each class stands in its own band and, where that has any, in the next: bands that can match always meet in the larger's
+    next_too = (F.col("salt") > 0) | F.array_contains("bands", F.col("band") + 1)
+    stands = F.array(F.struct(F.col("band"), F.lit(True).alias("own")), F.when(next_too, F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own"))))
+    shared = cut(shared.withColumn("side", F.explode(F.array_compact(stands))).select("token", "key", "n", "front", "side.band", "side.own"))
 
     forest = cut(_tiles(shared, classes, None).mapInArrow(_forest(percent), "a long, b long").distinct())
     member = cut(_families(forest, classes).withColumn("comp", F.col("key")))
