@@ -33,7 +33,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it again: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

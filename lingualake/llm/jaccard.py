@@ -33,7 +33,7 @@ from .common import cut, release, small
 from .components import components
 
 #: Words (of 64 bits) of the least bitmap and the elements it serves; larger sets have proportionally more: too few bits bound nothing.
-WORDS, SERVES = 8, 768
+WORDS, SERVES = 8, 1024
 #: Counters of the frequency table: 2**18, of a fixed 1 MB at any corpus size.
 COUNTER_BITS = 18
 PARTS = 32
@@ -339,15 +339,19 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     classes = cut(classes)
 
     prefix = _prefixes(rows, k, percent, counts)
-    # one shuffle finds the elements that two classes share; those that are salted all stay, and the tiles sort them out
+    # one shuffle finds the elements that two classes share, and then the tiles that may hold a candidate; rows that are
+    # salted all stay, and the tiles sort them out
     same = Window.partitionBy("token", "salt")
-    prefix = prefix.withColumn("band", F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int"))
-    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same)).withColumn("bands", F.collect_set("band").over(same))
+    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
     shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"])
-    # each class stands in its own band and, where that has any, in the next: bands that can match always meet in the larger's
-    next_too = (F.col("salt") > 0) | F.array_contains("bands", F.col("band") + 1)
-    stands = F.array(F.struct(F.col("band"), F.lit(True).alias("own")), F.when(next_too, F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own"))))
-    shared = cut(shared.withColumn("side", F.explode(F.array_compact(stands))).select("token", "key", "n", "front", "side.band", "side.own"))
+    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
+    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
+    side = F.explode(F.array(*(F.struct((band + x).alias("band"), F.lit(x == 0).alias("own")) for x in (0, 1))))
+    shared = shared.withColumn("side", side).select("token", "salt", "key", "n", "front", "side.band", "side.own")
+    tile = Window.partitionBy("token", "salt", "band")
+    least = F.min(F.when(F.col("front"), F.col("n"))).over(tile)
+    shared = shared.withColumn("low", F.min("key").over(tile)).withColumn("high", F.max("key").over(tile)).withColumn("any", F.max("own").over(tile)).withColumn("least", least)
+    shared = cut(shared.where("salt > 0 OR low < high AND any AND least <= n").select("token", "key", "n", "front", "band", "own"))
 
     forest = cut(_tiles(shared, classes, None).mapInArrow(_forest(percent), "a long, b long").distinct())
     member = cut(_families(forest, classes).withColumn("comp", F.col("key")))
