@@ -1,10 +1,11 @@
 """Embedding near-dedup by spherical-cap filters: structured random product codes, list decoding, exact check.
 
 A filter is a direction; a vector belongs to every filter whose direction is close enough (a spherical cap). The directions
-are a product code: each half of the (randomly rotated) space has its own short list of random vectors, a direction is a pair
-of them. So a vector finds all its filters by sorting two short lists of inner products, not by trying every pair. Two
-vectors with a cosine of at least the threshold share a filter with a probability that the number of filters sets
-(0.99 here); sharing makes them candidates, their exact cosine decides.
+are a product code: each half of a randomly rotated space has its own short list of random vectors, a direction is a pair
+of them. So a vector finds all its filters by sorting two short lists of inner products, not by trying every pair. The
+directions of one code depend on each other, and some vectors fall in none of its caps; so there are several codes with
+rotations of their own. How often a pair at the threshold shares a filter of one code is measured on drawn pairs of the real
+dimension; that sets the number of codes which the asked recall needs. Sharing makes candidates, their exact cosine decides.
 
 Equal vectors are one class with a count. A filter's members are compared in blocks of bounded size as matrices; a pair is
 counted in the smallest filter that both belong to, so blocks give sums and labels, never lists of all pairs.
@@ -12,42 +13,30 @@ counted in the smallest filter that both belong to, so blocks give sums and labe
 
 from __future__ import annotations
 
+import functools
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, small
 from .components import components
 
 #: Vectors of a filter compared at once.
 BLOCK = 1024
-#: Classes that a filter holds of `n` at random.
-LOAD = 24
+#: Classes that a filter holds of `n` at random, and filters of one code that a vector falls in.
+LOAD, CAPS = 512, 1.0
+#: Pairs and codes drawn to measure how often a pair at the threshold shares a filter of a code.
+DRAWN = (240, 6)
 
 
-def _upper(x: float) -> float:
-    return 0.5 * math.erfc(x / math.sqrt(2))
-
-
-def plan(n: int, threshold: float, recall: float) -> tuple[float, int]:
-    """(cap height in standard deviations, list length of each half): caps that hold LOAD of n random vectors, and as
-    many directions as let a pair at the threshold share one with the probability `recall`."""
-    low, high = 0.5, 8.0
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if _upper(mid) * max(n, 4 * LOAD) > LOAD else (low, mid)
-    density = math.exp(-low * low / 2) / math.sqrt(2 * math.pi)
-    mean = density / _upper(low)
-    both = _upper((low - threshold * mean) / math.sqrt(1 - threshold * threshold))
-    filters = math.log(1 / (1 - recall)) / both
-    return low, max(4, math.ceil(math.sqrt(filters / _upper(low))))
-
-
-def codes(dim: int, length: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rng = np.random.default_rng([seed, dim])
+def codes(dim: int, length: int, number: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rotation and the two lists of one code."""
+    rng = np.random.default_rng([seed, dim, number])
     turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
     half = max(1, dim // 2)
     return turn, rng.normal(size=(half, length)), rng.normal(size=(max(1, dim - half), length))
@@ -63,14 +52,34 @@ def decode(unit: np.ndarray, code, height: float) -> list[np.ndarray]:
     out = []
     for u, v in zip(a, b):
         order = np.argsort(-v)
-        ranked = -v[order]
-        many = np.searchsorted(ranked, u - height, "right")  # list decoding: how far down the second list each entry reaches
+        many = np.searchsorted(-v[order], u - height, "right")  # list decoding: how far down the second list each entry reaches
         i = np.repeat(np.arange(length), many)
         j = order[np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)]
         out.append(np.sort(i * length + j))
     return out
 
 
+@functools.cache
+def plan(n: int, dim: int, threshold: float, recall: float) -> tuple[float, int, int]:
+    """(cap height, list length of each half, number of codes) for n vectors: caps that hold LOAD of them at random, and as
+    many codes as let a pair at the threshold share a filter with the probability `recall`, by the hit rate less its error."""
+    share = min(0.3, LOAD / max(n, 1))
+    height, length = NormalDist().inv_cdf(1 - share), max(2, math.ceil(math.sqrt(CAPS / share)))
+    rng = np.random.default_rng([11, dim])
+    x, y = rng.normal(size=(2, DRAWN[0], dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+    y = threshold * x + math.sqrt(1 - threshold * threshold) * y
+    hits = 0
+    for k in range(DRAWN[1]):
+        code = codes(dim, length, k)
+        hits += sum(len(np.intersect1d(a, b, assume_unique=True)) > 0 for a, b in zip(decode(x, code, height), decode(y, code, height)))
+    drawn = DRAWN[0] * DRAWN[1]
+    rate = max(hits / drawn - 2 * math.sqrt(max(hits, 1)) / drawn, 0.01)
+    return height, length, max(1, math.ceil(math.log(1 - recall) / math.log(1 - rate))) if rate < 1 else 1
+
+
 def _counted(x: np.ndarray, cls: np.ndarray, copies: np.ndarray, part: np.ndarray, across: bool, mine: int, lists, threshold: float):
     """Links of one block: (class, linked vectors, smallest class of its group in the block)."""
     norm = np.linalg.norm(x, axis=1)
@@ -100,7 +109,7 @@ def _counted(x: np.ndarray, cls: np.ndarray, copies: np.ndarray, part: np.ndarra
     return cls[rows], once @ copies[rows], label
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.99) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.97) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors (vec_id, embedding).
 
     n_links is how many other rows have a cosine (double precision) of at least the threshold with this one and were found;
@@ -108,35 +117,38 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.9
     components link with nothing, and so do vectors of different length. Rows that repeat link with each other; a repeated
     vec_id names rows of their own. Other columns, and labels, are not read.
     """
-    emb = F.col("embedding").cast("array<double>")
+    emb = F.col("embedding")
+    if not isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType):  # single precision stays so on the way: no digit is lost
+        emb = emb.cast("array<double>")
     good = F.coalesce((F.size(emb) > 0) & F.forall(emb, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(emb, lambda v: v != 0), F.lit(False))
     rows = cut(vectors.select("vec_id", F.when(good, emb).alias("v")).withColumn("k1", F.when(F.col("v").isNotNull(), F.xxhash64("v"))).withColumn("k2", F.when(F.col("v").isNotNull(), F.hash("v"))))
-    classes = cut(rows.where("v IS NOT NULL").groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("v").alias("v")).withColumn("cls", F.xxhash64("k1", "k2")))
-    height, length = plan(classes.count(), threshold, recall)
+    classes = rows.where("v IS NOT NULL").groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("v").alias("v")).withColumn("cls", F.xxhash64("k1", "k2"))
+    known = rows.where("v IS NOT NULL").groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row a dimension
+    plans = {r["dim"]: plan(r["n"], r["dim"], threshold, recall) for r in known}
 
     def cast(batches):
-        made: dict = {}
         for b in batches:
-            dims = np.array([len(v) for v in b.column(2)])
+            dims = b.column(4).value_lengths().to_numpy()
+            own: list = [None] * b.num_rows
             for dim in np.unique(dims):
                 pick = np.flatnonzero(dims == dim)
-                part = b.take(pa.array(pick))
-                x = np.array(part.column(2).to_pylist(), float).reshape(len(pick), dim)
+                x = b.column(4).take(pa.array(pick)).flatten().to_numpy().astype(float).reshape(len(pick), dim)
                 x = x / np.abs(x).max(axis=1, keepdims=True)
-                if dim not in made:
-                    made[dim] = codes(dim, length)
-                lists = decode(x / np.linalg.norm(x, axis=1, keepdims=True), made[dim], height)
-                many = [len(s) for s in lists]
-                at = np.repeat(np.arange(len(pick)), many)
-                flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-                again = part.take(pa.array(at))
-                each = pa.array([lists[i] for i in at], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), pa.array(np.full(len(flat), dim), pa.int32()), again.column(0), again.column(1), pa.array(list(x[at]), pa.list_(pa.float64())), each], ["filter", "dim", "cls", "copies", "v", "own"])
-
-    member = classes.select("cls", "copies", "v").mapInArrow(cast, "filter long, dim int, cls long, copies long, v array<double>, own array<long>")
-    member = cut(member)
-    sizes = member.groupBy("filter", "dim").agg(F.count("*").alias("n")).where("n > 1")
-    block = member.join(sizes, ["filter", "dim"]).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).withColumn("part", F.pmod("cls", F.col("blocks")).cast("int"))
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                height, length, number = plans[dim]
+                found = [[] for _ in pick]
+                for k in range(number):
+                    for mine, s in zip(found, decode(x, codes(dim, length, k), height)):
+                        mine.append(s + k * length * length)
+                for i, mine in zip(pick, found):
+                    own[i] = np.concatenate(mine)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.list_(pa.int64()))], [*b.schema.names, "own"])
+
+    classes = classes.select("cls", "copies", "k1", "k2", "v", "least")
+    classes = cut(classes.mapInArrow(cast, T.StructType([*classes.schema.fields, T.StructField("own", T.ArrayType(T.LongType()))])))
+    member = classes.select("cls", "copies", F.size("v").alias("dim"), F.explode("own").alias("filter"), "v", "own")
+    big = cut(member.groupBy("filter", "dim").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK))
+    block = member.join(small(big), ["filter", "dim"], "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(BLOCK)), F.lit(1)).cast("int")).withColumn("part", F.pmod("cls", F.col("blocks")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
     block = block.withColumn("pair", F.explode(pair)).select("filter", "dim", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "part", "cls", "copies", "v", "own")
     keys = ["filter", "dim", "i", "j"]
@@ -153,7 +165,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.9
             found = []
             for a, e in zip([0, *edge], [*edge, len(key)]):
                 if e - a > 1:
-                    x = flat[v_at[a] : v_at[e]].reshape(e - a, -1)
+                    x = flat[v_at[a] : v_at[e]].astype(float).reshape(e - a, -1)
                     got = _counted(x, cls[a:e], copies[a:e], part[a:e], key[a, 2] != key[a, 3], key[a, 0], [lists[o_at[k] : o_at[k + 1]] for k in range(a, e)], threshold)
                     if got:
                         found.append(got)

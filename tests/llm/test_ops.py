@@ -286,6 +286,22 @@ def test_caps(spark, monkeypatch):
     assert caps.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim, n", [(8, 300), (16, 50_000), (64, 50_000), (128, 10_000_000), (384, 300)])
+def test_caps_recall_at_the_threshold(dim, n):
+    """Fresh pairs at a cosine of 0.9, not those that the plan drew: the share that some filter of some code holds together."""
+    height, length, number = caps.plan(n, dim, 0.9, 0.97)
+    rng = np.random.default_rng(77)
+    x, y = rng.normal(size=(2, 200, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + math.sqrt(1 - 0.81) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    met = np.zeros(200, bool)
+    for k in range(number):
+        code = caps.codes(dim, length, k)
+        met |= [bool(set(a) & set(b)) for a, b in zip(caps.decode(x, code, height), caps.decode(y, code, height))]
+    assert met.mean() >= 0.92
+
+
 def test_pages_keep_all_of_the_article():
     def text(page):
         return [t for _, aside, t in pages.parse(page) if not aside]
