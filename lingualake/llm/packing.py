@@ -4,7 +4,7 @@ Every document is tokenized once, in Arrow batches. The packing itself needs the
 often each occurs: a table of at most `capacity` numbers at any corpus size. Items above a third of the capacity
 are matched, at most two to a sequence, each largest one with the largest that still fits; the smaller ones then go,
 largest first, to the fullest sequences with room. The outcome is a list of groups of equal sequences; pieces of one
-length are numbered on Spark (in salted runs, so that no length is one task) and look their place up in that list.
+length are numbered on Spark (in runs of bounded size, as many as the length's count asks) and look their place up in that list.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import Window as W
 
 from .common import cut
 
-#: Runs into which the pieces of one length are dealt for numbering.
-RUNS = 64
+#: Pieces of one length that are numbered together; a more frequent length has more runs.
+RUN = 250_000
 #: Longer texts go to the tokenizer whose time does not depend on the length of a run of white space.
 LONG_TEXT = 1_000_000
 _LOADED: dict = {}
@@ -36,7 +36,7 @@ def _encoder(path: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+        special = sorted({x.content for x in t.get_added_tokens_decoder().values()})
         fast = None
         ranks = path.replace(".json", ".tiktoken")
         if ranks != path and os.path.exists(ranks):  # the same vocabulary as ranks: the same ids, some four times faster
@@ -49,7 +49,8 @@ def _encoder(path: str):
                 fast = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
 
         def encode(text: str) -> list[int]:
-            if fast is not None and len(text) <= LONG_TEXT:
+            # texts that spell a special token go to the tokenizer itself, which takes it for that token
+            if fast is not None and len(text) <= LONG_TEXT and not any(x in text for x in special):
                 return fast.encode_ordinary(text)
             return t.encode(text, add_special_tokens=False).ids
 
@@ -166,29 +167,33 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048) -> DataFrame:
     than the capacity are cut: the first piece takes what is over, the others are full. Same rows, same sequences.
     """
     cutted = cut(pieces(docs, path, capacity))
-    run = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RUNS)).cast("int")
-    cutted = cutted.withColumn("run", run)
-    counts = cutted.groupBy("length", "run").agg(F.count("*").alias("n")).collect()  # capacity * RUNS rows at most
-    total: dict[int, int] = defaultdict(int)
-    before = {}
+    total = {r["length"]: r["n"] for r in cutted.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
+    # runs of the lengths that need more than one: one row each for every RUN pieces, in a literal of at most capacity entries
+    runs = [F.lit(x) for n, c in sorted(total.items()) if c > RUN for x in (n, -(-c // RUN))]
+    of = F.coalesce(F.element_at(F.create_map(*runs), F.col("length")), F.lit(1)) if runs else F.lit(1)
+    cutted = cutted.withColumn("run", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), of).cast("int"))
+    counts = cutted.groupBy("length", "run").agg(F.count("*").alias("n")).collect() if runs else []  # capacity rows and one more for every RUN pieces
+    before, at = {}, defaultdict(int)
     for r in sorted(counts, key=lambda r: (r["length"], r["run"])):
-        before[r["length"], r["run"]] = total[r["length"]]
-        total[r["length"]] += r["n"]
-    shared = docs.sparkSession.sparkContext.broadcast((before, _places(pack_lengths(dict(total), capacity))))
+        before[r["length"], r["run"]] = at[r["length"]]
+        at[r["length"]] += r["n"]
+    shared = docs.sparkSession.sparkContext.broadcast((before, _places(pack_lengths(total, capacity))))
     order = W.partitionBy("length", "run").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = cutted.withColumn("rank", F.row_number().over(order))
 
     def place(batches):
         first, places = shared.value
         for b in batches:
-            c = b.to_pydict()
-            seq, off = [], []
-            for n, r, k in zip(c["length"], c["run"], c["rank"]):
-                at = first[n, r] + k - 1
+            length, run, rank = (b.column(i).to_numpy().astype(np.int64) for i in (3, 5, 6))
+            seq, off = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            order = np.lexsort((run, length))
+            edge = np.flatnonzero((np.diff(length[order]) != 0) | (np.diff(run[order]) != 0)) + 1
+            for rows in np.split(order, edge) if b.num_rows else []:
+                n = int(length[rows[0]])
                 starts, seqs, offs = places[n]
-                i = int(np.searchsorted(starts, at, "right")) - 1
-                seq.append(int(seqs[i]) + at - int(starts[i]))
-                off.append(int(offs[i]))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(seq, pa.int64()), pa.array(off, pa.int64())], [*b.schema.names[:5], "sequence_id", "offset"])
+                at = first.get((n, int(run[rows[0]])), 0) + rank[rows] - 1
+                i = np.searchsorted(starts, at, "right") - 1
+                seq[rows], off[rows] = seqs[i] + at - starts[i], offs[i]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(seq), pa.array(off)], [*b.schema.names[:5], "sequence_id", "offset"])
 
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "run", "rank").mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -169,9 +169,12 @@ def test_flight_balances():
     assert ((q > 0) & (q < 1)).sum() <= 2 and abs(q.sum() - 90) < 1e-6 and abs(q @ x - 0.3 * x.sum()) < 1e-6
 
 
-def test_packing(docs, nothing):
+@pytest.mark.parametrize("run", [250_000, 4])
+def test_packing(docs, nothing, monkeypatch, run):
     import zlib
 
+    monkeypatch.setattr(packing, "RUN", run)
+
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -201,6 +204,20 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing, path, cap).count() == 0
 
 
+def test_encoder_gives_the_tokenizers_ids(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    special = [x.content for x in tok.get_added_tokens_decoder().values()] or ["<|endoftext|>"]
+    texts = ["", "plain words", *(f"a {x} b" for x in special), *(f"{x}{x}" for x in special), "<|endoftext|", "x <|endoftext|> y", "é😀 \n\n  z", " " * 40]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for long in (packing.LONG_TEXT, -1):  # the ranks, and the file as loaded
+        monkeypatch.setattr(packing, "LONG_TEXT", long)
+        assert [list(packing._encoder(path)(t)) for t in texts] == want
+
+
 def test_pack_lengths_places_all():
     counts = {n: int(c) for n, c in zip(range(1, 101), RNG.integers(0, 9, 100))}
     got = collections.Counter()
