@@ -1,9 +1,11 @@
-"""Secret scan: generators propose tokens, a random forest removes false findings. DataFrame functions only.
-
-There is no table of labelled findings. The forest is trained on the findings that their surroundings label: values that
-a credential word assigns, or that carry a provider's prefix, and hold digits, are true; words, numbers, and values of a path
-or a plain sentence are false. It sees neither rule, only length, character transitions, dictionary coverage, path and
-neighbouring words, each binned; it then decides on every candidate.
+"""Secret scan: generators propose tokens, random forests remove false findings. DataFrame functions only.
+
+There is no table of labelled findings; two views of a candidate label it for each other. Where the surroundings are plain
+(a credential word assigns it; or it stands in a plain sentence) they label it for a forest that sees the form alone:
+length, character transitions, dictionary coverage, path, symbols. Where the form is plain (a provider's prefix, the
+length of a digest, a word of the dictionary) it labels the candidate for a forest that sees the neighbouring words and
+signs alone. No forest sees what its own labels were made from. A candidate stays if the geometric mean of both forests
+reaches the threshold, or if its format leaves no doubt. The dictionary is what the corpus itself says most often.
 """
 
 from __future__ import annotations
@@ -13,88 +15,110 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, whole
-from .spans import redact, spans
+from .spans import char_class, redact, spans
 from .trees import expression, forest
 
+_WORDS = r"token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth"
+_KEY = rf"(?i:{_WORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}"
 #: A run that could be a credential: not inside a longer run.
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
-KEYWORD = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)[\"']?\s{0,3}[:=]?\s{0,3}[\"']?\z"
-_KEY = r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)[\"']?\s{0,3}[:=]\s{0,3}"
 #: What a credential word assigns: a quoted value, or one up to a space, quote, comma or semicolon; of any characters.
 ASSIGNED = rf"(?<=[\"'])(?<={_KEY}[\"'])[^\"'\r\n]{{6,256}}+(?=[\"'])|(?<=[:=\s])(?<={_KEY})[^\s\"',;]{{5,}}[^\s\"',;.:!?)\]}}]"
-PREFIX = r"^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|xox[abprs]-|AIza|eyJ)"
-#: Frequent letter groups of words in the four languages of the tables, for dictionary coverage.
-WORDS = "the|and|ing|tion|ent|ion|her|for|that|with|are|all|ter|est|ers|ment|eau|que|les|des|elle|pour|une|dans|aux|ich|ein|ung|sch|der|die|und|den|keit|lich|heit|ver|ado|ada|aci|los|las|por|con|ar|er|en|on|an|st|re|in|ou|ai|es|se"
-FEATURES = ("length", "turns", "covered", "path", "near", "quoted", "hex", "symbols")
-_TYPE = "array<struct<start:int,end:int,label:int," + ",".join(f"{x}_bin:int" for x in FEATURES) + ">>"
+PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{0,20000}(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
+JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?"
+#: User and password of a URL.
+LOGIN = r"(?<=://)[^\s/:@\"']{1,64}:[^\s/@\"']{3,128}(?=@)"
+GENERATORS = "|".join((PEM, JWT, LOGIN, ASSIGNED, TOKEN))
+#: Formats that leave no doubt: key blocks, signed tokens, fixed prefixes with their fixed lengths.
+CERTAIN = r"^(?:-----BEGIN|eyJ[A-Za-z0-9_-]{8,}\.eyJ|(?:AKIA|ASIA)[0-9A-Z]{16}\z|gh[pos]_[A-Za-z0-9]{36}\z|xox[abprs]-|AIza[A-Za-z0-9_-]{35}\z|sk_live_)"
+FORM = ("length", "turns", "covered", "path", "digits", "hex", "symbols")
+NEAR = ("cue", "sign", "before", "after")
+_TYPE = "array<struct<start:int,end:int,sure:boolean,by_near:int,by_form:int," + ",".join(f"{x}_bin:int" for x in FORM + NEAR) + ">>"
+
+
+def dictionary(docs: DataFrame, size: int = 300) -> str:
+    """The `size` words (4 to 12 small letters) that the most texts hold, as a pattern: longest first."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(whole(F.col("text"))), F.lit(r"(?<![a-z0-9])[a-z]{4,12}(?![a-z0-9])"), F.lit(0)))
+    counted = docs.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    found = [r["w"] for r in counted.orderBy(F.desc("n"), "w").limit(size).collect()]  # the dictionary's size, whatever the corpus
+    return "|".join(sorted(found, key=lambda w: (-len(w), w))) or r"\z."
+
 
+def candidates(text: Column, words: str) -> Column:
+    """Every generator's spans with their bins, and the labels that each view gives (null: undecided)."""
 
-def candidates(text: Column) -> Column:
     def one(s: Column) -> Column:
         v = s["value"]
         n = F.length(v)
         near = F.substring(text, F.greatest(F.lit(1), s["start"] - 31), F.least(F.lit(32), s["start"]))
         turns = F.regexp_count(v, F.lit(r"(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]")) / n
-        covered = 1 - F.length(F.regexp_replace(F.lower(v), WORDS, "")) / n
-        keyed = near.rlike(KEYWORD)
-        quoted = near.rlike(r"[\"'=:]\s?\z")
+        covered = 1 - F.length(F.regexp_replace(F.lower(v), words, "")) / n
         digits = n - F.length(F.translate(v, "0123456789", ""))
-        symbols = v.rlike(r"[^A-Za-z0-9+/_=-]")
-        true = (keyed | v.rlike(PREFIX)) & (digits > 0) & (n >= 16) | keyed & (digits > 0) & (digits < n)
-        false = ((digits == 0) & ~(keyed & symbols)) | (digits == n) | (~keyed & ~quoted & (turns < 0.1))
+        is_hex = v.rlike(r"^[0-9a-f]+\z")
+        adjacent = near.rlike(rf"(?i)(?:{_WORDS})[\"']?\s{{0,3}}[:=]?\s{{0,3}}[\"']?\z")
+        cue = F.when(adjacent, 3).when(near.rlike(rf"(?i)(?:{_WORDS}|key)"), 2).when(near.rlike(r"(?i)(?:commit|sha|md5|hash|checksum|digest|version|file|path|uuid|href|http)"), 1).otherwise(0)
+        sign = F.when(near.rlike(r"[\"']\z"), 3).when(near.rlike(r"=\s?\z") | near.rlike(r"://\z"), 2).when(near.rlike(r":\s{0,3}\z"), 1).otherwise(0)
+        sure = v.rlike(CERTAIN)
         bins = {
-            "length": F.when(n < 16, 5).when(n < 20, 0).when(n < 32, 1).when(n < 40, 2).when(n < 48, 3).otherwise(4),
+            "length": F.when(n < 8, 0).when(n < 16, 1).when(n < 20, 2).when(n < 32, 3).when(n < 40, 4).when(n < 48, 5).otherwise(6),
             "turns": F.when(turns == 0, 0).when(turns < 0.1, 1).when(turns < 0.3, 2).otherwise(3),
             "covered": F.when(covered < 0.2, 0).when(covered < 0.5, 1).when(covered < 0.8, 2).otherwise(3),
-            "path": v.contains("/").cast("int"),
-            "near": near.rlike(r"(?i)(?:token|secret|passw|key|credential|bearer|auth)").cast("int"),
-            "quoted": quoted.cast("int"),
-            "hex": v.rlike(r"^[0-9a-f]+\z").cast("int"),
-            "symbols": symbols.cast("int"),
+            "path": F.when(v.contains("/"), 1).otherwise(0),
+            "digits": F.when(digits == 0, 0).when(digits < n, 1).otherwise(2),
+            "hex": is_hex.cast("int"),
+            "symbols": v.rlike(r"[^A-Za-z0-9+/_=-]").cast("int"),
+            "cue": cue,
+            "sign": sign,
+            "before": char_class(F.substring(near, -1, 1)),
+            "after": char_class(F.substring(text, s["end"] + 1, F.lit(1))),
         }
-        label = F.when(true, 1).when(false, 0)
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), label.cast("int").alias("label"), *(bins[x].cast("int").alias(f"{x}_bin") for x in FEATURES))
+        by_near = F.when((cue == 3) & (sign >= 2), 1).when((cue <= 1) & (sign == 0) | (cue == 3) & (sign == 1), 0)
+        by_form = F.when(sure | is_hex & (digits > 0) & (digits < n) & n.isin(32, 40, 64) | (n >= 16) & (turns >= 0.3) & (covered < 0.2), 1).when((digits == 0) | (digits == n) | (covered >= 0.8), 0)
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), sure.alias("sure"), by_near.cast("int").alias("by_near"), by_form.cast("int").alias("by_form"), *(bins[x].cast("int").alias(f"{x}_bin") for x in FORM + NEAR))
 
-    return F.transform(spans(text, f"{ASSIGNED}|{TOKEN}"), one).cast(_TYPE)
+    return F.transform(spans(text, GENERATORS), one).cast(_TYPE)
 
 
-def _trained(rows: DataFrame) -> list:
-    one = rows.select(F.explode("found").alias("c")).where("c.label IS NOT NULL")
-    counted = one.groupBy(*(f"c.{x}_bin" for x in FEATURES)).agg(F.sum("c.label").alias("pos"), F.sum(1 - F.col("c.label")).alias("neg")).collect()  # as many rows as bins at most
-    counted = sorted(tuple(r) for r in counted)
-    table = np.array(counted, float).reshape(len(counted), len(FEATURES) + 2)
-    pos, neg = table[:, -2], table[:, -1]
-    return forest(table[:, :-2].astype(int), pos, neg) if pos.sum() and neg.sum() else []
+def _trained(rows: DataFrame) -> list[tuple[tuple, list]]:
+    """The forests that have labels of both kinds to learn from: (features, trees)."""
+    out = []
+    for names, label in ((FORM, "by_near"), (NEAR, "by_form")):
+        one = rows.select(F.explode("found").alias("c")).where(f"c.{label} IS NOT NULL")
+        counted = one.groupBy(*(f"c.{x}_bin" for x in names)).agg(F.sum(f"c.{label}").alias("pos"), F.sum(1 - F.col(f"c.{label}")).alias("neg")).collect()  # as many rows as bins at most
+        table = np.array(sorted(tuple(r) for r in counted), float).reshape(len(counted), len(names) + 2)
+        pos, neg = table[:, -2], table[:, -1]
+        if pos.sum() and neg.sum():
+            out.append((names, forest(table[:, :-2].astype(int), pos, neg)))
+    return out
+
+
+def _score(forests: list[tuple[tuple, list]], c: Column) -> Column:
+    parts = [expression(trees, [c[f"{f}_bin"] for f in names], mean=True) for names, trees in forests]
+    learned = F.sqrt(parts[0] * parts[1]) if len(parts) == 2 else parts[0] if parts else F.coalesce(c["by_near"], c["by_form"], F.lit(0)).cast("double")
+    return F.when(c["sure"], 1.0).otherwise(learned)
 
 
 def find_secrets(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(doc_id, n_candidates, found) for every row of docs (doc_id, text); found: spans (start, end, score) that stay.
 
-    Null and empty texts have none; rows that repeat are each searched; if no finding labels itself, there is no
-    forest and nothing is reported; other columns are not read.
+    Null and empty texts have none; rows that repeat are each searched; where the labels of one view are all alike, the other
+    forest decides alone, without either the labels themselves; other columns are not read.
     """
-    rows = cut(docs.select("doc_id", candidates(whole(F.col("text"))).alias("found")))
-    trees = _trained(rows)
-
-    def scored(c: Column) -> Column:
-        s = expression(trees, [c[f"{f}_bin"] for f in FEATURES], mean=True) if trees else F.lit(0.0)
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), s.alias("score"))
-
-    kept = F.filter(F.transform("found", scored), lambda c: c["score"] >= threshold)
-    return rows.select("doc_id", F.size("found").cast("long").alias("n_candidates"), kept.alias("found"))
+    rows = cut(docs.select("doc_id", candidates(whole(F.col("text")), dictionary(docs)).alias("found")))
+    forests = _trained(rows)
+    scored = F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _score(forests, c).alias("score")))
+    return rows.select("doc_id", F.size("found").cast("long").alias("n_candidates"), F.filter(scored, lambda c: c["score"] >= threshold).alias("found"))
 
 
 def redact_secrets(docs: DataFrame, threshold: float = 0.5, mark: str = "<SECRET>") -> DataFrame:
     """docs with every secret of its text replaced by a mark, and n_chars (where there is one) set anew.
 
-    The forest is fitted over all of docs first; each row is then searched and rewritten in place, without a join.
+    The forests are fitted over all of docs first; each row is then searched and rewritten in place, without a join.
     """
-    trees = _trained(cut(docs.select(candidates(whole(F.col("text"))).alias("found"))))
-    if not trees:
-        return docs
+    words = dictionary(docs)
     text = whole(F.col("text"))
-    kept = F.filter(candidates(text), lambda c: expression(trees, [c[f"{f}_bin"] for f in FEATURES], mean=True) >= threshold)
-    out = docs.withColumn("__found", kept)
+    forests = _trained(cut(docs.select(candidates(text, words).alias("found"))))
+    out = docs.withColumn("__found", F.filter(candidates(text, words), lambda c: _score(forests, c) >= threshold))
     out = out.withColumn("text", F.when(F.size("__found") == 0, F.col("text")).otherwise(redact(text, F.col("__found"), mark)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("__found") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 Tree = float | tuple
 
 
-def _grow(x, grad, hess, depth, features, least):
+def _grow(x, grad, hess, depth, draw, least):
     total_g, total_h = grad.sum(), hess.sum()
     leaf = float(total_g / (total_h + 1.0))
     if depth == 0 or total_h <= least:
         return leaf
     best, gain = None, 1e-9
     base = total_g**2 / (total_h + 1.0)
-    for f in features:
+    for f in draw():
         for cut in np.unique(x[:, f])[:-1]:
             low = x[:, f] <= cut
             g, h = grad[low].sum(), hess[low].sum()
@@ -33,7 +33,7 @@ def _grow(x, grad, hess, depth, features, least):
     if best is None:
         return leaf
     f, cut, low = best
-    return (f, cut, _grow(x[low], grad[low], hess[low], depth - 1, features, least), _grow(x[~low], grad[~low], hess[~low], depth - 1, features, least))
+    return (f, cut, _grow(x[low], grad[low], hess[low], depth - 1, draw, least), _grow(x[~low], grad[~low], hess[~low], depth - 1, draw, least))
 
 
 def value(tree: Tree, x: np.ndarray) -> np.ndarray:
@@ -49,7 +49,7 @@ def boost(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, rounds: int = 12, dep
     weight = pos + neg
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-score))
-        tree = _grow(x, pos - weight * p, np.maximum(weight * p * (1 - p), 1e-6), depth, range(x.shape[1]), 1e-3)
+        tree = _grow(x, pos - weight * p, np.maximum(weight * p * (1 - p), 1e-6), depth, lambda: range(x.shape[1]), 1e-3)
         trees.append(_scaled(tree, rate))
         score += value(trees[-1], x)
     return trees
@@ -60,13 +60,12 @@ def _scaled(tree: Tree, by: float) -> Tree:
 
 
 def forest(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, trees: int = 15, depth: int = 5, seed: int = 11) -> list[Tree]:
-    """A random forest: each tree sees a bootstrap of the counts and a random half of the features; a leaf is a share of 1s."""
+    """A random forest: each tree sees a bootstrap of the counts, each split a random half of the features; a leaf is a share of 1s."""
     rng = np.random.default_rng(seed)
     out = []
     for _ in range(trees):
         p, n = rng.poisson(pos).astype(float), rng.poisson(neg).astype(float)
-        features = sorted(rng.choice(x.shape[1], -(-x.shape[1] * 2 // 3), replace=False))
-        out.append(_grow(x, p, np.maximum(p + n, 1e-6), depth, features, 1.0))
+        out.append(_grow(x, p, np.maximum(p + n, 1e-6), depth, lambda: sorted(rng.choice(x.shape[1], -(-x.shape[1] // 2), replace=False)), 1.0))
     return out
 
 
