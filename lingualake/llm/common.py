@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,21 +21,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only where none is set (tests) a new local one."""
+    """The cluster's shared checkpoint folder; where none is set, a folder beside a local session's warehouse."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="lingualake-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir')}-steps"
         sc.setCheckpointDir(found)
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it again: lineage ends there, and a lost executor loses nothing."""
+_OPEN: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Frees, at its end, the files of every cut() made inside: for steps whose result is written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        release(*_OPEN.pop())
+
+
+def cut(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Writes df to the shared folder and reads it again: lineage ends there, and a lost executor loses nothing.
+
+    Files that are not to be kept go at the end of the scratch() around the call, if there is one."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _OPEN and not keep:
+        _OPEN[-1].append(out)
+    return out
 
 
 def release(*cuts: DataFrame) -> None:

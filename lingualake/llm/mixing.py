@@ -82,16 +82,17 @@ def _round(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source", "block").applyInPandas(run, rows.schema)
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
+def mix_sources(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of docs (doc_id, text, source).
 
     size counts the words of the text (null: 0); sources by code point, null last, weigh 5, 2, 1, repeating. taken is the
     words that the mix takes of the row, repeats counted: at most twice its size. A document is taken whole, twice, or
-    not at all, but for the at most two of each source on which the sampling lands: those give part of their words, so that
+    not at all (ties of the draw go by hash and id), but for the at most two of each source on which the sampling lands: those give part of their words, so that
     each source's words meet its target within two. Same rows, same result. Rows that repeat are documents of their own.
-    The sources themselves (one row each) go to the driver; documents and their probabilities never do.
+    The sources themselves (one row each) go to the driver; documents and their probabilities never do. `also` names columns
+    of docs to carry along.
     """
-    rows = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    rows = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *also))
     spark = docs.sparkSession
     found = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).collect()  # one row a source
     found = sorted(found, key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
@@ -99,7 +100,7 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     plan = [(r["source"], r["source_size"], r["n"], t, min(2.0, t / r["source_size"]) if r["source_size"] else 0.0) for r, t in zip(found, targets)]
     plan = spark.createDataFrame(plan or [], "source string, source_size long, n long, target double, ratio double")
     same = F.col("s.source").eqNullSafe(F.col("p.source"))
-    rows = rows.alias("s").join(F.broadcast(plan.alias("p")), same).select("doc_id", "s.source", "size", "source_size", "n", "target", F.floor(F.least(F.col("ratio"), F.lit(1.9999999999))).cast("int").alias("copies"), "ratio")
+    rows = rows.alias("s").join(small(plan.alias("p"), len(found)), same).select("doc_id", *also, "s.source", "size", "source_size", "n", "target", F.floor(F.least(F.col("ratio"), F.lit(1.9999999999))).cast("int").alias("copies"), "ratio")
     rows = rows.withColumn("prob", F.col("ratio") - F.col("copies")).drop("ratio")
     rows = rows.withColumn("mark", F.xxhash64("doc_id", "size")).withColumn("seed", F.xxhash64("source"))
     left = max((r["n"] for r in found), default=0)
@@ -119,7 +120,7 @@ def mix_sources(docs: DataFrame) -> DataFrame:
         left, count, k = most * LEFT, blocks * LEFT, k + 1
     rows = rows if done is None else done
     taken = F.round(F.col("size") * (F.col("copies") + F.col("prob"))).cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *also)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -127,11 +128,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A part is the first words of the text, joined by one space. Documents without words give none.
     """
-    take = mix_sources(docs).groupBy("doc_id").agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"), F.count("*").alias("__rows"))
-    share = (F.col("__taken") / F.col("__rows")).cast("long")
-    size = (F.col("__size") / F.col("__rows")).cast("long")
-    take = cut(take.select(F.col("doc_id").alias("__id"), share.alias("__taken"), size.alias("__size")).where("__size > 0 AND __taken > 0"))
-    rows = docs.join(small(take), F.col("doc_id").eqNullSafe(F.col("__id")))
+    tagged = cut(docs.withColumn("__rid", F.monotonically_increasing_id()))  # rows are told apart by their place, not by doc_id
+    take = mix_sources(tagged, ("__rid",)).where("size > 0 AND taken > 0")
+    take = cut(take.select("__rid", F.col("taken").alias("__taken"), F.col("size").alias("__size")))
+    rows = tagged.join(small(take), "__rid")
     times = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
     part = (F.col("__copy") * F.col("__size") - F.col("__taken")).cast("int")

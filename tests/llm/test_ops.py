@@ -152,6 +152,16 @@ def test_mixing(docs, nothing):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_meet_the_targets(spark):
+    rows = [(i % 40, " ".join(["w"] * (3 + i % 11)), "s" if i % 3 else "t", 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __taken int").withColumnRenamed("__taken", "taken")
+    want = {r["source"]: r["target"] for r in mixing.mix_sources(df).collect()}
+    got = collections.Counter()
+    for r in mixing.mixed_documents(df).collect():
+        got[r["source"]] += len(r["text"].split())
+    assert all(abs(got[s] - want[s]) <= 2 for s in want)  # though ids repeat with texts of their own
+
+
 def test_mixing_rounds(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 10)
     df = spark.createDataFrame([(i, " ".join(["w"] * (1 + i % 17)), "s" if i % 3 else "t") for i in range(500)], "doc_id long, text string, source string")
