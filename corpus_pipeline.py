@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lingualake.llm.common import cut, table
+from lingualake.llm.common import cut, release, scratch, table
 from lingualake.llm.jaccard import without_near_copies
 from lingualake.llm.mixing import mixed_documents
 from lingualake.llm.packing import pack
@@ -52,7 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn. Each result is written to the shared folder; what a stage needed on its way there is then freed."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch():
+            kept = cut(stage(spark, docs, sf_dir), keep=True)
+        if k:
+            release(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
