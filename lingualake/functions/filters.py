@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values -----------------------------------------------------------------------------------------------------
@@ -27,7 +28,6 @@ NUMBER_VALUE = r"^[0-9\-+.,%/ ()#]+\z"
 FILE_VALUE = r"(?i)\.(?:png|jpe?g|webp|svg|gif|avif|ico|pdf|mp4|mov|webm|css|js|json|xml|zip|tar|gz)\z"
 ASSET_VALUE = r"(?i)^(?:img|image|photo|picture|placeholder|icon|logo|file)(?:\s*\d+)?(?:\.[a-z0-9]+)?\z"
 COLOUR_VALUE = r"^#(?:[0-9a-fA-F]{3}|[0-9a-fA-F]{6}|[0-9a-fA-F]{8})\z"
-TEXT_TYPES = ["character varying", "text", "jsonb", "json"]
 IGNORED_COLLECTIONS = ["media", "users", "payload-preferences", "payload-migrations", "submissions"]
 # ------------------------------------------------------------------------------------------------------------------
 
@@ -46,21 +46,38 @@ def is_missing(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def _pattern(p: str) -> str | None:
+    """A custom pattern as Java reads it: `/re/flags` keeps its own flags, others ignore case; None if it does not compile."""
+    form = re.fullmatch(r"/(.+)/([a-z]*)", p, re.S)
+    flags = "".join(f for f in form[2] if f in "ims") if form else "" if p.startswith("(?") else "i"
+    p = (f"(?{flags})" if flags else "") + (form[1] if form else p)
+    try:
+        re.compile(p)
+    except re.error:
+        return None
+    return p
+
+
 def skip_reason(value: Column, exact: Sequence[str] = (), patterns: Sequence[str] = ()) -> Column:
-    """The first rule that keeps a value from being translated; null if it is to be translated."""
-    t = js_trim(value)
-    chain = F.when(is_blank(value), "blank")
-    starts = F.lit(False)
-    for p in PROTOCOLS:
-        starts = starts | t.startswith(p)
-    chain = chain.when(starts, "link").when(F.lower(t).isin(SYSTEM_VALUES), "system")
-    if exact:
-        chain = chain.when(t.isin(*exact) | F.lower(t).isin(*exact), "custom_value")
-    for p in patterns:
-        chain = chain.when(t.rlike(p if p.startswith("(?") else f"(?i){p}"), "custom_pattern")
-    for name, p in (("id", ID_VALUE), ("mail", MAIL_VALUE), ("number", NUMBER_VALUE), ("file", FILE_VALUE), ("asset", ASSET_VALUE), ("colour", COLOUR_VALUE)):
-        chain = chain.when(t.rlike(p), name)
-    return chain
+    """The first rule that keeps a value from being translated; null if it is to be translated. Invalid patterns are ignored."""
+
+    def rule(t: Column) -> Column:
+        chain = F.when(t.isNull() | (t == ""), "blank")
+        starts = F.lit(False)
+        for p in PROTOCOLS:
+            starts = starts | t.startswith(p)
+        chain = chain.when(starts, "link").when((F.length(t) <= 16) & F.lower(t).isin(SYSTEM_VALUES), "system")
+        if exact:
+            chain = chain.when(t.isin(*exact) | F.lower(t).isin(*exact), "custom_value")
+        for p in filter(None, map(_pattern, patterns)):
+            chain = chain.when(t.rlike(p), "custom_pattern")
+        for name, p in (("id", ID_VALUE), ("mail", MAIL_VALUE), ("number", NUMBER_VALUE), ("file", FILE_VALUE), ("asset", ASSET_VALUE), ("colour", COLOUR_VALUE)):
+            short = F.length(t).isin(24, 36) if name == "id" else F.length(t) <= 9 if name == "colour" else F.lit(True)
+            chain = chain.when(short & t.rlike(p), name)
+        return chain
+
+    # the trimmed value is bound once, as a lambda's argument: as a filter the chain would trim it anew for every rule
+    return F.transform(F.array(js_trim(value)), rule)[0]
 
 
 def should_skip_value(value: Column, exact: Sequence[str] = (), patterns: Sequence[str] = ()) -> Column:
@@ -79,3 +96,20 @@ def is_translatable_field(name: str, excluded: Sequence[str] = (), allow_slug: b
     if name == "slug":
         return allow_slug
     return not (name in SYSTEM_FIELDS or name in excluded or name.startswith("_") or name.endswith(tuple(FIELD_ENDINGS)))
+
+
+def collection_enabled(slug: Column, config: dict[str, bool] | None = None, is_global: Column | None = None) -> Column:
+    """A collection takes part unless it is switched off; without any configuration the system's own stay out. Globals
+    stay in unless switched off."""
+    off = [k for k, on in (config or {}).items() if on is False]
+    chosen = ~slug.isin(off) if off else F.lit(True)
+    if config:
+        return chosen
+    own = ~slug.isin(IGNORED_COLLECTIONS)
+    return own if is_global is None else is_global | own
+
+
+def without_excluded(fields: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """fields (collection, field, ...) without those that exclusions (collection, field) name; a null collection is all of them."""
+    out = fields.join(exclusions.where("collection IS NOT NULL").select("collection", "field"), ["collection", "field"], "left_anti")
+    return out.join(exclusions.where("collection IS NULL").select("field"), "field", "left_anti").select(*fields.columns)

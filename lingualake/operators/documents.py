@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import json
 import re
+from collections import defaultdict, deque
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.filters import is_blank, is_translatable_field
+from ..functions.filters import is_blank, is_translatable_field, should_skip_value
+from ..functions.urls import localize_url
+from .strings import tm_lookup
 
 _SUFFIX = re.compile(r"(_[a-z]{2}(-[A-Z]{2})?)+\Z")
 # Fixed values
 JSONLD_TEXT = "description headline alternativeHeadline caption text keywords articleBody disambiguatingDescription reviewBody serviceType slogan areaServed award abstract".split()
 JSONLD_ENTITIES = "Organization Corporation Brand LocalBusiness Person EducationalOccupationalCredential".split()
+SYSTEM_ROOT = "id createdAt updatedAt _status".split()
 JSONLD_LANGUAGE = "WebPage WebSite Article FAQPage AboutPage ContactPage".split()
 
 
@@ -59,29 +63,34 @@ def merge_blocks(new: list, old: list) -> list:
         return new or old
     if not isinstance(new[0], dict):
         return old
-    free = dict(enumerate(old))
+    used: set = set()
+    by_base, by_kind = defaultdict(deque), defaultdict(deque)  # unused old items by base id and by type, in order
+    kinds = [o.get("blockType") if isinstance(o, dict) else None for o in old]
+    for k, o in enumerate(old):
+        by_base[_base(o)].append(k)
+        by_kind[kinds[k]].append(k)
+
+    def first(queue: deque) -> int | None:
+        while queue and queue[0] in used:
+            queue.popleft()
+        return queue[0] if queue else None
+
+    def partner(i: int, item: dict) -> int | None:
+        if (base := _base(item)) and (k := first(by_base[base])) is not None:
+            return k
+        here, kind = i < len(old) and i not in used, item.get("blockType")
+        if here and (kinds[i] == kind if kind else not kinds[i]):
+            return i
+        return first(by_kind[kind]) if kind else None
+
     out = []
     for i, item in enumerate(new):
-        if not isinstance(item, dict):
-            out.append(item)
-            continue
-        kind, base = item.get("blockType"), _base(item)
-        hit = next((k for k, o in free.items() if base and _base(o) == base), None)
-        if hit is None:
-            here = free.get(i)
-            here_kind = here.get("blockType") if isinstance(here, dict) else None
-            if kind:
-                hit = i if i in free and here_kind == kind else next((k for k, o in free.items() if isinstance(o, dict) and o.get("blockType") == kind), None)
-            elif i in free and not here_kind:
-                hit = i
-        out.append(item if hit is None else merge_values(item, free.pop(hit)))
+        k = partner(i, item) if isinstance(item, dict) else None
+        out.append(item if k is None else merge_values(item, old[k]))
+        used.add(k)
     return out
 
 
-def _mapped(s: pd.Series, f) -> pd.Series:
-    return s.map(lambda x: None if x is None else json.dumps(f(json.loads(x)), ensure_ascii=False))
-
-
 @F.pandas_udf(T.StringType())
 def merge_documents(new: pd.Series, old: pd.Series) -> pd.Series:
     """JSON documents: the merged one (the new one where there is no old)."""
@@ -134,31 +143,188 @@ def apply_richtext(doc: pd.Series, by: pd.Series) -> pd.Series:
     return pd.Series([None if d is None else json.dumps(_replaced(json.loads(d), json.loads(b or "{}")), ensure_ascii=False) for d, b in zip(doc, by)])
 
 
-def jsonld_texts(node, out: list) -> list:
-    """Translatable strings of a JSON-LD value, each once, in document order."""
+def _jsonld_slots(node):
+    """(holder, key, kind) of every place of a JSON-LD value that holds a text, a link or a language, in document order."""
     if isinstance(node, list):
         for x in node:
-            jsonld_texts(x, out)
-    elif isinstance(node, dict):
-        if isinstance(node.get("@graph"), list):
-            return jsonld_texts(node["@graph"], out)
-        kinds = node.get("@type") if isinstance(node.get("@type"), list) else [node.get("@type")]
-        for k, v in node.items():
-            if k in JSONLD_TEXT or k in ("knowsAbout", "about") and isinstance(v, list):
-                for x in v if isinstance(v, list) else [v]:
-                    if isinstance(x, str):
-                        out.append(x)
-                    elif k not in JSONLD_TEXT:
-                        jsonld_texts(x, out)
-            elif k == "name":
-                if isinstance(v, str) and not any(x in JSONLD_ENTITIES for x in kinds):
-                    out.append(v)
-            elif k not in ("knowsAbout", "about"):
-                jsonld_texts(v, out)
-    return list(dict.fromkeys(out))
+            yield from _jsonld_slots(x)
+    if not isinstance(node, dict):
+        return
+    if isinstance(node.get("@graph"), list):
+        yield from _jsonld_slots(node["@graph"])
+        return
+    entity = not _types(node).isdisjoint(JSONLD_ENTITIES)
+    for k, v in list(node.items()):
+        texts = k in JSONLD_TEXT or k in ("knowsAbout", "about") and isinstance(v, list)
+        if k == "inLanguage":
+            yield node, k, "language"
+        elif k in ("url", "item", "@id") and isinstance(v, str):
+            yield node, k, "link"
+        elif texts and isinstance(v, list):
+            for i, x in enumerate(v):
+                if isinstance(x, str):
+                    yield v, i, "text"
+                elif k not in JSONLD_TEXT:
+                    yield from _jsonld_slots(x)
+        elif (texts or k == "name" and not entity) and isinstance(v, str):
+            yield node, k, "text"
+        elif not texts and k not in ("name", "knowsAbout", "about"):
+            yield from _jsonld_slots(v)
+
+
+def _types(node: dict) -> set:
+    kind = node.get("@type")
+    return set(map(str, kind)) if isinstance(kind, list) else {str(kind)}
+
+
+def jsonld_texts(node, kind: str = "text") -> list:
+    """What stands in a JSON-LD value's slots of a kind, each once, in document order."""
+    return list(dict.fromkeys(at[k] for at, k, found in _jsonld_slots(node) if found == kind))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def jsonld_strings(s: pd.Series) -> pd.Series:
     """Candidate strings of JSON-LD; the value rules are a filter on the exploded column, inside the JVM."""
-    return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x), []))
+    return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x)))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def jsonld_links(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x), "link"))
+
+
+def _pages(node):
+    """Nodes that name their language, at any depth."""
+    for x in node if isinstance(node, list) else node.values() if isinstance(node, dict) else ():
+        yield from _pages(x)
+    if isinstance(node, dict) and not isinstance(node.get("@graph"), list) and not _types(node).isdisjoint(JSONLD_LANGUAGE):
+        yield node
+
+
+def localized_jsonld(node, texts: dict, links: dict, locale: str):
+    """A JSON-LD value in another locale: texts and links replaced, languages set, pages given one."""
+    for at, k, kind in list(_jsonld_slots(node)):
+        at[k] = locale if kind == "language" else (links if kind == "link" else texts).get(at[k]) or at[k]
+    for page in _pages(node):
+        page["inLanguage"] = page.get("inLanguage") or locale
+    if isinstance(node, dict) and isinstance(node.get("@graph"), list):
+        node = {"@context": node.get("@context") or "https://schema.org", "@graph": node["@graph"]}
+    return node
+
+
+def localize_jsonld(pages: DataFrame, tm: DataFrame, locale: str, site: str, overwrite: bool = False) -> DataFrame:
+    """(page_id, schema) of pages (page_id, schema, existing): the schema in the locale, or the existing one where there is one.
+
+    Strings and links are taken out, looked up (memory, URL rule) as columns, and put back: the helper only walks the tree.
+    """
+    todo = pages if overwrite else pages.where(is_blank(F.col("existing")))
+    texts = todo.select("page_id", F.explode(jsonld_strings("schema")).alias("src")).where(~should_skip_value(F.col("src")))
+    texts = tm_lookup(texts.withColumn("locale", F.lit(locale)), tm, "src", "locale").select("page_id", F.struct("src", "translated").alias("t"), F.lit(None).cast("struct<src:string,translated:string>").alias("u"))
+    links = todo.select("page_id", F.explode(jsonld_links("schema")).alias("src")).select("page_id", "src", localize_url(F.col("src"), F.lit(locale), F.lit(site)).alias("translated"))
+    both = texts.unionByName(links.select("page_id", F.lit(None).cast("struct<src:string,translated:string>").alias("t"), F.struct("src", "translated").alias("u")))
+    maps = both.groupBy("page_id").agg(F.to_json(F.map_from_entries(F.array_distinct(F.collect_list("t")))).alias("texts"), F.to_json(F.map_from_entries(F.array_distinct(F.collect_list("u")))).alias("links"))
+
+    @F.pandas_udf(T.StringType())
+    def put(schema: pd.Series, text: pd.Series, link: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else json.dumps(localized_jsonld(json.loads(s), json.loads(t or "{}"), json.loads(u or "{}"), locale), ensure_ascii=False) for s, t, u in zip(schema, text, link)])
+
+    done = todo.select("page_id", "schema").join(maps, "page_id", "left").select("page_id", put("schema", "texts", "links").alias("schema"))
+    return done if overwrite else done.unionByName(pages.where(~is_blank(F.col("existing"))).select("page_id", F.col("existing").alias("schema")))
+
+
+def _slots(node, excluded=(), bare: bool = False):
+    """(holder, key) of every text under a translatable field at any depth; texts that stand in an array only if `bare`."""
+    if is_richtext(node):
+        yield from _leaf_slots(node)
+    elif isinstance(node, list):
+        for i, x in enumerate(node):
+            if isinstance(x, str):
+                if bare:
+                    yield node, i
+            else:
+                yield from _slots(x, excluded, bare)
+    elif isinstance(node, dict):
+        for k, v in node.items():
+            if is_translatable_field(k, excluded):
+                if isinstance(v, str):
+                    yield node, k
+                else:
+                    yield from _slots(v, excluded, bare)
+
+
+def _leaf_slots(node):
+    if isinstance(node, dict) and node.get("type") == "text" and isinstance(node.get("text"), str):
+        yield node, "text"
+    for v in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
+        yield from _leaf_slots(v)
+
+
+def document_texts(node, excluded=()) -> list:
+    return list(dict.fromkeys(at[k] for at, k in _slots(node, excluded)))
+
+
+def translated_document(node, texts: dict, excluded=()):
+    for at, k in list(_slots(node, excluded, bare=True)):
+        at[k] = texts.get(at[k]) or at[k]
+    return node
+
+
+def localized_ids(node, locale: str):
+    """Every id of a document with the locale's suffix alone; numeric ids are dropped, the database gives new ones."""
+    todo = [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, dict):
+            if isinstance(x.get("id"), str) and x["id"]:
+                x["id"] = f"{_SUFFIX.sub('', x['id'])}_{locale}"
+            elif isinstance(x.get("id"), (int, float)) and not isinstance(x["id"], bool):
+                del x["id"]
+            todo += [v for k, v in x.items() if k not in ("blockType", "blockName")]
+        elif isinstance(x, list):
+            todo += x
+    return node
+
+
+def document_strings(docs: DataFrame, excluded=(), **rules) -> DataFrame:
+    """(doc_id, src): the distinct strings of each JSON document (doc_id, doc) that are to be translated."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def texts(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else document_texts(json.loads(x), excluded))
+
+    return docs.select("doc_id", F.explode(texts("doc")).alias("src")).where(~should_skip_value(F.col("src"), **rules))
+
+
+def translate_documents(docs: DataFrame, tm: DataFrame, locales: list[str], excluded=(), **rules) -> DataFrame:
+    """(doc_id, locale, doc): each JSON document in each locale, its strings looked up in the memory, its ids localized."""
+    needed = document_strings(docs, excluded, **rules).withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales))))
+    maps = tm_lookup(needed, tm, "src", "locale").where("src <> translated").groupBy("doc_id", "locale").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("src", "translated")))).alias("texts"))
+
+    @F.pandas_udf(T.StringType())
+    def put(doc: pd.Series, text: pd.Series, locale: pd.Series) -> pd.Series:
+        return pd.Series([None if d is None else json.dumps(localized_ids(translated_document(json.loads(d), json.loads(t or "{}"), excluded), lo), ensure_ascii=False) for d, t, lo in zip(doc, text, locale)])
+
+    each = docs.withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales)))).join(maps, ["doc_id", "locale"], "left")
+    return each.select("doc_id", "locale", put("doc", "texts", "locale").alias("doc"))
+
+
+@F.pandas_udf(T.StringType())
+def localized(doc: pd.Series, locale: pd.Series) -> pd.Series:
+    """JSON documents with their ids in the locale."""
+    return pd.Series([None if d is None else json.dumps(localized_ids(json.loads(d), lo), ensure_ascii=False) for d, lo in zip(doc, locale)])
+
+
+@F.pandas_udf(T.StringType())
+def stripped(doc: pd.Series) -> pd.Series:
+    """JSON documents without the fields that the database keeps itself."""
+    return doc.map(lambda d: None if d is None else json.dumps({k: v for k, v in json.loads(d).items() if k not in SYSTEM_ROOT}, ensure_ascii=False))
+
+
+def sync_override_flag(source: Column, target: Column) -> Column:
+    """The source's flag where it has one."""
+    return F.when(source.isNotNull(), source.cast("boolean")).otherwise(target)
+
+
+def strip_system_fields(docs: DataFrame) -> DataFrame:
+    """Typed documents without the fields that the database keeps itself."""
+    return docs.drop(*SYSTEM_ROOT)

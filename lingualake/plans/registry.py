@@ -9,7 +9,7 @@ from ..functions import filters, keys, text, urls
 from ..operators import backfill as B
 from ..operators import documents as D
 from ..operators import seo, strings
-from ..sources.tables import read
+from ..sources.tables import columns_of, localized_tables, read
 from ..streaming import changes as C
 from . import fixtures as X
 
@@ -123,6 +123,64 @@ def _jsonld_strings(s, d) -> DataFrame:
     return rows.where(~filters.should_skip_value(F.col("src")))
 
 
+def _documents(s, d) -> DataFrame:
+    return _blocks(s, d).select(F.col("conv_id").alias("doc_id"), F.col("new").alias("doc"))
+
+
+def _memory(s, d) -> DataFrame:
+    """Translations of a third of the turns, into two locales."""
+    c = read(s, d, "conversations").where("length(text) % 3 = 0").select("text").distinct()
+    return c.select(F.explode(F.array(F.lit("es"), F.lit("fr"))).alias("target_locale"), F.col("text").alias("src")).withColumn("tgt", F.concat(F.lit("["), "target_locale", F.lit("] "), "src"))
+
+
+_SECTIONS = "sections array<struct<id:string,blockType:string,body:string>>"
+
+
+def _rebuilt(docs: DataFrame, *keys: str) -> DataFrame:
+    out = docs.withColumn("doc", F.from_json("doc", _SECTIONS))
+    return out.select(*keys, F.posexplode("doc.sections").alias("pos", "x")).select(*keys, "pos", "x.id", "x.blockType", "x.body")
+
+
+def _synced(s, d) -> DataFrame:
+    """Each conversation as a changed document; half of them have a translation already."""
+    b = _blocks(s, d)
+    changes = b.select(F.col("conv_id").alias("job_id"), F.lit("collection").alias("entity_type"), F.lit("pages").alias("slug"), F.col("conv_id").alias("doc_id"), F.lit("en").alias("locale"), F.lit("update").alias("operation"), F.lit("published").alias("status"), F.lit(False).alias("is_auto"), F.timestamp_seconds("conv_id").alias("ts"), F.col("new").alias("data"))
+    existing = b.where("conv_id % 2 = 0").select(F.concat(F.lit("collection:pages:"), F.col("conv_id").cast("string")).alias("key"), F.lit("es").alias("locale"), F.col("old").alias("doc"))
+    return _rebuilt(C.synced_documents(changes, existing, _memory(s, d), ["es"]), "key", "locale")
+
+
+def _jsonld_page(s, d) -> DataFrame:
+    p = read(s, d, "part")
+    url = F.concat(F.lit("https://www.example.com/p/"), F.col("p_partkey").cast("string"))
+    page = F.struct(F.lit("WebPage").alias("@type"), F.concat(url, F.lit("#page")).alias("@id"), url.alias("url"), F.col("p_name").alias("name"), F.array(F.col("p_type")).alias("about"))
+    schema = F.concat(F.lit('{"@graph":['), F.to_json(page), F.lit("]}"))
+    return p.select(F.col("p_partkey").alias("page_id"), schema.alias("schema"), F.when(F.col("p_partkey") % 3 == 0, F.lit('{"kept":true}')).alias("existing"))
+
+
+def _localized_jsonld(overwrite: bool):
+    def run(s: SparkSession, d: str) -> DataFrame:
+        out = D.localize_jsonld(_jsonld_page(s, d), _tm(s, d), "es", "https://www.example.com", overwrite)
+        parts = {"name": "$['@graph'][0].name", "url": "$['@graph'][0].url", "at_id": "$['@graph'][0]['@id']", "lang": "$['@graph'][0].inLanguage", "about": "$['@graph'][0].about[0]", "context": "$['@context']", "kept": "$.kept"}
+        return out.select("page_id", *(F.get_json_object("schema", v).alias(k) for k, v in parts.items()))
+
+    return run
+
+
+def _jsonld_sql(overwrite: bool) -> str:
+    def cols(some: str, kept: str) -> str:
+        return f"SELECT page_id, {some}, {kept} AS kept FROM p"
+
+    full = "coalesce(nullif(tgt, ''), p_name) AS name, concat('https://www.example.com/es/p/', page_id) AS url, concat('https://www.example.com/es/p/', page_id, '#page') AS at_id, 'es' AS lang, p_type AS about, 'https://schema.org' AS context"
+    none = "NULL AS name, NULL AS url, NULL AS at_id, NULL AS lang, NULL AS about, NULL AS context"
+    every = cols(full, "NULL")
+    rest = "" if overwrite else f" WHERE page_id % 3 <> 0 UNION ALL {cols(none, chr(39) + 'true' + chr(39))} WHERE page_id % 3 = 0"
+    return f"WITH {_TM}, p AS (SELECT p_partkey AS page_id, p_name, p_type, tgt FROM part LEFT JOIN tm ON target_locale = 'es' AND src = p_name) {every}{rest}"
+
+
+def _fields(s, d) -> DataFrame:
+    return read(s, d, "part").select(F.col("p_brand").alias("collection"), F.explode(F.array(F.lit("title"), F.lit("notes"), F.lit("body"))).alias("field"), F.col("p_partkey").alias("id"))
+
+
 def _translated(s, d) -> DataFrame:
     return _tm(s, d).select(F.col("target_locale").alias("locale"), F.initcap("src").alias("src"), F.when(F.length("tgt") % 2 == 0, F.initcap("src")).otherwise(F.col("tgt")).alias("tgt"))
 
@@ -172,7 +230,7 @@ ENTRIES: dict = {
     "locale_coverage": (lambda s, d: B.coverage(_matched(s, d), FIELDS), f"WITH {_MATCH}, l AS (SELECT locale, unnest(['title', 'brand', 'kind']) AS field, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT locale, field, count(*) AS n, count(*) FILTER (NOT need) AS done FROM l WHERE {_reason('src')} IS NULL GROUP BY 1, 2"),
     "distinct_strings": (lambda s, d: strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), f"WITH {_SEG} SELECT DISTINCT lang, src FROM seg WHERE {_reason('src')} IS NULL"),
     "except_translated": (lambda s, d: strings.except_translated(B.missing_strings(_matched(s, d), FIELDS), _tm(s, d)), f"WITH {_MATCH}, {_TM}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT DISTINCT locale, src FROM l WHERE need AND NOT EXISTS (SELECT 1 FROM tm WHERE target_locale = locale AND tm.src = l.src)"),
-    "batch_assign": (lambda s, d: strings.batch_assign(strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), ["lang"]).groupBy("lang", "bucket", "batch").agg(F.count("*").alias("n"), F.sum(F.length("src")).alias("chars")), None),
+    "batch_assign": (lambda s, d: strings.batch_assign(strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), ["lang"]).groupBy("lang", "bucket", "batch").agg(F.count("*").alias("n"), F.sum(F.length("src")).cast("long").alias("chars")), f"WITH RECURSIVE {_SEG}, s AS (SELECT DISTINCT lang, src FROM seg WHERE {_reason('src')} IS NULL), b AS (SELECT lang, CAST(('0x' || substr(md5(src), 1, 4)) AS INTEGER) % 32 AS bucket, length(src) AS len, row_number() OVER (PARTITION BY lang, CAST(('0x' || substr(md5(src), 1, 4)) AS INTEGER) % 32 ORDER BY src) AS rn FROM s), w AS (SELECT lang, bucket, rn, len, len AS total, 1 AS n, 0 AS batch FROM b WHERE rn = 1 UNION ALL SELECT b.lang, b.bucket, b.rn, b.len, CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN b.len ELSE w.total + b.len END, CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN 1 ELSE w.n + 1 END, w.batch + CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN 1 ELSE 0 END FROM w JOIN b ON b.lang IS NOT DISTINCT FROM w.lang AND b.bucket = w.bucket AND b.rn = w.rn + 1) SELECT lang, bucket, batch, count(*) AS n, CAST(sum(len) AS BIGINT) AS chars FROM w GROUP BY 1, 2, 3"),
     "retry_candidates": (lambda s, d: strings.retry_candidates(_translated(s, d)), f"WITH {_TRANSLATED} SELECT locale, src, upper(src[1]) || lower(src[2:]) AS retry FROM tr2 WHERE {_ECHO} AND {_HEAD}"),
     "is_echo": (lambda s, d: _translated(s, d).where(text.is_echo(F.col("tgt"), F.col("src"), F.col("locale"))).groupBy("locale").agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT locale, count(*) AS n FROM tr2 WHERE {_ECHO} GROUP BY 1"),
     "is_title_case": (lambda s, d: _translated(s, d).groupBy(text.is_title_case(F.col("src")).alias("title_case")).agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT {_HEAD} AS title_case, count(*) AS n FROM tr2 GROUP BY 1"),
@@ -192,7 +250,17 @@ ENTRIES: dict = {
     "contact_link": (lambda s, d: read(s, d, "customer").select("c_custkey", urls.contact_link(F.concat(F.lit("Tel: +"), F.translate(F.lit("86-177-868-5586"), "-", ""), F.col("c_custkey").cast("string"))).alias("link")), "SELECT c_custkey, concat('tel:+861778685586', c_custkey) AS link FROM customer"),
     "merge_scalar": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", D.merge_scalar(F.col("t_title"), F.col("s_title")).alias("title")), f"WITH {_MATCH} SELECT key, locale, CASE WHEN t_title IS NULL OR trim(t_title) = '' THEN s_title ELSE t_title END AS title FROM m"),
     "merge_blocks": (_merged, "SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn) AS id, role AS blockType, CASE WHEN turn % 2 <> 0 THEN concat('es ', text) ELSE text END AS body FROM conversations"),
-    "extract_document_strings": (lambda s, d: read(s, d, "conversations").where(~filters.should_skip_value(F.col("text"))).select(F.col("conv_id").alias("doc_id"), F.col("text").alias("src")).distinct(), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
+    "extract_document_strings": (lambda s, d: D.document_strings(_documents(s, d)), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
+    "apply_document_translations": (lambda s, d: _rebuilt(D.translate_documents(_documents(s, d), _memory(s, d), ["es", "fr"]), "doc_id", "locale"), f"WITH t AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, unnest(['es', 'fr']) AS locale FROM conversations) SELECT conv_id AS doc_id, locale, pos, concat('b', turn, '_', locale) AS id, role AS blockType, CASE WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[', locale, '] ', text) ELSE text END AS body FROM t"),
+    "continuous_sync": (_synced, f"SELECT concat('collection:pages:', conv_id) AS key, 'es' AS locale, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn, '_es') AS id, role AS blockType, CASE WHEN conv_id % 2 = 0 AND turn % 2 <> 0 THEN concat('es ', text) WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[es] ', text) ELSE text END AS body FROM conversations"),
+    "localize_jsonld": (_localized_jsonld(True), _jsonld_sql(True)),
+    "jsonld_job": (_localized_jsonld(False), _jsonld_sql(False)),
+    "collection_filter": (lambda s, d: read(s, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("slug")).where(filters.collection_enabled(F.col("slug"), {"building": False, "machinery": True})), "SELECT c_custkey, lower(c_mktsegment) AS slug FROM customer WHERE lower(c_mktsegment) <> 'building'"),
+    "excluded_fields_by_collection": (lambda s, d: filters.without_excluded(_fields(s, d), s.createDataFrame([("Brand#11", "title"), ("Brand#23", "body"), (None, "notes")], "collection string, field string")), "SELECT p_brand AS collection, field, p_partkey AS id FROM (SELECT *, unnest(['title', 'notes', 'body']) AS field FROM part) WHERE field <> 'notes' AND NOT (p_brand = 'Brand#11' AND field = 'title') AND NOT (p_brand = 'Brand#23' AND field = 'body')"),
+    "strip_system_fields": (lambda s, d: D.strip_system_fields(read(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("createdAt"), F.col("o_orderdate").alias("updatedAt"), F.col("o_orderstatus").alias("_status"), "o_orderpriority", "o_custkey")), "SELECT o_orderpriority, o_custkey FROM orders"),
+    "sync_override_flag": (lambda s, d: read(s, d, "orders").select("o_orderkey", D.sync_override_flag(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 2), F.col("o_orderkey") % 5 == 0).alias("flag")), "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 = 1 ELSE o_orderkey % 5 = 0 END AS flag FROM orders"),
+    "discover_localized_tables": (lambda s, d: _catalog(s, d).select(F.lit("catalog").alias("table"), "id").join(localized_tables(s.createDataFrame(columns_of({"catalog": _catalog(s, d), "_catalog_v_locales": _catalog(s, d), "parts": read(s, d, "part")}), "table string, column string, type string"), only=["catalog"]), "table", "left_semi"), f"WITH {_CAT} SELECT 'catalog' AS \"table\", id FROM cat"),
+    "pending_replacement": (lambda s, d: C.latest(_changes(s, d).where(C.admitted())).join(_changes(s, d).where(C.admitted()).groupBy(C.document_key().alias("key")).agg((F.count("*") - 1).alias("replaced")), "key").select("key", "job_id", "replaced"), f"WITH {_CH}, {_ADM}, k AS (SELECT *, concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key FROM adm) SELECT key, arg_max(job_id, (ts, job_id)) AS job_id, count(*) - 1 AS replaced FROM k GROUP BY 1"),
     "extract_jsonld_strings": (_jsonld_strings, f"WITH l AS (SELECT p_partkey AS page_id, unnest([p_name, concat('About ', p_type)]) AS src FROM part) SELECT DISTINCT page_id, src FROM l WHERE {_reason('src')} IS NULL"),
     "latest_per_document": (lambda s, d: C.latest(_changes(s, d)), f"WITH {_CH} SELECT concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts FROM ch GROUP BY 1"),
     "debounce_changes": (lambda s, d: C.debounce(_changes(s, d).where(C.admitted()), "30 minutes"), f"WITH {_CH}, {_ADM}, g AS (SELECT *, concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key FROM adm), o AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY key ORDER BY ts, job_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM g), i AS (SELECT *, sum(opens) OVER (PARTITION BY key ORDER BY ts, job_id) AS island FROM o) SELECT key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts, count(*) AS n FROM i GROUP BY key, island"),

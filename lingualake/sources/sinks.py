@@ -1,10 +1,26 @@
-"""Writing change sets."""
+"""Writing change sets and translated documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def write_changes(changes: DataFrame, path: str, most_rows: int = 1_000_000) -> None:
-    """A change set by locale; files are bounded, as locales are few and large."""
-    changes.write.mode("overwrite").option("maxRecordsPerFile", most_rows).partitionBy("_locale").parquet(path)
+def write_changes(changes: DataFrame, path: str, name: str, most_rows: int = 1_000_000) -> None:
+    """One change set by locale under its name: earlier sets stay, and a repeated write replaces its own files alone.
+
+    Files are bounded, as locales are few and large. Conflict rules (insert if absent, update by key) are apply_changes'.
+    """
+    changes.write.mode("overwrite").option("maxRecordsPerFile", most_rows).partitionBy("_locale").parquet(f"{path}/change_set={name}")
+
+
+def write_documents(docs: DataFrame, epoch: int, path: str) -> None:
+    """A micro-batch of documents (key, locale, ts, draft, doc), marked as our own writes; a replayed epoch replaces itself."""
+    docs.withColumn("is_auto", F.lit(True)).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of each document and locale over all epochs: an upsert whose writes never touch old files."""
+    rows = spark.read.parquet(path)
+    newest = rows.groupBy("key", "locale").agg(F.max_by(F.struct("ts", "draft", "doc", "is_auto"), F.struct("ts", "epoch")).alias("x"))
+    return newest.select("key", "locale", "x.*")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +11,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the cluster's shared folder (in tests a new local one)."""
+    """df with its lineage cut by a checkpoint in the cluster's shared folder; a local session's is beside its warehouse."""
     sc = df.sparkSession.sparkContext
     if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lingualake-"))
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}-steps")
     return df.checkpoint(eager=True)
 
 
@@ -31,3 +31,8 @@ def localized_tables(columns: DataFrame, only: list[str] | None = None, versions
             some = some | (t == name) | t.startswith(f"{name}_")
         keep = keep & some
     return found.where(keep).orderBy("table")
+
+
+def columns_of(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+    """The catalog listing (table, column, type) that localized_tables takes, from the tables' schemas."""
+    return [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema.fields]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.documents import localized, merge_documents, stripped, translate_documents
 
 CHANGE = "job_id long, entity_type string, slug string, doc_id long, locale string, operation string, status string, is_auto boolean, ts timestamp, data string"
 
@@ -53,6 +54,19 @@ def sync(changes: DataFrame, upsert: Callable[[DataFrame, int], None], checkpoin
     return ready.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def synced_documents(changes: DataFrame, existing: DataFrame, tm: DataFrame, locales: list[str], source: str = "en") -> DataFrame:
+    """(key, locale, ts, draft, doc): what the newest admitted change of each document makes of its translations.
+
+    changes hold the source document as JSON in `data`; existing (key, locale, doc) are the present translations. Strings
+    go through the memory, what people have filled in stays, ids get the locale, fields of the database are dropped.
+    """
+    key = document_key().alias("key")
+    newest = changes.where(admitted(source)).groupBy(key).agg(F.max_by(F.struct("ts", "status", "data"), F.struct("ts", "job_id")).alias("x")).select("key", "x.*")
+    done = translate_documents(newest.select(F.col("key").alias("doc_id"), F.col("data").alias("doc")), tm, locales).withColumnRenamed("doc_id", "key")
+    done = done.join(existing.select("key", "locale", F.col("doc").alias("old")), ["key", "locale"], "left").join(newest.select("key", "ts", "status"), "key")
+    return done.select("key", "locale", "ts", F.col("status").eqNullSafe("draft").alias("draft"), stripped(localized(merge_documents("doc", "old"), "locale")).alias("doc"))
+
+
 def job_stats(log: DataFrame) -> DataFrame:
     """(state, n, last_ts, last_job) of a job log (state, ts, job_id)."""
     return log.groupBy("state").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"), F.max(F.struct("ts", "job_id"))["job_id"].alias("last_job"))

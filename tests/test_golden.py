@@ -65,7 +65,7 @@ def test_richtext_and_jsonld(spark):
     out = json.loads(one(spark, D.apply_richtext("d", "m"), d=doc, m='{"Hello": "Hola"}'))
     assert out["root"]["children"][0]["text"] == "Hola" and out["root"]["children"][1]["children"][0]["text"] == "you"
     graph = {"@graph": [{"@type": "Organization", "name": "Acme", "slogan": "We cool"}, {"@type": ["WebPage"], "name": "Home", "about": ["Air", {"description": "Deep"}]}]}
-    assert D.jsonld_texts(graph, []) == ["We cool", "Home", "Air", "Deep"]
+    assert D.jsonld_texts(graph) == ["We cool", "Home", "Air", "Deep"]
 
 
 def test_translator_keeps_what_fails(spark):
