@@ -13,8 +13,6 @@ def spans(text: Column, pattern: str) -> Column:
 
     What lies between the matches and the matches themselves, in turn, give every position by adding lengths up.
     """
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(between.alias("b"), found.alias("m"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -23,7 +21,12 @@ def spans(text: Column, pattern: str) -> Column:
         one = F.struct(first.cast("int").alias("start"), last.cast("int").alias("end"), x["m"].alias("value"))
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(last.cast("int").alias("at"), F.concat(acc["out"], F.array(one)).alias("out")))
 
-    return F.when(F.size(found) == 0, F.array().cast(SPAN)).otherwise(F.aggregate(zipped, start, step, lambda acc: acc["out"]))
+    def placed(found: Column) -> Column:
+        zipped = F.arrays_zip(F.split(text, pattern, -1).alias("b"), found.alias("m"))
+        return F.when(F.size(found) == 0, F.array().cast(SPAN)).otherwise(F.aggregate(zipped, start, step, lambda acc: acc["out"]))
+
+    # the matches are bound once, as a lambda's argument: written out they would be searched for anew at each mention
+    return F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), placed)[0]
 
 
 def redact(text: Column, found: Column, mark: Column | str) -> Column:
