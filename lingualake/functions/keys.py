@@ -27,5 +27,12 @@ def match_key(id_: Column, parent: Column | None = None, uuid: Column | None = N
     return key.otherwise(F.concat(F.lit("p:"), parent.cast("string"))) if parent is not None else key
 
 
+def target_keys(id_: Column, parent: Column, uuid: Column | None = None) -> Column:
+    """The keys that a target row answers to: its string id alone, else its uuid and its parent, as far as it has them."""
+    none = F.lit(None).cast("string")
+    rest = [match_key(none, none, uuid)] if uuid is not None else []
+    return F.when(id_.isNotNull(), F.array(match_key(id_))).otherwise(F.array_compact(F.array(*rest, match_key(none, parent))))
+
+
 def parent_key(parent: Column, locale: Column, is_string: bool, parent_localized: bool) -> Column:
     return localize_id(parent, locale) if is_string and parent_localized else parent

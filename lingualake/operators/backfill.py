@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.filters import is_missing, should_skip_value
-from ..functions.keys import base_id, localize_id
+from ..functions.keys import base_id, localize_id, match_key, parent_key, target_keys
 from .strings import tm_lookup
 
 
@@ -17,17 +17,29 @@ def fan_out_locales(source: DataFrame, locales: list[str]) -> DataFrame:
     return source.withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales))))
 
 
-def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], source: str = "en") -> DataFrame:
+def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], source: str = "en", parent_localized: bool = False) -> DataFrame:
     """(key, locale, parent, s_<field>..., has_target, target_id, t_<field>...): source rows with their target rows.
 
-    One pass picks both sides; of several target rows with one key the last by id counts.
+    A source row with a string id is matched by it, else by its _uuid, else by its parent (a localized parent's string id
+    without its suffix); a rule that finds nothing is not followed by the next. Of several target rows with one key the last by
+    id counts. key is the base of a string id, else the id as text; tables with a _uuid give its base as uuid.
     """
-    key = base_id(F.col("id")).alias("key")
-    src = fan_out_locales(table.where(F.col("_locale") == source).select(key, F.col("_parent_id").alias("parent"), *(F.col(f).alias(f"s_{f}") for f in fields)), locales)
-    last = F.max_by(F.struct(F.col("id").alias("target_id"), *(F.col(f).alias(f"t_{f}") for f in fields)), "id")
-    tgt = table.where(F.col("_locale").isin(locales)).groupBy(key, F.col("_locale").alias("locale")).agg(last.alias("t"))
-    out = src.join(tgt, ["key", "locale"], "left")
-    return out.select("key", "locale", "parent", *(f"s_{f}" for f in fields), F.col("t").isNotNull().alias("has_target"), "t.target_id", *(f"t.t_{f}" for f in fields))
+    parent = F.col("_parent_id").cast("string")
+    if parent_localized and _is_text(table, "_parent_id"):
+        parent = base_id(parent)
+    id_ = F.col("id") if _is_text(table, "id") else F.lit(None).cast("string")
+    uuid = [F.col("_uuid")] if "_uuid" in table.columns else []
+    key = base_id(F.col("id")) if _is_text(table, "id") else F.col("id").cast("string")
+    kept = ["key", "parent", *("uuid" for _ in uuid), *(f"s_{f}" for f in fields)]
+    rows = table.where(F.col("_locale") == source).select(match_key(id_, parent, *uuid).alias("__by"), key.alias("key"), F.col("_parent_id").alias("parent"), *(base_id(u).alias("uuid") for u in uuid), *(F.col(f).alias(f"s_{f}") for f in fields))
+    last = F.max_by(F.struct(F.col("id").alias("target_id"), *(F.col(f).alias(f"t_{f}") for f in fields)), F.struct("id"))
+    found = table.where(F.col("_locale").isin(locales)).select("id", F.col("_locale").alias("locale"), *fields, F.explode(target_keys(id_, parent, *uuid)).alias("__by"))
+    out = fan_out_locales(rows, locales).join(found.groupBy("__by", "locale").agg(last.alias("t")), ["__by", "locale"], "left")
+    return out.select(kept[0], "locale", *kept[1:], F.col("t").isNotNull().alias("has_target"), "t.target_id", *(f"t.t_{f}" for f in fields))
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString() == "string"
 
 
 def needs(source: Column, target: Column, **rules) -> Column:
@@ -69,23 +81,32 @@ def build_updates(matched: DataFrame, tm: DataFrame, fields: list[str]) -> DataF
     return tm_lookup(rows, tm, "src", "locale", "value").select("target_id", "locale", "field", "value")
 
 
-def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: bool = False) -> DataFrame:
-    """New rows for source rows without a target, in locales with any string to translate (or in all)."""
+def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: bool = False, parent_localized: bool = False) -> DataFrame:
+    """New rows for source rows without a target, in locales with any string to translate (or in all).
+
+    Ids that are not strings stay null for the database to give; a _uuid gets the locale, and so does a localized parent's id.
+    """
     new = matched.where("NOT has_target")
     if not every:
         new = new.join(F.broadcast(locale_gate(matched)), "locale", "left_semi")
     for f in fields:
         new = tm_lookup(new, tm, f"s_{f}", "locale", f"v_{f}")
         new = new.withColumn(f"v_{f}", F.when(should_skip_value(F.col(f"s_{f}")), F.col(f"s_{f}")).otherwise(F.col(f"v_{f}")))
-    return new.select(localize_id(F.col("key"), F.col("locale")).alias("id"), F.col("locale").alias("_locale"), F.col("locale").alias("published_locale"), F.col("parent").alias("_parent_id"), *(F.col(f"v_{f}").alias(f) for f in fields))
+    lo = F.col("locale")
+    id_ = localize_id(F.col("key"), lo) if _is_text(matched, "target_id") else F.lit(None).cast(matched.schema["target_id"].dataType)
+    uuid = [F.when(F.col("uuid") != "", localize_id(F.col("uuid"), lo)).alias("_uuid")] if "uuid" in matched.columns else []
+    parent = parent_key(F.col("parent"), lo, _is_text(matched, "parent"), parent_localized)
+    return new.select(id_.alias("id"), *uuid, lo.alias("_locale"), lo.alias("published_locale"), parent.alias("_parent_id"), *(F.col(f"v_{f}").alias(f) for f in fields))
 
 
 def apply_changes(table: DataFrame, updates: DataFrame, inserts: DataFrame, fields: list[str]) -> DataFrame:
     """The table after the changes: updated columns replaced, new rows added unless their id is there already."""
     wide = updates.groupBy(F.col("target_id").alias("id")).agg(*(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"u_{f}") for f in fields))
     old = table.join(wide, "id", "left").select(*(F.coalesce(f"u_{c}", c).alias(c) if c in fields else F.col(c) for c in table.columns))
-    new = inserts.dropDuplicates(["id"]).join(table.select("id"), "id", "left_anti").select(*table.columns)
-    return old.unionByName(new)
+    new = inserts
+    if _is_text(inserts, "id"):  # other ids are the database's to give: nothing to compare yet
+        new = inserts.dropDuplicates(["id"]).join(table.select("id"), "id", "left_anti")
+    return old.unionByName(new.select(*table.columns))
 
 
 def dry_run_plan(matched: DataFrame) -> DataFrame:

@@ -33,11 +33,17 @@ def route_collisions(routes: DataFrame) -> DataFrame:
     return routes.groupBy("path").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
-def redirect_rules(routes: DataFrame, section: str) -> DataFrame:
-    """(from_path, to_path): old forms of each route (source section under the locale, no locale) to the route."""
+def redirect_rules(routes: DataFrame, section: str, old_slugs: DataFrame | None = None) -> DataFrame:
+    """(from_path, to_path): old forms of each route (source section under the locale, no locale) to the route.
+
+    With old_slugs (doc_id, old_slug), what a document was once called leads to its route in every locale too.
+    """
     old = F.array(F.concat_ws("/", F.lit(""), "lang", F.lit(section), "slug"), F.concat_ws("/", F.lit(""), "section_slug", "slug"), F.concat_ws("/", F.lit(""), "lang", "slug"))
-    rules = routes.select(F.explode(old).alias("from_path"), F.col("path").alias("to_path")).where("from_path <> to_path")
-    return rules.groupBy("from_path").agg(F.min("to_path").alias("to_path"))
+    rules = routes.select(F.explode(old).alias("from_path"), F.col("path").alias("to_path"))
+    if old_slugs is not None:
+        named = routes.join(old_slugs.select("doc_id", "old_slug"), "doc_id")
+        rules = rules.unionByName(named.select(F.concat_ws("/", F.lit(""), "lang", "section_slug", "old_slug").alias("from_path"), F.col("path").alias("to_path")))
+    return rules.where("from_path <> to_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
 
 
 def flatten_redirects(edges: DataFrame) -> DataFrame:

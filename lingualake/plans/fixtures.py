@@ -16,6 +16,15 @@ SELECT concat('p', CAST(p_partkey AS STRING), '_', l), l, p_partkey,
        CASE WHEN (p_partkey + k) % 4 = 1 THEN p_name WHEN (p_partkey + k) % 4 = 2 THEN concat('humano ', p_name) ELSE '' END, p_brand, p_type
 FROM part CROSS JOIN loc
 WHERE (p_partkey + k) % 4 <> 0"""
+NUMBERED = """
+WITH loc AS (SELECT 'es' AS l, 1 AS k UNION ALL SELECT 'fr', 2 UNION ALL SELECT 'de', 3)
+SELECT p_partkey * 10 AS id, CASE WHEN p_partkey % 2 = 0 THEN concat('u', CAST(p_partkey AS STRING)) END AS _uuid, 'en' AS _locale, p_partkey AS _parent_id, p_name AS title
+FROM part
+UNION ALL
+SELECT p_partkey * 10 + k, CASE WHEN (p_partkey + k) % 5 < 2 THEN concat('u', CAST(p_partkey AS STRING), '_', l) END, l,
+       CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 1 ELSE p_partkey END, concat(l, ' ', p_name)
+FROM part CROSS JOIN loc
+WHERE (p_partkey + k) % 4 <> 0"""
 TM = """
 SELECT 'en' AS source_locale, l AS target_locale, src, CASE WHEN length(src) % 5 = 0 THEN src ELSE concat('[', l, '] ', src) END AS tgt
 FROM (SELECT DISTINCT p_name AS src FROM part) s

@@ -62,6 +62,11 @@ _INS = f"ins AS (SELECT concat(key, '_', locale) AS id, locale AS _locale, local
 _TITLE = "page AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/]+)', 1) AS site, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)"
 
 
+_NUM = f"""num AS ({X.NUMBERED}), s AS (SELECT id, _uuid, _parent_id, title AS s_title, unnest(['es', 'fr', 'de']) AS locale FROM num WHERE _locale = 'en'),
+m AS (SELECT s.id, any_value(s._uuid) AS _uuid, any_value(s._parent_id) AS _parent_id, any_value(s_title) AS s_title, s.locale, max(t.id) AS target_id, arg_max(t.title, t.id) AS t_title
+FROM s LEFT JOIN num t ON t._locale = s.locale AND CASE WHEN s._uuid IS NOT NULL THEN {_BASE.format('t._uuid')} = s._uuid ELSE t._parent_id = s._parent_id END GROUP BY s.id, s.locale)"""
+
+
 # --- Spark sides ---------------------------------------------------------------------------------------------------------
 def _catalog(s, d) -> DataFrame:
     return X.fixture(s, d, X.CATALOG)
@@ -75,6 +80,11 @@ def _matched(s, d) -> DataFrame:
     return B.with_needs(B.match_target_rows(_catalog(s, d), LOCALES, FIELDS), FIELDS)
 
 
+def _numbered(s, d) -> DataFrame:
+    """A table with numeric ids: half of its source rows have a _uuid, the others only their parent."""
+    return B.match_target_rows(X.fixture(s, d, X.NUMBERED), LOCALES, ["title"])
+
+
 def _changes(s, d) -> DataFrame:
     return X.fixture(s, d, X.CHANGES)
 
@@ -213,6 +223,8 @@ ENTRIES: dict = {
     "loop_guard": (lambda s, d: _changes(s, d).where(~F.coalesce("is_auto", F.lit(False))).select("job_id"), f"WITH {_CH} SELECT job_id FROM ch WHERE NOT is_auto"),
     "fan_out_locales": (lambda s, d: B.fan_out_locales(_catalog(s, d).where("_locale = 'en'"), LOCALES).select("id", "locale"), f"WITH {_CAT} SELECT id, unnest(['es', 'fr', 'de']) AS locale FROM cat WHERE _locale = 'en'"),
     "match_target_rows": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", "has_target", "target_id", "t_title"), f"WITH {_MATCH} SELECT key, locale, has_target, target_id, t_title FROM m"),
+    "match_target_rows_numbered": (lambda s, d: _numbered(s, d).select("key", "locale", "has_target", F.col("target_id").cast("string").alias("target_id"), "t_title"), f"WITH {_NUM} SELECT CAST(id AS VARCHAR) AS key, locale, target_id IS NOT NULL AS has_target, CAST(target_id AS VARCHAR) AS target_id, t_title FROM m"),
+    "build_inserts_numbered": (lambda s, d: B.build_inserts(B.with_needs(_numbered(s, d), ["title"]), _tm(s, d), ["title"], every=True).select("_uuid", "_locale", "_parent_id", "title"), f"WITH {_NUM}, {_TM} SELECT CASE WHEN _uuid IS NOT NULL THEN concat(_uuid, '_', locale) END AS _uuid, locale AS _locale, _parent_id, {_new('title')} FROM m WHERE target_id IS NULL"),
     "parent_key_rewrite": (lambda s, d: _catalog(s, d).select("id", keys.parent_key(F.concat(F.lit("c"), F.col("_parent_id").cast("string"), F.lit("_en")), F.col("_locale"), True, True).alias("_parent_id")), f"WITH {_CAT} SELECT id, concat('c', _parent_id, '_', _locale) AS _parent_id FROM cat"),
     "missing_rows": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).where("NOT has_target").select("key", "locale"), f"WITH {_MATCH} SELECT key, locale FROM m WHERE NOT has_target"),
     "tables_with_source": (lambda s, d: B.locale_gate(_matched(s, d)), f"WITH {_MATCH} SELECT DISTINCT locale FROM n WHERE {_NEEDS}"),
@@ -270,6 +282,7 @@ ENTRIES: dict = {
     "localized_routes": (_routes, f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS section_slug, slug FROM p) SELECT *, concat('/', lang, '/', section_slug, '/', slug) AS path FROM x"),
     "route_collisions": (lambda s, d: seo.route_collisions(seo.localized_routes(X.fixture(s, d, X.SLUG_ROWS).where("slug IS NOT NULL").select(F.col("_parent_id").alias("doc_id"), "slug"), "blog", ["de"])), f"WITH r AS ({X.SLUG_ROWS}) SELECT concat('/de/blog/', slug) AS path, count(*) AS n, min(_parent_id) AS first_doc FROM r WHERE slug IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
     "redirect_rules": (lambda s, d: seo.redirect_rules(_routes(s, d), "solutions"), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT unnest([concat('/', lang, '/solutions/', slug), concat('/', sec, '/', slug), concat('/', lang, '/', slug)]) AS from_path, concat('/', lang, '/', sec, '/', slug) AS to_path FROM x) SELECT from_path, min(to_path) AS to_path FROM y WHERE from_path <> to_path GROUP BY 1"),
+    "redirect_rules_old_slugs": (lambda s, d: seo.redirect_rules(_routes(s, d), "solutions", X.fixture(s, d, X.SLUG_PARENTS).where("id % 3 = 0").select(F.col("id").alias("doc_id"), F.concat(F.lit("old-"), F.col("id").cast("string")).alias("old_slug"))), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT unnest([concat('/', lang, '/solutions/', slug), concat('/', sec, '/', slug), concat('/', lang, '/', slug), CASE WHEN id % 3 = 0 THEN concat('/', lang, '/', sec, '/old-', id) END]) AS from_path, concat('/', lang, '/', sec, '/', slug) AS to_path FROM x) SELECT from_path, min(to_path) AS to_path FROM y WHERE from_path <> to_path GROUP BY 1"),
     "flatten_redirects": (lambda s, d: seo.flatten_redirects(X.fixture(s, d, X.REDIRECTS)), f"WITH RECURSIVE e AS ({X.REDIRECTS}), w AS (SELECT from_path, to_path AS node, [from_path] AS seen FROM e UNION ALL SELECT w.from_path, e.to_path, list_append(seen, e.to_path) FROM w JOIN e ON e.from_path = w.node WHERE NOT list_contains(seen, e.to_path)) SELECT from_path, arg_max(node, len(seen)) AS to_path FROM w GROUP BY 1"),
     "hreflang_groups": (lambda s, d: seo.alternates(_routes(s, d).select("doc_id", "lang", F.col("path").alias("url"))).select("doc_id", F.explode("alternates").alias("lang", "url")), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p) SELECT doc_id, lang, concat('/', lang, '/', sec, '/', slug) AS url FROM x"),
     "sitemap": (lambda s, d: seo.sitemap(_routes(s, d).select("doc_id", "lang", F.concat("path", F.lit("/")).alias("url"))), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT doc_id, lang, concat('/', lang, '/', sec, '/', slug) AS url FROM x) SELECT a.url AS loc, b.lang, b.url AS href FROM y a JOIN y b USING (doc_id)"),
