@@ -95,3 +95,19 @@ def retry_candidates(translated: DataFrame) -> DataFrame:
     """Echoed title-case strings (locale, src, tgt) with the form in which they are to be looked up again."""
     echo = is_echo(F.col("tgt"), F.col("src"), F.col("locale")) & is_title_case(F.col("src"))
     return translated.where(echo).select("locale", "src", retry_form(F.col("src")).alias("retry"))
+
+
+def retried(translated: DataFrame, again: DataFrame, strategy: str = "sentence") -> DataFrame:
+    """(locale, src, tgt, failed): translated (locale, src, tgt) after a second lookup of its echoed title-case strings.
+
+    again (locale, src, tgt) holds translations of their retry forms; one that echoes its own form does not count. What stays
+    an echo keeps its original and counts as failed.
+    """
+    form = retry_form(F.col("src"), strategy)
+    echo = F.coalesce(is_echo(F.col("tgt"), F.col("src"), F.col("locale")), F.lit(False))
+    rows = translated.select("locale", "src", "tgt", echo.alias("echo"), F.when(echo & is_title_case(F.col("src")), form).alias("form"))
+    found = again.groupBy("locale", F.col("src").alias("form")).agg(F.max("tgt").alias("second"))
+    found = found.where(~is_echo(F.col("second"), F.col("form"), F.col("locale")))
+    out = rows.join(found, ["locale", "form"], "left")
+    tgt = F.when(~F.col("echo"), F.col("tgt")).otherwise(F.coalesce("second", "src"))
+    return out.select("locale", "src", tgt.alias("tgt"), (F.col("echo") & F.col("second").isNull()).alias("failed"))

@@ -244,6 +244,7 @@ ENTRIES: dict = {
     "except_translated": (lambda s, d: strings.except_translated(B.missing_strings(_matched(s, d), FIELDS), _tm(s, d)), f"WITH {_MATCH}, {_TM}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT DISTINCT locale, src FROM l WHERE need AND NOT EXISTS (SELECT 1 FROM tm WHERE target_locale = locale AND tm.src = l.src)"),
     "batch_assign": (lambda s, d: strings.batch_assign(strings.distinct_strings(X.segments(s, d).where(~filters.should_skip_value(F.col("src"))), ["lang"]), ["lang"]).groupBy("lang", "bucket", "batch").agg(F.count("*").alias("n"), F.sum(F.length("src")).cast("long").alias("chars")), f"WITH RECURSIVE {_SEG}, s AS (SELECT DISTINCT lang, src FROM seg WHERE {_reason('src')} IS NULL), b AS (SELECT lang, CAST(('0x' || substr(md5(src), 1, 4)) AS INTEGER) % 32 AS bucket, length(src) AS len, row_number() OVER (PARTITION BY lang, CAST(('0x' || substr(md5(src), 1, 4)) AS INTEGER) % 32 ORDER BY src) AS rn FROM s), w AS (SELECT lang, bucket, rn, len, len AS total, 1 AS n, 0 AS batch FROM b WHERE rn = 1 UNION ALL SELECT b.lang, b.bucket, b.rn, b.len, CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN b.len ELSE w.total + b.len END, CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN 1 ELSE w.n + 1 END, w.batch + CASE WHEN w.n >= 15 OR w.total + b.len > 6000 THEN 1 ELSE 0 END FROM w JOIN b ON b.lang IS NOT DISTINCT FROM w.lang AND b.bucket = w.bucket AND b.rn = w.rn + 1) SELECT lang, bucket, batch, count(*) AS n, CAST(sum(len) AS BIGINT) AS chars FROM w GROUP BY 1, 2, 3"),
     "retry_candidates": (lambda s, d: strings.retry_candidates(_translated(s, d)), f"WITH {_TRANSLATED} SELECT locale, src, upper(src[1]) || lower(src[2:]) AS retry FROM tr2 WHERE {_ECHO} AND {_HEAD}"),
+    "retried": (lambda s, d: strings.retried(_translated(s, d), _tm(s, d).select(F.col("target_locale").alias("locale"), text.sentence_case(F.col("src")).alias("src"), "tgt")), f"WITH {_TRANSLATED}, e AS (SELECT *, {_ECHO} AS echo, {_HEAD} AS head, upper(src[1]) || lower(src[2:]) AS form FROM tr2), g AS (SELECT target_locale AS locale, upper(src[1]) || lower(src[2:]) AS src, max(tgt) AS tgt FROM tm GROUP BY 1, 2), h AS (SELECT locale, src AS form, tgt AS second FROM g WHERE NOT {_ECHO}) SELECT e.locale, src, CASE WHEN NOT echo THEN tgt WHEN head AND second IS NOT NULL THEN second ELSE src END AS tgt, echo AND NOT (head AND second IS NOT NULL) AS failed FROM e LEFT JOIN h ON h.locale = e.locale AND h.form = e.form"),
     "is_echo": (lambda s, d: _translated(s, d).where(text.is_echo(F.col("tgt"), F.col("src"), F.col("locale"))).groupBy("locale").agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT locale, count(*) AS n FROM tr2 WHERE {_ECHO} GROUP BY 1"),
     "is_title_case": (lambda s, d: _translated(s, d).groupBy(text.is_title_case(F.col("src")).alias("title_case")).agg(F.count("*").alias("n")), f"WITH {_TRANSLATED} SELECT {_HEAD} AS title_case, count(*) AS n FROM tr2 GROUP BY 1"),
     "sentence_case": (lambda s, d: _catalog(s, d).select("id", text.sentence_case(F.col("title")).alias("title")), f"WITH {_CAT} SELECT id, upper(trim(title)[1]) || lower(trim(title)[2:]) AS title FROM cat"),
