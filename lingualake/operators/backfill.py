@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,12 +18,13 @@ def fan_out_locales(source: DataFrame, locales: list[str]) -> DataFrame:
     return source.withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales))))
 
 
-def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], source: str = "en", parent_localized: bool = False) -> DataFrame:
-    """(key, locale, parent, s_<field>..., has_target, target_id, t_<field>...): source rows with their target rows.
+def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], source: str = "en", parent_localized: bool = False, others: Sequence[str] = ()) -> DataFrame:
+    """(key, locale, parent, s_<field>..., o_<other>..., has_target, target_id, t_<field>...): source rows with their target rows.
 
     A source row with a string id is matched by it, else by its _uuid, else by its parent (a localized parent's string id
     without its suffix); a rule that finds nothing is not followed by the next. Of several target rows with one key the last by
-    id counts. key is the base of a string id, else the id as text; tables with a _uuid give its base as uuid.
+    id counts. key is the base of a string id, else the id as text; tables with a _uuid give its base as uuid. others are
+    columns that new rows take over from their source.
     """
     parent = F.col("_parent_id").cast("string")
     if parent_localized and _is_text(table, "_parent_id"):
@@ -30,8 +32,8 @@ def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], s
     id_ = F.col("id") if _is_text(table, "id") else F.lit(None).cast("string")
     uuid = [F.col("_uuid")] if "_uuid" in table.columns else []
     key = base_id(F.col("id")) if _is_text(table, "id") else F.col("id").cast("string")
-    kept = ["key", "parent", *("uuid" for _ in uuid), *(f"s_{f}" for f in fields)]
-    rows = table.where(F.col("_locale") == source).select(match_key(id_, parent, *uuid).alias("__by"), key.alias("key"), F.col("_parent_id").alias("parent"), *(base_id(u).alias("uuid") for u in uuid), *(F.col(f).alias(f"s_{f}") for f in fields))
+    kept = ["key", "parent", *("uuid" for _ in uuid), *(f"s_{f}" for f in fields), *(f"o_{x}" for x in others)]
+    rows = table.where(F.col("_locale") == source).select(match_key(id_, parent, *uuid).alias("__by"), key.alias("key"), F.col("_parent_id").alias("parent"), *(base_id(u).alias("uuid") for u in uuid), *(F.col(f).alias(f"s_{f}") for f in fields), *(F.col(x).alias(f"o_{x}") for x in others))
     last = F.max_by(F.struct(F.col("id").alias("target_id"), *(F.col(f).alias(f"t_{f}") for f in fields)), F.struct("id"))
     found = table.where(F.col("_locale").isin(locales)).select("id", F.col("_locale").alias("locale"), *fields, F.explode(target_keys(id_, parent, *uuid)).alias("__by"))
     out = fan_out_locales(rows, locales).join(found.groupBy("__by", "locale").agg(last.alias("t")), ["__by", "locale"], "left")
@@ -81,10 +83,11 @@ def build_updates(matched: DataFrame, tm: DataFrame, fields: list[str]) -> DataF
     return tm_lookup(rows, tm, "src", "locale", "value").select("target_id", "locale", "field", "value")
 
 
-def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: bool = False, parent_localized: bool = False) -> DataFrame:
+def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: bool = False, parent_localized: bool = False, others: Sequence[str] = ()) -> DataFrame:
     """New rows for source rows without a target, in locales with any string to translate (or in all).
 
     Ids that are not strings stay null for the database to give; a _uuid gets the locale, and so does a localized parent's id.
+    others (as given to match_target_rows) are taken over as they are.
     """
     new = matched.where("NOT has_target")
     if not every:
@@ -96,7 +99,7 @@ def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: b
     id_ = localize_id(F.col("key"), lo) if _is_text(matched, "target_id") else F.lit(None).cast(matched.schema["target_id"].dataType)
     uuid = [F.when(F.col("uuid") != "", localize_id(F.col("uuid"), lo)).alias("_uuid")] if "uuid" in matched.columns else []
     parent = parent_key(F.col("parent"), lo, _is_text(matched, "parent"), parent_localized)
-    return new.select(id_.alias("id"), *uuid, lo.alias("_locale"), lo.alias("published_locale"), parent.alias("_parent_id"), *(F.col(f"v_{f}").alias(f) for f in fields))
+    return new.select(id_.alias("id"), *uuid, lo.alias("_locale"), lo.alias("published_locale"), parent.alias("_parent_id"), *(F.col(f"v_{f}").alias(f) for f in fields), *(F.col(f"o_{x}").alias(x) for x in others))
 
 
 def apply_changes(table: DataFrame, updates: DataFrame, inserts: DataFrame, fields: list[str]) -> DataFrame:

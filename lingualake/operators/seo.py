@@ -46,22 +46,41 @@ def redirect_rules(routes: DataFrame, section: str, old_slugs: DataFrame | None
     return rules.where("from_path <> to_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
 
 
+def chain_ends(hop: DataFrame) -> DataFrame:
+    """(at, next, to) of the hops (at, next; one for each at) whose chain ends: to is its end. Hops that lead into a circle are left out.
+
+    Pointers double, so the rounds grow with the logarithm of the longest chain. A round that ends no chain is the last: were there
+    longer ones, one of the lengths it covers would have ended.
+    """
+    starts = hop.select(F.col("at").alias("next"), F.lit(False).alias("last"))
+    first = settled(hop.join(starts, "next", "left").select("at", "next", F.col("next").alias("to"), F.col("last").isNull().alias("last")))
+    done, live = first.where("last"), first.where("NOT last")
+    left, before = live.count(), None
+    while left and left != before:
+        jumps = done.unionByName(live).select(F.col("at").alias("to"), F.col("to").alias("far"), "last")
+        step = settled(live.drop("last").join(jumps, "to").select("at", "next", F.col("far").alias("to"), "last"))
+        done, live = done.unionByName(step.where("last")), step.where("NOT last")
+        left, before = live.count(), left
+    return done.drop("last")
+
+
 def flatten_redirects(edges: DataFrame) -> DataFrame:
     """(from_path, to_path): each redirect to the end of its chain.
 
     A walk stops before a node that it has stood on (its start included, its first target not), as does the
-    reference rule. Each round is one join on the unique `from` side; finished walks leave the loop.
+    reference rule. Chains that end are followed by doubling. Only what leads into a circle, and other targets of a
+    path than its greatest, walk hop by hop: one join a round, finished walks leave the loop.
     """
-    hop = settled(edges.groupBy(F.col("from_path").alias("at")).agg(F.max("to_path").alias("next")))
-    walk = edges.select("from_path", F.col("to_path").alias("at"), F.array("from_path").alias("seen"))
-    done = None
-    while True:
+    hop = settled(edges.groupBy(F.col("from_path").alias("at")).agg(F.max("to_path").alias("next")).where("next IS NOT NULL"))
+    ends = chain_ends(hop).select(F.col("at").alias("from_path"), F.col("next").alias("to_path"), F.col("to").alias("end"))
+    known = settled(edges.select("from_path", "to_path").join(ends, ["from_path", "to_path"], "left"))
+    done = known.where("end IS NOT NULL").select("from_path", F.col("end").alias("to_path"))
+    walk = known.where("end IS NULL").select("from_path", F.col("to_path").alias("at"), F.array("from_path").alias("seen"))
+    while walk.limit(1).count():
         step = settled(walk.join(hop, "at", "left").withColumn("stop", F.col("next").isNull() | F.array_contains("seen", F.col("next"))))
-        ended = step.where("stop").select("from_path", F.col("at").alias("to_path"))
-        done = ended if done is None else done.unionByName(ended)
+        done = done.unionByName(step.where("stop").select("from_path", F.col("at").alias("to_path")))
         walk = step.where("NOT stop").select("from_path", F.col("next").alias("at"), F.concat("seen", F.array("next")).alias("seen"))
-        if not walk.limit(1).count():
-            return done
+    return done
 
 
 def alternates(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Literal cases of merges, ids, slugs, value rules, rich text, JSON-LD and streaming."""
 
+import collections
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from lingualake.functions import filters, keys, text, urls
 from lingualake.operators import backfill as B
 from lingualake.operators import documents as D
-from lingualake.operators import strings
+from lingualake.operators import seo, strings
 from lingualake.streaming import changes as C
 
 
@@ -92,6 +94,36 @@ def test_backfill_twice_changes_nothing_new(spark):
     assert {r["id"]: r["title"] for r in table.collect() if r["_locale"] == "es"} == {"p1_es": "té rojo", "p2_es": "té azul"}
 
 
+def test_inserts_take_over_other_columns(spark):
+    table = spark.createDataFrame([("p1", "en", 1, "red tea", 3, "a.png"), ("p2", "en", 2, "blue tea", None, None), ("p1_es", "es", 1, "", 9, "b.png")], "id string, _locale string, _parent_id long, title string, rank int, image string")
+    tm = spark.createDataFrame([("en", "es", "blue tea", "té azul")], "source_locale string, target_locale string, src string, tgt string")
+    m = B.with_needs(B.match_target_rows(table, ["es", "fr"], ["title"], others=["rank", "image"]), ["title"])
+    new = B.apply_changes(table, B.build_updates(m, tm, ["title"]), B.build_inserts(m, tm, ["title"], others=["rank", "image"]), ["title"])
+    got = {r["id"]: (r["title"], r["rank"], r["image"]) for r in new.collect() if r["_locale"] != "en"}
+    assert got == {"p1_es": ("red tea", 9, "b.png"), "p2_es": ("té azul", None, None), "p1_fr": ("red tea", 3, "a.png"), "p2_fr": ("blue tea", None, None)}
+
+
+def test_redirect_chains_and_circles(spark):
+    rng = random.Random(4)
+    edges = [(f"c{i}", f"c{i + 1}") for i in range(37)] + [("x", "x"), ("y", None), ("z", "y"), ("c3", "c4"), ("c5", "a0")]
+    edges += [(f"n{rng.randrange(25)}", f"n{rng.randrange(30)}") for _ in range(40)]
+    hop = {}
+    for a, b in edges:
+        if b is not None:
+            hop[a] = max(b, hop.get(a, b))
+
+    def end(a, at):
+        seen = {a}
+        while hop.get(at, a) not in seen:
+            at = hop[at]
+            seen.add(at)
+        return at
+
+    got = seo.flatten_redirects(spark.createDataFrame(edges, "from_path string, to_path string")).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((a, end(a, b)) for a, b in edges)
+    assert seo.flatten_redirects(spark.createDataFrame([], "from_path string, to_path string")).count() == 0
+
+
 def test_stream_agrees_with_batch(spark, tmp_path):
     rows = [(i, "collection", "pages", i % 3, "en", "update", None, False, f"2024-01-01 00:{i * 7 % 60:02d}:00", None) for i in range(40)]
     df = spark.createDataFrame(rows, "job_id long, entity_type string, slug string, doc_id long, locale string, operation string, status string, is_auto boolean, ts string, data string").withColumn("ts", F.to_timestamp("ts"))
