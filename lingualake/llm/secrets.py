@@ -116,13 +116,17 @@ def find_secrets(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def redact_secrets(docs: DataFrame, threshold: float = 0.5, mark: str = "<SECRET>") -> DataFrame:
     """docs with every secret of its text replaced by a mark, and n_chars (where there is one) set anew.
 
-    The forests are fitted over all of docs first; each row is then searched and rewritten in place, without a join.
+    Each row is searched once and written down with its candidates; the forests are fitted over all of them, and the rows
+    are then rewritten as they are read again, without a join.
     """
-    words = dictionary(docs)
     text = whole(F.col("text"))
-    forests = _trained(cut(docs.select(candidates(text, words).alias("found"))))
-    out = docs.withColumn("__found", F.filter(candidates(text, words), lambda c: _score(forests, c) >= threshold))
-    out = out.withColumn("text", F.when(F.size("__found") == 0, F.col("text")).otherwise(redact(text, F.col("__found"), mark)))
+    at = "__found"
+    while at in docs.columns:
+        at += "_"
+    rows = cut(docs.withColumn(at, candidates(text, dictionary(docs))))
+    forests = _trained(rows.select(F.col(at).alias("found")))
+    out = rows.withColumn(at, F.filter(at, lambda c: _score(forests, c) >= threshold))
+    out = out.withColumn("text", F.when(F.size(at) == 0, F.col("text")).otherwise(redact(text, F.col(at), mark)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("__found") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.size(at) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
