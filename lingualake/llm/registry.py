@@ -17,8 +17,24 @@ def queries() -> dict:
         "op8_packing": q.op8_packing,
         "op9_secrets": q.op9_secrets,
         "op10_caps": q.op10_caps,
+        "op11_winnowing": q.op11_winnowing,
+        "op12_alignment": q.op12_alignment,
+        "op13_periodic_runs": q.op13_periodic_runs,
     }
 
 
+#: Windows of ten words, or an item's all; documents and items by words in lower case.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_AT = "unnest(list_transform(range(1, len(w) - m + 2), lambda p: {'p': p, 's': array_to_string(w[p:p + m - 1], ' ')}))"
+_WINNOWING = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, w, least(len(w), 10) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, m, x.s FROM (SELECT item_id, m, {_AT} AS x FROM i)),
+dw AS (SELECT doc_id, m, x.p, x.s FROM (SELECT doc_id, m, {_AT} AS x FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)),
+hit AS (SELECT doc_id, p, m, item_id FROM dw JOIN iw USING (m, s)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS q FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256 FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_winnowing": _WINNOWING}
