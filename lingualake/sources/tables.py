@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +12,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the cluster's shared folder; a local session's is beside its warehouse."""
-    sc = df.sparkSession.sparkContext
-    if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a local session's is beside its warehouse."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}-steps")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir')}-steps"
+        sc.setCheckpointDir(found)
+    return found
+
+
+def workspace(spark: SparkSession) -> str:
+    """A new folder of its own in the shared one."""
+    return f"{shared_dir(spark)}/work-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
