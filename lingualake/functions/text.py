@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -107,9 +108,13 @@ def sentence_case(c: Column) -> Column:
     return F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, F.lit(2), F.length(t))))
 
 
-def localized_slug(target_slug: Column, source_slug: Column, titles: list[Column], locale: str, latin_only: bool = True) -> Column:
-    """The slug of the first title that is there, only where the target has no slug of its own; 'home' never changes."""
+def localized_slug(target_slug: Column, source_slug: Column, titles: list[Column], locale: str, latin_only: bool = True, hook: Callable[[Column, Column, Column], Column] | None = None) -> Column:
+    """The slug of the first title that is there, only where the target has no slug of its own; 'home' never changes.
+
+    hook(title, locale, source slug) makes the slug in place of the rule: column functions, or a pandas UDF.
+    """
     title = F.coalesce(*(F.nullif(t, F.lit("")) for t in titles), F.lit(""))
-    made = F.coalesce(F.nullif(slugify(title, locale, latin_only), F.lit("")), source_slug)
+    slug = hook(title, F.lit(locale), source_slug) if hook is not None else slugify(title, locale, latin_only)
+    made = F.coalesce(F.nullif(slug, F.lit("")), source_slug)
     own = ~(F.coalesce(target_slug, F.lit("")) == "") & ~target_slug.eqNullSafe(source_slug)
     return F.when(source_slug == "home", source_slug).when(own, target_slug).otherwise(made)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +22,11 @@ SECTIONS = {
 }
 
 
-def localize_url(url: Column, locale: Column, site: Column) -> Column:
-    """The URL under the locale's path; other sites, global fragments and assets stay; the query is dropped."""
+def localize_url(url: Column, locale: Column, site: Column, path_hook: Callable[[Column, Column], Column] | None = None) -> Column:
+    """The URL under the locale's path; other sites, global fragments and assets stay; the query is dropped.
+
+    path_hook(path, locale) gives the localized path in place of the rule: column functions, or a pandas UDF. The path begins with `/`.
+    """
     rest = F.substring(url, F.length(site) + 1, F.length(url))
     ours = url.startswith(site) & rest.rlike(r"^(?:[/?#]|\z)")
     fragment = F.regexp_extract(rest, r"(#.*)\z", 1)
@@ -30,6 +35,8 @@ def localize_url(url: Column, locale: Column, site: Column) -> Column:
     bare = F.when(path.rlike(r"^/[A-Za-z]{2}(?:/|\z)"), F.substring(path, F.lit(4), F.length(path))).otherwise(path)
     keep = F.lower(fragment).isin(GLOBAL_FRAGMENTS) | path.rlike(ASSETS) | path.startswith("/images/")
     moved = F.when(bare.isin("", "/"), F.concat(site, F.lit("/"), locale, fragment)).otherwise(F.concat(site, F.lit("/"), locale, bare, fragment))
+    if path_hook is not None:
+        moved = F.concat(site, path_hook(F.when(path == "", "/").otherwise(path), locale), fragment)
     return F.when(~ours | keep, url).otherwise(moved)
 
 

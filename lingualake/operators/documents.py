@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections import defaultdict, deque
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,10 +21,38 @@ _SUFFIX = re.compile(r"(_[a-z]{2}(-[A-Z]{2})?)+\Z")
 # Fixed values
 JSONLD_TEXT = "description headline alternativeHeadline caption text keywords articleBody disambiguatingDescription reviewBody serviceType slogan areaServed award abstract".split()
 JSONLD_ENTITIES = "Organization Corporation Brand LocalBusiness Person EducationalOccupationalCredential".split()
+#: How deep a document may nest.
+DEPTH = 20_000
 SYSTEM_ROOT = "id createdAt updatedAt _status".split()
 JSONLD_LANGUAGE = "WebPage WebSite Article FAQPage AboutPage ContactPage".split()
 
 
+def guarded(f: Callable) -> Callable:
+    """f as a function that gives its result and no error, or no result and what was wrong with its row.
+
+    Malformed JSON, another shape than asked for, and nesting beyond DEPTH are a row's errors: they never end a job.
+    """
+
+    def run(*values):
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
+        try:
+            return f(*values), None
+        except (ValueError, TypeError, KeyError, AttributeError, RecursionError) as e:
+            return None, f"{type(e).__name__}: {e}"[:200]
+
+    return run
+
+
+def _per_row(f: Callable, *columns: pd.Series) -> pd.Series:
+    """f of each row; null where a row is malformed."""
+    one = guarded(f)
+    return pd.Series([one(*row)[0] for row in zip(*columns)], dtype=object)
+
+
+def dumps(node) -> str:
+    return json.dumps(node, ensure_ascii=False)
+
+
 def merge_scalar(existing: Column, new: Column) -> Column:
     return F.when(is_blank(existing), new).otherwise(existing)
 
@@ -61,7 +91,7 @@ def merge_blocks(new: list, old: list) -> list:
     """Items in the new order, each merged with the unused old item of its base id, else of its type and place."""
     if not old or not new:
         return new or old
-    if not isinstance(new[0], dict):
+    if not isinstance(new[0], dict | list):
         return old
     used: set = set()
     by_base, by_kind = defaultdict(deque), defaultdict(deque)  # unused old items by base id and by type, in order
@@ -75,17 +105,17 @@ def merge_blocks(new: list, old: list) -> list:
             queue.popleft()
         return queue[0] if queue else None
 
-    def partner(i: int, item: dict) -> int | None:
+    def partner(i: int, item: dict | list) -> int | None:
         if (base := _base(item)) and (k := first(by_base[base])) is not None:
             return k
-        here, kind = i < len(old) and i not in used, item.get("blockType")
+        here, kind = i < len(old) and i not in used, item.get("blockType") if isinstance(item, dict) else None
         if here and (kinds[i] == kind if kind else not kinds[i]):
             return i
         return first(by_kind[kind]) if kind else None
 
     out = []
     for i, item in enumerate(new):
-        k = partner(i, item) if isinstance(item, dict) else None
+        k = partner(i, item) if isinstance(item, dict | list) else None
         out.append(item if k is None else merge_values(item, old[k]))
         used.add(k)
     return out
@@ -93,8 +123,8 @@ def merge_blocks(new: list, old: list) -> list:
 
 @F.pandas_udf(T.StringType())
 def merge_documents(new: pd.Series, old: pd.Series) -> pd.Series:
-    """JSON documents: the merged one (the new one where there is no old)."""
-    return pd.Series([n if o is None or n is None else json.dumps(merge_values(json.loads(n), json.loads(o)), ensure_ascii=False) for n, o in zip(new, old)])
+    """JSON documents: the merged one (the new one where there is no old; null where one is malformed)."""
+    return _per_row(lambda n, o: n if o is None or n is None else dumps(merge_values(json.loads(n), json.loads(o))), new, old)
 
 
 def is_richtext(v) -> bool:
@@ -113,44 +143,78 @@ def _leaves(node, out: list) -> None:
             _leaves(v, out)
 
 
+def _leaf_slots(node):
+    """Nodes of a rich text that hold a text, depth first."""
+    if isinstance(node, dict) and node.get("type") == "text" and isinstance(node.get("text"), str):
+        yield node, "text"
+    for v in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
+        yield from _leaf_slots(v)
+
+
+def richtext_leaves(node) -> list | None:
+    """The texts of a rich text's leaves that are not blank, in order: a leaf is known by its number here. None: no rich text."""
+    return [at[k] for at, k in _leaf_slots(node) if not _empty(at[k])] if is_richtext(node) else None
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def richtext_strings(s: pd.Series) -> pd.Series:
     """Text leaves of rich-text JSON in depth-first order; null for what is not rich text."""
+    return _per_row(lambda x: None if x is None else richtext_leaves(json.loads(x)), s)
+
+
+@F.pandas_udf(T.StructType().add("present", "boolean").add("leaves", T.ArrayType(T.StringType())).add("form", "string"))
+def richtext_parts(s: pd.Series) -> pd.DataFrame:
+    """Of JSON values: whether there is one (not null, false, 0 or empty), its leaves (null: no rich text), and a form that equal values
+    share whatever the order of their keys. Malformed JSON is present, without leaves, in the form it has."""
 
     def of(x):
         v = None if x is None else json.loads(x)
-        if not is_richtext(v):
-            return None
-        out: list = []
-        _leaves(v, out)
-        return [t for t in out if t.strip()]
+        return v not in (None, False, 0, ""), richtext_leaves(v), None if v is None else json.dumps(v, sort_keys=True)
 
-    return s.map(of)
+    rows = [(guarded(of)(x)[0] or (x is not None, None, x)) for x in s]
+    return pd.DataFrame(rows, columns=["present", "leaves", "form"])
 
 
-def _replaced(node, by: dict):
-    if isinstance(node, dict):
-        out = {k: _replaced(v, by) for k, v in node.items()}
-        if node.get("type") == "text" and isinstance(node.get("text"), str):
-            out["text"] = by.get(node["text"]) or node["text"]
-        return out
-    return [_replaced(v, by) for v in node] if isinstance(node, list) else node
+@F.pandas_udf(T.StringType())
+def placed_leaves(doc: pd.Series, texts: pd.Series) -> pd.Series:
+    """Rich-text JSON with its leaves replaced by number (null: as it is); structure untouched. Other JSON stays as it is."""
+
+    def put(d, t):
+        if d is None or t is None:
+            return d
+        node = json.loads(d)
+        for (at, k), new in zip([x for x in _leaf_slots(node) if not _empty(x[0][x[1]])], t):
+            at[k] = new or at[k]
+        return dumps(node)
+
+    return pd.Series([guarded(put)(d, t)[0] or d for d, t in zip(doc, texts)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
 def apply_richtext(doc: pd.Series, by: pd.Series) -> pd.Series:
-    """Rich-text JSON with its leaves replaced by a JSON object's values; structure untouched."""
-    return pd.Series([None if d is None else json.dumps(_replaced(json.loads(d), json.loads(b or "{}")), ensure_ascii=False) for d, b in zip(doc, by)])
+    """Rich-text JSON with its leaves replaced by a JSON object's values, by text; structure untouched."""
+
+    def put(d, b):
+        if d is None:
+            return None
+        node, texts = json.loads(d), json.loads(b or "{}")
+        for at, k in list(_leaf_slots(node)):
+            at[k] = texts.get(at[k]) or at[k]
+        return dumps(node)
+
+    return _per_row(put, doc, by)
 
 
 def _jsonld_slots(node):
-    """(holder, key, kind) of every place of a JSON-LD value that holds a text, a link or a language, in document order."""
+    """(holder, key, kind) of every place of a JSON-LD value that is to change, in document order: a text, a link, a language, a page
+    (a node that has a language of its own) or a graph (a node that keeps its context and graph alone)."""
     if isinstance(node, list):
         for x in node:
             yield from _jsonld_slots(x)
     if not isinstance(node, dict):
         return
     if isinstance(node.get("@graph"), list):
+        yield node, "@graph", "graph"
         yield from _jsonld_slots(node["@graph"])
         return
     entity = not _types(node).isdisjoint(JSONLD_ENTITIES)
@@ -164,12 +228,14 @@ def _jsonld_slots(node):
             for i, x in enumerate(v):
                 if isinstance(x, str):
                     yield v, i, "text"
-                elif k not in JSONLD_TEXT:
+                elif k not in JSONLD_TEXT and isinstance(x, dict | list):
                     yield from _jsonld_slots(x)
         elif (texts or k == "name" and not entity) and isinstance(v, str):
             yield node, k, "text"
         elif not texts and k not in ("name", "knowsAbout", "about"):
             yield from _jsonld_slots(v)
+    if not _types(node).isdisjoint(JSONLD_LANGUAGE):
+        yield node, "inLanguage", "page"
 
 
 def _types(node: dict) -> set:
@@ -185,51 +251,67 @@ def jsonld_texts(node, kind: str = "text") -> list:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def jsonld_strings(s: pd.Series) -> pd.Series:
     """Candidate strings of JSON-LD; the value rules are a filter on the exploded column, inside the JVM."""
-    return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x)))
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def jsonld_links(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else jsonld_texts(json.loads(x), "link"))
+    return _per_row(lambda x: None if x is None else jsonld_texts(json.loads(x)), s)
 
 
-def _pages(node):
-    """Nodes that name their language, at any depth."""
-    for x in node if isinstance(node, list) else node.values() if isinstance(node, dict) else ():
-        yield from _pages(x)
-    if isinstance(node, dict) and not isinstance(node.get("@graph"), list) and not _types(node).isdisjoint(JSONLD_LANGUAGE):
-        yield node
+@F.pandas_udf(T.ArrayType(T.StructType().add("kind", "string").add("src", "string")))
+def jsonld_slots(s: pd.Series) -> pd.Series:
+    """What stands in the texts and links of JSON-LD, each once: one parse gives both."""
+    return _per_row(lambda x: None if x is None else [dict(kind=k, src=t) for n in [json.loads(x)] for k in ("text", "link") for t in jsonld_texts(n, k)], s)
 
 
 def localized_jsonld(node, texts: dict, links: dict, locale: str):
-    """A JSON-LD value in another locale: texts and links replaced, languages set, pages given one."""
+    """A JSON-LD value in another locale: texts and links replaced, languages set, pages given one.
+
+    A node with a graph keeps its context (https://schema.org if it has none) and graph alone, at any depth.
+    """
     for at, k, kind in list(_jsonld_slots(node)):
-        at[k] = locale if kind == "language" else (links if kind == "link" else texts).get(at[k]) or at[k]
-    for page in _pages(node):
-        page["inLanguage"] = page.get("inLanguage") or locale
-    if isinstance(node, dict) and isinstance(node.get("@graph"), list):
-        node = {"@context": node.get("@context") or "https://schema.org", "@graph": node["@graph"]}
+        if kind == "graph":
+            context, graph = at.get("@context") or "https://schema.org", at["@graph"]
+            at.clear()
+            at |= {"@context": context, "@graph": graph}
+        elif kind in ("language", "page"):
+            at[k] = locale if kind == "language" else at.get(k) or locale
+        else:
+            at[k] = (links if kind == "link" else texts).get(at[k]) or at[k]
     return node
 
 
-def localize_jsonld(pages: DataFrame, tm: DataFrame, locale: str, site: str, overwrite: bool = False) -> DataFrame:
-    """(page_id, schema) of pages (page_id, schema, existing): the schema in the locale, or the existing one where there is one.
+def text_maps(slots: DataFrame, keys: list[str], tm: DataFrame, site: str | None = None, path_hook: Callable | None = None, **rules) -> DataFrame:
+    """(keys, texts, links): JSON objects of what the strings of slots (keys with locale, kind, src) become; slots hold each once.
 
-    Strings and links are taken out, looked up (memory, URL rule) as columns, and put back: the helper only walks the tree.
+    A text is looked up in the memory unless a value rule skips it; a link follows the URL rule. What stays as it is is left out.
+    """
+    kept = slots.where((F.col("kind") == "link") | ~should_skip_value(F.col("src"), **rules))
+    done = tm_lookup(kept, tm, "src", "locale")
+    if site is not None:
+        done = done.withColumn("translated", F.when(F.col("kind") == "link", localize_url(F.col("src"), F.col("locale"), F.lit(site), path_hook)).otherwise(F.col("translated")))
+
+    def objects(kind: str) -> Column:
+        pairs = F.collect_list(F.when(F.col("kind") == kind, F.struct("src", "translated")))
+        return F.to_json(F.map_from_entries(pairs))
+
+    return done.where("src <> translated").groupBy(*keys).agg(objects("text").alias("texts"), objects("link").alias("links"))
+
+
+def localize_jsonld(pages: DataFrame, tm: DataFrame, locale: str, site: str, overwrite: bool = False, path_hook: Callable | None = None, **rules) -> DataFrame:
+    """(page_id, schema, error) of pages (page_id, schema, existing): the schema in the locale, or the existing one where there is one.
+
+    Strings and links are taken out, looked up (memory, URL rule) as columns, and put back: the helper only walks the tree. A page with
+    malformed JSON has no schema and says why. Pages with one schema share its lookups, so page_id may repeat. rules are
+    the value rules' custom exclusions, path_hook as for localize_url.
     """
     todo = pages if overwrite else pages.where(is_blank(F.col("existing")))
-    texts = todo.select("page_id", F.explode(jsonld_strings("schema")).alias("src")).where(~should_skip_value(F.col("src")))
-    texts = tm_lookup(texts.withColumn("locale", F.lit(locale)), tm, "src", "locale").select("page_id", F.struct("src", "translated").alias("t"), F.lit(None).cast("struct<src:string,translated:string>").alias("u"))
-    links = todo.select("page_id", F.explode(jsonld_links("schema")).alias("src")).select("page_id", "src", localize_url(F.col("src"), F.lit(locale), F.lit(site)).alias("translated"))
-    both = texts.unionByName(links.select("page_id", F.lit(None).cast("struct<src:string,translated:string>").alias("t"), F.struct("src", "translated").alias("u")))
-    maps = both.groupBy("page_id").agg(F.to_json(F.map_from_entries(F.array_distinct(F.collect_list("t")))).alias("texts"), F.to_json(F.map_from_entries(F.array_distinct(F.collect_list("u")))).alias("links"))
+    slots = todo.select(F.sha2("schema", 256).alias("h"), F.explode(jsonld_slots("schema")).alias("x")).select("h", "x.*").distinct()
+    maps = text_maps(slots.withColumn("locale", F.lit(locale)), ["h"], tm, site, path_hook, **rules)
 
-    @F.pandas_udf(T.StringType())
-    def put(schema: pd.Series, text: pd.Series, link: pd.Series) -> pd.Series:
-        return pd.Series([None if s is None else json.dumps(localized_jsonld(json.loads(s), json.loads(t or "{}"), json.loads(u or "{}"), locale), ensure_ascii=False) for s, t, u in zip(schema, text, link)])
+    @F.pandas_udf("schema string, error string")
+    def put(schema: pd.Series, text: pd.Series, link: pd.Series) -> pd.DataFrame:
+        one = guarded(lambda s, t, u: None if s is None else dumps(localized_jsonld(json.loads(s), json.loads(t or "{}"), json.loads(u or "{}"), locale)))
+        return pd.DataFrame([one(*row) for row in zip(schema, text, link)], columns=["schema", "error"], dtype=object)
 
-    done = todo.select("page_id", "schema").join(maps, "page_id", "left").select("page_id", put("schema", "texts", "links").alias("schema"))
-    return done if overwrite else done.unionByName(pages.where(~is_blank(F.col("existing"))).select("page_id", F.col("existing").alias("schema")))
+    done = todo.select("page_id", "schema", F.sha2("schema", 256).alias("h")).join(maps, "h", "left").select("page_id", put("schema", "texts", "links").alias("x")).select("page_id", "x.*")
+    return done if overwrite else done.unionByName(pages.where(~is_blank(F.col("existing"))).select("page_id", F.col("existing").alias("schema"), F.lit(None).cast("string").alias("error")))
 
 
 def _slots(node, excluded=(), bare: bool = False):
@@ -252,13 +334,6 @@ def _slots(node, excluded=(), bare: bool = False):
                     yield from _slots(v, excluded, bare)
 
 
-def _leaf_slots(node):
-    if isinstance(node, dict) and node.get("type") == "text" and isinstance(node.get("text"), str):
-        yield node, "text"
-    for v in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
-        yield from _leaf_slots(v)
-
-
 def document_texts(node, excluded=()) -> list:
     return list(dict.fromkeys(at[k] for at, k in _slots(node, excluded)))
 
@@ -286,38 +361,46 @@ def localized_ids(node, locale: str):
 
 
 def document_strings(docs: DataFrame, excluded=(), **rules) -> DataFrame:
-    """(doc_id, src): the distinct strings of each JSON document (doc_id, doc) that are to be translated."""
+    """(doc_id, src): the distinct strings of each JSON document (doc_id, doc) that are to be translated; malformed ones have none."""
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def texts(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else document_texts(json.loads(x), excluded))
+        return _per_row(lambda x: None if x is None else document_texts(json.loads(x), excluded), s)
 
     return docs.select("doc_id", F.explode(texts("doc")).alias("src")).where(~should_skip_value(F.col("src"), **rules))
 
 
 def translate_documents(docs: DataFrame, tm: DataFrame, locales: list[str], excluded=(), **rules) -> DataFrame:
-    """(doc_id, locale, doc): each JSON document in each locale, its strings looked up in the memory, its ids localized."""
-    needed = document_strings(docs, excluded, **rules).withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales))))
-    maps = tm_lookup(needed, tm, "src", "locale").where("src <> translated").groupBy("doc_id", "locale").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("src", "translated")))).alias("texts"))
+    """(doc_id, locale, doc, error): each JSON document in each locale, its strings looked up in the memory, its ids localized.
+
+    A document that is malformed has no doc and says why. Documents are known by what they hold, so a doc_id may repeat, with one text
+    or several, and equal documents are looked up once.
+    """
+    h = F.sha2("doc", 256)
+    each = F.explode(F.array(*(F.lit(x) for x in locales)))
+    needed = document_strings(docs.select(h.alias("doc_id"), "doc"), excluded).distinct()
+    slots = needed.select(F.col("doc_id").alias("h"), F.lit("text").alias("kind"), "src").withColumn("locale", each)
+    maps = text_maps(slots, ["h", "locale"], tm, **rules)
 
-    @F.pandas_udf(T.StringType())
-    def put(doc: pd.Series, text: pd.Series, locale: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else json.dumps(localized_ids(translated_document(json.loads(d), json.loads(t or "{}"), excluded), lo), ensure_ascii=False) for d, t, lo in zip(doc, text, locale)])
+    @F.pandas_udf("doc string, error string")
+    def put(doc: pd.Series, text: pd.Series, locale: pd.Series) -> pd.DataFrame:
+        one = guarded(lambda d, t, lo: None if d is None else dumps(localized_ids(translated_document(json.loads(d), json.loads(t or "{}"), excluded), lo)))
+        return pd.DataFrame([one(*row) for row in zip(doc, text, locale)], columns=["doc", "error"], dtype=object)
 
-    each = docs.withColumn("locale", F.explode(F.array(*(F.lit(x) for x in locales)))).join(maps, ["doc_id", "locale"], "left")
-    return each.select("doc_id", "locale", put("doc", "texts", "locale").alias("doc"))
+    rows = docs.select("doc_id", "doc", h.alias("h")).withColumn("locale", each).join(maps, ["h", "locale"], "left")
+    return rows.select("doc_id", "locale", put("doc", "texts", "locale").alias("x")).select("doc_id", "locale", "x.*")
 
 
 @F.pandas_udf(T.StringType())
 def localized(doc: pd.Series, locale: pd.Series) -> pd.Series:
     """JSON documents with their ids in the locale."""
-    return pd.Series([None if d is None else json.dumps(localized_ids(json.loads(d), lo), ensure_ascii=False) for d, lo in zip(doc, locale)])
+    return _per_row(lambda d, lo: None if d is None else dumps(localized_ids(json.loads(d), lo)), doc, locale)
 
 
 @F.pandas_udf(T.StringType())
 def stripped(doc: pd.Series) -> pd.Series:
     """JSON documents without the fields that the database keeps itself."""
-    return doc.map(lambda d: None if d is None else json.dumps({k: v for k, v in json.loads(d).items() if k not in SYSTEM_ROOT}, ensure_ascii=False))
+    return _per_row(lambda d: None if d is None else dumps({k: v for k, v in json.loads(d).items() if k not in SYSTEM_ROOT}), doc)
 
 
 def sync_override_flag(source: Column, target: Column) -> Column:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class KeyedStore:
@@ -48,14 +49,17 @@ class KeyedStore:
 
     def create(self, base: DataFrame) -> None:
         """The table before any change set; its schema is the store's."""
+        base.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")  # sets may be empty, and then have no file that tells it
         self._write(base, "base", -1)
 
+    def schema(self) -> T.StructType:
+        return self.spark.read.parquet(f"{self.path}/schema").schema
+
     def put(self, number: int, changes: DataFrame) -> None:
         """Writes a change set (op, the keys, any of the columns, `changed` for updates)."""
         if number < 0 or self.base() >= number:
             raise ValueError(f"change set {number} is part of the base already")
-        schema = self._read("base", [self.base()]).schema
-        cells = [(F.col(f.name) if f.name in changes.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema if f.name != "bucket"]
+        cells = [(F.col(f.name) if f.name in changes.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema()]
         changed = F.col("changed") if "changed" in changes.columns else F.lit(None)
         self._write(changes.select(*cells, "op", changed.cast("array<string>").alias("changed")), "delta", number)
 
@@ -69,7 +73,10 @@ class KeyedStore:
     def _read(self, kind: str, numbers: list[int]) -> DataFrame:
         """Sets with their number as a column, `bucket` as it is in the path."""
         paths = [f"{self.path}/{kind}/set={n}" for n in numbers]
-        one = self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths)
+        own = self.schema()
+        if kind == "delta":
+            own = own.add("op", "string").add("changed", T.ArrayType(T.StringType()))
+        one = self.spark.read.schema(own.add("set", T.IntegerType()).add("bucket", T.IntegerType())).option("basePath", f"{self.path}/{kind}").parquet(*paths)
         return one if kind == "delta" else one.drop("set")
 
     def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
