@@ -277,13 +277,14 @@ def localized_jsonld(node, texts: dict, links: dict, locale: str):
     return node
 
 
-def text_maps(slots: DataFrame, keys: list[str], tm: DataFrame, site: str | None = None, path_hook: Callable | None = None, **rules) -> DataFrame:
+def text_maps(slots: DataFrame, keys: list[str], tm: DataFrame, site: str | None = None, path_hook: Callable | None = None, share: int | None = None, **rules) -> DataFrame:
     """(keys, texts, links): JSON objects of what the strings of slots (keys with locale, kind, src) become; slots hold each once.
 
-    A text is looked up in the memory unless a value rule skips it; a link follows the URL rule. What stays as it is is left out.
+    A text is looked up in the memory unless a value rule skips it (share: see tm_lookup; a menu's label stands in every document); a
+    link follows the URL rule. What stays as it is is left out.
     """
     kept = slots.where((F.col("kind") == "link") | ~should_skip_value(F.col("src"), **rules))
-    done = tm_lookup(kept, tm, "src", "locale")
+    done = tm_lookup(kept, tm, "src", "locale", share=share)
     if site is not None:
         done = done.withColumn("translated", F.when(F.col("kind") == "link", localize_url(F.col("src"), F.col("locale"), F.lit(site), path_hook)).otherwise(F.col("translated")))
 
@@ -344,6 +345,19 @@ def translated_document(node, texts: dict, excluded=()):
     return node
 
 
+def translated_richtext(values: DataFrame, tm: DataFrame, share: int | None = None, **rules) -> DataFrame:
+    """(locale, h, value): the rich texts of values (locale, src) with their leaves translated; h is src's SHA-256.
+
+    Equal rich texts of a locale are worked once. Their leaves become rows (text, number, leaf), are looked up in one join, and go
+    back by number. Leaves that a value rule skips stay, as does JSON that is not rich text.
+    """
+    each = values.where("src IS NOT NULL").select("locale", "src", F.sha2("src", 256).alias("h")).dropDuplicates(["locale", "h"])
+    leaves = each.select("locale", "h", F.posexplode(richtext_strings("src")).alias("n", "leaf")).where(~should_skip_value(F.col("leaf"), **rules))
+    found = tm_lookup(leaves, tm, "leaf", "locale", "to", share).groupBy("locale", "h").agg(F.map_from_entries(F.collect_list(F.struct("n", "to"))).alias("m"))
+    by_number = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("m"))), lambda n: F.try_element_at("m", n))
+    return each.join(found, ["locale", "h"], "left").select("locale", "h", placed_leaves("src", by_number).alias("value"))
+
+
 def localized_ids(node, locale: str):
     """Every id of a document with the locale's suffix alone; numeric ids are dropped, the database gives new ones."""
     todo = [node]
@@ -370,7 +384,7 @@ def document_strings(docs: DataFrame, excluded=(), **rules) -> DataFrame:
     return docs.select("doc_id", F.explode(texts("doc")).alias("src")).where(~should_skip_value(F.col("src"), **rules))
 
 
-def translate_documents(docs: DataFrame, tm: DataFrame, locales: list[str], excluded=(), **rules) -> DataFrame:
+def translate_documents(docs: DataFrame, tm: DataFrame, locales: list[str], excluded=(), share: int | None = None, **rules) -> DataFrame:
     """(doc_id, locale, doc, error): each JSON document in each locale, its strings looked up in the memory, its ids localized.
 
     A document that is malformed has no doc and says why. Documents are known by what they hold, so a doc_id may repeat, with one text
@@ -380,7 +394,7 @@ def translate_documents(docs: DataFrame, tm: DataFrame, locales: list[str], excl
     each = F.explode(F.array(*(F.lit(x) for x in locales)))
     needed = document_strings(docs.select(h.alias("doc_id"), "doc"), excluded).distinct()
     slots = needed.select(F.col("doc_id").alias("h"), F.lit("text").alias("kind"), "src").withColumn("locale", each)
-    maps = text_maps(slots, ["h", "locale"], tm, **rules)
+    maps = text_maps(slots, ["h", "locale"], tm, share=share, **rules)
 
     @F.pandas_udf("doc string, error string")
     def put(doc: pd.Series, text: pd.Series, locale: pd.Series) -> pd.DataFrame:

@@ -46,41 +46,98 @@ def redirect_rules(routes: DataFrame, section: str, old_slugs: DataFrame | None
     return rules.where("from_path <> to_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
 
 
-def chain_ends(hop: DataFrame) -> DataFrame:
-    """(at, next, to) of the hops (at, next; one for each at) whose chain ends: to is its end. Hops that lead into a circle are left out.
+def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> DataFrame:
+    """(at, root, depth, gate) of the hops (at, next; one for each at) whose chain ends, at a node without a hop or at one of stops (at).
 
+    root is that end, depth the hops to it, gate the last node before it. Hops that lead into a circle are left out.
     Pointers double, so the rounds grow with the logarithm of the longest chain. A round that ends no chain is the last: were there
     longer ones, one of the lengths it covers would have ended.
     """
-    starts = hop.select(F.col("at").alias("next"), F.lit(False).alias("last"))
-    first = settled(hop.join(starts, "next", "left").select("at", "next", F.col("next").alias("to"), F.col("last").isNull().alias("last")))
+    inner = hop if stops is None else hop.join(stops.select("at"), "at", "left_anti")
+    starts = inner.select(F.col("at").alias("next"), F.lit(False).alias("last"))
+    first = settled(inner.join(starts, "next", "left").select("at", F.col("next").alias("to"), F.col("last").isNull().alias("last"), F.lit(1).cast("long").alias("n"), F.col("at").alias("gate")))
     done, live = first.where("last"), first.where("NOT last")
     left, before = live.count(), None
     while left and left != before:
-        jumps = done.unionByName(live).select(F.col("at").alias("to"), F.col("to").alias("far"), "last")
-        step = settled(live.drop("last").join(jumps, "to").select("at", "next", F.col("far").alias("to"), "last"))
+        jumps = done.unionByName(live).select(F.col("at").alias("to"), F.col("to").alias("far"), "last", F.col("n").alias("more"), F.col("gate").alias("door"))
+        step = settled(live.select("at", "to", "n").join(jumps, "to").select("at", F.col("far").alias("to"), "last", (F.col("n") + F.col("more")).alias("n"), F.col("door").alias("gate")))
         done, live = done.unionByName(step.where("last")), step.where("NOT last")
         left, before = live.count(), left
-    return done.drop("last")
+    return done.select("at", F.col("to").alias("root"), F.col("n").alias("depth"), "gate")
 
 
-def flatten_redirects(edges: DataFrame) -> DataFrame:
-    """(from_path, to_path): each redirect to the end of its chain.
+def circles(hop: DataFrame) -> DataFrame:
+    """(at, label, pred) of the nodes of hop (at, next) that stand on a circle; every chain of hop leads into one.
+
+    What a walk of 1, 2, 4, ... hops can reach shrinks until it is the circles. On them a minimum is carried along with
+    doubling pointers until no window changes it: it names the circle. pred is the node before, on the circle.
+    """
+    jump = hop.select("at", F.col("next").alias("to"))
+    size = jump.select("to").distinct().count()
+    while True:
+        far = jump.select(F.col("at").alias("to"), F.col("to").alias("far"))
+        jump = settled(jump.join(far, "to").select("at", F.col("far").alias("to")))
+        now = jump.select("to").distinct().count()
+        if now == size:
+            break
+        size = now
+    on = hop.join(jump.select(F.col("to").alias("at")).distinct(), "at", "left_semi")
+    step = settled(on.select("at", F.col("next").alias("to"), F.col("at").alias("label")))
+    changed = step.limit(1).count()
+    while changed:
+        far = step.select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("label").alias("other"))
+        step = settled(step.join(far, "to").select("at", F.col("far").alias("to"), F.least("label", "other").alias("label"), (F.col("other") < F.col("label")).alias("less")))
+        changed = step.where("less").limit(1).count()
+    return settled(step.select("at", "label").join(on.select(F.col("next").alias("at"), F.col("at").alias("pred")), "at"))
+
+
+def _before(ask: DataFrame, hop: DataFrame) -> DataFrame:
+    """(from_path, to_path, stop) of the queries (from_path, to_path, steps) for which `from` stands steps + 1 hops behind `to`: stop is
+    the node before it. One join for each bit of the steps."""
+    ask, jump, bit = settled(ask.distinct().withColumn("cur", F.col("to_path"))), hop.select("at", F.col("next").alias("to")), 1
+    most = ask.agg(F.max("steps")).collect()[0][0] or 0
+    while bit <= most:
+        moved = ask.join(jump, F.col("cur") == F.col("at"), "left")
+        ask = settled(moved.select("from_path", "to_path", "steps", F.when(F.col("steps").bitwiseAND(bit) != 0, F.col("to")).otherwise(F.col("cur")).alias("cur")))
+        jump = settled(jump.join(jump.select(F.col("at").alias("to"), F.col("to").alias("far")), "to").select("at", F.col("far").alias("to")))
+        bit *= 2
+    found = ask.join(hop, F.col("cur") == F.col("at")).where(F.col("next") == F.col("from_path"))
+    return found.select("from_path", "to_path", F.col("cur").alias("stop"))
 
-    A walk stops before a node that it has stood on (its start included, its first target not), as does the
-    reference rule. Chains that end are followed by doubling. Only what leads into a circle, and other targets of a
-    path than its greatest, walk hop by hop: one join a round, finished walks leave the loop.
+
+def flatten_redirects(edges: DataFrame) -> DataFrame:
+    """(from_path, to_path): each redirect to the end of its chain, a row for each row of edges.
+
+    A walk stops before a node that it has stood on (its start included, its first target not), as does the reference rule; of
+    several targets of a path the greatest is the one that others follow. Nothing walks hop by hop: chains end by doubling,
+    and where a circle is reached, the place to stop is known from the chain's way into it:
+    - the start is on that circle: the node before it, on the circle, or on the chain if it comes in right there;
+    - the start is on the chain, behind the target: the node before it;
+    - else the node before the chain's entry, or the target itself where that is on the circle.
     """
-    hop = settled(edges.groupBy(F.col("from_path").alias("at")).agg(F.max("to_path").alias("next")).where("next IS NOT NULL"))
-    ends = chain_ends(hop).select(F.col("at").alias("from_path"), F.col("next").alias("to_path"), F.col("to").alias("end"))
-    known = settled(edges.select("from_path", "to_path").join(ends, ["from_path", "to_path"], "left"))
-    done = known.where("end IS NOT NULL").select("from_path", F.col("end").alias("to_path"))
-    walk = known.where("end IS NULL").select("from_path", F.col("to_path").alias("at"), F.array("from_path").alias("seen"))
-    while walk.limit(1).count():
-        step = settled(walk.join(hop, "at", "left").withColumn("stop", F.col("next").isNull() | F.array_contains("seen", F.col("next"))))
-        done = done.unionByName(step.where("stop").select("from_path", F.col("at").alias("to_path")))
-        walk = step.where("NOT stop").select("from_path", F.col("next").alias("at"), F.concat("seen", F.array("next")).alias("seen"))
-    return done
+    hop = settled(edges.where("to_path IS NOT NULL AND from_path IS NOT NULL").groupBy(F.col("from_path").alias("at")).agg(F.max("to_path").alias("next")))
+    trees = settled(chain_ends(hop))
+    rest = settled(hop.join(trees.select("at"), "at", "left_anti"))
+    if rest.limit(1).count():
+        rings = circles(rest)
+        trees = settled(trees.unionByName(chain_ends(rest, rings)))
+    else:
+        rings = hop.limit(0).select("at", F.col("at").alias("label"), F.col("at").alias("pred"))
+
+    def of(df: DataFrame, key: str, mark: str) -> DataFrame:
+        return df.select(*(F.col(c).alias(key if c == "at" else f"{mark}_{c}") for c in df.columns))
+
+    e = edges.select("from_path", "to_path").join(of(trees, "to_path", "t"), "to_path", "left").join(of(trees, "from_path", "f"), "from_path", "left")
+    e = e.join(of(rings, "to_path", "tr"), "to_path", "left").join(of(rings, "from_path", "fr"), "from_path", "left").join(of(rings, "t_root", "e"), "t_root", "left")
+    back = (F.col("t_root") == F.col("f_root")) & (F.col("t_depth") > F.col("f_depth"))
+    e = settled(e.withColumn("back", F.coalesce(back, F.lit(False))))
+    before = _before(e.where("back").select("from_path", "to_path", (F.col("t_depth") - F.col("f_depth") - 1).alias("steps")), hop)
+    e = e.join(before, ["from_path", "to_path"], "left")
+    into = F.coalesce("tr_label", "e_label")  # the circle that the walk reaches
+    at_door = F.col("t_root") == F.col("from_path")
+    end = F.when(F.col("fr_label") == into, F.when(at_door, F.col("t_gate")).otherwise(F.col("fr_pred")))
+    end = end.when(F.col("stop").isNotNull(), F.col("stop")).when(F.col("e_label").isNotNull(), F.col("e_pred"))
+    return e.select("from_path", end.when(F.col("t_root").isNotNull(), F.col("t_root")).otherwise(F.col("to_path")).alias("to_path"))
 
 
 def alternates(pages: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_echo, is_title_case, sentence_case
+from ..sources.tables import settled
 
 
 def long_form(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
@@ -22,11 +23,43 @@ def distinct_strings(df: DataFrame, by: list[str], value: str = "src") -> DataFr
     return df.select(*by, value).distinct()
 
 
-def tm_lookup(df: DataFrame, tm: DataFrame, src: str, locale: str, out: str = "translated") -> DataFrame:
-    """df with the memory's translation, or the string itself where there is none or an empty one."""
-    one = tm.groupBy(F.col("target_locale").alias("__l"), F.col("src").alias("__s")).agg(F.max("tgt").alias("__t"))
-    joined = df.join(one, (df[locale] == F.col("__l")) & (df[src] == F.col("__s")), "left")
-    return joined.withColumn(out, F.coalesce(F.nullif("__t", F.lit("")), F.col(src))).drop("__l", "__s", "__t")
+def memory(tm: DataFrame) -> DataFrame:
+    """The translation memory with one row for each locale and string, written once for all lookups of a job."""
+    return settled(_one_each(tm))
+
+
+def _one_each(tm: DataFrame) -> DataFrame:
+    if tm.columns == ["__l", "__s", "__t"]:
+        return tm
+    return tm.groupBy(F.col("target_locale").alias("__l"), F.col("src").alias("__s")).agg(F.max("tgt").alias("__t"))
+
+
+def heavy_strings(df: DataFrame, src: str, locale: str, share: int = 1000) -> DataFrame:
+    """(__l, __s): strings that more than one row in `share` has, so fewer than `share` whatever the size of df."""
+    n = df.where(F.col(src).isNotNull()).groupBy(F.col(locale).alias("__l"), F.col(src).alias("__s")).agg(F.count("*").alias("n"))
+    return n.join(F.broadcast(n.agg(F.sum("n").alias("all"))), F.col("n") * share > F.col("all")).select("__l", "__s")
+
+
+def tm_lookup(df: DataFrame, tm: DataFrame, src: str, locale: str, out: str = "translated", share: int | None = None) -> DataFrame:
+    """df with the memory's translation, or the string itself where there is none or an empty one. tm: as given, or memory(tm).
+
+    With share, strings of more than one row in so many (and rows without a string) do not go through the shuffle: they are
+    looked up first, fewer than share of them, and sent to the rows where those are.
+    """
+    one = _one_each(tm)
+    to = F.coalesce(F.nullif("__t", F.lit("")), F.col(src)).alias(out)
+
+    def looked(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return rows.join(known, (rows[locale] == F.col("__l")) & (rows[src] == F.col("__s")), "left")
+
+    names = [c for c in df.columns if c != out]
+    if share is None:
+        return looked(df, one).select(*names, to)
+    heavy = settled(heavy_strings(df, src, locale, share).join(one, ["__l", "__s"], "left"))
+    marked = looked(df, F.broadcast(heavy))
+    apart = F.col(src).isNull() | F.col("__s").isNotNull()
+    rest = looked(marked.where(~apart).drop("__l", "__s", "__t"), one).select(*names, to)
+    return marked.where(apart).select(*names, to).unionByName(rest)
 
 
 def except_translated(needed: DataFrame, tm: DataFrame) -> DataFrame:

@@ -124,6 +124,36 @@ def test_redirect_chains_and_circles(spark):
     assert seo.flatten_redirects(spark.createDataFrame([], "from_path string, to_path string")).count() == 0
 
 
+def test_a_large_circle_needs_few_rounds(spark, monkeypatch):
+    n, rounds = 100_000, []
+    real = seo.settled
+    monkeypatch.setattr(seo, "settled", lambda df: rounds.append(1) or real(df))
+    ring = spark.range(n).select(F.concat(F.lit("r"), F.col("id")).alias("from_path"), F.concat(F.lit("r"), (F.col("id") + 1) % n).alias("to_path"))
+    tail = spark.range(5000).select(F.concat(F.lit("t"), F.col("id")).alias("from_path"), F.when(F.col("id") == 0, "r77").otherwise(F.concat(F.lit("t"), F.col("id") - 1)).alias("to_path"))
+    got = {r["from_path"]: r["to_path"] for r in seo.flatten_redirects(ring.unionByName(tail)).collect()}
+    assert len(got) == n + 5000 and len(rounds) < 60
+    assert all(got[f"r{i}"] == f"r{(i - 1) % n}" for i in range(n)) and {got[f"t{i}"] for i in range(1, 5000)} == {"r76"} and got["t0"] == "r77"
+
+
+def test_random_redirects(spark):
+    for seed in range(6):
+        rng = random.Random(seed)
+        edges = [(f"n{rng.randrange(14)}", f"n{rng.randrange(16)}") for _ in range(rng.randrange(5, 40))]
+        hop = {}
+        for a, b in edges:
+            hop[a] = max(b, hop.get(a, b))
+
+        def end(a, at):
+            seen = {a}
+            while at in hop and hop[at] not in seen:
+                at = hop[at]
+                seen.add(at)
+            return at
+
+        got = seo.flatten_redirects(spark.createDataFrame(edges, "from_path string, to_path string")).collect()
+        assert collections.Counter(map(tuple, got)) == collections.Counter((a, end(a, b)) for a, b in edges), seed
+
+
 def test_stream_agrees_with_batch(spark, tmp_path):
     rows = [(i, "collection", "pages", i % 3, "en", "update", None, False, f"2024-01-01 00:{i * 7 % 60:02d}:00", None) for i in range(40)]
     df = spark.createDataFrame(rows, "job_id long, entity_type string, slug string, doc_id long, locale string, operation string, status string, is_auto boolean, ts string, data string").withColumn("ts", F.to_timestamp("ts"))
