@@ -38,19 +38,14 @@ def match_target_rows(table: DataFrame, locales: list[str], fields: list[str], s
     key = base_id(F.col("id")) if text_id else F.col("id").cast("string") if has_id else F.coalesce(*(base_id(F.nullif(u, F.lit(""))) for u in uuid), parent)
     own = F.col("id") if has_id else F.lit(None).cast("string")
     kept = ["key", "parent", *("uuid" for _ in uuid), *(f"s_{f}" for f in fields), *(f"sp_{f}" for f in rich), *(f"o_{x}" for x in others)]
-    rows = table.where(F.col("_locale") == source).select(match_key(id_, parent, *uuid).alias("__by"), key.alias("key"), F.col("_parent_id").alias("parent"), *(base_id(u).alias("uuid") for u in uuid), *(F.col(f).alias(f"s_{f}") for f in fields), *(_parts(f).alias(f"sp_{f}") for f in rich), *(F.col(x).alias(f"o_{x}") for x in others))
+    rows = table.where(F.col("_locale") == source).select(match_key(id_, parent, *uuid).alias("__by"), key.alias("key"), F.col("_parent_id").alias("parent"), *(base_id(u).alias("uuid") for u in uuid), *(F.col(f).alias(f"s_{f}") for f in fields), *(richtext_parts(f).alias(f"sp_{f}") for f in rich), *(F.col(x).alias(f"o_{x}") for x in others))
     cells = [F.struct(own.alias("target_id"), *(F.col(f).alias(f"t_{f}") for f in fields), *(F.col(f"tp_{f}") for f in rich))]
     last = F.max_by(*cells, F.struct("id") if has_id else F.struct(*fields))
-    targets = table.where(F.col("_locale").isin(locales)).select(*(["id"] if has_id else []), F.col("_locale").alias("locale"), *fields, *(_parts(f).alias(f"tp_{f}") for f in rich), F.explode(target_keys(id_, parent, *uuid)).alias("__by"))
+    targets = table.where(F.col("_locale").isin(locales)).select(*(["id"] if has_id else []), F.col("_locale").alias("locale"), *fields, *(richtext_parts(f).alias(f"tp_{f}") for f in rich), F.explode(target_keys(id_, parent, *uuid)).alias("__by"))
     out = fan_out_locales(rows, locales).join(targets.groupBy("__by", "locale").agg(last.alias("t")), ["__by", "locale"], "left")
     return out.select(kept[0], "locale", *kept[1:], F.col("t").isNotNull().alias("has_target"), "t.target_id", *(f"t.t_{f}" for f in fields), *(f"t.tp_{f}" for f in rich))
 
 
-def _parts(field: str) -> Column:
-    """richtext_parts with the form's hash in place of the form."""
-    return F.transform(F.array(richtext_parts(field)), lambda p: F.struct(p["present"].alias("present"), p["leaves"].alias("leaves"), F.sha2(p["form"], 256).alias("form")))[0]
-
-
 def _is_text(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.simpleString() == "string"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -164,15 +165,15 @@ def richtext_strings(s: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StructType().add("present", "boolean").add("leaves", T.ArrayType(T.StringType())).add("form", "string"))
 def richtext_parts(s: pd.Series) -> pd.DataFrame:
-    """Of JSON values: whether there is one (not null, false, 0 or empty), its leaves (null: no rich text), and a form that equal values
-    share whatever the order of their keys. Malformed JSON is present, without leaves, in the form it has."""
+    """Of JSON values: whether there is one (not null, false, 0 or empty), its leaves (null: no rich text), and the hash of a form
+    that equal values share whatever the order of their keys. Malformed JSON is present, without leaves, in the form it has."""
 
     def of(x):
         v = None if x is None else json.loads(x)
         return v not in (None, False, 0, ""), richtext_leaves(v), None if v is None else json.dumps(v, sort_keys=True)
 
-    rows = [(guarded(of)(x)[0] or (x is not None, None, x)) for x in s]
-    return pd.DataFrame(rows, columns=["present", "leaves", "form"])
+    rows = ((guarded(of)(x)[0] or (x is not None, None, x)) for x in s)
+    return pd.DataFrame([(p, leaves, f and hashlib.sha256(f.encode("utf-8", "surrogatepass")).hexdigest()) for p, leaves, f in rows], columns=["present", "leaves", "form"])
 
 
 @F.pandas_udf(T.StringType())

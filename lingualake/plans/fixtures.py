@@ -25,6 +25,22 @@ SELECT p_partkey * 10 + k, CASE WHEN (p_partkey + k) % 5 < 2 THEN concat('u', CA
        CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 1 ELSE p_partkey END, concat(l, ' ', p_name)
 FROM part CROSS JOIN loc
 WHERE (p_partkey + k) % 4 <> 0"""
+_BODY = '''concat('{"root":{"type":"root","children":[{"type":"text","text":"', {a}, '"},{"type":"paragraph","children":[{"text":"', {b}, '","type":"text"},{"type":"text","text":" "}]},{"type":"text","text":"https://a.example/x"},{"type":"text","text":"', {a}, '"}]}}')'''
+_OTHER_ORDER = _BODY.replace('{"root":{"type":"root","children":', '{"root":{"children":').replace("}]}}')", "}],\"type\":\"root\"}}')")
+_LONG = "concat(p_name, ' and ', p_type)"
+#: A table with a JSON column of rich text. Targets by (p_partkey + k) % 6: 0 none, 1 empty, 2 the source with its keys in another
+#: order, 3 translated, 4 translated but for one long leaf, 5 no rich text.
+RICH = f"""
+WITH loc AS (SELECT 'es' AS l, 1 AS k UNION ALL SELECT 'fr', 2 UNION ALL SELECT 'de', 3)
+SELECT concat('p', CAST(p_partkey AS STRING)) AS id, 'en' AS _locale, p_partkey AS _parent_id, p_name AS title, {_BODY.replace("{a}", "p_name").replace("{b}", _LONG)} AS body
+FROM part
+UNION ALL
+SELECT concat('p', CAST(p_partkey AS STRING), '_', l), l, p_partkey, CASE WHEN (p_partkey + k) % 6 = 1 THEN '' ELSE concat('[', l, '] ', p_name) END,
+       CASE (p_partkey + k) % 6 WHEN 1 THEN NULL WHEN 2 THEN {_OTHER_ORDER.replace("{a}", "p_name").replace("{b}", _LONG)}
+       WHEN 3 THEN {_BODY.replace("{a}", "concat('[', l, '] ', p_name)").replace("{b}", f"concat('[', l, '] ', {_LONG})")}
+       WHEN 4 THEN {_BODY.replace("{a}", "concat('[', l, '] ', p_name)").replace("{b}", _LONG)} ELSE '{{"a":1}}' END
+FROM part CROSS JOIN loc
+WHERE (p_partkey + k) % 6 <> 0"""
 TM = """
 SELECT 'en' AS source_locale, l AS target_locale, src, CASE WHEN length(src) % 5 = 0 THEN src ELSE concat('[', l, '] ', src) END AS tgt
 FROM (SELECT DISTINCT p_name AS src FROM part) s
@@ -52,10 +68,21 @@ FROM part CROSS JOIN loc WHERE (p_partkey + k) % 2 = 0"""
 def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for name in ("part", "events"):
         if f"FROM {name}" in sql:
-            return spark.sql(sql.replace(f"FROM {name}", "FROM {src}"), src=read(spark, sf_dir, name))
+            plain = sql.replace("{", "{{").replace("}", "}}")
+            return spark.sql(plain.replace(f"FROM {name}", "FROM {src}"), src=read(spark, sf_dir, name))
     raise ValueError(sql)
 
 
+def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Three localized tables with schemas of their own; the last has no rows in the source locale."""
+    part = read(spark, sf_dir, "part")
+    return {
+        "catalog": fixture(spark, sf_dir, CATALOG),
+        "catalog_texts": fixture(spark, sf_dir, RICH).select("id", "_locale", "_parent_id", "title", "body"),
+        "imported": part.select(F.concat(F.lit("i"), F.col("p_partkey").cast("string"), F.lit("_es")).alias("id"), F.lit("es").alias("_locale"), F.col("p_partkey").alias("_parent_id"), F.col("p_name").alias("label")),
+    }
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
     return d.select("doc_id", "lang", F.explode(F.split("text", "\n")).alias("src"))

@@ -9,7 +9,10 @@ from ..functions import filters, keys, text, urls
 from ..operators import backfill as B
 from ..operators import documents as D
 from ..operators import seo, strings
-from ..sources.tables import columns_of, localized_tables, read
+from ..operators.sync import SyncOptions
+from ..sources.sinks import document_store, write_changes
+from ..sources.store import KeyedStore
+from ..sources.tables import columns_of, localized_tables, read, workspace
 from ..streaming import changes as C
 from . import fixtures as X
 
@@ -67,6 +70,11 @@ m AS (SELECT s.id, any_value(s._uuid) AS _uuid, any_value(s._parent_id) AS _pare
 FROM s LEFT JOIN num t ON t._locale = s.locale AND CASE WHEN s._uuid IS NOT NULL THEN {_BASE.format('t._uuid')} = s._uuid ELSE t._parent_id = s._parent_id END GROUP BY s.id, s.locale)"""
 
 
+_RICH = f"""rich AS ({X.RICH}), {_TM}, rs AS (SELECT id AS key, _parent_id, title, locale, CAST(_parent_id + k AS BIGINT) % 6 AS r FROM rich CROSS JOIN (SELECT 'es' AS locale, 1 AS k UNION ALL SELECT 'fr', 2 UNION ALL SELECT 'de', 3) WHERE _locale = 'en'),
+rt AS (SELECT rs.*, coalesce(nullif(tgt, ''), title) AS v, concat(title, ' and ', p_type) AS long, r IN (0, 1, 2, 5) OR r = 4 AND length(concat(title, ' and ', p_type)) >= 20 AS need FROM rs JOIN part ON p_partkey = _parent_id LEFT JOIN tm ON target_locale = locale AND src = title)"""
+_LEAVES = "unnest([0, 1, 2, 3]) AS pos, unnest([v, long, 'https://a.example/x', v]) AS leaf"
+
+
 # --- Spark sides ---------------------------------------------------------------------------------------------------------
 def _catalog(s, d) -> DataFrame:
     return X.fixture(s, d, X.CATALOG)
@@ -85,6 +93,51 @@ def _numbered(s, d) -> DataFrame:
     return B.match_target_rows(X.fixture(s, d, X.NUMBERED), LOCALES, ["title"])
 
 
+def _rich(s, d) -> DataFrame:
+    """A table with rich text in a JSON column."""
+    return B.with_needs(B.match_target_rows(X.fixture(s, d, X.RICH), LOCALES, ["title", "body"], rich=["body"]), ["title", "body"], ["body"])
+
+
+def _leaves(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, F.posexplode(D.richtext_strings("body")).alias("pos", "leaf"))
+
+
+def _stored(s, d) -> DataFrame:
+    """The catalog after its change set went into a keyed store twice and the store was compacted."""
+    table, m, tm = _catalog(s, d), _matched(s, d), strings.memory(_tm(s, d))
+    store = KeyedStore(s, workspace(s), ["id"], 8)
+    store.create(table)
+    for _ in range(2):
+        write_changes(store, 0, B.update_rows(m, tm, FIELDS).drop("_parent_id", "_locale"), B.build_inserts(m, tm, FIELDS))
+    store.compact(keep=0)
+    return store.read()
+
+
+def _stored_without_id(s, d) -> DataFrame:
+    """A table that has no ids, by parent and locale: one change set, written twice."""
+    table = _catalog(s, d).drop("id")
+    m = B.with_needs(B.match_target_rows(table, LOCALES, FIELDS), FIELDS)
+    store = KeyedStore(s, workspace(s), ["_parent_id", "_locale"], 8)
+    store.create(table)
+    tm = strings.memory(_tm(s, d))
+    for _ in range(2):
+        write_changes(store, 0, B.update_rows(m, tm, FIELDS), B.build_inserts(m, tm, FIELDS))
+    return store.read()
+
+
+def _streamed(s, d) -> DataFrame:
+    """The conversations as a stream of changed documents in three files, and what the store holds after it."""
+    changes, existing = _document_changes(s, d)
+    top, inbox = workspace(s), workspace(s)
+    end = changes.limit(1).withColumn("doc_id", F.lit(-1).cast("long")).withColumn("ts", F.to_timestamp(F.lit("2020-01-01")))  # ends the other sessions
+    for k in range(3):
+        part = changes.where(F.col("doc_id") % 3 == k)
+        (part.unionByName(end) if k == 2 else part).write.mode("append").parquet(inbox)
+    store = document_store(s, f"{top}/documents", 8, existing)
+    C.continuous_sync(C.read_changes(s, inbox, files=1000), store, _memory(s, d), SyncOptions(("es",)), f"{top}/job", "1 second", "3650 days").awaitTermination()
+    return _rebuilt(store.read().where("doc IS NOT NULL AND ts IS NOT NULL"), "key", "locale")
+
+
 def _changes(s, d) -> DataFrame:
     return X.fixture(s, d, X.CHANGES)
 
@@ -151,12 +204,16 @@ def _rebuilt(docs: DataFrame, *keys: str) -> DataFrame:
     return out.select(*keys, F.posexplode("doc.sections").alias("pos", "x")).select(*keys, "pos", "x.id", "x.blockType", "x.body")
 
 
-def _synced(s, d) -> DataFrame:
+def _document_changes(s, d) -> tuple[DataFrame, DataFrame]:
     """Each conversation as a changed document; half of them have a translation already."""
     b = _blocks(s, d)
     changes = b.select(F.col("conv_id").alias("job_id"), F.lit("collection").alias("entity_type"), F.lit("pages").alias("slug"), F.col("conv_id").alias("doc_id"), F.lit("en").alias("locale"), F.lit("update").alias("operation"), F.lit("published").alias("status"), F.lit(False).alias("is_auto"), F.timestamp_seconds("conv_id").alias("ts"), F.col("new").alias("data"))
     existing = b.where("conv_id % 2 = 0").select(F.concat(F.lit("collection:pages:"), F.col("conv_id").cast("string")).alias("key"), F.lit("es").alias("locale"), F.col("old").alias("doc"))
-    return _rebuilt(C.synced_documents(changes, existing, _memory(s, d), ["es"]), "key", "locale")
+    return changes, existing
+
+
+def _synced(s, d) -> DataFrame:
+    return _rebuilt(C.synced_documents(*_document_changes(s, d), _memory(s, d), ["es"]), "key", "locale")
 
 
 def _jsonld_page(s, d) -> DataFrame:
@@ -211,6 +268,9 @@ _PATH = "regexp_extract(url, '^https?://[^/]+([^?#]*)', 1)"
 _FRAG = "regexp_extract(url, '(#.*)$', 1)"
 _BARE = f"(CASE WHEN regexp_matches({_PATH}, '^/[A-Za-z]{{2}}(/|$)') THEN substr({_PATH}, 4) ELSE {_PATH} END)"
 
+_APPLIED = f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT c.id, _locale, _parent_id, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'title'), title) AS title, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'brand'), brand) AS brand, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'kind'), kind) AS kind FROM cat c UNION ALL SELECT id, _locale, _parent_id, title, brand, kind FROM ins"
+_SYNC_SQL = f"SELECT concat('collection:pages:', conv_id) AS key, 'es' AS locale, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn, '_es') AS id, role AS blockType, CASE WHEN conv_id % 2 = 0 AND turn % 2 <> 0 THEN concat('es ', text) WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[es] ', text) ELSE text END AS body FROM conversations"
+
 #: name: (Spark query, checking SQL or None)
 ENTRIES: dict = {
     "read_localized": (lambda s, d: _catalog(s, d).where("_locale = 'en'").select("id", "_parent_id", "title"), f"WITH {_CAT} SELECT id, _parent_id, title FROM cat WHERE _locale = 'en'"),
@@ -235,7 +295,13 @@ ENTRIES: dict = {
     "collect_missing_strings": (lambda s, d: B.missing_strings(_matched(s, d), FIELDS), f"WITH {_MATCH}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n) SELECT DISTINCT locale, src FROM l WHERE need"),
     "build_updates": (lambda s, d: B.build_updates(_matched(s, d), _tm(s, d), FIELDS), f"WITH {_MATCH}, {_TM}, {_UPD} SELECT * FROM upd"),
     "build_inserts": (lambda s, d: B.build_inserts(_matched(s, d), _tm(s, d), FIELDS), f"WITH {_MATCH}, {_TM}, {_INS} SELECT * FROM ins"),
-    "apply_changes": (lambda s, d: B.apply_changes(_catalog(s, d), B.build_updates(m := _matched(s, d), t := _tm(s, d), FIELDS), B.build_inserts(m, t, FIELDS), FIELDS), f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT c.id, _locale, _parent_id, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'title'), title) AS title, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'brand'), brand) AS brand, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'kind'), kind) AS kind FROM cat c UNION ALL SELECT id, _locale, _parent_id, title, brand, kind FROM ins"),
+    "apply_changes": (lambda s, d: B.apply_changes(_catalog(s, d), B.build_updates(m := _matched(s, d), t := _tm(s, d), FIELDS), B.build_inserts(m, t, FIELDS), FIELDS), _APPLIED),
+    "write_changes": (_stored, _APPLIED),
+    "write_changes_without_id": (_stored_without_id, _APPLIED.replace("c.id, _locale", "_locale").replace("SELECT id, _locale", "SELECT _locale")),
+    "richtext_needs": (lambda s, d: _rich(s, d).select("key", "locale", "n_body", "needs"), f"WITH {_RICH} SELECT key, locale, need AS n_body, need AS needs FROM rt"),
+    "collect_missing_leaves": (lambda s, d: B.missing_strings(_rich(s, d), ["title", "body"], ["body"]), f"WITH {_RICH}, l AS (SELECT locale, unnest([title, long]) AS src FROM rt WHERE need) SELECT DISTINCT locale, src FROM l WHERE {_reason('src')} IS NULL"),
+    "build_updates_richtext": (lambda s, d: _leaves(B.update_rows(_rich(s, d), _tm(s, d), ["title", "body"], ["body"]).withColumn("changed", F.array_join("changed", ",")), "id", "_locale", "changed", "title"), f"WITH {_RICH} SELECT concat(key, '_', locale) AS id, locale AS _locale, CASE r WHEN 1 THEN 'title,body' ELSE 'body' END AS changed, CASE r WHEN 1 THEN v END AS title, {_LEAVES} FROM rt WHERE need AND r <> 0"),
+    "build_inserts_richtext": (lambda s, d: _leaves(B.build_inserts(_rich(s, d), _tm(s, d), ["title", "body"], rich=["body"]), "id", "_locale", "_parent_id", "title"), f"WITH {_RICH} SELECT concat(key, '_', locale) AS id, locale AS _locale, _parent_id, v AS title, {_LEAVES} FROM rt WHERE r = 0"),
     "union_changes": (lambda s, d: B.build_updates(m := _matched(s, d), t := _tm(s, d), FIELDS).select(F.lit("update").alias("op"), F.col("target_id").alias("id"), F.col("locale")).unionByName(B.build_inserts(m, t, FIELDS).select(F.lit("insert").alias("op"), "id", F.col("_locale").alias("locale"))), f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT 'update' AS op, target_id AS id, locale FROM upd UNION ALL SELECT 'insert', id, _locale FROM ins"),
     "backfill_plan": (lambda s, d: B.dry_run_plan(_matched(s, d)), f"WITH {_MATCH} SELECT locale, CASE WHEN NOT has_target THEN 'insert' WHEN {_NEEDS} THEN 'update' ELSE 'keep' END AS op, count(*) AS n FROM n GROUP BY 1, 2"),
     "backfill_summary": (lambda s, d: B.summary(_matched(s, d), "catalog"), f"WITH {_MATCH} SELECT table_name, locale, count(*) AS rows_seen, count(*) FILTER (NOT has_target) AS to_insert, count(*) FILTER (has_target AND {_NEEDS}) AS to_update, count(*) FILTER (has_target AND NOT {_NEEDS}) AS skipped FROM (SELECT 'catalog' AS table_name, * FROM n) GROUP BY ROLLUP (table_name, locale)"),
@@ -265,7 +331,8 @@ ENTRIES: dict = {
     "merge_blocks": (_merged, "SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn) AS id, role AS blockType, CASE WHEN turn % 2 <> 0 THEN concat('es ', text) ELSE text END AS body FROM conversations"),
     "extract_document_strings": (lambda s, d: D.document_strings(_documents(s, d)), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
     "apply_document_translations": (lambda s, d: _rebuilt(D.translate_documents(_documents(s, d), _memory(s, d), ["es", "fr"]), "doc_id", "locale"), f"WITH t AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, unnest(['es', 'fr']) AS locale FROM conversations) SELECT conv_id AS doc_id, locale, pos, concat('b', turn, '_', locale) AS id, role AS blockType, CASE WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[', locale, '] ', text) ELSE text END AS body FROM t"),
-    "continuous_sync": (_synced, f"SELECT concat('collection:pages:', conv_id) AS key, 'es' AS locale, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn, '_es') AS id, role AS blockType, CASE WHEN conv_id % 2 = 0 AND turn % 2 <> 0 THEN concat('es ', text) WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[es] ', text) ELSE text END AS body FROM conversations"),
+    "continuous_sync": (_synced, _SYNC_SQL),
+    "continuous_sync_stream": (_streamed, _SYNC_SQL),
     "localize_jsonld": (_localized_jsonld(True), _jsonld_sql(True)),
     "jsonld_job": (_localized_jsonld(False), _jsonld_sql(False)),
     "collection_filter": (lambda s, d: read(s, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("slug")).where(filters.collection_enabled(F.col("slug"), {"building": False, "machinery": True})), "SELECT c_custkey, lower(c_mktsegment) AS slug FROM customer WHERE lower(c_mktsegment) <> 'building'"),
