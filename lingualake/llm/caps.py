@@ -82,6 +82,7 @@ def plan(n: int, dim: int, threshold: float, recall: float) -> tuple[float, int,
 
 def _counted(x: np.ndarray, cls: np.ndarray, copies: np.ndarray, part: np.ndarray, across: bool, mine: int, lists, threshold: float):
     """Links of one block: (class, linked vectors, smallest class of its group in the block)."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # by powers of two: no digit changes, no square over- or underflows
     norm = np.linalg.norm(x, axis=1)
     on = (x @ x.T) >= threshold * np.outer(norm, norm)
     np.fill_diagonal(on, False)
