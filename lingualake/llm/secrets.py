@@ -20,18 +20,23 @@ from .trees import expression, forest
 
 _WORDS = r"token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth"
 _KEY = rf"(?i:{_WORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}"
-#: A run that could be a credential: not inside a longer run.
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+#: A run that could be a credential: not inside a longer run, nor the slashes of a URL (a login may follow).
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?!(?<=:)//)[A-Za-z0-9+/_-]{16,}+={0,2}"
 _SIGN = r"[:=]\s{0,3}"
 #: What a credential word assigns: a quoted value, or one up to a space, quote, comma or semicolon; of any characters.
 #: The sign alone is looked for first: it is there before few words, and the words before it cost far more to match.
-ASSIGNED = rf"(?<=[\"'])(?<={_SIGN}[\"'])(?<={_KEY}[\"'])[^\"'\r\n]{{6,256}}+(?=[\"'])|(?<=[:=\s])(?<={_SIGN})(?<={_KEY})[^\s\"',;]{{5,}}[^\s\"',;.:!?)\]}}]"
-PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{0,20000}(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
+ASSIGNED = rf"(?<=[\"'])(?<={_SIGN}[\"'])(?<={_KEY}[\"'])[^\"'\r\n]{{6,}}+(?=[\"'])|(?<=[:=\s])(?<={_SIGN})(?<={_KEY})[^\s\"',;]{{5,}}[^\s\"',;.:!?)\]}}]"
+#: What a sentence says that a credential is. Neither view labels it by itself: the forests decide.
+TOLD = rf"(?<=\sis\s)(?<=(?i:{_WORDS})\sis\s)[^\s\"',;]{{5,}}[^\s\"',;.:!?)\]}}]"
+_BLOCK = r"[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+#: A key block of any length up to its end, headers included (hyphens of up to 200 header words; base64 has none); without an end, header
+#: lines and what base64 follows them.
+PEM = rf"-----BEGIN {_BLOCK}(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+){{0,200}}+-----END {_BLOCK}|(?:[\r\n]++[A-Za-z-]{{1,30}}: [^\r\n]*+){{0,20}}+[A-Za-z0-9+/=\r\n\\]*+)"
 JWT = r"(?=eyJ)(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?"
 #: User and password of a URL.
-LOGIN = r"(?<=://)[^\s/:@\"']{1,64}:[^\s/@\"']{3,128}(?=@)"
+LOGIN = r"(?<=://)[^\s/:@\"']++:[^\s/@\"']{3,}+(?=@)"
 #: None but a key block starts inside a word; that test comes first, as most places fail it.
-GENERATORS = f"{PEM}|(?<![A-Za-z0-9])(?:{'|'.join((JWT, LOGIN, ASSIGNED, TOKEN))})"
+GENERATORS = f"{PEM}|(?<![A-Za-z0-9])(?:{'|'.join((JWT, LOGIN, ASSIGNED, TOLD, TOKEN))})"
 #: Formats that leave no doubt: key blocks, signed tokens, fixed prefixes with their fixed lengths.
 CERTAIN = r"^(?:-----BEGIN|eyJ[A-Za-z0-9_-]{8,}\.eyJ|(?:AKIA|ASIA)[0-9A-Z]{16}\z|gh[pos]_[A-Za-z0-9]{36}\z|xox[abprs]-|AIza[A-Za-z0-9_-]{35}\z|sk_live_)"
 FORM = ("length", "turns", "covered", "path", "digits", "hex", "symbols")
