@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import js_trim
@@ -14,11 +14,11 @@ GLOBAL_FRAGMENTS = ["#organization", "#website", "#logo"]
 ASSETS = r"(?i)\.(?:png|jpe?g|webp|svg|gif|avif|ico|pdf|mp4|mov|webm)\z"
 #: Sections with slugs of their own in each locale.
 SECTIONS = {
-    "about": {"en": "about", "es": "sobre-nosotros", "fr": "a-propos", "de": "ueber-uns"},
-    "contact": {"en": "contact", "es": "contacto", "fr": "contact", "de": "kontakt"},
-    "blog": {"en": "blog", "es": "blog", "fr": "blog", "de": "blog"},
-    "solutions": {"en": "solutions", "es": "soluciones", "fr": "solutions", "de": "loesungen"},
-    "products": {"en": "products", "es": "productos", "fr": "produits", "de": "produkte"},
+    "about": {"en": "about", "es": "sobre-nosotros", "fr": "a-propos", "de": "ueber-uns", "it": "chi-siamo", "pt": "sobre-nos", "ar": "من-نحن", "ru": "о-нас", "ja": "会社概要"},
+    "contact": {"en": "contact", "es": "contacto", "fr": "contact", "de": "kontakt", "it": "contatto", "pt": "contato", "ar": "اتصل-بنا", "ru": "контакты", "ja": "お問い合わせ"},
+    "blog": {"en": "blog", "es": "blog", "fr": "blog", "de": "blog", "it": "blog", "pt": "blog", "ar": "المدونة", "ru": "блог", "ja": "ブログ"},
+    "solutions": {"en": "solutions", "es": "soluciones", "fr": "solutions", "de": "loesungen", "it": "soluzioni", "pt": "solucoes", "ar": "حلول", "ru": "решения", "ja": "ソリューション"},
+    "products": {"en": "products", "es": "productos", "fr": "produits", "de": "produkte", "it": "prodotti", "pt": "produtos", "ar": "منتجات", "ru": "продукция", "ja": "製品"},
 }
 
 
@@ -65,6 +65,41 @@ def localize_path(path: Column, locale: Column, source: str = "en") -> Column:
     return F.when(external, path).when(clean == "", home).otherwise(F.concat(prefix, F.lit("/"), inner))
 
 
+def named_keys(slugs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., slug, key): what each slug of a dictionary (by..., key, locale, slug) names in any locale.
+
+    A slug that names two keys is the one's whose source it is (key and slug are equal), else the least key's.
+    """
+    best = F.min_by("key", F.struct((F.col("key") != F.col("slug")).alias("other"), "key"))
+    return slugs.groupBy(*by, "slug").agg(best.alias("key"))
+
+
+def localized_paths(df: DataFrame, path: str, locale: str, pages: DataFrame, items: DataFrame, out: str = "localized", source: str = "en") -> DataFrame:
+    """df with the localized form of its internal paths, by dictionaries that are tables.
+
+    pages (key, locale, slug) holds the sections, items (section, key, locale, slug) what stands below some of them. One segment is
+    looked up in any locale and given in the asked one; of two, the first one is too if its section has items, and the second by its
+    section's; other paths get the locale alone. Without an entry a segment stays. External and empty paths stay, the source locale has no
+    prefix. A row stays a row whatever the dictionaries repeat.
+    """
+    p, lo = F.col(path), F.col(locale)
+    clean = F.regexp_replace(p, r"^/+|/+\z", "")
+    parts = F.split(clean, "/")
+    few = F.size(parts) <= 2
+    rows = df.withColumns({"__a": F.when(few, parts[0]), "__b": F.when(F.size(parts) == 2, F.get(parts, F.lit(1))), "__lo": lo})
+    rows = rows.join(named_keys(pages).select(F.col("slug").alias("__a"), F.col("key").alias("__k")), "__a", "left").withColumn("__k", F.coalesce("__k", "__a"))
+    rows = rows.join(pages.groupBy(F.col("key").alias("__k"), F.col("locale").alias("__lo")).agg(F.min("slug").alias("__s")), ["__k", "__lo"], "left")
+    rows = rows.join(items.select(F.col("section").alias("__k"), F.lit(True).alias("__has")).distinct(), "__k", "left")
+    rows = rows.join(named_keys(items, ("section",)).select(F.col("section").alias("__k"), F.col("slug").alias("__b"), F.col("key").alias("__i")), ["__k", "__b"], "left").withColumn("__i", F.coalesce("__i", "__b"))
+    rows = rows.join(items.groupBy(F.col("section").alias("__k"), F.col("key").alias("__i"), F.col("locale").alias("__lo")).agg(F.min("slug").alias("__t")), ["__k", "__i", "__lo"], "left")
+    first, second = F.coalesce("__s", "__a"), F.coalesce("__t", "__b")
+    inner = F.when(F.col("__b").isNull() & few, first).when(F.col("__has"), F.concat(F.when(lo == source, F.col("__k")).otherwise(first), F.lit("/"), second)).otherwise(clean)
+    prefix = F.when(lo == source, F.lit("")).otherwise(F.concat(F.lit("/"), lo))
+    external = p.isNull() | (p == "") | p.startswith("http://") | p.startswith("https://") | p.startswith("//")
+    done = F.when(external, p).when(clean == "", F.when(lo == source, F.lit("/")).otherwise(prefix)).otherwise(F.concat(prefix, F.lit("/"), inner))
+    return rows.select(*(c for c in df.columns if c != out), done.alias(out))
+
+
 def internal_link(url: Column, domain: str, locale: Column) -> Column:
     """A link to the own domain, with or without protocol, as a localized path; others as localize_path has them."""
     own = rf"(?i)^(?:https?://)?(?:www\.)?{domain.replace('.', chr(92) + '.')}(/.*)?\z"

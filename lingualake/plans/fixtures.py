@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import SECTIONS
 from ..sources.tables import read
 
 CATALOG = """
@@ -64,6 +65,19 @@ WITH loc AS (SELECT 'en' AS l, 0 AS k UNION ALL SELECT 'es', 1 UNION ALL SELECT
 SELECT p_partkey AS _parent_id, l AS _locale, CASE WHEN (p_partkey + k) % 3 = 0 THEN NULL ELSE concat(replace(p_name, ' ', '-'), '-', CAST(p_partkey % 50 AS STRING)) END AS slug
 FROM part CROSS JOIN loc WHERE (p_partkey + k) % 2 = 0"""
 
+#: The slug dictionary as a table; items below two of its sections; paths into them in all its locales.
+PAGES = " UNION ALL ".join(f"SELECT '{k}' AS key, '{lo}' AS locale, '{slug}' AS slug" for k, by in SECTIONS.items() for lo, slug in by.items())
+ITEMS = """
+WITH loc AS (SELECT 'en' AS l UNION ALL SELECT 'es' UNION ALL SELECT 'ja')
+SELECT CASE WHEN p_partkey % 2 = 0 THEN 'solutions' ELSE 'blog' END AS section, concat('item-', CAST(p_partkey AS STRING)) AS key, l AS locale,
+       CASE WHEN l = 'en' THEN concat('item-', CAST(p_partkey AS STRING)) ELSE concat(l, '-', replace(p_name, ' ', '-'), '-', CAST(p_partkey AS STRING)) END AS slug
+FROM part CROSS JOIN loc WHERE p_partkey % 5 < 4"""
+PATHS = f"""
+WITH d AS (SELECT slug, row_number() OVER (ORDER BY key, locale) - 1 AS i FROM ({PAGES}) x), l AS (SELECT locale, row_number() OVER (ORDER BY locale) - 1 AS j FROM (SELECT DISTINCT locale FROM ({PAGES}) y) z)
+SELECT p_partkey AS id, locale, concat('/', slug, CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN concat('/item-', CAST(p_partkey AS STRING), '/')
+       WHEN 2 THEN concat('/es-', replace(p_name, ' ', '-'), '-', CAST(p_partkey AS STRING)) ELSE '/a/b' END) AS path
+FROM part JOIN d ON p_partkey % 45 = i JOIN l ON (p_partkey + CAST(floor(p_partkey / 45) AS BIGINT)) % 9 = j"""
+
 
 def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for name in ("part", "events"):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import filters, keys, text, urls
 from ..operators import backfill as B
+from ..operators import database as DB
 from ..operators import documents as D
 from ..operators import seo, strings
 from ..operators.sync import SyncOptions
@@ -138,6 +139,28 @@ def _streamed(s, d) -> DataFrame:
     return _rebuilt(store.read().where("doc IS NOT NULL AND ts IS NOT NULL"), "key", "locale")
 
 
+def _database(s, d) -> DB.Backfill:
+    tables = {name: DB.Table(df, ("body",) if "body" in df.columns else ()) for name, df in X.tables(s, d).items()}
+    return DB.plan_backfill(tables, LOCALES, _tm(s, d))
+
+
+def _database_changes(s, d) -> DataFrame:
+    plan, out = _database(s, d), None
+    for name in plan.matched:
+        for op, df in zip(("update", "insert"), DB.change_sets(plan, name)):
+            part = df.select(F.lit(name).alias("table"), F.lit(op).alias("op"), "id", F.col("_locale").alias("locale"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _database_run(s, d) -> DataFrame:
+    plan, top = _database(s, d), workspace(s)
+    stores = {name: KeyedStore(s, f"{top}/{name}", ["id"], 8) for name in plan.matched}
+    for name, store in stores.items():
+        store.create(plan.tables[name].rows)
+    return DB.run_backfill(plan, stores, 0, f"{top}-log").select("table", "status", "updated", "inserted")
+
+
 def _changes(s, d) -> DataFrame:
     return X.fixture(s, d, X.CHANGES)
 
@@ -287,7 +310,15 @@ ENTRIES: dict = {
     "build_inserts_numbered": (lambda s, d: B.build_inserts(B.with_needs(_numbered(s, d), ["title"]), _tm(s, d), ["title"], every=True).select("_uuid", "_locale", "_parent_id", "title"), f"WITH {_NUM}, {_TM} SELECT CASE WHEN _uuid IS NOT NULL THEN concat(_uuid, '_', locale) END AS _uuid, locale AS _locale, _parent_id, {_new('title')} FROM m WHERE target_id IS NULL"),
     "parent_key_rewrite": (lambda s, d: _catalog(s, d).select("id", keys.parent_key(F.concat(F.lit("c"), F.col("_parent_id").cast("string"), F.lit("_en")), F.col("_locale"), True, True).alias("_parent_id")), f"WITH {_CAT} SELECT id, concat('c', _parent_id, '_', _locale) AS _parent_id FROM cat"),
     "missing_rows": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).where("NOT has_target").select("key", "locale"), f"WITH {_MATCH} SELECT key, locale FROM m WHERE NOT has_target"),
-    "tables_with_source": (lambda s, d: B.locale_gate(_matched(s, d)), f"WITH {_MATCH} SELECT DISTINCT locale FROM n WHERE {_NEEDS}"),
+    "tables_with_source": (lambda s, d: _database(s, d).gate, f"WITH {_MATCH}, {_RICH} SELECT DISTINCT 'catalog' AS \"table\", locale FROM n WHERE {_NEEDS} UNION ALL SELECT DISTINCT 'catalog_texts', locale FROM rt WHERE need"),
+    "database_strings": (lambda s, d: _database(s, d).strings.select("locale", "src").distinct(), f"WITH {_MATCH}, {_RICH}, l AS (SELECT locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n UNION ALL SELECT locale, unnest([title, long, title]), unnest([need, need, r IN (0, 1)]) FROM rt) SELECT DISTINCT locale, src FROM l WHERE need AND {_reason('src')} IS NULL"),
+    "database_changes": (_database_changes, f"WITH {_MATCH}, {_RICH}, {_UPD}, {_INS} SELECT DISTINCT 'catalog' AS \"table\", 'update' AS op, target_id AS id, locale FROM upd UNION ALL SELECT 'catalog', 'insert', id, _locale FROM ins UNION ALL SELECT 'catalog_texts', CASE r WHEN 0 THEN 'insert' ELSE 'update' END, concat(key, '_', locale), locale FROM rt WHERE need OR r = 0"),
+    "backfill_report": (lambda s, d: DB.backfill_report(_database(s, d)), f"""WITH {_MATCH}, {_RICH}, a AS (SELECT 'catalog' AS t, locale, has_target, {_NEEDS} AS needs FROM n UNION ALL SELECT 'catalog_texts', locale, r <> 0, need FROM rt),
+w AS (SELECT t, locale, bool_or(needs) AS work FROM a GROUP BY 1, 2), c AS (SELECT t, locale, count(*) AS rows_seen, count(*) FILTER (work AND NOT has_target) AS to_insert, count(*) FILTER (work AND has_target AND needs) AS to_update, count(*) FILTER (NOT work OR has_target AND NOT needs) AS skipped FROM a JOIN w USING (t, locale) GROUP BY 1, 2),
+l AS (SELECT 'catalog' AS t, locale, unnest([s_title, s_brand, s_kind]) AS src, unnest([n_title, n_brand, n_kind]) AS need FROM n UNION ALL SELECT 'catalog_texts', locale, unnest([title, long, title]), unnest([need, need, r IN (0, 1)]) FROM rt),
+e AS (SELECT DISTINCT t, locale, src FROM l WHERE need AND {_reason('src')} IS NULL), s AS (SELECT e.t, e.locale, count(*) AS strings, count(*) FILTER (tgt <> e.src) AS translated FROM e LEFT JOIN tm ON target_locale = e.locale AND tm.src = e.src GROUP BY 1, 2)
+SELECT t AS "table", locale, coalesce(strings, 0) AS strings, coalesce(translated, 0) AS translated, CAST(0 AS BIGINT) AS failed, rows_seen, to_insert, to_update, skipped FROM c LEFT JOIN s USING (t, locale)"""),
+    "backfill_run": (_database_run, f"WITH {_MATCH}, {_RICH}, {_UPD}, {_INS} SELECT 'catalog' AS \"table\", 'completed' AS status, (SELECT count(DISTINCT target_id) FROM upd) AS updated, (SELECT count(*) FROM ins) AS inserted UNION ALL SELECT 'catalog_texts', 'completed', count(*) FILTER (need AND r <> 0), count(*) FILTER (r = 0) FROM rt UNION ALL SELECT 'imported', 'completed', 0, 0"),
     "locale_gate": (lambda s, d: _matched(s, d).groupBy("locale").agg(F.count_if("needs").alias("n_needs")).where("n_needs > 0"), f"WITH {_MATCH} SELECT locale, count(*) AS n_needs FROM n WHERE {_NEEDS} GROUP BY 1"),
     "tm_lookup": (lambda s, d: strings.tm_lookup(B.fan_out_locales(_catalog(s, d).where("_locale = 'en'"), LOCALES), _tm(s, d), "title", "locale").select("id", "locale", "translated"), f"WITH {_CAT}, {_TM} SELECT c.id, c.locale, coalesce(nullif(tgt, ''), title) AS translated FROM (SELECT id, title, unnest(['es', 'fr', 'de']) AS locale FROM cat WHERE _locale = 'en') c LEFT JOIN tm ON target_locale = c.locale AND src = title"),
     "field_needs_translation": (lambda s, d: _matched(s, d).select("key", "locale", "n_title", "n_brand"), f"WITH {_MATCH} SELECT key, locale, n_title, n_brand FROM n"),
@@ -324,7 +355,12 @@ ENTRIES: dict = {
     "last_row_wins": (lambda s, d: _catalog(s, d).groupBy(keys.base_id(F.col("id")).alias("base_key")).agg(F.max_by("title", "id").alias("title")), f"WITH {_CAT} SELECT {_BASE.format('id')} AS base_key, arg_max(title, id) AS title FROM cat GROUP BY 1"),
     "localize_url": (_per_page("url", lambda: urls.localize_url(F.col("url"), F.lit("es"), F.col("site"))), f"WITH {_TITLE} SELECT page_id, CASE WHEN lower({_FRAG}) IN ('#organization', '#website', '#logo') OR regexp_matches({_PATH}, '(?i)\\.(png|jpe?g|webp|svg|gif|avif|ico|pdf|mp4|mov|webm)$') OR starts_with({_PATH}, '/images/') THEN url WHEN {_BARE} IN ('', '/') THEN concat(site, '/es', {_FRAG}) ELSE concat(site, '/es', {_BARE}, {_FRAG}) END AS url FROM page"),
     "localize_path": (_per_page("path", lambda: urls.localize_path(F.concat(F.lit("/solutions/"), F.col("page_id").cast("string"), F.lit("/")), F.lit("de"))), "SELECT page_id, concat('/de/loesungen/', page_id) AS path FROM pages"),
-    "dict_join": (lambda s, d: _pages(s, d).select("page_id", urls.section_slug(urls.section_key(F.lit("produits")), F.when(F.col("page_id") % 2 == 0, "de").otherwise("es"), F.lit("")).alias("slug")), "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'produkte' ELSE 'productos' END AS slug FROM pages"),
+    "dict_join": (lambda s, d: urls.localized_paths(X.fixture(s, d, X.PATHS), "path", "locale", s.sql(X.PAGES), X.fixture(s, d, X.ITEMS)), f"""WITH pg AS ({X.PAGES}), it AS ({X.ITEMS}), pa AS ({X.PATHS}), x AS (SELECT *, string_split(trim(path, '/'), '/') AS w FROM pa), y AS (SELECT *, w[1] AS a, w[2] AS b FROM x),
+rev AS (SELECT slug, min(key) AS key FROM pg GROUP BY 1), k AS (SELECT y.*, coalesce(rev.key, a) AS key FROM y LEFT JOIN rev ON rev.slug = a),
+f AS (SELECT k.*, coalesce(pg.slug, a) AS first FROM k LEFT JOIN pg ON pg.key = k.key AND pg.locale = k.locale),
+g AS (SELECT f.*, coalesce(r.key, b) AS item FROM f LEFT JOIN (SELECT DISTINCT section, slug, key FROM it) r ON r.section = f.key AND r.slug = b),
+h AS (SELECT g.*, coalesce(it.slug, b) AS second FROM g LEFT JOIN it ON it.section = g.key AND it.key = item AND it.locale = g.locale)
+SELECT id, locale, path, concat(CASE locale WHEN 'en' THEN '' ELSE concat('/', locale) END, '/', CASE WHEN len(w) = 1 THEN first WHEN len(w) = 2 AND key IN ('blog', 'solutions') THEN concat(CASE locale WHEN 'en' THEN key ELSE first END, '/', second) ELSE array_to_string(w, '/') END) AS localized FROM h"""),
     "internal_link": (_per_page("link", lambda: urls.internal_link(F.concat(F.lit("www.example.com/blog/"), F.col("page_id").cast("string")), "example.com", F.lit("fr"))), "SELECT page_id, concat('/fr/blog/', page_id) AS link FROM pages"),
     "contact_link": (lambda s, d: read(s, d, "customer").select("c_custkey", urls.contact_link(F.concat(F.lit("Tel: +"), F.translate(F.lit("86-177-868-5586"), "-", ""), F.col("c_custkey").cast("string"))).alias("link")), "SELECT c_custkey, concat('tel:+861778685586', c_custkey) AS link FROM customer"),
     "merge_scalar": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", D.merge_scalar(F.col("t_title"), F.col("s_title")).alias("title")), f"WITH {_MATCH} SELECT key, locale, CASE WHEN t_title IS NULL OR trim(t_title) = '' THEN s_title ELSE t_title END AS title FROM m"),
