@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +53,16 @@ def _pattern(p: str) -> str | None:
     form = re.fullmatch(r"/(.+)/([a-z]*)", p, re.S)
     flags = "".join(f for f in form[2] if f in "ims") if form else "" if p.startswith("(?") else "i"
     p = (f"(?{flags})" if flags else "") + (form[1] if form else p)
+    return p if _compiles(p) else None
+
+
+def _compiles(p: str) -> bool:
+    """Whether the engine that is to match the pattern takes it: the JVM's, not Python's."""
     try:
-        re.compile(p)
-    except re.error:
-        return None
-    return p
+        SparkContext.getOrCreate()._jvm.java.util.regex.Pattern.compile(p)
+    except IllegalArgumentException:
+        return False
+    return True
 
 
 def skip_reason(value: Column, exact: Sequence[str] = (), patterns: Sequence[str] = ()) -> Column:

@@ -18,6 +18,17 @@ def slug_backfill(parents: DataFrame, rows: DataFrame, source: str = "en") -> Da
     return filled.unionByName(new)
 
 
+def slug_nulls(rows: DataFrame) -> DataFrame:
+    """(_locale, n): rows without a slug, by locale."""
+    return rows.where("slug IS NULL").groupBy("_locale").agg(F.count("*").alias("n"))
+
+
+def slug_reverse(parents: DataFrame, rows: DataFrame, source: str = "en") -> DataFrame:
+    """(id, slug) of the parents with their source row's slug back in place (of several the greatest; its own where there is none)."""
+    back = rows.where(F.col("_locale") == source).groupBy(F.col("_parent_id").alias("id")).agg(F.max("slug").alias("back"))
+    return parents.join(back, "id", "left").select("id", F.coalesce("back", "slug").alias("slug"))
+
+
 def slug_conflicts(rows: DataFrame) -> DataFrame:
     return rows.where("slug IS NOT NULL").groupBy("_locale", "slug").agg(F.count("*").alias("n")).where("n > 1")
 
@@ -146,6 +157,12 @@ def alternates(pages: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "url")))).alias("alternates"))
 
 
+def head_links(pages: DataFrame) -> DataFrame:
+    """(doc_id, lang, canonical, alternates) of each page: its own URL without trailing slash, and its document's alternates."""
+    clean = pages.withColumn("url", F.regexp_replace("url", r"/+\z", ""))
+    return clean.select("doc_id", "lang", F.col("url").alias("canonical")).join(alternates(clean), "doc_id")
+
+
 def sitemap(pages: DataFrame) -> DataFrame:
     """(loc, lang, href): every URL, without trailing slash, with each alternate of its document."""
     clean = pages.withColumn("url", F.regexp_replace("url", r"/+\z", ""))

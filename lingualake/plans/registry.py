@@ -10,6 +10,7 @@ from ..operators import backfill as B
 from ..operators import database as DB
 from ..operators import documents as D
 from ..operators import seo, strings
+from ..operators import typed as Y
 from ..operators.sync import SyncOptions
 from ..sources.sinks import document_store, write_changes
 from ..sources.store import KeyedStore
@@ -222,6 +223,16 @@ def _memory(s, d) -> DataFrame:
 _SECTIONS = "sections array<struct<id:string,blockType:string,body:string>>"
 
 
+def _typed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("doc", F.from_json("doc", _SECTIONS))
+
+
+def _typed_merge(s, d) -> DataFrame:
+    b = _blocks(s, d).select(F.col("conv_id").alias("doc_id"), F.from_json("new", _SECTIONS).alias("new"), F.from_json("old", _SECTIONS).alias("old"))
+    one = b.select("doc_id", Y.merged(F.col("new"), F.col("old"), b.schema["new"].dataType).alias("doc"))
+    return one.select("doc_id", F.posexplode("doc.sections").alias("pos", "x")).select("doc_id", "pos", "x.*")
+
+
 def _rebuilt(docs: DataFrame, *keys: str) -> DataFrame:
     out = docs.withColumn("doc", F.from_json("doc", _SECTIONS))
     return out.select(*keys, F.posexplode("doc.sections").alias("pos", "x")).select(*keys, "pos", "x.id", "x.blockType", "x.body")
@@ -291,6 +302,8 @@ _PATH = "regexp_extract(url, '^https?://[^/]+([^?#]*)', 1)"
 _FRAG = "regexp_extract(url, '(#.*)$', 1)"
 _BARE = f"(CASE WHEN regexp_matches({_PATH}, '^/[A-Za-z]{{2}}(/|$)') THEN substr({_PATH}, 4) ELSE {_PATH} END)"
 
+_TRANSLATED_DOCS = f"WITH t AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, unnest(['es', 'fr']) AS locale FROM conversations) SELECT conv_id AS doc_id, locale, pos, concat('b', turn, '_', locale) AS id, role AS blockType, CASE WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[', locale, '] ', text) ELSE text END AS body FROM t"
+_MERGED_BLOCKS = "SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn) AS id, role AS blockType, CASE WHEN turn % 2 <> 0 THEN concat('es ', text) ELSE text END AS body FROM conversations"
 _APPLIED = f"WITH {_MATCH}, {_TM}, {_UPD}, {_INS} SELECT c.id, _locale, _parent_id, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'title'), title) AS title, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'brand'), brand) AS brand, coalesce((SELECT max(value) FROM upd WHERE target_id = c.id AND field = 'kind'), kind) AS kind FROM cat c UNION ALL SELECT id, _locale, _parent_id, title, brand, kind FROM ins"
 _SYNC_SQL = f"SELECT concat('collection:pages:', conv_id) AS key, 'es' AS locale, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn, '_es') AS id, role AS blockType, CASE WHEN conv_id % 2 = 0 AND turn % 2 <> 0 THEN concat('es ', text) WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[es] ', text) ELSE text END AS body FROM conversations"
 
@@ -364,9 +377,9 @@ SELECT id, locale, path, concat(CASE locale WHEN 'en' THEN '' ELSE concat('/', l
     "internal_link": (_per_page("link", lambda: urls.internal_link(F.concat(F.lit("www.example.com/blog/"), F.col("page_id").cast("string")), "example.com", F.lit("fr"))), "SELECT page_id, concat('/fr/blog/', page_id) AS link FROM pages"),
     "contact_link": (lambda s, d: read(s, d, "customer").select("c_custkey", urls.contact_link(F.concat(F.lit("Tel: +"), F.translate(F.lit("86-177-868-5586"), "-", ""), F.col("c_custkey").cast("string"))).alias("link")), "SELECT c_custkey, concat('tel:+861778685586', c_custkey) AS link FROM customer"),
     "merge_scalar": (lambda s, d: B.match_target_rows(_catalog(s, d), LOCALES, FIELDS).select("key", "locale", D.merge_scalar(F.col("t_title"), F.col("s_title")).alias("title")), f"WITH {_MATCH} SELECT key, locale, CASE WHEN t_title IS NULL OR trim(t_title) = '' THEN s_title ELSE t_title END AS title FROM m"),
-    "merge_blocks": (_merged, "SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, concat('b', turn) AS id, role AS blockType, CASE WHEN turn % 2 <> 0 THEN concat('es ', text) ELSE text END AS body FROM conversations"),
+    "merge_blocks": (_merged, _MERGED_BLOCKS),
     "extract_document_strings": (lambda s, d: D.document_strings(_documents(s, d)), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
-    "apply_document_translations": (lambda s, d: _rebuilt(D.translate_documents(_documents(s, d), _memory(s, d), ["es", "fr"]), "doc_id", "locale"), f"WITH t AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, unnest(['es', 'fr']) AS locale FROM conversations) SELECT conv_id AS doc_id, locale, pos, concat('b', turn, '_', locale) AS id, role AS blockType, CASE WHEN length(text) % 3 = 0 AND {_reason('text')} IS NULL THEN concat('[', locale, '] ', text) ELSE text END AS body FROM t"),
+    "apply_document_translations": (lambda s, d: _rebuilt(D.translate_documents(_documents(s, d), _memory(s, d), ["es", "fr"]), "doc_id", "locale"), _TRANSLATED_DOCS),
     "continuous_sync": (_synced, _SYNC_SQL),
     "continuous_sync_stream": (_streamed, _SYNC_SQL),
     "localize_jsonld": (_localized_jsonld(True), _jsonld_sql(True)),
@@ -380,9 +393,15 @@ SELECT id, locale, path, concat(CASE locale WHEN 'en' THEN '' ELSE concat('/', l
     "extract_jsonld_strings": (_jsonld_strings, f"WITH l AS (SELECT p_partkey AS page_id, unnest([p_name, concat('About ', p_type)]) AS src FROM part) SELECT DISTINCT page_id, src FROM l WHERE {_reason('src')} IS NULL"),
     "latest_per_document": (lambda s, d: C.latest(_changes(s, d)), f"WITH {_CH} SELECT concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts FROM ch GROUP BY 1"),
     "debounce_changes": (lambda s, d: C.debounce(_changes(s, d).where(C.admitted()), "30 minutes"), f"WITH {_CH}, {_ADM}, g AS (SELECT *, concat(entity_type, ':', slug, ':', coalesce(CAST(doc_id AS VARCHAR), 'global')) AS key FROM adm), o AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY key ORDER BY ts, job_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM g), i AS (SELECT *, sum(opens) OVER (PARTITION BY key ORDER BY ts, job_id) AS island FROM o) SELECT key, arg_max(job_id, (ts, job_id)) AS job_id, max(ts) AS ts, count(*) AS n FROM i GROUP BY key, island"),
-    "job_stats": (lambda s, d: C.job_stats(_changes(s, d).select(F.coalesce("status", F.lit("queued")).alias("state"), "ts", "job_id")), f"WITH {_CH} SELECT coalesce(status, 'queued') AS state, count(*) AS n, max(ts) AS last_ts, arg_max(job_id, (ts, job_id)) AS last_job FROM ch GROUP BY 1"),
+    "job_stats": (lambda s, d: C.job_stats(_changes(s, d).select(F.coalesce("status", F.lit("queued")).alias("state"), "ts", "job_id", F.when(F.col("operation") == "delete", F.concat(F.lit("gone: "), F.col("doc_id").cast("string"))).alias("error"))), f"WITH {_CH} SELECT coalesce(status, 'queued') AS state, count(*) AS n, max(ts) AS last_ts, arg_max(job_id, (ts, job_id)) AS last_job, arg_max(concat('gone: ', doc_id), (ts, job_id)) FILTER (operation = 'delete') AS last_error FROM ch GROUP BY 1"),
     "slug_backfill": (lambda s, d: seo.slug_backfill(X.fixture(s, d, X.SLUG_PARENTS), X.fixture(s, d, X.SLUG_ROWS)), f"WITH p AS ({X.SLUG_PARENTS}), r AS ({X.SLUG_ROWS}) SELECT _parent_id, _locale, coalesce(r.slug, p.slug) AS slug FROM r LEFT JOIN p ON id = _parent_id UNION ALL SELECT id, 'en', slug FROM p WHERE id NOT IN (SELECT _parent_id FROM r WHERE _locale = 'en')"),
     "slug_uniqueness": (lambda s, d: seo.slug_conflicts(X.fixture(s, d, X.SLUG_ROWS)), f"WITH r AS ({X.SLUG_ROWS}) SELECT _locale, slug, count(*) AS n FROM r WHERE slug IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"),
+    "slug_nulls": (lambda s, d: seo.slug_nulls(X.fixture(s, d, X.SLUG_ROWS)), f"WITH r AS ({X.SLUG_ROWS}) SELECT _locale, count(*) AS n FROM r WHERE slug IS NULL GROUP BY 1"),
+    "slug_reverse": (lambda s, d: seo.slug_reverse(X.fixture(s, d, X.SLUG_PARENTS), X.fixture(s, d, X.SLUG_ROWS)), f"WITH p AS ({X.SLUG_PARENTS}), r AS ({X.SLUG_ROWS}) SELECT id, coalesce((SELECT max(slug) FROM r WHERE _parent_id = id AND _locale = 'en'), slug) AS slug FROM p"),
+    "head_links": (lambda s, d: seo.head_links(_routes(s, d).select("doc_id", "lang", F.concat("path", F.lit("/")).alias("url"))).select("doc_id", "canonical", F.explode("alternates").alias("lang", "href")), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT doc_id, lang, concat('/', lang, '/', sec, '/', slug) AS url FROM x) SELECT a.doc_id, a.url AS canonical, b.lang, b.url AS href FROM y a JOIN y b USING (doc_id)"),
+    "typed_document_strings": (lambda s, d: Y.typed_strings(_typed(_documents(s, d))), f"SELECT DISTINCT conv_id AS doc_id, text AS src FROM conversations WHERE {_reason('text')} IS NULL"),
+    "typed_document_translations": (lambda s, d: Y.translate_typed(_typed(_documents(s, d)), _memory(s, d), ["es", "fr"]).select("doc_id", "locale", F.posexplode("doc.sections").alias("pos", "x")).select("doc_id", "locale", "pos", "x.*"), _TRANSLATED_DOCS),
+    "typed_merge_blocks": (lambda s, d: _typed_merge(s, d), _MERGED_BLOCKS),
     "localized_routes": (_routes, f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT id AS doc_id, unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS section_slug, slug FROM p) SELECT *, concat('/', lang, '/', section_slug, '/', slug) AS path FROM x"),
     "route_collisions": (lambda s, d: seo.route_collisions(seo.localized_routes(X.fixture(s, d, X.SLUG_ROWS).where("slug IS NOT NULL").select(F.col("_parent_id").alias("doc_id"), "slug"), "blog", ["de"])), f"WITH r AS ({X.SLUG_ROWS}) SELECT concat('/de/blog/', slug) AS path, count(*) AS n, min(_parent_id) AS first_doc FROM r WHERE slug IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
     "redirect_rules": (lambda s, d: seo.redirect_rules(_routes(s, d), "solutions"), f"WITH p AS ({X.SLUG_PARENTS}), x AS (SELECT unnest(['es', 'fr', 'de']) AS lang, unnest(['soluciones', 'solutions', 'loesungen']) AS sec, slug FROM p), y AS (SELECT unnest([concat('/', lang, '/solutions/', slug), concat('/', sec, '/', slug), concat('/', lang, '/', slug)]) AS from_path, concat('/', lang, '/', sec, '/', slug) AS to_path FROM x) SELECT from_path, min(to_path) AS to_path FROM y WHERE from_path <> to_path GROUP BY 1"),

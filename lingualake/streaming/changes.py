@@ -111,5 +111,6 @@ def sync_stats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def job_stats(log: DataFrame) -> DataFrame:
-    """(state, n, last_ts, last_job) of a job log (state, ts, job_id)."""
-    return log.groupBy("state").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"), F.max(F.struct("ts", "job_id"))["job_id"].alias("last_job"))
+    """(state, n, last_ts, last_job, last_error) of a job log (state, ts, job_id, error: null if none)."""
+    last = F.max_by("error", F.when(F.col("error").isNotNull(), F.struct("ts", "job_id")))
+    return log.groupBy("state").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"), F.max(F.struct("ts", "job_id"))["job_id"].alias("last_job"), last.alias("last_error"))
