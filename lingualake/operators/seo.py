@@ -57,10 +57,11 @@ def redirect_rules(routes: DataFrame, section: str, old_slugs: DataFrame | None
     return rules.where("from_path <> to_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
 
 
-def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> DataFrame:
-    """(at, root, depth, gate) of the hops (at, next; one for each at) whose chain ends, at a node without a hop or at one of stops (at).
+def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(at, root, depth, gate) of the hops (at, next; one for each at) whose chain ends, at a node without a hop or at one of stops (at);
+    and (at, to) of those that lead into a circle, to being some hops on (None: there are none).
 
-    root is that end, depth the hops to it, gate the last node before it. Hops that lead into a circle are left out.
+    root is the chain's end, depth the hops to it, gate the last node before it.
     Pointers double, so the rounds grow with the logarithm of the longest chain. A round that ends no chain is the last: were there
     longer ones, one of the lengths it covers would have ended.
     """
@@ -74,16 +75,16 @@ def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> DataFrame:
         step = settled(live.select("at", "to", "n").join(jumps, "to").select("at", F.col("far").alias("to"), "last", (F.col("n") + F.col("more")).alias("n"), F.col("door").alias("gate")))
         done, live = done.unionByName(step.where("last")), step.where("NOT last")
         left, before = live.count(), left
-    return done.select("at", F.col("to").alias("root"), F.col("n").alias("depth"), "gate")
+    return done.select("at", F.col("to").alias("root"), F.col("n").alias("depth"), "gate"), live.select("at", "to") if left else None
 
 
-def circles(hop: DataFrame) -> DataFrame:
-    """(at, label, pred) of the nodes of hop (at, next) that stand on a circle; every chain of hop leads into one.
+def circles(hop: DataFrame, jump: DataFrame) -> DataFrame:
+    """(at, label, pred) of the nodes of hop (at, next) that stand on a circle; every chain of hop leads into one. jump (at, to) says where
+    each node gets in some number of hops, the same for all.
 
-    What a walk of 1, 2, 4, ... hops can reach shrinks until it is the circles. On them a minimum is carried along with
+    What walks of that many hops, twice, four times as many can reach shrinks until it is the circles. On them a minimum is carried along with
     doubling pointers until no window changes it: it names the circle. pred is the node before, on the circle.
     """
-    jump = hop.select("at", F.col("next").alias("to"))
     size = jump.select("to").distinct().count()
     while True:
         far = jump.select(F.col("at").alias("to"), F.col("to").alias("far"))
@@ -93,13 +94,13 @@ def circles(hop: DataFrame) -> DataFrame:
             break
         size = now
     on = hop.join(jump.select(F.col("to").alias("at")).distinct(), "at", "left_semi")
-    step = settled(on.select("at", F.col("next").alias("to"), F.col("at").alias("label")))
-    changed = step.limit(1).count()
-    while changed:
+    step = settled(on.select("at", F.col("next").alias("to"), F.col("at").alias("label"), F.col("next").alias("after")))
+    while True:
         far = step.select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("label").alias("other"))
-        step = settled(step.join(far, "to").select("at", F.col("far").alias("to"), F.least("label", "other").alias("label"), (F.col("other") < F.col("label")).alias("less")))
-        changed = step.where("less").limit(1).count()
-    return settled(step.select("at", "label").join(on.select(F.col("next").alias("at"), F.col("at").alias("pred")), "at"))
+        step = settled(step.join(far, "to").select("at", F.col("far").alias("to"), F.least("label", "other").alias("label"), "after", (F.col("other") < F.col("label")).alias("less")))
+        if not step.where("less").limit(1).count():
+            break
+    return step.select("at", "label").join(step.select(F.col("after").alias("at"), F.col("at").alias("pred")), "at")
 
 
 def _before(ask: DataFrame, hop: DataFrame) -> DataFrame:
@@ -127,11 +128,11 @@ def flatten_redirects(edges: DataFrame) -> DataFrame:
     - else the node before the chain's entry, or the target itself where that is on the circle.
     """
     hop = settled(edges.where("to_path IS NOT NULL AND from_path IS NOT NULL").groupBy(F.col("from_path").alias("at")).agg(F.max("to_path").alias("next")))
-    trees = settled(chain_ends(hop))
-    rest = settled(hop.join(trees.select("at"), "at", "left_anti"))
-    if rest.limit(1).count():
-        rings = circles(rest)
-        trees = settled(trees.unionByName(chain_ends(rest, rings)))
+    trees, jump = chain_ends(hop)
+    if jump is not None:
+        rest = hop.join(jump.select("at"), "at", "left_semi")
+        rings = settled(circles(rest, jump))
+        trees = trees.unionByName(chain_ends(rest, rings)[0])
     else:
         rings = hop.limit(0).select("at", F.col("at").alias("label"), F.col("at").alias("pred"))
 
@@ -141,8 +142,7 @@ def flatten_redirects(edges: DataFrame) -> DataFrame:
     e = edges.select("from_path", "to_path").join(of(trees, "to_path", "t"), "to_path", "left").join(of(trees, "from_path", "f"), "from_path", "left")
     e = e.join(of(rings, "to_path", "tr"), "to_path", "left").join(of(rings, "from_path", "fr"), "from_path", "left").join(of(rings, "t_root", "e"), "t_root", "left")
     back = (F.col("t_root") == F.col("f_root")) & (F.col("t_depth") > F.col("f_depth"))
-    e = settled(e.withColumn("back", F.coalesce(back, F.lit(False))))
-    before = _before(e.where("back").select("from_path", "to_path", (F.col("t_depth") - F.col("f_depth") - 1).alias("steps")), hop)
+    before = _before(e.where(back).select("from_path", "to_path", (F.col("t_depth") - F.col("f_depth") - 1).alias("steps")), hop)
     e = e.join(before, ["from_path", "to_path"], "left")
     into = F.coalesce("tr_label", "e_label")  # the circle that the walk reaches
     at_door = F.col("t_root") == F.col("from_path")
