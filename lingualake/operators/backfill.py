@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.filters import is_missing, should_skip_value
 from ..functions.keys import base_id, localize_id, match_key, parent_key, target_keys
 from .documents import richtext_parts, translated_richtext
-from .strings import memory, tm_lookup
+from .strings import tm_lookup
 
 
 def fan_out_locales(source: DataFrame, locales: list[str]) -> DataFrame:
@@ -109,15 +109,15 @@ def build_updates(matched: DataFrame, tm: DataFrame, fields: list[str]) -> DataF
 def translated_fields(rows: DataFrame, tm: DataFrame, fields: list[str], rich: Sequence[str] = (), share: int | None = None, **rules) -> DataFrame:
     """rows (locale, s_<field>...) with v_<field>: texts that count by the memory, rich texts with their leaves so, all else as it is.
 
-    The memory is made ready once. Text fields are looked up each by itself; rich texts of all fields together, their leaves in one join.
+    Text fields are looked up each by itself; rich texts of all fields together, their leaves in one join. All lookups, those of
+    build_updates too, read one exchange of the memory, which is laid out by their key. A job of several actions gives memory(tm).
     """
-    ready = memory(tm) if len(fields) > 1 else tm
     for f in (f for f in fields if f not in rich):
-        rows = tm_lookup(rows, ready, f"s_{f}", "locale", f"v_{f}", share)
+        rows = tm_lookup(rows, tm, f"s_{f}", "locale", f"v_{f}", share)
         rows = rows.withColumn(f"v_{f}", F.when(should_skip_value(F.col(f"s_{f}"), **rules), F.col(f"s_{f}")).otherwise(F.col(f"v_{f}")))
     if rich:
         every = F.array(*(F.col(f"s_{f}") for f in rich))
-        done = translated_richtext(rows.select("locale", F.explode(every).alias("src")), ready, share, **rules)
+        done = translated_richtext(rows.select("locale", F.explode(every).alias("src")), tm, share, **rules)
         for f in rich:
             rows = rows.withColumn("h", F.sha2(f"s_{f}", 256)).join(done.select("locale", "h", F.col("value").alias(f"v_{f}")), ["locale", "h"], "left").drop("h")
     return rows

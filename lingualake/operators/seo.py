@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import SECTIONS
-from ..sources.tables import settled
+from ..sources.tables import settled, settled_with
 
 
 def slug_backfill(parents: DataFrame, rows: DataFrame, source: str = "en") -> DataFrame:
@@ -62,19 +62,23 @@ def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> tuple[DataFram
     and (at, to) of those that lead into a circle, to being some hops on (None: there are none).
 
     root is the chain's end, depth the hops to it, gate the last node before it.
-    Pointers double, so the rounds grow with the logarithm of the longest chain. A round that ends no chain is the last: were there
-    longer ones, one of the lengths it covers would have ended.
+    Each round makes pointers three times as long, so the rounds grow with the logarithm of the longest chain. A round that ends no
+    chain is the last: were there longer ones, one of the lengths it covers would have ended.
     """
     inner = hop if stops is None else hop.join(stops.select("at"), "at", "left_anti")
     starts = inner.select(F.col("at").alias("next"), F.lit(False).alias("last"))
-    first = settled(inner.join(starts, "next", "left").select("at", F.col("next").alias("to"), F.col("last").isNull().alias("last"), F.lit(1).cast("long").alias("n"), F.col("at").alias("gate")))
-    done, live = first.where("last"), first.where("NOT last")
-    left, before = live.count(), None
+    open_ends = F.count_if(~F.col("last"))
+    step, left = settled_with(inner.join(starts, "next", "left").select("at", F.col("next").alias("to"), F.col("last").isNull().alias("last"), F.lit(1).cast("long").alias("n"), F.col("at").alias("gate")), open_ends)
+    done, live, before = step.where("last"), step.where("NOT last"), None
     while left and left != before:
-        jumps = done.unionByName(live).select(F.col("at").alias("to"), F.col("to").alias("far"), "last", F.col("n").alias("more"), F.col("gate").alias("door"))
-        step = settled(live.select("at", "to", "n").join(jumps, "to").select("at", F.col("far").alias("to"), "last", (F.col("n") + F.col("more")).alias("n"), F.col("door").alias("gate")))
+        jumps = done.unionByName(live).select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("last").alias("final"), F.col("n").alias("more"), F.col("gate").alias("door"))
+        step = live.join(jumps, "to").select("at", F.col("far").alias("to"), F.col("final").alias("last"), (F.col("n") + F.col("more")).alias("n"), F.col("door").alias("gate"))
+        again = step.join(jumps, "to", "left").where("last OR final IS NOT NULL")
+        moved = {"to": "far", "last": "final", "gate": "door"}
+        step = again.select("at", *(F.when(F.col("last"), F.col(c)).otherwise(F.col(m)).alias(c) for c, m in moved.items()), F.when(F.col("last"), F.col("n")).otherwise(F.col("n") + F.col("more")).alias("n"))
+        before = left
+        step, left = settled_with(step, open_ends)
         done, live = done.unionByName(step.where("last")), step.where("NOT last")
-        left, before = live.count(), left
     return done.select("at", F.col("to").alias("root"), F.col("n").alias("depth"), "gate"), live.select("at", "to") if left else None
 
 
@@ -83,7 +87,7 @@ def circles(hop: DataFrame, jump: DataFrame) -> DataFrame:
     each node gets in some number of hops, the same for all.
 
     What walks of that many hops, twice, four times as many can reach shrinks until it is the circles. On them a minimum is carried along with
-    doubling pointers until no window changes it: it names the circle. pred is the node before, on the circle.
+    pointers that grow threefold until no window changes it: it names the circle. pred is the node before, on the circle.
     """
     size = jump.select("to").distinct().count()
     while True:
@@ -97,8 +101,10 @@ def circles(hop: DataFrame, jump: DataFrame) -> DataFrame:
     step = settled(on.select("at", F.col("next").alias("to"), F.col("at").alias("label"), F.col("next").alias("after")))
     while True:
         far = step.select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("label").alias("other"))
-        step = settled(step.join(far, "to").select("at", F.col("far").alias("to"), F.least("label", "other").alias("label"), "after", (F.col("other") < F.col("label")).alias("less")))
-        if not step.where("less").limit(1).count():
+        once = step.join(far, "to").select("at", F.col("far").alias("to"), "label", F.least("label", "other").alias("least"), "after")
+        twice = once.join(far, "to").select("at", F.col("far").alias("to"), F.least("least", "other").alias("least"), "label", "after")
+        step, less = settled_with(twice.select("at", "to", F.col("least").alias("label"), "after", (F.col("least") < F.col("label")).alias("less")), F.count_if("less"))
+        if not less:
             break
     return step.select("at", "label").join(step.select(F.col("after").alias("at"), F.col("at").alias("pred")), "at")
 
@@ -106,9 +112,9 @@ def circles(hop: DataFrame, jump: DataFrame) -> DataFrame:
 def _before(ask: DataFrame, hop: DataFrame) -> DataFrame:
     """(from_path, to_path, stop) of the queries (from_path, to_path, steps) for which `from` stands steps + 1 hops behind `to`: stop is
     the node before it. One join for each bit of the steps."""
-    ask, jump, bit = settled(ask.distinct().withColumn("cur", F.col("to_path"))), hop.select("at", F.col("next").alias("to")), 1
-    most = ask.agg(F.max("steps")).collect()[0][0] or 0
-    while bit <= most:
+    ask, most = settled_with(ask.distinct().withColumn("cur", F.col("to_path")), F.max("steps"))
+    jump, bit = hop.select("at", F.col("next").alias("to")), 1
+    while bit <= (most or 0):
         moved = ask.join(jump, F.col("cur") == F.col("at"), "left")
         ask = settled(moved.select("from_path", "to_path", "steps", F.when(F.col("steps").bitwiseAND(bit) != 0, F.col("to")).otherwise(F.col("cur")).alias("cur")))
         jump = settled(jump.join(jump.select(F.col("at").alias("to"), F.col("to").alias("far")), "to").select("at", F.col("far").alias("to")))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,6 +37,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled_with(df: DataFrame, measure: Column) -> tuple[DataFrame, Any]:
+    """settled(df), and an aggregate of its rows that the write itself observes, so that it takes no job of its own."""
+    seen = Observation()
+    out = settled(df.observe(seen, measure.alias("m")))
+    return out, seen.get["m"]
+
+
 def localized_tables(columns: DataFrame, only: list[str] | None = None, versions: bool = False) -> DataFrame:
     """(table) of a catalog listing (table, column, type): tables that have a _locale column."""
     t = F.col("table")
