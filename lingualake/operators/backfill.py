@@ -109,11 +109,15 @@ def build_updates(matched: DataFrame, tm: DataFrame, fields: list[str]) -> DataF
 def translated_fields(rows: DataFrame, tm: DataFrame, fields: list[str], rich: Sequence[str] = (), share: int | None = None, **rules) -> DataFrame:
     """rows (locale, s_<field>...) with v_<field>: texts that count by the memory, rich texts with their leaves so, all else as it is.
 
-    Text fields are looked up each by itself; rich texts of all fields together, their leaves in one join. All lookups, those of
+    One join with the memory serves the text fields of all columns, another the leaves of rich texts. All lookups, those of
     build_updates too, read one exchange of the memory, which is laid out by their key. A job of several actions gives memory(tm).
     """
-    for f in (f for f in fields if f not in rich):
-        rows = tm_lookup(rows, tm, f"s_{f}", "locale", f"v_{f}", share)
+    plain = [f for f in fields if f not in rich]
+    if len(plain) > 1:
+        rows = _looked_up(rows, tm, plain, share, **rules)
+    for f in plain:
+        if len(plain) == 1:
+            rows = tm_lookup(rows, tm, f"s_{f}", "locale", f"v_{f}", share)
         rows = rows.withColumn(f"v_{f}", F.when(should_skip_value(F.col(f"s_{f}"), **rules), F.col(f"s_{f}")).otherwise(F.col(f"v_{f}")))
     if rich:
         every = F.array(*(F.col(f"s_{f}") for f in rich))
@@ -123,6 +127,22 @@ def translated_fields(rows: DataFrame, tm: DataFrame, fields: list[str], rich: S
     return rows
 
 
+def _looked_up(rows: DataFrame, tm: DataFrame, fields: list[str], share: int | None = None, **rules) -> DataFrame:
+    """rows (locale, s_<field>...) with v_<field> by the memory: the rows themselves move once, whatever the number of fields.
+
+    Their strings are looked up in long form and come back as one map for the texts of a row. A map is found by a hash of the texts;
+    it is asked for a string, so texts that share a hash (and locale) do no harm, and rows with equal texts share one map.
+    """
+    texts = [F.col(f"s_{f}") for f in fields]
+    rows = rows.withColumn("__texts", F.xxhash64(*texts))
+    counts = F.array_compact(F.array(*(F.when(~should_skip_value(x, **rules), x) for x in texts)))
+    long = rows.select("locale", "__texts", F.explode(F.array_distinct(counts)).alias("src"))
+    pairs = F.collect_set(F.struct("src", "value"))
+    found = tm_lookup(long, tm, "src", "locale", "value", share).where("value <> src").groupBy("locale", "__texts").agg(F.map_from_entries(pairs).alias("__found"))
+    out = rows.join(found, ["locale", "__texts"], "left")
+    return out.select(*(c for c in rows.columns if c != "__texts"), *(F.coalesce(F.try_element_at("__found", x), x).alias(f"v_{f}") for f, x in zip(fields, texts)))
+
+
 def build_inserts(matched: DataFrame, tm: DataFrame, fields: list[str], every: bool = False, parent_localized: bool = False, others: Sequence[str] = (), rich: Sequence[str] = (), **rules) -> DataFrame:
     """New rows for source rows without a target, in locales with any string to translate (or in all).
 

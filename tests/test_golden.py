@@ -167,3 +167,16 @@ def test_stream_agrees_with_batch(spark, tmp_path):
     for r in got:
         newest[r["key"]] = max(newest.get(r["key"], r["ts"]), r["ts"])
     assert {k: v for k, v in newest.items() if not k.endswith(":99")} == {r["key"]: r["ts"] for r in want}
+
+
+def test_texts_of_a_row_are_looked_up_in_one_join(spark):
+    rows = [("es", "Hello", "Hello", None), ("es", "Hello", "Hello", None), ("fr", "Hello", "Good day", "https://a.example"), ("es", None, None, None), ("es", "", "Unknown", "Hello"), ("es", None, "Hello", "Good day"), ("es", "Hello", None, "Good day")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)] + [(0, *rows[0])], "key long, locale string, s_a string, s_b string, s_c string").repartition(3)
+    tm = spark.createDataFrame([("es", "Hello", "Hola"), ("es", "Hello", "Ah"), ("fr", "Hello", "Salut"), ("fr", "Good day", ""), ("es", "https://a.example", "no")], "target_locale string, src string, tgt string")
+    want = {0: ("Hola", "Hola", None), 2: ("Salut", "Good day", "https://a.example"), 3: (None, None, None), 4: ("", "Unknown", "Hola"), 5: (None, "Hola", "Good day"), 6: ("Hola", None, "Good day")}
+    for share in (None, 3):
+        got = B.translated_fields(df, tm, ["a", "b", "c"], share=share)
+        assert got.columns == [*df.columns, "v_a", "v_b", "v_c"]
+        assert sorted((r["key"], r["v_a"], r["v_b"], r["v_c"]) for r in got.collect() if r["key"] not in (3, 4, 5, 6)) == [(0, *want[0]), (0, *want[0]), (1, *want[0]), (2, *want[2])]
+        assert {r["key"]: (r["v_a"], r["v_b"], r["v_c"]) for r in got.collect() if r["key"] > 2} == {k: v for k, v in want.items() if k > 2}
+    assert B.translated_fields(df.limit(0), tm, ["a", "b"]).count() == 0
