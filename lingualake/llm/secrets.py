@@ -37,8 +37,10 @@ JWT = r"(?=eyJ)(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[
 LOGIN = r"(?<=://)[^\s/:@\"']++:[^\s/@\"']{3,}+(?=@)"
 #: None but a key block starts inside a word; that test comes first, as most places fail it.
 GENERATORS = f"{PEM}|(?<![A-Za-z0-9])(?:{'|'.join((JWT, LOGIN, ASSIGNED, TOLD, TOKEN))})"
-#: Formats that leave no doubt: key blocks, signed tokens, fixed prefixes with their fixed lengths.
+#: Formats that leave no doubt: key blocks, signed tokens, fixed prefixes with their fixed lengths; so does a URL's login.
 CERTAIN = r"^(?:-----BEGIN|eyJ[A-Za-z0-9_-]{8,}\.eyJ|(?:AKIA|ASIA)[0-9A-Z]{16}\z|gh[pos]_[A-Za-z0-9]{36}\z|xox[abprs]-|AIza[A-Za-z0-9_-]{35}\z|sk_live_)"
+#: Passwords of a login that stand for one: then the forests decide.
+STAND_IN = r"(?i):(?:pass(?:word|wd|phrase)?|pwd|secret|token|x{3,}|\*+|\.{3}|<.*>|\$.*|%.*|\{.*\}|\[.*\])\z"
 FORM = ("length", "turns", "covered", "path", "digits", "hex", "symbols")
 NEAR = ("cue", "sign", "before", "after")
 _TYPE = "array<struct<start:int,end:int,sure:boolean,by_near:int,by_form:int," + ",".join(f"{x}_bin:int" for x in FORM + NEAR) + ">>"
@@ -66,7 +68,8 @@ def candidates(text: Column, words: str) -> Column:
         adjacent = near.rlike(rf"(?i)(?:{_WORDS})[\"']?\s{{0,3}}[:=]?\s{{0,3}}[\"']?\z")
         cue = F.when(adjacent, 3).when(near.rlike(rf"(?i)(?:{_WORDS}|key)"), 2).when(near.rlike(r"(?i)(?:commit|sha|md5|hash|checksum|digest|version|file|path|uuid|href|http)"), 1).otherwise(0)
         sign = F.when(near.rlike(r"[\"']\z"), 3).when(near.rlike(r"=\s?\z") | near.rlike(r"://\z"), 2).when(near.rlike(r":\s{0,3}\z"), 1).otherwise(0)
-        sure = v.rlike(CERTAIN)
+        fixed = v.rlike(CERTAIN)
+        login = near.endswith("://") & (F.substring(text, s["end"] + 1, F.lit(1)) == "@") & ~v.rlike(STAND_IN)
         bins = {
             "length": F.when(n < 8, 0).when(n < 16, 1).when(n < 20, 2).when(n < 32, 3).when(n < 40, 4).when(n < 48, 5).otherwise(6),
             "turns": F.when(turns == 0, 0).when(turns < 0.1, 1).when(turns < 0.3, 2).otherwise(3),
@@ -81,8 +84,8 @@ def candidates(text: Column, words: str) -> Column:
             "after": char_class(F.substring(text, s["end"] + 1, F.lit(1))),
         }
         by_near = F.when((cue == 3) & (sign >= 2), 1).when((cue <= 1) & (sign == 0) | (cue == 3) & (sign == 1), 0)
-        by_form = F.when(sure | is_hex & (digits > 0) & (digits < n) & n.isin(32, 40, 64) | (n >= 16) & (turns >= 0.3) & (covered < 0.2), 1).when((digits == 0) | (digits == n) | (covered >= 0.8), 0)
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), sure.alias("sure"), by_near.cast("int").alias("by_near"), by_form.cast("int").alias("by_form"), *(bins[x].cast("int").alias(f"{x}_bin") for x in FORM + NEAR))
+        by_form = F.when(fixed | is_hex & (digits > 0) & (digits < n) & n.isin(32, 40, 64) | (n >= 16) & (turns >= 0.3) & (covered < 0.2), 1).when((digits == 0) | (digits == n) | (covered >= 0.8), 0)
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), (fixed | login).alias("sure"), by_near.cast("int").alias("by_near"), by_form.cast("int").alias("by_form"), *(bins[x].cast("int").alias(f"{x}_bin") for x in FORM + NEAR))
 
     return F.transform(spans(text, GENERATORS), one).cast(_TYPE)
 
