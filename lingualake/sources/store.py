@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import dealt
+
+#: So many changes may be sent to the base's files, if Spark finds them small; of more, their compressed bytes say too little.
+FEW = 10_000
+
 
 class KeyedStore:
     """A table under `path` whose rows are known by `keys`; a null in a key is a value like any other.
@@ -103,15 +106,24 @@ class KeyedStore:
         def sets(c: str) -> Column:
             return every | ((F.col("op") == "update") & F.array_contains("changed", c))
 
-        named = [F.col(k).alias(f"__{k}") for k in self.keys]
+        def keyed(df: DataFrame) -> DataFrame:
+            return dealt(df.withColumn("__key", F.struct(*self.keys)), most, "__key")  # a struct is never null, and its nulls are equal
+
+        def large(df: DataFrame, n: int) -> DataFrame:
+            return df.hint("merge") if n > FEW else df
+
+        n, held = delta.count(), base.count()
+        most = max(n, held) if n > FEW else n
         first = F.min(F.when(new, F.struct("set", *(F.col(c).alias(f"c{i}") for i, c in enumerate(cols))))).alias("__new")
         last = [F.max(F.when(sets(c), F.struct("set", F.col(c).alias("to")))).alias(f"__u{i}") for i, c in enumerate(cols)]
-        change = delta.groupBy(*named).agg(first, *last)
-        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys))
-        old = base.join(change, same, "left").select(*self.keys, *(F.when(F.col(f"__u{i}").isNotNull(), F.col(f"__u{i}.to")).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)))
-        added = change.where("__new IS NOT NULL").join(base.select(*self.keys), same, "left_anti")
+        change = keyed(delta).groupBy("__key").agg(first, *last)
+        old = keyed(base) if n > FEW else base.withColumn("__key", F.struct(*self.keys))
+        kept = [F.when(F.col(f"__u{i}").isNotNull(), F.col(f"__u{i}.to")).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)]
+        there = large(old.select("__key"), held)
+        old = old.join(large(change, n), "__key", "left").select(*self.keys, *kept)
+        added = change.where("__new IS NOT NULL").join(there, "__key", "left_anti")
         later = [F.when(F.col(f"__u{i}.set") >= F.col("__new.set"), F.col(f"__u{i}.to")).otherwise(F.col(f"__new.c{i}")).alias(c) for i, c in enumerate(cols)]
-        return old.unionByName(added.select(*(F.col(f"__{k}").alias(k) for k in self.keys), *later)).select(*base.columns)
+        return old.unionByName(added.select(*(F.col("__key")[k].alias(k) for k in self.keys), *later)).select(*base.columns)
 
     def compact(self, keep: int = 1) -> int:
         """Puts all change sets but the last `keep` (which may be written again) into a new base, then frees the old files.
