@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectext as V
-from .common import cut, release, small
+from .common import among, cut, release, small
 from .components import components
 
 #: Words (of 64 bits) of the least bitmap and the elements it serves; larger sets have proportionally more: too few bits bound nothing.
@@ -326,7 +326,8 @@ def _families(forest: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _verified(member: DataFrame, rows: DataFrame, pair, k: int, percent: int) -> DataFrame:
     """Links of families whose rows stand in the blocks (i, j) of `pair`; member has their component in `comp`."""
-    one = rows.select(F.col("rid").alias("rep"), "text").join(small(member), "rep")  # one text a class
+    texts = among(rows.select(F.col("rid").alias("rep"), "text"), "rep", member.select("rep"))  # one text a class; the others stay where they are
+    one = texts.join(small(member), "rep")
     one = one.withColumn("pair", F.explode(pair)).select("family", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "key", "comp", "part", "text")
     block = ["family", "i", "j"]
     return cut(one.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compared(k, percent), "a long, b long"))
@@ -410,4 +411,4 @@ def without_near_copies(docs: DataFrame, k: int = 4, percent: int = 85) -> DataF
     best = rows.where("key IS NOT NULL").groupBy("key").agg(F.min(at).alias("at")).join(named.select("key", "comp"), "key").groupBy("comp").agg(F.min("at").alias("at"))
     stay = cut(best.select(F.col("at.rid").alias("__rid")))
     bare = rows.where("key IS NULL").select(F.col("rid").alias("__rid"))
-    return tagged.join(small(cut(stay.union(bare))), "__rid", "left_semi").select(*docs.columns)
+    return among(tagged, "__rid", cut(stay.union(bare))).select(*docs.columns)
