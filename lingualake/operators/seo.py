@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import SECTIONS
-from ..sources.tables import settled, settled_with
+from ..sources.tables import dealt, settled, settled_with
 
 
 def slug_backfill(parents: DataFrame, rows: DataFrame, source: str = "en") -> DataFrame:
@@ -50,11 +50,12 @@ def redirect_rules(routes: DataFrame, section: str, old_slugs: DataFrame | None
     With old_slugs (doc_id, old_slug), what a document was once called leads to its route in every locale too.
     """
     old = F.array(F.concat_ws("/", F.lit(""), "lang", F.lit(section), "slug"), F.concat_ws("/", F.lit(""), "section_slug", "slug"), F.concat_ws("/", F.lit(""), "lang", "slug"))
+    n = routes.count() * (3 if old_slugs is None else 4)
     rules = routes.select(F.explode(old).alias("from_path"), F.col("path").alias("to_path"))
     if old_slugs is not None:
-        named = routes.join(old_slugs.select("doc_id", "old_slug"), "doc_id")
+        named = dealt(routes, n, "doc_id").join(dealt(old_slugs.select("doc_id", "old_slug"), n, "doc_id").hint("merge"), "doc_id")
         rules = rules.unionByName(named.select(F.concat_ws("/", F.lit(""), "lang", "section_slug", "old_slug").alias("from_path"), F.col("path").alias("to_path")))
-    return rules.where("from_path <> to_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
+    return dealt(rules.where("from_path <> to_path"), n, "from_path").groupBy("from_path").agg(F.min("to_path").alias("to_path"))
 
 
 def chain_ends(hop: DataFrame, stops: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
