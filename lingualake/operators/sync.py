@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.filters import should_skip_value
 from ..functions.text import localized_slug
-from ..sources.tables import settled
+from ..sources import tables
+from ..sources.tables import dealt, settled
 from . import documents as D
 from .strings import except_translated, translate
 
@@ -164,17 +165,20 @@ def synced(changes: DataFrame, existing: DataFrame, tm: DataFrame, options: Sync
 
     existing (key, locale, doc) are the present translations: what people have filled in stays. A document or translation that is
     malformed gives an error for its own locale alone, the others go on. Equal documents are looked up once; strings that the memory
-    lacks go to `call`, if there is one, and else stay as they are.
+    lacks go to `call`, if there is one, and else stay as they are. Documents are dealt out by their bytes; changes are read three times, so they had better be settled.
     """
     each = F.explode(F.array(*(F.lit(x) for x in options.locales)))
     h = F.sha2("data", 256)
-    slots = changes.select(h.alias("h"), F.explode(document_slots(options)("data")).alias("x")).select("h", "x.*").distinct().withColumn("locale", each)
+    size = changes.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    docs = dealt(changes.select("key", "data"), size, "key", most=tables.TASK_BYTES)
+    slots = docs.select(h.alias("h"), F.explode(document_slots(options)("data")).alias("x")).select("h", "x.*").distinct().withColumn("locale", each)
     if call is not None:
         slots = settled(slots)
         tm = settled(with_translator(slots, tm, options, call))
     maps = D.text_maps(slots, ["h", "locale"], tm, options.site, options.localize_path, exact=options.exact, patterns=options.patterns)
     rows = changes.select("key", "entity_type", "slug", "ts", "status", "data", h.alias("h")).withColumn("locale", each).join(maps, ["h", "locale"], "left")
-    rows = rows.join(existing.select("key", "locale", F.col("doc").alias("old")), ["key", "locale"], "left")
+    rows, old = (dealt(df, size * len(options.locales), "key", "locale", most=tables.TASK_BYTES) for df in (rows, existing.select("key", "locale", F.col("doc").alias("old"))))
+    rows = rows.join(old.hint("merge"), ["key", "locale"], "left")
     rows = rows.withColumn("x", _translated(options)("data", "texts", "links", "locale"))
 
     own = F.lit(None).cast("string")

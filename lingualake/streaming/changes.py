@@ -72,7 +72,7 @@ def synced_documents(changes: DataFrame, existing: DataFrame, tm: DataFrame, loc
     go through the memory, what people have filled in stays, ids get the locale, fields of the database are dropped.
     """
     newest = changes.where(admitted(source)).groupBy(document_key().alias("key")).agg(F.max_by(F.struct("ts", *CARRIED), F.struct("ts", "job_id")).alias("x")).select("key", "x.*")
-    return synced(newest, existing, tm, options or SyncOptions(tuple(locales), source))
+    return synced(settled(newest), existing, tm, options or SyncOptions(tuple(locales), source))
 
 
 def continuous_sync(changes: DataFrame, store: KeyedStore, tm: DataFrame, options: SyncOptions, path: str, gap: str = "1 second", delay: str | None = None, call=None, compact_every: int = 100):
