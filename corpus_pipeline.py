@@ -19,7 +19,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
-    return without_near_copies(docs, k=5, percent=80)
+    return without_near_copies(docs, k=5, percent=80, stored=True)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

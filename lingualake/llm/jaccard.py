@@ -14,6 +14,9 @@ one family. A family's sets come together once, in blocks of bounded size; there
 links join already are passed over, and again a spanning forest of the links is all that leaves the block. A family of more
 than one block also has its least class in each of them; what remains unjoined between its blocks follows in a second round, for the classes
 that still have candidates in other components. So n near copies cost n rows, no link between components is lost.
+
+The texts stay where they are; each step reads those it needs. What goes through the disk (elements, tiles, families' texts) goes in
+rounds of bounded size, by a hash of what brings rows together, and a round's files are freed before the next.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vectext as V
-from .common import among, cut, release, small
+from .common import among, cut, numbered, release, small
 from .components import components
 
 #: Words (of 64 bits) of the least bitmap and the elements it serves; larger sets have proportionally more: too few bits bound nothing.
@@ -41,6 +45,8 @@ PARTS = 32
 BLOCK, ELEMENTS = 2048, 1_000_000
 #: An element that occurs more often than this (or than four times the mean counter) spreads over several tasks.
 HOT_ROWS = 200_000
+#: Rows of elements (some 17 bytes each as they are shuffled), rows of tiles (some 160) and elements of families' texts (some 5) of a round.
+ROUND_PREFIXES, ROUND_TILES, ROUND_ELEMENTS = 100_000_000, 10_000_000, 200_000_000
 
 
 def _sets(text: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -72,7 +78,7 @@ def _lists(parts: list[np.ndarray], kind=np.int64) -> pa.Array:
 
 
 def shingle_rows(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
-    """(rid, doc_id, text, n, key, short) for every row of docs (rid, doc_id, text): size, class of equal sets (null if empty)
+    """(rid, doc_id, n, key, short) for every row of docs (rid, doc_id, text): size, class of equal sets (null if empty)
     and bitmap; and how often each hash bucket of shingles occurs in all documents, counted in the same pass.
     """
     size = 1 << COUNTER_BITS
@@ -89,18 +95,18 @@ def shingle_rows(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
                     at.append((s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
             total += np.bincount(np.concatenate(at), minlength=size)
             none = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), b.column(2).cast(pa.string()), pa.array(n), pa.array(key, mask=n == 0), _lists(short), *none], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), pa.array(n), pa.array(key, mask=n == 0), _lists(short), *none], names)
         if total.any():  # the task's counters, in parts, as rows of their own
             packed = [zlib.compress(x.tobytes(), 1) for x in np.split(total, PARTS)]
-            empty = [pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            empty = [pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(PARTS), pa.int32()), pa.array(packed, pa.binary())], names)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in pdf["counts"])
         return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    names = ["rid", "doc_id", "text", "n", "key", "short", "part", "counts"]
-    rows = cut(docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, text string, n long, key long, short array<long>, part int, counts binary"))
+    names = ["rid", "doc_id", "n", "key", "short", "part", "counts"]
+    rows = cut(docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, n long, key long, short array<long>, part int, counts binary"))
     found = rows.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInPandas(add, "part int, counts binary").collect()  # 32 rows, 2 MB at most before packing
     out = np.zeros(size, np.int64)
     for r in found:
@@ -108,44 +114,40 @@ def shingle_rows(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
     return rows.where("part IS NULL").drop("part", "counts"), out
 
 
-def _prefixes(rows: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, key, n, front, salt): for each row the elements of its set of which any similar set shares one.
+def _prefixes(texts: DataFrame, k: int, percent: int, counts: np.ndarray, rounds: int = 1, at: int = 0) -> DataFrame:
+    """(token, key, n, front, salt): for each text, one a class, the elements of its set of which any similar set shares one; of
+    several rounds those of one.
 
     front marks those of which any similar set that is no smaller shares one.
     salt is 0 but for an element whose counter is so high that its rows would be too many for one task: those spread by
-    class over as many salts as keep each near the common size. A task gives a class's elements once, however many copies it reads.
+    class over as many salts as keep each near the common size.
     """
     mean = max(1.0, counts.mean())
     level = np.maximum(0, np.log2(np.maximum(counts, 1) / mean) - 0.5).astype(np.int8)
     salts = np.maximum(1, counts // int(max(HOT_ROWS, 4 * mean))).astype(np.int32)
-    shared = rows.sparkSession.sparkContext.broadcast((level, salts))
+    shared = texts.sparkSession.sparkContext.broadcast((level, salts))
 
     def run(batches):
         rank, spread = shared.value
-        seen = set()
         for b in batches:
-            fresh = []
-            for i, key in enumerate(b.column(0).to_pylist()):
-                if key not in seen:
-                    seen.add(key)
-                    fresh.append(i)
-            b = b.take(pa.array(fresh, pa.int64()))
-            keys, out = b.column(0).to_numpy(), []
-            for i, s in _sets(b.column(1), k):
+            out = []
+            for _, s in _sets(b.column(0), k):
                 n = len(s)
                 if 100 * n < percent * (n + 1):
                     continue  # so small that only equal sets are similar
                 p = n - -(-percent * n // 100) + 1
-                at = (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-                order = np.lexsort((s, rank[at])) if p < n else np.arange(n)
-                take = order[:p]
-                wide = spread[at[take]]
-                front = np.arange(p) <= n - -(-2 * percent * n // (100 + percent))
-                out.append((s[take].astype(np.int64), np.full(p, keys[i]), np.full(p, n, np.int32), front, np.where(wide > 1, 1 + keys[i] % wide.astype(np.int64), 0).astype(np.int32)))
+                at_counter = (s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+                order = np.lexsort((s, rank[at_counter])) if p < n else np.arange(n)
+                take, front = order[:p], np.arange(p) <= n - -(-2 * percent * n // (100 + percent))
+                if rounds > 1:
+                    mine = s[take] % np.uint64(rounds) == at
+                    take, front = take[mine], front[mine]
+                key, wide = _key(s), spread[at_counter[take]].astype(np.int64)
+                out.append((s[take].astype(np.int64), np.full(len(take), key), np.full(len(take), n, np.int32), front, np.where(wide > 1, 1 + key % wide, 0).astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["token", "key", "n", "front", "salt"])
 
-    return rows.where("key IS NOT NULL").select("key", "text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
+    return texts.select("text").mapInArrow(run, "token long, key long, n int, front boolean, salt int")
 
 
 def _compressed(parent: np.ndarray) -> np.ndarray:
@@ -299,21 +301,53 @@ def _compared(k: int, percent: int):
     return _by_block(cols, passing)
 
 
-def _tiles(shared: DataFrame, classes: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """Rows of tiles with their bitmaps, in blocks (i, j) of bounded size, ready for _forest."""
-    big = cut(shared.groupBy("token", "band").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK))
-    rows = shared.join(small(big), ["token", "band"], "left").join(classes.select("key", "short"), "key")
+def _shared(prefix: DataFrame, percent: int) -> DataFrame:
+    """(token, key, n, front, band, own): the rows of the elements that two classes share, in the tiles that may hold a candidate.
+
+    One shuffle finds both; rows that are salted all stay, and the tiles sort them out."""
+    same = Window.partitionBy("token", "salt")
+    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
+    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"])
+    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
+    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
+    side = F.explode(F.array(*(F.struct((band + x).alias("band"), F.lit(x == 0).alias("own")) for x in (0, 1))))
+    shared = shared.withColumn("side", side).select("token", "salt", "key", "n", "front", "side.band", "side.own")
+    tile = Window.partitionBy("token", "salt", "band")
+    least = F.min(F.when(F.col("front"), F.col("n"))).over(tile)
+    shared = shared.withColumn("low", F.min("key").over(tile)).withColumn("high", F.max("key").over(tile)).withColumn("any", F.max("own").over(tile)).withColumn("least", least)
+    return shared.where("salt > 0 OR low < high AND any AND least <= n").select("token", "key", "n", "front", "band", "own")
+
+
+def _tiles(shared: DataFrame, big: DataFrame, classes: DataFrame, joined: DataFrame | None, rounds: int = 1, at: int = 0) -> DataFrame:
+    """Rows of tiles with their bitmaps, in blocks (i, j) of bounded size, ready for _forest; of several rounds those of one."""
+    rows = shared.join(small(big), ["token", "band"], "left")
+    rows = rows.withColumn("blocks", F.coalesce(F.ceil(F.col("size") / F.lit(BLOCK)), F.lit(1)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
+    rows = rows.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "own", "part", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
+    block = ["token", "band", "i", "j"]
+    if rounds > 1:
+        rows = rows.where(F.pmod(F.xxhash64(*block), F.lit(rounds)) == at)
+    rows = rows.join(classes.select("key", "short"), "key")
     if joined is None:
         rows = rows.withColumn("comp", F.col("key"))
     else:
         rows = rows.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    rows = rows.withColumn("blocks", F.coalesce(F.ceil(F.col("size") / F.lit(BLOCK)), F.lit(1)).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-    rows = rows.withColumn("pair", F.explode(pair)).select("token", "band", "key", "n", "front", "own", "comp", "part", "short", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"))
-    block = ["token", "band", "i", "j"]
+    rows = rows.select("token", "band", "key", "n", "front", "own", "comp", "part", "short", "i", "j")
     return rows.repartition(*block).sortWithinPartitions(*block, "n", "key")
 
 
+def _candidates(shared: DataFrame, classes: DataFrame, joined: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b): the spanning forests of all tiles, in as many rounds as their rows ask for."""
+    big = cut(shared.groupBy("token", "band").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK))
+    again = big.agg(F.sum(F.col("size") * (F.ceil(F.col("size") / F.lit(BLOCK)) - 1)).cast("long")).first()[0] or 0  # a row of a tile in blocks stands in each pair with its own
+    rounds = max(1, -(-(shared.count() + again) // ROUND_TILES))
+    return _union(cut(_tiles(shared, big, classes, joined, rounds, at).mapInArrow(_forest(percent), "a long, b long").distinct()) for at in range(rounds))
+
+
+def _union(parts) -> DataFrame:
+    return reduce(DataFrame.union, list(parts))
+
+
 def _families(forest: DataFrame, classes: DataFrame) -> DataFrame:
     """(family, key, rep, n, blocks, part, lead): the classes that candidates join, and the block of each."""
     member = components(forest).select(F.col("comp").alias("family"), F.col("node").alias("key")).join(classes.select("key", "rep", "n"), "key")
@@ -324,51 +358,51 @@ def _families(forest: DataFrame, classes: DataFrame) -> DataFrame:
     return member.select("family", "key", "rep", "n", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("part"), (F.col("key") == F.col("lead")).alias("lead"))
 
 
-def _verified(member: DataFrame, rows: DataFrame, pair, k: int, percent: int) -> DataFrame:
-    """Links of families whose rows stand in the blocks (i, j) of `pair`; member has their component in `comp`."""
-    texts = among(rows.select(F.col("rid").alias("rep"), "text"), "rep", member.select("rep"))  # one text a class; the others stay where they are
-    one = texts.join(small(member), "rep")
-    one = one.withColumn("pair", F.explode(pair)).select("family", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "key", "comp", "part", "text")
+def _verified(member: DataFrame, docs: DataFrame, pair, k: int, percent: int) -> DataFrame:
+    """Links of families whose rows stand in the blocks (i, j) of `pair`; member has their component in `comp`. In as many rounds as
+    the elements of their sets ask for."""
+    elements = member.agg(F.sum(F.col("n") * F.size(pair)).cast("long")).first()[0] or 0
+    rounds = max(1, -(-elements // ROUND_ELEMENTS))
     block = ["family", "i", "j"]
-    return cut(one.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compared(k, percent), "a long, b long"))
+
+    def links(at: int) -> DataFrame:
+        mine = pair if rounds == 1 else F.filter(pair, lambda x: F.pmod(F.xxhash64("family", x["i"], x["j"]), F.lit(rounds)) == at)
+        some = member.withColumn("pairs", mine).where(F.size("pairs") > 0)
+        texts = among(docs.select(F.col("rid").alias("rep"), "text"), "rep", some.select("rep"))  # one text a class; the others stay where they are
+        one = texts.join(small(some), "rep")
+        one = one.withColumn("pair", F.explode("pairs")).select("family", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "key", "comp", "part", "text")
+        return cut(one.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compared(k, percent), "a long, b long"))
+
+    return _union(map(links, range(rounds)))
 
 
 def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """For docs (rid, doc_id, text), rid unique: rows (rid, doc_id, n, key) and (key, doc_id, copies, comp) of the classes."""
+    """For docs (rid, doc_id, text), numbered(): rows (rid, doc_id, n, key) and (key, doc_id, copies, comp) of the classes."""
     rows, counts = shingle_rows(docs, k)
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("short").alias("short"))
     classes = cut(classes)
 
-    prefix = _prefixes(rows, k, percent, counts)
-    # one shuffle finds the elements that two classes share, and then the tiles that may hold a candidate; rows that are
-    # salted all stay, and the tiles sort them out
-    same = Window.partitionBy("token", "salt")
-    prefix = prefix.withColumn("low", F.min("key").over(same)).withColumn("high", F.max("key").over(same)).withColumn("any", F.max("front").over(same))
-    shared = prefix.where("low < high AND any OR salt > 0").dropDuplicates(["token", "salt", "key"])
-    # each class stands in its own band and in the next, so that two bands that can match always meet in the larger's
-    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
-    side = F.explode(F.array(*(F.struct((band + x).alias("band"), F.lit(x == 0).alias("own")) for x in (0, 1))))
-    shared = shared.withColumn("side", side).select("token", "salt", "key", "n", "front", "side.band", "side.own")
-    tile = Window.partitionBy("token", "salt", "band")
-    least = F.min(F.when(F.col("front"), F.col("n"))).over(tile)
-    shared = shared.withColumn("low", F.min("key").over(tile)).withColumn("high", F.max("key").over(tile)).withColumn("any", F.max("own").over(tile)).withColumn("least", least)
-    shared = cut(shared.where("salt > 0 OR low < high AND any AND least <= n").select("token", "key", "n", "front", "band", "own"))
+    texts = among(docs.select("rid", "text"), "rid", classes.select(F.col("rep").alias("rid")))  # one a class
+    taken = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    rounds = max(1, -(-int(classes.agg(F.sum(taken)).first()[0] or 0) // ROUND_PREFIXES))
+    shared = _union([cut(_shared(_prefixes(texts, k, percent, counts, rounds, at), percent)) for at in range(rounds)])
 
-    forest = cut(_tiles(shared, classes, None).mapInArrow(_forest(percent), "a long, b long").distinct())
+    forest = _candidates(shared, classes, None, percent)
     member = cut(_families(forest, classes).withColumn("comp", F.col("key")))
     diagonal = F.when(F.col("lead"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(x.alias("i"), x.alias("j"))))
     diagonal = F.coalesce(diagonal, F.array(F.struct(F.col("part").alias("i"), F.col("part").alias("j"))))
-    links = _verified(member, rows, diagonal, k, percent)
+    links = _verified(member, docs, diagonal, k, percent)
     joined = components(links)
     if member.where("blocks > 1").limit(1).count():
         # of the families in several blocks, what still has candidates in other components, each pair of blocks
         wide = cut(member.where("blocks > 1").select("key"))
-        again = cut(_tiles(shared.join(small(wide), "key", "left_semi"), classes, joined).mapInArrow(_forest(percent), "a long, b long").distinct())
+        open_ = cut(shared.join(small(wide), "key", "left_semi").select(*shared.columns))
+        again = _candidates(open_, classes, joined, percent)
         rest = _families(again, classes).join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j")))
-        more = _verified(cut(rest), rows, every, k, percent)
+        more = _verified(cut(rest), docs, every, k, percent)
         joined = components(links.union(more))
-        release(wide, again, more)
+        release(wide, open_, again, more)
     release(shared, forest, member, links)
     named = classes.select("key", "doc_id", "copies").join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     return rows.select("rid", "doc_id", "n", "key"), cut(named)
@@ -384,27 +418,29 @@ def _by_class(rows: DataFrame, named: DataFrame) -> DataFrame:
     return cold.unionByName(rows.join(hot, "key"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, stored: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs (doc_id, text).
 
     n_shingles is the size of the set of distinct k-word shingles of the text with A-Z lower-cased; with fewer
     words all of them are one shingle. component_id is the smallest doc_id that links (100 * intersection >=
     percent * union) reach, itself included. A null, empty or wordless text has size 0, links with nothing and is its own
     component. Rows that repeat a doc_id, or have none, are documents of their own. Other columns of docs are not read.
+    stored: docs is the rows of a table's files as they are, of which no copy is needed.
     """
-    rows, named = _grouped(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), k, percent)
+    rows, named = _grouped(numbered(docs.select("doc_id", "text"), "rid", stored), k, percent)
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = cut(named.join(least, "comp").select("key", "copies", "component_id"))
     out = _by_class(rows, named)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def without_near_copies(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+def without_near_copies(docs: DataFrame, k: int = 4, percent: int = 85, stored: bool = False) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest doc_id (a null one counts last), the first of several.
 
     Rows are told apart by their place, not by doc_id. Texts without words are copies of nothing and stay.
+    stored: docs is the rows of a table's files as they are, of which no copy is needed.
     """
-    tagged = cut(docs.withColumn("__rid", F.monotonically_increasing_id()))
+    tagged = numbered(docs, "__rid", stored)
     rows, named = _grouped(tagged.select(F.col("__rid").alias("rid"), "doc_id", "text"), k, percent)
     at = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
     # copies combine before the shuffle, first by class, then by component
